@@ -1,17 +1,30 @@
-"""Percentages that are NULL instead of infinite."""
+"""Rounding, and percentages that are NULL instead of infinite."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Decimals kept before the final rounding.
+_NOISE = 8
+
+
+def rounded(value: Column | str, digits: int) -> Column:
+    """Round half up, on the value without floating-point noise.
+
+    A sum or mean depends in its last bits on the order in which tasks add up.
+    Dropping those bits first makes a result such as 2.675 round the same way
+    however the table is partitioned.
+    """
+    return F.round(F.round(value, _NOISE), digits)
+
 
 def percent_change(previous: Column, current: Column) -> Column:
     """Change relative to ``previous`` in percent, 2 decimals; NULL on a zero base."""
-    return F.when(previous != 0, F.round(100 * (current - previous) / previous, 2))
+    return F.when(previous != 0, rounded(100 * (current - previous) / previous, 2))
 
 
 def percent_difference(difference: Column, first: Column, second: Column) -> Column:
     """``difference`` relative to the mean of the two values; NULL on a zero mean."""
     mean = (first + second) / 2
-    return F.when(mean != 0, F.round(100 * difference / mean, 2))
+    return F.when(mean != 0, rounded(100 * difference / mean, 2))

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tabscope.functions.arithmetic import rounded
+
 # Names and name parts that suggest a date: fixed values.
 DATE_NAMES = (
     "date", "datetime", "timestamp", "time", "day",
@@ -67,5 +69,5 @@ def name_similarity(left: Column, right: Column) -> Column:
             (F.least(F.length(na), F.length(nb)) >= 3) & (F.contains(na, nb) | F.contains(nb, na)),
             0.75,
         )
-        .otherwise(F.round(shared / either, 3))
+        .otherwise(rounded(shared / either, 3))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabscope.errors import AnalysisError
-from tabscope.functions.arithmetic import percent_change, percent_difference
+from tabscope.functions.arithmetic import percent_change, percent_difference, rounded
 from tabscope.functions.columns import col, drop_missing, require_rows
 from tabscope.functions.filters import in_year, where_values
 from tabscope.functions.periods import period_label
@@ -69,9 +69,9 @@ def _all_changes(
             "period_start",
             period_label(F.col("before_start"), period).alias("previous_period"),
             period_label(F.col("period_start"), period).alias("current_period"),
-            F.round(previous, 2).alias("previous_value"),
-            F.round(current, 2).alias("current_value"),
-            F.round(current - previous, 2).alias("absolute_change"),
+            rounded(previous, 2).alias("previous_value"),
+            rounded(current, 2).alias("current_value"),
+            rounded(current - previous, 2).alias("absolute_change"),
             percent_change(previous, current).alias("percentage_change"),
         )
     )
@@ -157,7 +157,7 @@ def overall_change(
     first, last = F.col("first_value"), F.col("last_value")
     return ends.select(
         "*",
-        F.round(last - first, 2).alias("overall_change"),
+        rounded(last - first, 2).alias("overall_change"),
         percent_change(first, last).alias("overall_percentage_change"),
     )
 
@@ -192,7 +192,7 @@ def compare_years(
     )
     per_year = aggregate(keyed, ["year"], agg_function, few_groups=True)
     v1, v2 = F.col("v1"), F.col("v2")
-    gap = F.round(v2 - v1, 2)
+    gap = rounded(v2 - v1, 2)
     return (
         per_year.agg(
             F.max(F.when(F.col("year") == year_1, F.col("value"))).alias("v1"),
@@ -204,8 +204,8 @@ def compare_years(
         .select(
             F.lit(str(year_1)).alias("previous_period"),
             F.lit(str(year_2)).alias("current_period"),
-            F.round(v1, 2).alias("previous_value"),
-            F.round(v2, 2).alias("current_value"),
+            rounded(v1, 2).alias("previous_value"),
+            rounded(v2, 2).alias("current_value"),
             gap.alias("absolute_change"),
             percent_change(v1, v2).alias("percentage_change"),
             percent_difference(F.abs(gap), v1, v2).alias("percentage_difference"),

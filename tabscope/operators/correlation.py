@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabscope.errors import AnalysisError
+from tabscope.functions.arithmetic import rounded
 from tabscope.functions.columns import (
     number,
     numeric_columns,
@@ -118,7 +119,7 @@ def correlation_analysis(
         correlations(df, column, columns, strict)
         .orderBy(F.abs("r").desc(), "pair")
         .limit(limit)
-        .select("column_1", "column_2", F.round("r", 3).alias("correlation"))
+        .select("column_1", "column_2", rounded("r", 3).alias("correlation"))
     )
 
 
@@ -137,7 +138,7 @@ def correlation_extremes(
     return (
         one.select(F.inline(rows))
         .where(F.col("p").isNotNull())
-        .select("kind", "p.column_1", "p.column_2", F.round("p.r", 3).alias("correlation"))
+        .select("kind", "p.column_1", "p.column_2", rounded("p.r", 3).alias("correlation"))
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabscope.errors import AnalysisError
-from tabscope.functions.arithmetic import percent_difference, percent_change
+from tabscope.functions.arithmetic import percent_change, percent_difference, rounded
 from tabscope.functions.columns import (
     is_datetime,
     present,
@@ -61,7 +61,7 @@ def groupby_analysis(
     keyed = rows.select(
         present(df, group_column).alias("group"), value_for(df, value_column, agg_function).alias("value")
     ).where(F.col("group").isNotNull())
-    grouped = aggregate(keyed, ["group"], agg_function).select("group", F.round("value", 2).alias("value"))
+    grouped = aggregate(keyed, ["group"], agg_function).select("group", rounded("value", 2).alias("value"))
     if top_n is not None:
         return grouped.orderBy(*_order(top_n, sort_order)).limit(top_n)
     if max_groups is not None:
@@ -127,7 +127,7 @@ def compare_two_groups(
         .where(F.col("n") == 2)
     )
     v1, v2 = F.col("a.value"), F.col("b.value")
-    gap = F.round(F.abs(v2 - v1), 2)
+    gap = rounded(F.abs(v2 - v1), 2)
     return both.select(
         F.col("a.group").alias("group_1"),
         v1.alias("value_1"),

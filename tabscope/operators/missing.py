@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabscope.functions.arithmetic import rounded
 from tabscope.functions.columns import present, require_frame, rows_from_wide
 
 
@@ -39,7 +40,7 @@ def missing_values(df: DataFrame) -> DataFrame:
         .select(
             "column",
             "missing_count",
-            F.round(F.col("missing_count") / F.col("row_count") * 100, 2).alias("missing_percentage"),
+            rounded(F.col("missing_count") / F.col("row_count") * 100, 2).alias("missing_percentage"),
         )
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabscope.errors import AnalysisError
+from tabscope.functions.arithmetic import rounded
 from tabscope.functions.columns import long_numbers
 from tabscope.operators.statistics import column_quantiles, numeric_targets
 
@@ -76,9 +77,9 @@ def outlier_analysis(
             "column",
             "observations",
             "outlier_count",
-            F.round(100 * F.col("outlier_count") / F.col("observations"), 2).alias("outlier_percentage"),
-            F.when(~constant, F.round("lower", 2)).alias("lower_bound"),
-            F.when(~constant, F.round("upper", 2)).alias("upper_bound"),
+            rounded(100 * F.col("outlier_count") / F.col("observations"), 2).alias("outlier_percentage"),
+            F.when(~constant, rounded("lower", 2)).alias("lower_bound"),
+            F.when(~constant, rounded("upper", 2)).alias("upper_bound"),
             constant.alias("is_constant"),
         )
     )
@@ -108,5 +109,5 @@ def outlier_examples(
         .where(_outside())
         .withColumn("rank", F.row_number().over(farthest))
         .where(F.col("rank") <= max_examples)
-        .select("column", "rank", F.round("value", 2).alias("value"))
+        .select("column", "rank", rounded("value", 2).alias("value"))
     )

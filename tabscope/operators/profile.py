@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabscope.functions.arithmetic import rounded
 from tabscope.functions.columns import col, family_of, is_float, present, require_frame
 from tabscope.functions.names import looks_like_identifier
 from tabscope.operators.missing import missing_counts
@@ -115,8 +116,8 @@ def dataset_info(df: DataFrame, approx: bool = False) -> DataFrame:
             "semantic_type": F.when(F.col("date_format").isNotNull(), "datetime").otherwise(
                 _by_column(kinds, column, F.lit("categorical"))
             ),
-            "null_percentage": F.round(100 * nulls / rows, 2),
-            "uniqueness_ratio": F.coalesce(F.round(F.try_divide(unique, valid), 3), F.lit(0.0)),
+            "null_percentage": rounded(100 * nulls / rows, 2),
+            "uniqueness_ratio": F.coalesce(rounded(F.try_divide(unique, valid), 3), F.lit(0.0)),
             "is_all_null": nulls == rows,
             "is_constant": unique == 1,
         }

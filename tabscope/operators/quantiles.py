@@ -148,7 +148,9 @@ def quantiles(
         h = (F.col("_n") - 1) * F.lit(float(p))
         low = F.try_element_at(F.col("_at"), F.floor(h).cast("bigint"))
         high = F.try_element_at(F.col("_at"), F.ceil(h).cast("bigint"))
-        return F.when(F.col("_n") > 0, low + (high - low) * (h - F.floor(h)))
+        between = (low + high) / 2 if p == 0.5 else low + (high - low) * (h - F.floor(h))
+        # The exact middle of an even count is a plain mean; low equals high otherwise.
+        return F.when(F.col("_n") > 0, between)
 
     return found.select(
         *keys, F.col("_n").alias("n"), F.array(*[interpolated(p) for p in probabilities]).alias("q")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabscope.errors import AnalysisError
+from tabscope.functions.arithmetic import rounded
 from tabscope.functions.columns import (
     WHITESPACE,
     col,
@@ -229,8 +230,8 @@ def _scored(
         .join(F.broadcast(shared), ["left_number", "right_number"], "left")
         .where((F.col("left_distinct") > 1) & (F.col("right_distinct") > 1))
         .withColumn("name_similarity", name_similarity(F.col("left_column"), F.col("right_column")))
-        .withColumn("value_overlap", F.coalesce(F.round(F.try_divide(both, either), 3), F.lit(0.0)))
-        .withColumn("confidence", F.round(NAME_WEIGHT * name + VALUE_WEIGHT * overlap, 2))
+        .withColumn("value_overlap", F.coalesce(rounded(F.try_divide(both, either), 3), F.lit(0.0)))
+        .withColumn("confidence", rounded(NAME_WEIGHT * name + VALUE_WEIGHT * overlap, 2))
         .withColumn(
             "cardinality", F.when(lu & ru, "1:1").when(lu, "1:N").when(ru, "N:1").otherwise("N:N")
         )
@@ -303,7 +304,7 @@ def value_overlap(
         total(in_left & in_right).alias("shared_values"),
     )
     either = F.col("left_values") + F.col("right_values") - F.col("shared_values")
-    overlap = F.coalesce(F.round(F.try_divide(F.col("shared_values"), either), 3), F.lit(0.0))
+    overlap = F.coalesce(rounded(F.try_divide(F.col("shared_values"), either), 3), F.lit(0.0))
     return counts.withColumn("value_overlap", overlap)
 
 

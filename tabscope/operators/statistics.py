@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabscope.errors import AnalysisError
+from tabscope.functions.arithmetic import rounded
 from tabscope.functions.columns import (
     long_numbers,
     number,
@@ -77,7 +78,7 @@ def statistics(df: DataFrame, column: str | None = None, strict: bool = False) -
     """
     names = numeric_targets(df, column, "descriptive statistics cannot be calculated")
     q, n = F.col("q"), F.col("n")
-    skew = F.coalesce(F.round(_adjusted_skewness(F.col("g1"), n), 2), F.lit(0.0))
+    skew = F.coalesce(rounded(_adjusted_skewness(F.col("g1"), n), 2), F.lit(0.0))
     spread = F.col("std")
     result = (
         _moments(df, names)
@@ -86,20 +87,20 @@ def statistics(df: DataFrame, column: str | None = None, strict: bool = False) -
         .select(
             "column",
             n.alias("count"),
-            F.round("mean", 2).alias("mean"),
-            F.round(q[1], 2).alias("median"),
-            F.coalesce(F.round("std", 2), F.lit(0.0)).alias("std"),
-            F.round("min", 2).alias("min"),
-            F.round("max", 2).alias("max"),
-            F.round(q[0], 2).alias("q25"),
-            F.round(q[2], 2).alias("q75"),
+            rounded("mean", 2).alias("mean"),
+            rounded(q[1], 2).alias("median"),
+            F.coalesce(rounded("std", 2), F.lit(0.0)).alias("std"),
+            rounded("min", 2).alias("min"),
+            rounded("max", 2).alias("max"),
+            rounded(q[0], 2).alias("q25"),
+            rounded(q[2], 2).alias("q75"),
             skew.alias("skew"),
         )
         .select(
             "column", "count", "mean", "median", "std", "min", "max", "q25", "q75",
-            F.round(F.col("q75") - F.col("q25"), 2).alias("iqr"),
+            rounded(F.col("q75") - F.col("q25"), 2).alias("iqr"),
             F.when(spread > 0, F.col("skew")).otherwise(0.0).alias("skewness"),
-            F.when((F.col("mean") != 0) & (spread > 0), F.round(spread / F.abs("mean"), 4)).alias(
+            F.when((F.col("mean") != 0) & (spread > 0), rounded(spread / F.abs("mean"), 4)).alias(
                 "coefficient_of_variation"
             ),
         )

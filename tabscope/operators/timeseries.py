@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabscope.errors import AnalysisError
-from tabscope.functions.arithmetic import percent_change
+from tabscope.functions.arithmetic import percent_change, rounded
 from tabscope.functions.columns import (
     col,
     drop_missing,
@@ -97,7 +97,7 @@ def time_analysis(
         "period_start",
         period_label(F.col("period_start"), period).alias("period"),
         *group,
-        F.round("value", 2).alias("value"),
+        rounded("value", 2).alias("value"),
     ).orderBy("period_start", *group)
 
 
@@ -129,7 +129,7 @@ def series_summary(
     if strict:
         require_rows(rows, "No rows remain after applying the requested filters.")
     series = bucketed(rows, date_column, value_column, period, agg_function).select(
-        "period_start", F.round("value", 2).alias("value")
+        "period_start", rounded("value", 2).alias("value")
     )
     start, value = F.col("period_start"), F.col("value")
     in_order = Window.orderBy("period_start")
@@ -166,6 +166,6 @@ def series_summary(
         "worst_value",
         "total_periods",
         trend.alias("trend_direction"),
-        F.when(enough, F.round(last - first, 2)).alias("overall_change"),
+        F.when(enough, rounded(last - first, 2)).alias("overall_change"),
         F.when(enough, percent_change(first, last)).alias("overall_percentage_change"),
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabscope.functions.arithmetic import rounded
 from tabscope.functions.columns import col, family_of, require_frame, rows_from_wide
 from tabscope.functions.dates import (
     AUTO_DETECTED,
@@ -90,7 +91,7 @@ def detect_date_columns(df: DataFrame) -> DataFrame:
             "column",
             F.when(F.col("choice.tied"), AUTO_DETECTED).otherwise(F.col("label")).alias("format"),
             F.col("label").alias("parsed_as"),
-            F.round(F.least(F.lit(1.0), F.col("choice.ratio") + bonus), 3).alias("confidence"),
+            rounded(F.least(F.lit(1.0), F.col("choice.ratio") + bonus), 3).alias("confidence"),
         )
     )
     return found.unionByName(scored)
