@@ -114,11 +114,21 @@ def rows_from_wide(wide: DataFrame, rows: Sequence[Column]) -> DataFrame:
     return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def stacked(df: DataFrame, cells: Sequence[Column], value: str = "value") -> DataFrame:
+    """``position, value`` rows: the given columns of one type below each other."""
+    wide = df.select(*[c.alias(f"c{i}") for i, c in enumerate(cells)])
+    parts = [x for i in range(len(cells)) for x in (F.lit(i), F.col(f"c{i}"))]
+    return wide.select(F.stack(F.lit(len(cells)), *parts).alias("position", value))
+
+
 def long_numbers(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """``(column, value)`` rows, value as double, for the named numeric columns."""
-    wide = df.select(*[number(df, c).alias(f"c{i}") for i, c in enumerate(names)])
-    pairs = [F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("value")) for i, c in enumerate(names)]
-    return wide.select(F.inline(F.array(*pairs)))
+    """``position, value`` rows, value as double, for the named numeric columns."""
+    return stacked(df, [number(df, c) for c in names])
+
+
+def name_at(names: Sequence[str], position: str = "position") -> Column:
+    """The name a position of ``stacked`` stands for."""
+    return F.element_at(F.array(*[F.lit(c) for c in names]), F.col(position) + 1)
 
 
 def require_frame(df: DataFrame | None) -> None:

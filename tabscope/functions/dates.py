@@ -30,6 +30,7 @@ DATE_FORMATS = (
     DateFormat("YYYY-DD-MM", "yyyy-d-M", f"^{_Y}-{_D}-{_M}$"),
     DateFormat("YYYY/DD/MM", "yyyy/d/M", f"^{_Y}/{_D}/{_M}$"),
 )
+DATE_SHAPE = r"^(\d{4}[-/]\d{1,2}[-/]\d{1,2}|\d{1,2}[-/]\d{1,2}[-/]\d{4})$"
 AUTO_DETECTED = "auto-detected"
 MIN_RATIO = 0.80
 TIE = 0.001
@@ -40,3 +41,19 @@ def parse_date(text: Column, fmt: DateFormat) -> Column:
     """The date a cell denotes in one format, NULL when it does not fit."""
     trimmed = F.btrim(text, F.lit(WHITESPACE))
     return F.when(trimmed.rlike(fmt.shape), F.try_to_date(trimmed, fmt.pattern))
+
+
+def choose_format(hits: Column, n: Column) -> Column:
+    """Struct ``(at, ratio, tied)`` of the best format from the cells per format.
+
+    Two formats within a small tolerance are tied when the preferred one does
+    not fit worse.
+    """
+    ranked = F.array_sort(F.transform(hits, lambda h, i: F.struct((-h / n).alias("score"), i.alias("at"))))
+    best, second = ranked[0], ranked[1]
+    tied = (
+        (second["score"] < 0)
+        & (F.abs(best["score"] - second["score"]) < TIE)
+        & (best["at"] < second["at"])
+    )
+    return F.struct(best["at"].alias("at"), (-best["score"]).alias("ratio"), tied.alias("tied"))

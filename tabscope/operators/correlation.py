@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
-from itertools import combinations
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabscope.errors import AnalysisError
 from tabscope.functions.arithmetic import rounded
 from tabscope.functions.columns import (
+    name_at,
     number,
     numeric_columns,
     require_column,
@@ -24,17 +25,56 @@ from tabscope.functions.columns import (
 DEFAULT_PAIRS = 10
 MAX_PAIRS = 20
 
-# Pairs aggregated together; a wide table takes one scan per chunk.
-_CHUNK = 60
+# Below this share of its own size a sum of squares is rounding noise.
+_NO_SPREAD = 1e-13
 
+_SUMS = "i int, j int, n double, x double, y double, xy double, xx double, yy double"
 
-def _pearson(a: Column, b: Column) -> Column:
-    """Correlation over the rows where both are present, NULL when one is constant there.
 
-    The plain ``corr`` divides by zero in that case, which ANSI mode rejects.
+def _centered(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The columns minus their means, constant columns as NULL."""
+    numbers = [number(df, c) for c in names]
+    varies = [F.min(v) != F.max(v) for v in numbers]
+    means = df.agg(F.array(*[F.when(some, F.avg(v)) for some, v in zip(varies, numbers)]).alias("m")).scalar()
+    wide = df.select(*[v.alias(f"c{i}") for i, v in enumerate(numbers)], means.alias("m"))
+    return wide.select(*[(F.col(f"c{i}") - F.col("m")[i]).alias(f"c{i}") for i in range(len(names))])
+
+
+def _pair_sums(centered: DataFrame, left: list[int], right: list[int]) -> DataFrame:
+    """Sums over the rows where both columns of a pair are present, per pair.
+
+    A task reduces its rows to one set of sums by matrix products, whatever the
+    number of rows; the sums of all tasks are then added per pair.
     """
-    spread = F.sqrt(F.regr_sxx(a, b)) * F.sqrt(F.regr_syy(a, b))
-    return F.try_divide(F.regr_sxy(a, b), spread)
+
+    # Nested, so that it travels with the task and the executors need no package.
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for batch in batches:
+            values = batch.to_numpy(dtype=float, na_value=np.nan)
+            filled = (~np.isnan(values)).astype(float)
+            values = np.where(filled > 0, values, 0.0)
+            f, g, x, y = filled[:, left], filled[:, right], values[:, left], values[:, right]
+            sums = np.stack([f.T @ g, x.T @ g, f.T @ y, x.T @ y, (x * x).T @ g, f.T @ (y * y)])
+            total = sums if total is None else total + sums
+        if total is not None:
+            i, j = np.meshgrid(left, right, indexing="ij")
+            wanted = (i < j) if len(left) > 1 else (i != j)
+            columns = [i[wanted], j[wanted], *[s[wanted] for s in total]]
+            yield pd.DataFrame(dict(zip(["i", "j", "n", "x", "y", "xy", "xx", "yy"], columns)))
+
+    names = ("n", "x", "y", "xy", "xx", "yy")
+    return centered.mapInPandas(partial, _SUMS).groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in names])
+
+
+def _pearson() -> Column:
+    """Correlation from the sums; NULL when a column is constant over the shared rows."""
+    n, x, y = F.col("n"), F.col("x"), F.col("y")
+    xx, yy = F.col("xx") - F.try_divide(x * x, n), F.col("yy") - F.try_divide(y * y, n)
+    r = (F.col("xy") - F.try_divide(x * y, n)) / F.sqrt(xx * yy)
+    spread = (xx > _NO_SPREAD * F.col("xx")) & (yy > _NO_SPREAD * F.col("yy"))
+    bounded = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))
+    return F.when(spread & ~F.isnan(xx * yy), bounded)
 
 
 def _columns(df: DataFrame, column: str | None, columns: Sequence[str] | None) -> list[str]:
@@ -83,22 +123,14 @@ def correlations(
             )
         if column in constant:
             raise AnalysisError("constant", f"Column '{column}' has no variance (constant).")
-    pairs = list(combinations(names, 2)) if column is None else [(column, c) for c in names if c != column]
-    parts = []
-    for at in range(0, len(pairs), _CHUNK):
-        chunk = list(enumerate(pairs[at : at + _CHUNK], start=at))
-        wide = df.agg(*[_pearson(number(df, a), number(df, b)).alias(f"r{i}") for i, (a, b) in chunk])
-        rows = [
-            F.struct(
-                F.lit(i).alias("pair"),
-                F.lit(a).alias("column_1"),
-                F.lit(b).alias("column_2"),
-                F.col(f"r{i}").alias("r"),
-            )
-            for i, (a, b) in chunk
-        ]
-        parts.append(rows_from_wide(wide, rows))
-    return reduce(DataFrame.unionByName, parts).where(F.col("r").isNotNull())
+    left = list(range(len(names))) if column is None else [names.index(column)]
+    sums = _pair_sums(_centered(df, names), left, list(range(len(names))))
+    return sums.select(
+        (F.col("i") * len(names) + F.col("j")).alias("pair"),
+        name_at(names, "i").alias("column_1"),
+        name_at(names, "j").alias("column_2"),
+        _pearson().alias("r"),
+    ).where(F.col("r").isNotNull())
 
 
 def correlation_analysis(

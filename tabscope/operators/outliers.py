@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabscope.errors import AnalysisError
 from tabscope.functions.arithmetic import rounded
-from tabscope.functions.columns import long_numbers
+from tabscope.functions.columns import long_numbers, name_at
 from tabscope.operators.statistics import column_quantiles, numeric_targets
 
 # Default fence multiplier, most columns and examples returned.
@@ -21,17 +21,17 @@ _WHY = "outlier detection cannot be applied"
 
 
 def _fences(df: DataFrame, names: Sequence[str], multiplier: float) -> DataFrame:
-    """``column, lower, upper, median`` per column; one row per column, so always small."""
+    """``position, lower, upper, median`` per column; one row per column, so always small."""
     q = F.col("q")
     reach = F.lit(float(multiplier)) * (q[2] - q[0])
     fences = column_quantiles(df, names).where(F.col("n") > 0)
-    return fences.select("column", (q[0] - reach).alias("lower"), (q[2] + reach).alias("upper"), q[1].alias("median"))
+    return fences.select("position", (q[0] - reach).alias("lower"), (q[2] + reach).alias("upper"), q[1].alias("median"))
 
 
 def _fenced(df: DataFrame, names: Sequence[str], multiplier: float) -> DataFrame:
     """Every value next to the fences of its column."""
     values = long_numbers(df, names).where(F.col("value").isNotNull())
-    return values.join(F.broadcast(_fences(df, names, multiplier)), "column")
+    return values.join(F.broadcast(_fences(df, names, multiplier)), "position")
 
 
 def _outside():
@@ -63,7 +63,7 @@ def outlier_analysis(
     constant = F.col("smallest") == F.col("largest")
     counted = (
         _fenced(df, names, k)
-        .groupBy("column")
+        .groupBy("position")
         .agg(
             F.count("value").alias("observations"),
             F.count_if(_outside()).alias("outside"),
@@ -74,7 +74,8 @@ def outlier_analysis(
         )
         .withColumn("outlier_count", F.when(constant, F.lit(0)).otherwise(F.col("outside")).cast("bigint"))
         .select(
-            "column",
+            "position",
+            name_at(names).alias("column"),
             "observations",
             "outlier_count",
             rounded(100 * F.col("outlier_count") / F.col("observations"), 2).alias("outlier_percentage"),
@@ -85,8 +86,7 @@ def outlier_analysis(
     )
     if strict and counted.isEmpty():
         raise AnalysisError("no_values", "No numeric column contains valid numeric values.")
-    order = F.array_position(F.array(*[F.lit(c) for c in names]), F.col("column"))
-    ranked = counted.orderBy(F.col("outlier_percentage").desc(), order)
+    ranked = counted.orderBy(F.col("outlier_percentage").desc(), "position").drop("position")
     return ranked if max_columns is None else ranked.limit(max_columns)
 
 
@@ -101,7 +101,7 @@ def outlier_examples(
     The rank limit is applied within every task before the rows are exchanged.
     """
     names, k = _checked(df, column, multiplier)
-    farthest = Window.partitionBy("column").orderBy(
+    farthest = Window.partitionBy("position").orderBy(
         F.abs(F.col("value") - F.col("median")).desc(), F.col("value")
     )
     return (
@@ -109,5 +109,5 @@ def outlier_examples(
         .where(_outside())
         .withColumn("rank", F.row_number().over(farthest))
         .where(F.col("rank") <= max_examples)
-        .select("column", "rank", rounded("value", 2).alias("value"))
+        .select(name_at(names).alias("column"), "rank", rounded("value", 2).alias("value"))
     )

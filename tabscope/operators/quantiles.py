@@ -10,18 +10,15 @@ holds each wanted rank, and only the values of those few buckets are sorted.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Buckets per power of two. A wanted rank falls into a bucket that holds about
 # 1/16384 of the values near it.
 BUCKETS_PER_OCTAVE = 16384
 
-# Exponents outside this range share one bucket scale; values keep their order.
-_MAX_EXPONENT = 1000
+# Added to the exponent to keep it positive for the smallest double.
 _OFFSET = 1100
 _LARGEST = 1.7976931348623157e308
 
@@ -29,18 +26,9 @@ _LARGEST = 1.7976931348623157e308
 MAX_BROADCAST_GROUPS = 50_000
 
 
-def _bucket(value: Column) -> Column:
-    """A bucket number that never decreases when the value increases.
-
-    ``exponent + mantissa`` is a piecewise linear stand-in for the logarithm: it
-    is continuous at powers of two, so the order survives rounding.
-    """
-    size = F.least(F.abs(value), F.lit(_LARGEST))
-    exponent = F.greatest(F.least(F.floor(F.log2(size)), F.lit(_MAX_EXPONENT)), F.lit(-_MAX_EXPONENT))
-    scale = _OFFSET + exponent + size / F.pow(F.lit(2.0), exponent)
-    return F.when(value == 0, F.lit(0)).otherwise(
-        (F.signum(value) * F.floor(scale * BUCKETS_PER_OCTAVE)).cast("bigint")
-    )
+# A bucket number that never decreases when the value increases: a scaled logarithm.
+_SCALED = f"floor(({_OFFSET} + log2(least(abs(_v), {_LARGEST}D))) * {BUCKETS_PER_OCTAVE})"
+_BUCKET = f"CASE WHEN _v = 0 THEN 0L WHEN _v < 0 THEN -{_SCALED} WHEN _v > 0 THEN {_SCALED} END"
 
 
 def has_few_groups(df: DataFrame, keys: Sequence[str]) -> bool:
@@ -65,93 +53,74 @@ def quantiles(
     with nothing but NULLs has ``n = 0`` and NULL quantiles. ``few_groups``
     allows broadcasting the per-group bracket (see ``has_few_groups``).
     """
-    rows = df.select(*keys, F.col(value).alias("_v")).withColumn("_b", _bucket(F.col("_v")))
-    counted = rows.groupBy(*keys, "_b").agg(
-        F.count("_v").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
-    )
+    rows = df.select(*keys, F.col(value).alias("_v")).withColumn("_b", F.expr(_BUCKET))
     group = Window.partitionBy(*keys)
     running = group.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    located = counted.withColumns(
-        {"_end": F.sum("_c").over(running), "_n": F.sum("_c").over(group)}
-    ).withColumn("_start", F.col("_end") - F.col("_c"))
-
-    place = [(F.col("_n") - 1) * F.lit(float(p)) for p in probabilities]
-    ranks = [f(h).cast("bigint") for h in place for f in (F.floor, F.ceil)]
-    hits = [(r >= F.col("_start")) & (r < F.col("_end")) for r in ranks]
-    found_here = F.array_distinct(F.array_compact(F.array(*[F.when(hit, r) for hit, r in zip(hits, ranks)])))
-    # The NULL bucket keeps groups without any value in the result.
-    is_null = F.col("_b").isNull()
-    located = located.where(reduce(or_, hits, is_null)).withColumn(
-        "_r", F.when(is_null, F.array(F.lit(-1).cast("bigint"))).otherwise(found_here)
+    counted = rows.groupBy(*keys, "_b").agg(
+        F.expr("count(_v) AS _c"), F.expr("min(_v) AS _lo"), F.expr("max(_v) AS _hi")
     )
-
-    first, last = F.col("_start"), F.col("_end") - 1
-    single = F.col("_lo") == F.col("_hi")
-    edge = is_null | single
-    known = located.select(
-        *keys,
-        "_n",
-        F.explode(F.filter("_r", lambda r: edge | (r == first) | (r == last))).alias("_rank"),
-        "_start",
-        "_lo",
-        "_hi",
-    ).select(
-        *keys,
-        "_n",
-        "_rank",
-        F.when((F.col("_rank") == F.col("_start")) | (F.col("_lo") == F.col("_hi")), F.col("_lo"))
-        .otherwise(F.col("_hi"))
-        .alias("_v"),
+    # _start and _end are the ranks before and after a bucket; _n the values of the group.
+    placed = counted.select(
+        "*", F.sum("_c").over(running).alias("_end"), F.sum("_c").over(group).alias("_n")
+    ).withColumn("_start", F.expr("_end - _c"))
+
+    places = [f"((_n - 1) * {float(p)}D)" for p in probabilities]
+    ranks = [f"{side}({place})" for place in places for side in ("floor", "ceil")]
+    hits = [f"({r} >= _start AND {r} < _end)" for r in ranks]
+    here = ", ".join(f"CASE WHEN {hit} THEN {r} END" for hit, r in zip(hits, ranks))
+    # The bucket of the NULLs keeps groups without any value in the result.
+    located = placed.where(" OR ".join(["_b IS NULL", *hits])).selectExpr(
+        *[_quoted(k) for k in keys],
+        "_b", "_n", "_start", "_end", "_lo", "_hi",
+        f"CASE WHEN _b IS NULL THEN array(-1L) ELSE array_distinct(array_compact(array({here}))) END AS _r",
     )
-    open_ = (
-        located.where(~edge)
-        .withColumn("_r", F.filter("_r", lambda r: (r > first) & (r < last)))
-        .where(F.size("_r") > 0)
-        .select(*keys, "_b", "_n", "_start", "_r")
+    # The smallest and largest value of a bucket are known already.
+    known = located.selectExpr(
+        *[_quoted(k) for k in keys],
+        "_n", "_start", "_lo", "_hi",
+        "explode(filter(_r, r -> _b IS NULL OR _lo = _hi OR r = _start OR r = _end - 1)) AS _rank",
+    ).selectExpr(
+        *[_quoted(k) for k in keys], "_n", "_rank", "CASE WHEN _rank = _start OR _lo = _hi THEN _lo ELSE _hi END AS _v"
     )
-    brackets = F.broadcast(open_) if few_groups else open_
-    same = [F.col(f"x.`{k}`").eqNullSafe(F.col(f"y.`{k}`")) for k in keys]
-    bracketed = (
-        rows.where(F.col("_v").isNotNull())
-        .alias("x")
-        .join(brackets.alias("y"), [*same, F.col("x._b") == F.col("y._b")])
-        .select(*[F.col(f"x.`{k}`").alias(k) for k in keys], "x._b", "_v", "_n", "_start", "_r")
+    brackets = (
+        located.where("_b IS NOT NULL AND _lo < _hi")
+        .withColumn("_r", F.expr("filter(_r, r -> r > _start AND r < _end - 1)"))
+        .where("size(_r) > 0")
+        .selectExpr(*[f"{_quoted(k)} AS _k{i}" for i, k in enumerate(keys)], "_b AS _bb", "_n", "_start", "_r")
     )
-    bucket_run = (
+    same = " AND ".join([f"{_quoted(k)} <=> _k{i}" for i, k in enumerate(keys)] + ["_b = _bb"])
+    bracketed = rows.where("_v IS NOT NULL").join(F.broadcast(brackets) if few_groups else brackets, F.expr(same))
+    in_bucket = (
         Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     refined = (
         # _n, _start and _r depend on the group and bucket; as grouping keys they
         # leave a plain counter to aggregate.
         bracketed.groupBy(*keys, "_b", "_v", "_n", "_start", "_r")
-        .agg(F.count("*").alias("_c"))
-        .withColumn("_end", F.col("_start") + F.sum("_c").over(bucket_run))
-        .select(
-            *keys,
+        .agg(F.expr("count(*) AS _c"))
+        .withColumn("_end", F.col("_start") + F.sum("_c").over(in_bucket))
+        .selectExpr(
+            *[_quoted(k) for k in keys],
             "_n",
-            F.explode(
-                F.filter("_r", lambda r: (r >= F.col("_end") - F.col("_c")) & (r < F.col("_end")))
-            ).alias("_rank"),
+            "explode(filter(_r, r -> r >= _end - _c AND r < _end)) AS _rank",
             "_v",
         )
     )
     found = (
         known.unionByName(refined)
         .groupBy(*keys)
-        .agg(
-            F.max("_n").alias("_n"),
-            F.map_from_entries(F.collect_list(F.struct("_rank", "_v"))).alias("_at"),
-        )
+        .agg(F.expr("max(_n) AS _n"), F.expr("map_from_entries(collect_list(struct(_rank, _v))) AS _at"))
     )
+    values = ", ".join(_interpolated(p, place) for p, place in zip(probabilities, places))
+    return found.selectExpr(*[_quoted(k) for k in keys], "_n AS n", f"array({values}) AS q")
 
-    def interpolated(p: float) -> Column:
-        h = (F.col("_n") - 1) * F.lit(float(p))
-        low = F.try_element_at(F.col("_at"), F.floor(h).cast("bigint"))
-        high = F.try_element_at(F.col("_at"), F.ceil(h).cast("bigint"))
-        between = (low + high) / 2 if p == 0.5 else low + (high - low) * (h - F.floor(h))
-        # The exact middle of an even count is a plain mean; low equals high otherwise.
-        return F.when(F.col("_n") > 0, between)
 
-    return found.select(
-        *keys, F.col("_n").alias("n"), F.array(*[interpolated(p) for p in probabilities]).alias("q")
-    )
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _interpolated(p: float, place: str) -> str:
+    low, high = f"try_element_at(_at, floor({place}))", f"try_element_at(_at, ceil({place}))"
+    # The middle of an even count is a plain mean; otherwise low equals high.
+    between = f"({low} + {high}) / 2" if p == 0.5 else f"{low} + ({high} - {low}) * ({place} - floor({place}))"
+    return f"CASE WHEN _n > 0 THEN {between} END"

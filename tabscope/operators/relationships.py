@@ -96,10 +96,9 @@ def _bit(word: int) -> Column:
 
 def _members(prefix: str, words: int, count: int) -> Column:
     """The column numbers whose bit is set."""
-    def is_set(n: int) -> Column:
-        return F.col(f"{prefix}{n // _BITS}").bitwiseAND(F.lit(1 << (n % _BITS))) != 0
-
-    return F.array_compact(F.array(*[F.when(is_set(n), F.lit(n)) for n in range(count)]))
+    masks = ", ".join(f"{prefix}{w}" for w in range(words))
+    word = f"element_at(array({masks}), CAST(i div {_BITS} AS INT) + 1)"
+    return F.expr(f"filter(sequence(0, {count - 1}), i -> ({word} & shiftleft(1L, i % {_BITS})) <> 0)")
 
 
 def _signatures(cells: DataFrame, words: int, count: int) -> DataFrame:

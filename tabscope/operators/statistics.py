@@ -12,6 +12,7 @@ from tabscope.errors import AnalysisError
 from tabscope.functions.arithmetic import rounded
 from tabscope.functions.columns import (
     long_numbers,
+    name_at,
     number,
     numeric_columns,
     require_column,
@@ -23,7 +24,7 @@ from tabscope.operators.quantiles import quantiles
 
 # Columns aggregated together; keeps the generated code of one aggregate small.
 # Each chunk reads other columns, so more chunks do not read more data.
-_CHUNK = 20
+_CHUNK = 8
 
 STATISTICS_COLUMNS = (
     "column", "count", "mean", "median", "std", "min", "max", "q25", "q75", "iqr",
@@ -32,22 +33,22 @@ STATISTICS_COLUMNS = (
 
 
 def _moments(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """``column, n, mean, std, min, max, g1`` of the named columns."""
+    """``position, n, mean, std, min, max, g1`` of the named columns."""
     how = {"n": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max, "g1": F.skewness}
     parts = []
     for at in range(0, len(names), _CHUNK):
-        chunk = list(enumerate(names[at : at + _CHUNK]))
+        chunk = list(enumerate(names[at : at + _CHUNK], start=at))
         wide = df.agg(*[f(number(df, c)).alias(f"{k}{i}") for i, c in chunk for k, f in how.items()])
         rows = [
-            F.struct(F.lit(c).alias("column"), *[F.col(f"{k}{i}").alias(k) for k in how]) for i, c in chunk
+            F.struct(F.lit(i).alias("position"), *[F.col(f"{k}{i}").alias(k) for k in how]) for i, _ in chunk
         ]
         parts.append(rows_from_wide(wide, rows))
     return reduce(DataFrame.unionByName, parts)
 
 
 def column_quantiles(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Exact quartiles per column: ``column, n, q`` with q = [q25, median, q75]."""
-    return quantiles(long_numbers(df, names), ["column"], "value", [0.25, 0.5, 0.75], few_groups=True)
+    """Exact quartiles per column: ``position, n, q`` with q = [q25, median, q75]."""
+    return quantiles(long_numbers(df, names), ["position"], "value", [0.25, 0.5, 0.75], few_groups=True)
 
 
 def _adjusted_skewness(g1: Column, n: Column) -> Column:
@@ -83,9 +84,9 @@ def statistics(df: DataFrame, column: str | None = None, strict: bool = False) -
     result = (
         _moments(df, names)
         .where(n > 0)
-        .join(F.broadcast(column_quantiles(df, names).select("column", "q")), "column")
+        .join(F.broadcast(column_quantiles(df, names).select("position", "q")), "position")
         .select(
-            "column",
+            name_at(names).alias("column"),
             n.alias("count"),
             rounded("mean", 2).alias("mean"),
             rounded(q[1], 2).alias("median"),

@@ -2,77 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tabscope.errors import AnalysisError
-from tabscope.functions.columns import WHITESPACE, col, rows_from_wide
-from tabscope.functions.dates import DATE_FORMATS, MIN_RATIO
-from tabscope.sources.dates import as_timestamp, date_hits
-
-# Cells read as missing: fixed values.
-NA_TOKENS = (
-    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
-    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
-)
-
-# Cells read as booleans: fixed values.
-TRUE_TOKENS = ("True", "TRUE", "true")
-FALSE_TOKENS = ("False", "FALSE", "false")
-
-_INTEGER = r"^[+-]?[0-9]+$"
-_NUMBER = r"(?i)^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?$|^[+-]?inf(inity)?$"
-_REPLACEMENT = "�"
-_CORRUPT = "_corrupt_record"
-
-
-def without_na(text: Column) -> Column:
-    """The cell, or NULL when it is one of the missing-value tokens."""
-    return F.when(~text.isin(*NA_TOKENS), text)
-
-
-def _as_integer(text: Column) -> Column:
-    trimmed = F.btrim(text, F.lit(WHITESPACE))
-    return F.when(trimmed.rlike(_INTEGER), trimmed.try_cast("bigint"))
-
-
-def _as_number(text: Column) -> Column:
-    trimmed = F.btrim(text, F.lit(WHITESPACE))
-    return F.when(trimmed.rlike(_NUMBER), trimmed.try_cast("double"))
-
-
-def _as_boolean(text: Column) -> Column:
-    return F.when(text.isin(*TRUE_TOKENS), True).when(text.isin(*FALSE_TOKENS), False)
-
+from tabscope.functions.cells import READINGS, cell_facts, narrowest_type, without_na
+from tabscope.functions.columns import col, name_at
+from tabscope.functions.dates import DATE_FORMATS, MIN_RATIO, choose_format
+from tabscope.sources.dates import as_timestamp
 
-_READINGS = {"bigint": _as_integer, "double": _as_number, "boolean": _as_boolean}
+_REPLACEMENT = "\ufffd"
+_CORRUPT = "_corrupt_record"
 
 
 def infer_types(df: DataFrame) -> DataFrame:
-    """The narrowest type of every text column: ``column, type``, in one aggregate.
+    """The narrowest type of every text column: ``column, type``, from one scan.
 
     bigint, double or boolean when every non-missing cell reads as such, double
     when there is no cell at all, else string. Missing cells do not widen a type.
     """
-    names = df.columns
-    texts = [without_na(col(c)) for c in names]
-    wide = df.agg(
-        *[F.count(t).alias(f"n{i}") for i, t in enumerate(texts)],
-        *[F.count(read(t)).alias(f"{kind}{i}") for i, t in enumerate(texts) for kind, read in _READINGS.items()],
-    )
-    rows = [F.struct(F.lit(c).alias("column"), _type_of(i).alias("type")) for i, c in enumerate(names)]
-    return rows_from_wide(wide, rows)
-
-
-def _type_of(i: int) -> Column:
-    n = F.col(f"n{i}")
-    return (
-        F.when(n == 0, "double")
-        .when(F.col(f"bigint{i}") == n, "bigint")
-        .when(F.col(f"double{i}") == n, "double")
-        .when(F.col(f"boolean{i}") == n, "boolean")
-        .otherwise("string")
-    )
+    facts = cell_facts(df, [without_na(col(c)) for c in df.columns])
+    return facts.select(name_at(df.columns).alias("column"), narrowest_type().alias("type"))
 
 
 def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -80,7 +30,7 @@ def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
     typed = []
     for name in df.columns:
         text = without_na(col(name))
-        read = _READINGS.get(types.get(name, "string"))
+        read = READINGS.get(types.get(name, "string"))
         typed.append((read(text) if read else text).alias(name))
     return df.select(*typed)
 
@@ -107,36 +57,33 @@ def load_dataset(spark: SparkSession, path: str, multiline: bool = False, check_
     schema = ", ".join("`" + n.replace("`", "``") + "` string" for n in [*names, _CORRUPT])
     raw = reader.option("columnNameOfCorruptRecord", _CORRUPT).schema(schema).csv(path)
 
-    texts = [without_na(col(c)) for c in names]
-    facts = raw.agg(
-        F.count(F.lit(1)).alias("rows"),
+    whole = Observation()
+    observed = raw.observe(
+        whole,
         # A malformed row whose last column is filled has cells beyond the header.
         F.count_if(col(_CORRUPT).isNotNull() & col(names[-1]).isNotNull()).alias("too_long"),
         F.count_if(F.concat_ws("", *[col(c) for c in names]).contains(_REPLACEMENT)).alias("undecodable"),
-        *[F.count(t).alias(f"n{i}") for i, t in enumerate(texts)],
-        *[F.count(read(t)).alias(f"{kind}{i}") for i, t in enumerate(texts) for kind, read in _READINGS.items()],
-        *[hit.alias(f"h{i}_{j}") for i, t in enumerate(texts) for j, hit in enumerate(date_hits(t))],
-    ).select("*", *[_type_of(i).alias(f"type{i}") for i in range(len(names))]).first()
-
-    if facts["rows"] == 0:
+    )
+    facts = (
+        cell_facts(observed, [without_na(col(c)) for c in names])
+        .withColumn("choice", choose_format(F.col("hits"), F.nullif("n", F.lit(0))))
+        .select("position", narrowest_type().alias("type"), "choice.at", "choice.ratio")
+        .collect()
+    )
+    if not facts:
         raise AnalysisError("no_rows", "The dataset has no data rows.")
-    if facts["too_long"] or (check_encoding and facts["undecodable"]):
+    if whole.get["too_long"] or (check_encoding and whole.get["undecodable"]):
         raise AnalysisError("unreadable", "The file could not be read. Check that it is a valid CSV file.")
-    typed = []
-    for i, name in enumerate(names):
-        kind, text = facts[f"type{i}"], texts[i]
+    typed = {}
+    for fact in facts:
+        name = names[fact["position"]]
+        text, kind = without_na(col(name)), fact["type"]
         if kind == "string":
-            fmt = _date_format([facts[f"h{i}_{j}"] for j in range(len(DATE_FORMATS))], facts[f"n{i}"])
-            typed.append((as_timestamp(text, fmt) if fmt else text).alias(name))
+            is_date = fact["ratio"] is not None and fact["ratio"] >= MIN_RATIO
+            typed[name] = as_timestamp(text, DATE_FORMATS[fact["at"]]) if is_date else text
         else:
-            typed.append(_READINGS[kind](text).alias(name))
-    return raw.select(*typed)
-
-
-def _date_format(hits: list[int], n: int):
-    """The format to parse a text column with, from the counts per format."""
-    best = max(range(len(hits)), key=lambda j: hits[j])
-    return DATE_FORMATS[best] if n and hits[best] / n >= MIN_RATIO else None
+            typed[name] = READINGS[kind](text)
+    return raw.select(*[typed[name].alias(name) for name in names])
 
 
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:

@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabscope.functions.arithmetic import rounded
-from tabscope.functions.columns import col, family_of, require_frame, rows_from_wide
+from tabscope.functions.cells import date_facts
+from tabscope.functions.columns import col, family_of, name_at, require_frame
 from tabscope.functions.dates import (
     AUTO_DETECTED,
     DATE_FORMATS,
     MIN_RATIO,
     NAME_BONUS,
-    TIE,
     DateFormat,
+    choose_format,
     parse_date,
 )
 from tabscope.functions.names import looks_like_date
@@ -22,79 +23,42 @@ from tabscope.functions.names import looks_like_date
 _SCHEMA = "column string, format string, parsed_as string, confidence double"
 
 
-def date_hits(text: Column) -> list[Column]:
-    """Aggregates counting the cells that fit each date format, in format order."""
-    return [F.count(parse_date(text, fmt)) for fmt in DATE_FORMATS]
-
-
-def choose_format(ratios: Column) -> Column:
-    """Struct ``(best, second, tied)`` from the array of ratios, in format order.
-
-    ``best`` and ``second`` are positions. Two formats within a small tolerance
-    are tied when the preferred one does not fit worse.
-    """
-    ranked = F.array_sort(
-        F.transform(ratios, lambda r, i: F.struct((-r).alias("score"), i.alias("at")))
-    )
-    best, second = ranked[0], ranked[1]
-    tied = (
-        (second["score"] < 0)
-        & (F.abs(best["score"] - second["score"]) < TIE)
-        & (best["at"] < second["at"])
-    )
-    return F.struct(best["at"].alias("best"), (-best["score"]).alias("ratio"), tied.alias("tied"))
-
-
-def _texts(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if family_of(f.dataType) == "text"]
-
-
-def _natives(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if family_of(f.dataType) == "datetime"]
+def _of_family(df: DataFrame, family: str) -> list[str]:
+    return [f.name for f in df.schema.fields if family_of(f.dataType) == family]
 
 
 def detect_date_columns(df: DataFrame) -> DataFrame:
     """Columns holding dates: ``column, format, parsed_as, confidence``.
 
     Native date and time columns are reported as ``datetime64``. Text columns
-    are scored against eight formats in one aggregate; the best must fit at
-    least 80 % of the non-null cells. When two formats fit equally well the
-    column is ``auto-detected`` and ``parsed_as`` names the preferred one.
+    are scored against eight formats; the best must fit at least 80 % of the
+    non-null cells. When two formats fit equally well the column is
+    ``auto-detected`` and ``parsed_as`` names the preferred one.
     """
     require_frame(df)
-    native, texts = _natives(df), _texts(df)
+    native, texts = _of_family(df, "datetime"), _of_family(df, "text")
     found = df.sparkSession.createDataFrame([(c, "datetime64", None, 1.0) for c in native], _SCHEMA)
     if not texts:
         return found
-    names = [c for c in texts if looks_like_date(c)]
-    wide = df.agg(
-        *[F.count(col(c)).alias(f"n{i}") for i, c in enumerate(texts)],
-        *[hit.alias(f"h{i}_{j}") for i, c in enumerate(texts) for j, hit in enumerate(date_hits(col(c)))],
-    )
-    rows = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.col(f"n{i}").alias("n"),
-            F.array(*[F.col(f"h{i}_{j}") / F.nullif(F.col(f"n{i}"), F.lit(0)) for j in range(len(DATE_FORMATS))]).alias("ratios"),
-        )
-        for i, c in enumerate(texts)
-    ]
     labels = F.array(*[F.lit(f.label) for f in DATE_FORMATS])
-    bonus = F.when(F.col("column").isin(names), NAME_BONUS).otherwise(0.0)
+    named = F.col("column").isin([c for c in texts if looks_like_date(c)])
     scored = (
-        rows_from_wide(wide, rows)
+        date_facts(df, [col(c) for c in texts])
         .where(F.col("n") > 0)
-        .withColumn("choice", choose_format(F.col("ratios")))
+        .withColumn("choice", choose_format(F.col("hits"), F.col("n")))
         .where(F.col("choice.ratio") >= MIN_RATIO)
-        .withColumn("label", F.element_at(labels, F.col("choice.best") + 1))
+        .withColumn("column", name_at(texts))
+        .withColumn("label", F.element_at(labels, F.col("choice.at") + 1))
         .select(
             "column",
             F.when(F.col("choice.tied"), AUTO_DETECTED).otherwise(F.col("label")).alias("format"),
             F.col("label").alias("parsed_as"),
-            rounded(F.least(F.lit(1.0), F.col("choice.ratio") + bonus), 3).alias("confidence"),
+            rounded(F.least(F.lit(1.0), F.col("choice.ratio") + F.when(named, NAME_BONUS).otherwise(0.0)), 3).alias(
+                "confidence"
+            ),
         )
     )
-    return found.unionByName(scored)
+    return found.unionByName(scored) if native else scored
 
 
 def as_timestamp(text: Column, fmt: DateFormat) -> Column:
@@ -109,10 +73,11 @@ def convert_date_columns(df: DataFrame, detected: DataFrame | None = None) -> Da
     result of ``detect_date_columns`` is passed in.
     """
     require_frame(df)
-    texts = _texts(df)
+    texts = _of_family(df, "text")
     if not texts:
         return df
-    chosen = {r["column"]: r["parsed_as"] for r in (detected or detect_date_columns(df)).collect()}
+    found = detect_date_columns(df) if detected is None else detected
+    chosen = {r["column"]: r["parsed_as"] for r in found.collect()}
     formats = {f.label: f for f in DATE_FORMATS}
     return df.select(
         *[
