@@ -117,8 +117,8 @@ def histogram(df: DataFrame, column: str, bins: int = DEFAULT_BINS) -> DataFrame
     lowest, highest = ends.select("lowest").scalar(), ends.select("highest").scalar()
     placed = values.select("value", lowest.alias("lowest"), highest.alias("highest"))
     width = (F.col("highest") - F.col("lowest")) / bins
-    place = F.floor((F.col("value") - F.col("lowest")) / F.nullif(width, F.lit(0.0)))
-    number_of = F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0))
+    place = F.floor(F.try_divide(F.col("value") - F.col("lowest"), width))
+    number_of = F.when(place.isNull(), 0).otherwise(F.least(place, F.lit(bins - 1)))
     counts = placed.groupBy(number_of.cast("int").alias("bin"), "lowest", "highest").agg(F.count("*").alias("count"))
     return counts.select(
         "bin",

@@ -551,11 +551,14 @@ FROM (SELECT count(*) AS left_rows, count(*) - count(c_custkey) AS left_missing_
      (SELECT count(*) AS right_rows, count(*) - count(o_custkey) AS right_missing_keys,
              count(*) = count(DISTINCT o_custkey) AS ru FROM orders)""",
     "join_projected_rows": """
-SELECT 'N:N' AS cardinality, FALSE AS safe_to_join,
+SELECT CASE WHEN lu AND ru THEN '1:1' WHEN lu THEN '1:N' WHEN ru THEN 'N:1' ELSE 'N:N' END AS cardinality,
+       lu OR ru AS safe_to_join,
        (SELECT count(*) FROM customer JOIN supplier ON c_nationkey = s_nationkey) AS inner_rows,
        (SELECT count(*) FROM customer LEFT JOIN supplier ON c_nationkey = s_nationkey) AS left_join_rows,
        (SELECT count(*) FROM customer RIGHT JOIN supplier ON c_nationkey = s_nationkey) AS right_join_rows,
-       (SELECT count(*) FROM customer FULL JOIN supplier ON c_nationkey = s_nationkey) AS outer_rows""",
+       (SELECT count(*) FROM customer FULL JOIN supplier ON c_nationkey = s_nationkey) AS outer_rows
+FROM (SELECT count(*) = count(DISTINCT c_nationkey) AS lu FROM customer),
+     (SELECT count(*) = count(DISTINCT s_nationkey) AS ru FROM supplier)""",
     "join_key_counts": """
 SELECT key, CAST(sum(l) AS BIGINT) AS in_left, CAST(sum(r) AS BIGINT) AS in_right
 FROM (SELECT c_custkey AS key, 1 AS l, 0 AS r FROM customer UNION ALL SELECT o_custkey, 0, 1 FROM orders)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import tabscope as ts
+from tabscope.functions.arithmetic import rounded
 from tabscope.functions.columns import col
 from tabscope.sources.csv import apply_types, infer_types, preview, shape
 
@@ -541,7 +542,7 @@ def chart_category(part):
 @query("orders")
 def chart_time(orders):
     chart = ts.create_visualization(orders, "line", "o_orderdate", "o_totalprice", "mean", period="quarter")
-    return chart.select("x", F.round("y", 4).alias("y"))
+    return chart.select("x", rounded("y", 4).alias("y"))
 
 
 @query("orders")
@@ -552,7 +553,7 @@ def chart_points(orders):
 @query("orders")
 def chart_histogram(orders):
     chart = ts.create_visualization(orders, "histogram", "o_totalprice")
-    return chart.select("bin", F.round("lower", 4).alias("lower"), F.round("upper", 4).alias("upper"), "count")
+    return chart.select("bin", rounded("lower", 4).alias("lower"), rounded("upper", 4).alias("upper"), "count")
 
 
 @query("orders")
@@ -563,7 +564,8 @@ def chart_histogram_categories(orders):
 @query("lineitem")
 def chart_box(lineitem):
     box = ts.create_visualization(lineitem, "box", "l_returnflag", "l_extendedprice")
-    return box.select("x", "count", *[F.round(c, 4).alias(c) for c in box.columns if c not in ("x", "count", "outlier_count")], "outlier_count")
+    exact = ("x", "count", "outlier_count")
+    return box.select(*[c if c in exact else rounded(c, 4).alias(c) for c in box.columns])
 
 
 @query("customer", "supplier")
