@@ -77,7 +77,11 @@ def create_visualization(
     if chart_type == "box":
         return box_plot(rows, x_column, y_column)
     points = drop_missing(rows, [x_column, y_column]).select(col(x_column).alias("x"), col(y_column).alias("y"))
-    return points.orderBy("x") if is_datetime(df, x_column) else points
+    if not is_datetime(df, x_column):
+        return points
+    # Sorted by more than x, so that a date with many points is spread over tasks.
+    numbered = points.withColumn("_i", F.monotonically_increasing_id())
+    return numbered.orderBy("x", "y", "_i").drop("_i")
 
 
 def _aggregated(

@@ -89,22 +89,29 @@ def quantiles(
         .selectExpr(*[f"{_quoted(k)} AS _k{i}" for i, k in enumerate(keys)], "_b AS _bb", "_n", "_start", "_r")
     )
     same = " AND ".join([f"{_quoted(k)} <=> _k{i}" for i, k in enumerate(keys)] + ["_b = _bb"])
-    bracketed = rows.where("_v IS NOT NULL").join(F.broadcast(brackets) if few_groups else brackets, F.expr(same))
-    in_bucket = (
-        Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    refined = (
+    filled = rows.where("_v IS NOT NULL")
+    if few_groups:
         # _n, _start and _r depend on the group and bucket; as grouping keys they
         # leave a plain counter to aggregate.
-        bracketed.groupBy(*keys, "_b", "_v", "_n", "_start", "_r")
-        .agg(F.expr("count(*) AS _c"))
-        .withColumn("_end", F.col("_start") + F.sum("_c").over(in_bucket))
-        .selectExpr(
-            *[_quoted(k) for k in keys],
-            "_n",
-            "explode(filter(_r, r -> r >= _end - _c AND r < _end)) AS _rank",
-            "_v",
+        bracketed = (
+            filled.join(F.broadcast(brackets), F.expr(same))
+            .groupBy(*keys, "_b", "_v", "_n", "_start", "_r")
+            .agg(F.expr("count(*) AS _c"))
+        )
+    else:
+        # Repeated values are combined before the join, so that a hot value or
+        # group reaches it as one row per distinct value.
+        bracketed = (
+            filled.groupBy(*keys, "_b", "_v").agg(F.expr("count(*) AS _c")).join(brackets, F.expr(same))
         )
+    in_bucket = (
+        Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    refined = bracketed.withColumn("_end", F.col("_start") + F.sum("_c").over(in_bucket)).selectExpr(
+        *[_quoted(k) for k in keys],
+        "_n",
+        "explode(filter(_r, r -> r >= _end - _c AND r < _end)) AS _rank",
+        "_v",
     )
     found = (
         known.unionByName(refined)
