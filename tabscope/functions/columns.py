@@ -118,7 +118,10 @@ def stacked(df: DataFrame, cells: Sequence[Column], value: str = "value") -> Dat
     """``position, value`` rows: the given columns of one type below each other."""
     wide = df.select(*[c.alias(f"c{i}") for i, c in enumerate(cells)])
     parts = [x for i in range(len(cells)) for x in (F.lit(i), F.col(f"c{i}"))]
-    return wide.select(F.stack(F.lit(len(cells)), *parts).alias("position", value))
+    rows = wide.select(F.stack(F.lit(len(cells)), *parts).alias("position", value))
+    # Never NULL, but stated: a join on the position then adds no filter of its
+    # own, and branches of one plan stay equal and are computed once.
+    return rows.where("position IS NOT NULL")
 
 
 def long_numbers(df: DataFrame, names: Sequence[str]) -> DataFrame:
