@@ -42,17 +42,18 @@ def bucketed(
 ) -> DataFrame:
     """Unrounded aggregate per period (and group), unordered: ``period_start[, group], value``.
 
-    The number of calendar periods is small, so per-period results may be
-    broadcast without counting them first.
+    There are at most 40,000 quarters and years in the range of a timestamp, so
+    those need not be counted before per-period results are broadcast.
     """
     keys, columns = ["period_start"], [period_start(col(date_column), period).alias("period_start")]
     if by is not None:
         keys.append("group")
         columns.append(present(rows, by).alias("group"))
+    bounded = by is None and period in ("quarter", "year")
     keyed = rows.select(*columns, value_for(rows, value_column, agg_function).alias("value"))
     if by is not None:
         keyed = keyed.where(F.col("group").isNotNull())
-    return aggregate(keyed, keys, agg_function, few_groups=True if by is None else None)
+    return aggregate(keyed, keys, agg_function, few_groups=bounded or None)
 
 
 def time_analysis(

@@ -369,6 +369,70 @@ _EDGE_COLUMNS = (
     "cardinality, safe_to_join"
 )
 
+_FINDING = "CAST({value} AS DOUBLE) AS value, CAST({detail} AS VARCHAR) AS detail"
+
+
+def _findings() -> str:
+    """Everything noteworthy about the orders with gaps."""
+    numeric = ["o_orderkey", "o_custkey", "price", "constant"]
+    mean = _series("o_orderdate", "price", "month", "mean", "gaps")
+    total = _series("o_orderdate", "price", "month", "sum", "gaps")
+
+    def row(operator: str, subject: str, finding: str, value: str, detail: str, source: str, where: str = "TRUE") -> str:
+        return (
+            f"SELECT '{operator}' AS operator, {subject} AS subject, {finding} AS finding, "
+            f"{_FINDING.format(value=value, detail=detail)} FROM {source} WHERE {where}"
+        )
+
+    parts = [
+        row("missing_values", "c", "'most affected'", "round(100 * m / n, 2)", "m",
+            "(SELECT * FROM missing WHERE m > 0 ORDER BY m DESC, c LIMIT 3)"),
+        row("statistics", '"column"', "'right skewed'", "skewness", "NULL", "stats", "skewness > 1"),
+        row("statistics", '"column"', "'left skewed'", "skewness", "NULL", "stats", "skewness < -1"),
+        row("statistics", '"column"', "'high variability'", "coefficient_of_variation", "NULL", "stats",
+            "coefficient_of_variation > 1"),
+        row("statistics", '"column"', "'limited data'", "count", "NULL", "stats", "count < 3"),
+        row("outlier_analysis", '"column"', "'outliers'", "outlier_count", "outlier_percentage",
+            '(SELECT * FROM outside WHERE outlier_count > 0 ORDER BY outlier_count DESC, "column" LIMIT 3)'),
+        row("correlation_analysis", "column_1 || ' & ' || column_2", "'strongest positive'", "round(r, 3)", "NULL",
+            "(SELECT * FROM pairs WHERE r > 0 ORDER BY r DESC, p LIMIT 1)"),
+        row("correlation_analysis", "column_1 || ' & ' || column_2", "'strongest negative'", "round(r, 3)", "NULL",
+            "(SELECT * FROM pairs WHERE r < 0 ORDER BY r, p LIMIT 1)"),
+        row("time_analysis", "'price'", "'trend direction'", "NULL", "trend_direction", "summary", "total_periods >= 2"),
+        row("time_analysis", "'price'", "'best period'", "best_value", "best_period", "summary"),
+        row("time_analysis", "'price'", "'worst period'", "worst_value", "worst_period", "summary",
+            "worst_period <> best_period"),
+        row("time_analysis", "'price'", "'overall change'", "overall_change", "overall_percentage_change", "summary",
+            "total_periods >= 2"),
+        row("time_analysis", "'price'", "'limited data'", "total_periods", "NULL", "summary", "total_periods < 3"),
+        row("percentage_change", "'price'", "'largest increase'", "percentage_change", "current_period",
+            "(SELECT * FROM steps WHERE percentage_change IS NOT NULL ORDER BY percentage_change DESC, b LIMIT 1)"),
+        row("percentage_change", "'price'", "'largest decrease'", "percentage_change", "current_period",
+            "(SELECT * FROM steps WHERE percentage_change IS NOT NULL ORDER BY percentage_change, b LIMIT 1)"),
+        row("percentage_change", "'price'", "'overall change across all periods'", "round(l - f, 2)",
+            "round(100 * (l - f) / f, 2)",
+            "(SELECT arg_min(previous_value, b) AS f, arg_max(current_value, b) AS l FROM steps)", "f <> 0"),
+        row("groupby_analysis", "'price'", "'best group'", "value", '"group"', "ranked", "rank = 1"),
+        row("groupby_analysis", "'price'", "'worst group'", "value", '"group"',
+            '(SELECT * FROM ranked ORDER BY value, "group" LIMIT 1)', "rank <> 1"),
+        row("groupby_analysis", "'price'", "'rank ' || CAST(rank AS VARCHAR)", "value", '"group"', "ranked", "rank <= 3"),
+        row("groupby_analysis", "'price'", "'absolute difference'", "round(abs(b.value - a.value), 2)",
+            "a.\"group\" || ' vs ' || b.\"group\"", 'ranked a JOIN ranked b ON a."group" < b."group"',
+            "(SELECT count(*) FROM ranked) = 2"),
+    ]
+    return f"""
+WITH {_GAPS},
+missing AS ({' UNION ALL '.join(f"SELECT '{c}' AS c, count(*) - count({c}) AS m, count(*) AS n FROM gaps" for c in (*numeric, 'o_orderdate', 'is_large', 'priority'))}),
+stats AS ({_statistics({c: c for c in numeric}, 'gaps')}),
+outside AS ({_outliers(numeric, 'gaps', 1.5)}),
+pairs AS ({_correlations(_pairs(numeric), 'gaps')}),
+summary AS ({_summary(mean, 'month')}),
+steps AS ({_changes(total, 'month')}),
+ranked AS (SELECT *, row_number() OVER (ORDER BY value DESC, "group") AS rank
+           FROM ({_groupby('priority', 'price', 'mean', 'gaps')}))
+{' UNION ALL '.join(parts)}"""
+
+
 _URGENT = "o_orderpriority = '1-URGENT'"
 
 _QUERIES: dict[str, str] = {
@@ -587,6 +651,7 @@ WHERE confidence >= 0.4 AND 'nation' IN (left_dataset, right_dataset)""",
 SELECT left_dataset, left_column, right_dataset, right_column, cardinality,
        CAST(floor(confidence * 100) AS INTEGER) AS match_percentage
 FROM edges WHERE confidence >= 0.5 ORDER BY confidence DESC, ln, rn LIMIT 5""",
+    "findings": _findings(),
     "chart_category": 'SELECT "group" AS x, value AS y FROM ('
     + _groupby("p_brand", "p_retailprice", "mean", "part")
     + ') ORDER BY value DESC, "group" LIMIT 5',
