@@ -80,14 +80,14 @@ def in_year(df: DataFrame, name: str, year: int) -> Column:
     return (col(name) >= _start_of_year(year, data_type)) & (col(name) < _start_of_year(year + 1, data_type))
 
 
-def _bound(which: str, text: str) -> str:
+def _bound(which: str, text: str | dt.date) -> pd.Timestamp:
     try:
         stamp = pd.to_datetime(text)
     except (ValueError, TypeError):
         stamp = pd.NaT
     if pd.isna(stamp):
         raise AnalysisError("bad_date", f"Could not parse {which} '{text}'. Use format YYYY-MM-DD.")
-    return str(stamp.tz_localize(None) if stamp.tzinfo else stamp)
+    return stamp.tz_localize(None) if stamp.tzinfo else stamp
 
 
 def where_dates(
@@ -102,12 +102,15 @@ def where_dates(
     An ``end_date`` without a time means midnight, so later times of that day
     are outside the range.
     """
-    data_type = type_of(df, name)
-    bound_type = T.TimestampNTZType() if isinstance(data_type, T.DateType) else data_type
+    data_type, c = type_of(df, name), col(name)
     if year is not None:
         df = df.where(in_year(df, name, year))
     if start_date is not None:
-        df = df.where(col(name) >= F.lit(_bound("start_date", start_date)).cast(bound_type))
+        start = _bound("start_date", start_date)
+        first = F.lit(str(start)).cast(data_type)
+        # A date is midnight, which lies before a bound later that day.
+        later = isinstance(data_type, T.DateType) and start != start.normalize()
+        df = df.where(c > first if later else c >= first)
     if end_date is not None:
-        df = df.where(col(name) <= F.lit(_bound("end_date", end_date)).cast(bound_type))
+        df = df.where(c <= F.lit(str(_bound("end_date", end_date))).cast(data_type))
     return df

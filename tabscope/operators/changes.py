@@ -83,6 +83,8 @@ def percentage_change(
     value_column: str,
     period: str | None = "month",
     agg_function: str | None = "sum",
+    year_1: int | None = None,
+    year_2: int | None = None,
     group_column: str | None = None,
     filter_values: Sequence | None = None,
     max_changes: int | None = MAX_CHANGES,
@@ -94,8 +96,13 @@ def percentage_change(
     percentage change (NULL on a zero base). The latest ``max_changes`` are
     returned in order, None returns all. ``filter_values`` restricts the rows by
     ``group_column``; there is no result per group. ``strict`` raises when fewer
-    than two periods hold data.
+    than two periods hold data. With ``year_1`` and ``year_2`` the two years are
+    compared instead, see ``compare_years``.
     """
+    if year_1 is not None or year_2 is not None:
+        return compare_years(
+            df, date_column, value_column, year_1, year_2, agg_function, group_column, filter_values, strict
+        )
     changes = _all_changes(
         df, date_column, value_column, period, agg_function, group_column, filter_values, strict
     )

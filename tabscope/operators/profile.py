@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabscope.functions.arithmetic import rounded
-from tabscope.functions.columns import col, family_of, is_float, present, require_frame
+from tabscope.functions.columns import col, family_of, is_float, present, require_frame, stacked
 from tabscope.functions.names import looks_like_identifier
 from tabscope.operators.missing import missing_counts
 from tabscope.sources.dates import detect_date_columns
@@ -43,11 +43,9 @@ def comparable_text(df: DataFrame, name: str) -> Column:
 
 
 def _distinct_counts(df: DataFrame) -> DataFrame:
-    """``column, unique_count``, exact: one shuffle of distinct (column, value) pairs."""
-    texts = df.select(*[comparable_text(df, c).alias(f"c{i}") for i, c in enumerate(df.columns)])
-    pairs = [F.struct(F.lit(i).alias("position"), F.col(f"c{i}").alias("value")) for i in range(len(df.columns))]
+    """``position, unique_count``, exact: one shuffle of distinct (column, value) pairs."""
     return (
-        texts.select(F.inline(F.array(*pairs)))
+        stacked(df, [comparable_text(df, c) for c in df.columns])
         .where(F.col("value").isNotNull())
         .distinct()
         .groupBy("position")

@@ -179,6 +179,27 @@ def test_years(df_multi_year):
     assert (median["previous_value"], median["current_value"]) == (250.0, 280.0)
 
 
+def test_years_through_percentage_change(df_multi_year):
+    request = (df_multi_year, "Date", "Weekly_Sales")
+    assert records(ts.percentage_change(*request, year_1=2023, year_2=2025)) == records(
+        ts.compare_years(*request, 2023, 2025)
+    )
+    with pytest.raises(ts.AnalysisError, match="Both year_1 and year_2"):
+        ts.percentage_change(*request, year_1=2023)
+
+
+def test_date_bounds_by_type(spark):
+    rows = [(dt.date(2024, 1, d), dt.datetime(2024, 1, d, 12)) for d in (1, 2, 3)]
+    df = spark.createDataFrame(rows, "day date, noon timestamp_ntz")
+    def days(column, start, end):
+        return [r["day"].day for r in ts.where_dates(df, column, start_date=start, end_date=end).collect()]
+
+    assert days("day", "2024-01-01", "2024-01-02") == [1, 2]
+    assert days("day", "2024-01-01 06:00", "2024-01-02 06:00") == [2]
+    assert days("noon", "2024-01-01", "2024-01-02") == [1]
+    assert days("noon", dt.datetime(2024, 1, 1, 12), dt.date(2024, 1, 3)) == [1, 2]
+
+
 def test_years_errors(df_multi_year):
     with pytest.raises(ts.AnalysisError, match="Both year_1 and year_2"):
         ts.compare_years(df_multi_year, "Date", "Weekly_Sales", 2023, None)
