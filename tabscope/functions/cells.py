@@ -62,16 +62,20 @@ def date_facts(df: DataFrame, texts: Sequence[Column]) -> DataFrame:
 
 def cell_facts(df: DataFrame, texts: Sequence[Column]) -> DataFrame:
     """``position, n, hits`` and the cells readable as ``bigint, double, boolean``."""
-    cells = stacked(df, texts, "text").select("position", "text", trimmed(F.col("text")).alias("t"))
     t = F.col("t")
     # Up to 18 digits always fit a bigint.
     integer = t.rlike(_INTEGER) & ((F.length(t) <= 18) | t.try_cast("bigint").isNotNull())
+    cells = (
+        stacked(df, texts, "text")
+        .select("position", "text", trimmed(F.col("text")).alias("t"))
+        .select("position", "text", "t", integer.alias("integer"))
+    )
     counted = _by_date(
         cells,
         [
             F.count("text").alias("n"),
-            F.count_if(integer).alias("bigint"),
-            F.count_if(t.rlike(_NUMBER)).alias("double"),
+            F.count_if("integer").alias("bigint"),
+            F.count_if(F.col("integer") | t.rlike(_NUMBER)).alias("double"),
             F.count_if(F.col("text").isin(*TRUE_TOKENS, *FALSE_TOKENS)).alias("boolean"),
         ],
     )
