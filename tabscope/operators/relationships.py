@@ -39,6 +39,10 @@ EDGE_COLUMNS = (
     "left_dataset", "left_column", "right_dataset", "right_column", "confidence",
     "name_similarity", "value_overlap", "cardinality", "safe_to_join",
 )
+_EDGE_SCHEMA = (
+    "left_dataset string, left_column string, right_dataset string, right_column string, confidence double, "
+    "name_similarity double, value_overlap double, cardinality string, safe_to_join boolean"
+)
 
 
 class _Column(NamedTuple):
@@ -186,19 +190,25 @@ def _scored(
 ) -> DataFrame:
     """Score the given column pairs; every frame joined here has a row per column or pair."""
     spark = next(iter(datasets.values())).sparkSession
-    catalog = _catalog(datasets)
-    words = len(catalog) // _BITS + 1
+    if not pairs:
+        return spark.createDataFrame([], f"left_number int, right_number int, {_EDGE_SCHEMA}")
+    # Columns without any possible partner are not read.
+    used = {c.number for pair in pairs for c in pair}
+    count = max(used) + 1
+    catalog = [c for c in _catalog(datasets) if c.number in used]
+    datasets = {name: df for name, df in datasets.items() if any(c.dataset == name for c in catalog)}
+    words = count // _BITS + 1
     wanted = spark.createDataFrame(
         [(a.number, b.number, a.dataset, a.name, b.dataset, b.name) for a, b in pairs],
         "left_number int, right_number int, left_dataset string, left_column string, "
         "right_dataset string, right_column string",
     )
     cells = _values(datasets, catalog)
-    signatures = _signatures(cells, words, len(catalog))
+    signatures = _signatures(cells, words, count)
     facts = _column_facts(datasets, catalog, cells, signatures)
     compared = signatures
     if max_samples is not None:
-        compared = _signatures(_sampled(cells, max_samples), words, len(catalog))
+        compared = _signatures(_sampled(cells, max_samples), words, count)
         sampled = _distinct_counts(compared).select("number", "values")
         facts = facts.drop("values").join(F.broadcast(sampled), "number", "left")
 
