@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tabscope.llm.html_text import op3_html_text
 from tabscope.llm.quality import op9_quality
 from tabscope.llm.token_counts import op2_token_counts
 from tabscope.llm.token_files import op5_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
+    "op3_html_text": op3_html_text,
     "op5_token_files": op5_token_files,
     "op9_quality": op9_quality,
 }
