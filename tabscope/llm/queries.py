@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tabscope.llm.decontaminate import OP4_SQL, op4_decontaminate
 from tabscope.llm.html_text import op3_html_text
 from tabscope.llm.quality import op9_quality
 from tabscope.llm.token_counts import op2_token_counts
@@ -14,8 +15,11 @@ from tabscope.llm.token_files import op5_token_files
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op3_html_text": op3_html_text,
+    "op4_decontaminate": op4_decontaminate,
     "op5_token_files": op5_token_files,
     "op9_quality": op9_quality,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_decontaminate": OP4_SQL,
+}
