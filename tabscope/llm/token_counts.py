@@ -66,7 +66,7 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
         .groupBy("pre").agg(F.sum("n").alias("n"))
         .mapInArrow(_counter(model_path), "pre string, n long, pieces long")
     )
-    known = pieces.where(F.length("pre") <= 32).orderBy(F.desc("n"), "pre").limit(frequent).select("pre", "pieces").toPandas()
+    known = _most_frequent(pieces, frequent).toPandas()
     known = spark.sparkContext.broadcast(dict(zip(known["pre"], known["pieces"].tolist(), strict=True)))
     parts = rows.mapInArrow(_parts(known, id_col), f"{ROW} long, `{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_bytes long, n_tokens long, pre string, n long")
     return (
@@ -81,6 +81,20 @@ def count_tokens(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     )
 
 
+def _most_frequent(pieces: DataFrame, most: int) -> DataFrame:
+    """At most ``most`` pre-tokens, no rarer than any other of up to 32 characters, from a histogram of the frequencies."""
+    short = pieces.where(F.length("pre") <= 32)
+    level = F.floor(F.log2("n") * 8).cast("int")  # a row for each eighth of a power of two
+    levels = short.groupBy(level.alias("level")).count().collect()
+    left, least = most, None
+    for r in sorted(levels, key=lambda r: -r["level"]):
+        left -= r["count"]
+        if left < 0:
+            break
+        least = r["level"]
+    return short.where(F.lit(False) if least is None else level >= least).select("pre", "pieces")
+
+
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema, held = pa.schema([("pre", pa.string()), ("n", pa.int64())]), Counter()
     for b in slices(batches, "__text"):
