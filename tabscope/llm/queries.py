@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tabscope.llm.decontaminate import OP4_SQL, op4_decontaminate
 from tabscope.llm.html_text import op3_html_text
+from tabscope.llm.knn_join import OP6_SQL, op6_knn_join
 from tabscope.llm.near_duplicates import OP8_SQL, op8_near_duplicates
 from tabscope.llm.quality import op9_quality
+from tabscope.llm.repeats import op7_repeats
 from tabscope.llm.token_counts import op2_token_counts
 from tabscope.llm.token_files import op5_token_files
 
@@ -18,11 +20,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_html_text": op3_html_text,
     "op4_decontaminate": op4_decontaminate,
     "op5_token_files": op5_token_files,
+    "op6_knn_join": op6_knn_join,
+    "op7_repeats": op7_repeats,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_quality": op9_quality,
 }
 
 ORACLE: dict[str, str] = {
     "op4_decontaminate": OP4_SQL,
+    "op6_knn_join": OP6_SQL,
     "op8_near_duplicates": OP8_SQL,
 }
