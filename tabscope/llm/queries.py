@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tabscope.llm.decontaminate import OP4_SQL, op4_decontaminate
 from tabscope.llm.html_text import op3_html_text
 from tabscope.llm.knn_join import OP6_SQL, op6_knn_join
+from tabscope.llm.language_model import op1_language_model
 from tabscope.llm.near_duplicates import OP8_SQL, op8_near_duplicates
 from tabscope.llm.quality import op9_quality
 from tabscope.llm.repeats import op7_repeats
@@ -16,6 +17,7 @@ from tabscope.llm.token_counts import op2_token_counts
 from tabscope.llm.token_files import op5_token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_model": op1_language_model,
     "op2_token_counts": op2_token_counts,
     "op3_html_text": op3_html_text,
     "op4_decontaminate": op4_decontaminate,
