@@ -221,7 +221,21 @@ def _verified(wanted: DataFrame, targets: DataFrame, sets: DataFrame, percent: i
     )
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with all columns, of each group of ``near_duplicates`` the document of the smallest id alone.
+
+    Rows of equal id and text are one document and stay once; a document without an id stays if no other is linked with it.
+    """
+    others = [c for c in docs.columns if c != id_col]
+    text_hash = F.xxhash64(F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")))
+    once = docs.groupBy(F.col(id_col).alias("__id"), text_hash.alias("__th")).agg(*[F.first(f"`{c}`").alias(f"__k{i}") for i, c in enumerate(others)])
+    found = near_duplicates(docs, id_col, text_col, size, percent, text_hash=True).where(F.col(id_col).eqNullSafe(F.col("component_id")))
+    kept = found.groupBy("component_id", "root").agg(F.min("__th").alias("th")).select(F.col("component_id").alias("id"), "th")
+    rows = once.join(kept.distinct(), once["__id"].eqNullSafe(kept["id"]) & (once["__th"] == kept["th"]), "left_semi")
+    return rows.toDF(id_col, "__th", *others).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, text_hash: bool = False) -> DataFrame:
     """Per row of ``docs``: id, ``n_shingles`` and ``component_id``, the smallest id among all documents it is linked with, directly or through others.
 
     Two documents are linked if their sets of ``size``-word shingles have at least ``percent`` of their union in common.
@@ -276,11 +290,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     final = components(first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     nodes = classes.select("__h0", "__h1", "node").join(final, "node", "left").select("__h0", "__h1", F.coalesce("root", "node").alias("root"))
-    marked = features.select(ROW, id_col, "n_shingles", "__h0", "__h1").join(nodes, ["__h0", "__h1"], "left")
+    marked = features.select(ROW, id_col, "__th", "n_shingles", "__h0", "__h1").join(nodes, ["__h0", "__h1"], "left")
     # A row without shingles is alone, also where another has the digest that stands for none.
-    marked = stored(marked.select(F.col(id_col), "n_shingles", F.when(F.col("n_shingles") > 0, F.col("root")).otherwise(F.col(ROW)).alias("root")))
+    marked = stored(marked.select(F.col(id_col), "__th", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("root")).otherwise(F.col(ROW)).alias("root")))
     least = marked.groupBy("root").agg(F.min(id_col).alias("component_id"))
-    return marked.join(least, "root").select(id_col, "n_shingles", "component_id")
+    return marked.join(least, "root").select(id_col, "n_shingles", "component_id", *(["root", "__th"] if text_hash else []))
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -222,6 +222,19 @@ def score(docs: DataFrame, network: Network, id_col: str = "doc_id", text_col: s
 THRESHOLD = 0.3
 
 
+def filter_quality(docs: DataFrame, network: Network, threshold: float = THRESHOLD, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all columns, whose score reaches ``threshold``."""
+    network._pairs = None
+    shared = docs.sparkSession.sparkContext.broadcast(network)
+
+    @F.arrow_udf("double")
+    def scores(column: pa.Array) -> pa.Array:
+        parts = slices(iter([pa.RecordBatch.from_arrays([column], names=["__text"])]), "__text", 2 << 20)
+        return pa.array([s for b in parts for s in shared.value.scores(b.column(0).to_pylist()).tolist()], pa.float64())
+
+    return docs.where(scores(F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))) >= threshold)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     network = train(docs, labels.where(~held_out("doc_id", 5)))

@@ -11,6 +11,7 @@ from tabscope.llm.html_text import op3_html_text
 from tabscope.llm.knn_join import OP6_SQL, op6_knn_join
 from tabscope.llm.language_model import op1_language_model
 from tabscope.llm.near_duplicates import OP8_SQL, op8_near_duplicates
+from tabscope.llm.packing import op10_packing
 from tabscope.llm.quality import op9_quality
 from tabscope.llm.repeats import op7_repeats
 from tabscope.llm.token_counts import op2_token_counts
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_repeats": op7_repeats,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_quality": op9_quality,
+    "op10_packing": op10_packing,
 }
 
 ORACLE: dict[str, str] = {
