@@ -5,18 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Decimals kept before the final rounding.
-_NOISE = 8
-
 
 def rounded(value: Column | str, digits: int) -> Column:
-    """Round half up, on the value without floating-point noise.
+    """Round half up, once.
 
-    A sum or mean depends in its last bits on the order in which tasks add up.
-    Dropping those bits first makes a result such as 2.675 round the same way
-    however the table is partitioned.
+    A sum or mean of doubles depends in its last bits on the order in which tasks
+    add up, and so may a result that lies on a half.
     """
-    return F.round(F.round(value, _NOISE), digits)
+    return F.round(value, digits)
 
 
 def percent_change(previous: Column, current: Column) -> Column:

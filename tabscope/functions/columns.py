@@ -136,29 +136,29 @@ def name_at(names: Sequence[str], position: str = "position") -> Column:
 
 def require_frame(df: DataFrame | None) -> None:
     if df is None:
-        raise AnalysisError("no_dataset", "No dataset is loaded.")
+        raise AnalysisError("no_dataset", "A table is needed first.")
 
 
 def require_column(df: DataFrame, name: str, where: str = "the dataset") -> None:
     if name not in df.columns:
-        raise AnalysisError("unknown_column", f"Column '{name}' not found in {where}.", df.columns)
+        raise AnalysisError("unknown_column", f"There is no '{name}' in {where}.", df.columns)
 
 
 def require_numeric(df: DataFrame, name: str, why: str) -> None:
     if not is_numeric(df, name):
-        raise AnalysisError("not_numeric", f"Column '{name}' is not numeric, so {why}.", numeric_columns(df))
+        raise AnalysisError("not_numeric", f"'{name}' holds no numbers: {why}.", numeric_columns(df))
 
 
 def require_datetime(df: DataFrame, name: str) -> None:
     if not is_datetime(df, name):
         dates = [f.name for f in df.schema.fields if family_of(f.dataType) == "datetime"]
-        raise AnalysisError("not_a_date", f"Column '{name}' is not a recognized date column.", dates)
+        raise AnalysisError("not_a_date", f"'{name}' holds no dates.", dates)
 
 
 def require_choice(what: str, value: str, allowed: Iterable[str]) -> None:
     allowed = sorted(allowed)
     if value not in allowed:
-        raise AnalysisError("unsupported", f"{what} '{value}' is not supported.", allowed)
+        raise AnalysisError("unsupported", f"{what}: '{value}' is none of the choices.", allowed)
 
 
 def require_rows(df: DataFrame, message: str) -> None:

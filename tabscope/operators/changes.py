@@ -15,9 +15,6 @@ from tabscope.functions.periods import period_label
 from tabscope.operators.aggregates import aggregate, value_for
 from tabscope.operators.timeseries import bucketed, check_series
 
-# Latest changes returned by default: a fixed value.
-MAX_CHANGES = 24
-
 CHANGE_COLUMNS = (
     "previous_period",
     "current_period",
@@ -41,7 +38,7 @@ def _scoped(
     check_series(df, date_column, value_column, period, agg_function, group_column)
     rows = where_values(drop_missing(df, [date_column, value_column]), group_column, filter_values)
     if strict:
-        require_rows(rows, "No rows remain after applying the requested filters.")
+        require_rows(rows, "The filters leave nothing.")
     return rows
 
 
@@ -87,14 +84,14 @@ def percentage_change(
     year_2: int | None = None,
     group_column: str | None = None,
     filter_values: Sequence | None = None,
-    max_changes: int | None = MAX_CHANGES,
+    max_changes: int | None = None,
     strict: bool = False,
 ) -> DataFrame:
     """Change between neighbouring periods that exist (gaps are not filled).
 
     Columns: previous and current period, their values, the absolute and the
-    percentage change (NULL on a zero base). The latest ``max_changes`` are
-    returned in order, None returns all. ``filter_values`` restricts the rows by
+    percentage change (NULL on a zero base), in order; with ``max_changes`` only
+    the latest. ``filter_values`` restricts the rows by
     ``group_column``; there is no result per group. ``strict`` raises when fewer
     than two periods hold data. With ``year_1`` and ``year_2`` the two years are
     compared instead, see ``compare_years``.
@@ -107,7 +104,7 @@ def percentage_change(
         df, date_column, value_column, period, agg_function, group_column, filter_values, strict
     )
     if strict and changes.isEmpty():
-        raise AnalysisError("too_few_periods", "Not enough periods with data to compare. Try a coarser period.")
+        raise AnalysisError("too_few_periods", "A comparison needs two periods with data; there are fewer.")
     if max_changes is not None:
         changes = changes.orderBy(F.col("period_start").desc()).limit(max_changes)
     return changes.orderBy("period_start").select(*CHANGE_COLUMNS)

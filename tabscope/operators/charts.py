@@ -48,11 +48,12 @@ def create_visualization(
     sort_order: str | None = None,
     bins: int = DEFAULT_BINS,
     strict: bool = False,
+    max_groups: int | None = None,
 ) -> DataFrame:
     """The data of a bar, line, scatter, histogram or box chart.
 
-    With ``agg_function``: ``x, y`` per category (text, rounded, at most
-    ``top_n`` or 50) or per calendar period when x is a date (default month).
+    With ``agg_function``: ``x, y`` per category (text, rounded, limited by
+    ``top_n`` or ``max_groups``) or per calendar period when x is a date (default month).
     Without: all ``x, y`` points with both values, ordered when x is a date;
     bins of a histogram; quartiles, whiskers and outlier counts of a box plot.
     """
@@ -62,16 +63,16 @@ def create_visualization(
     if y_column is not None:
         require_column(df, y_column)
     if chart_type != "histogram" and y_column is None:
-        raise AnalysisError("y_required", f"Chart type '{chart_type}' requires a y_column.")
+        raise AnalysisError("y_required", f"A {chart_type} chart shows two columns; name the second as y_column.")
     if agg_function is not None:
         require_choice("Aggregation function", agg_function, AGGREGATES)
         if chart_type == "histogram":
-            raise AnalysisError("no_aggregate", "Aggregation is not applicable to histogram charts.")
+            raise AnalysisError("no_aggregate", "A histogram counts and takes no aggregate.")
     rows = where_values(df, x_column, filter_values)
     if strict and filter_values:
-        require_rows(rows, f"No rows matched the requested values for '{x_column}'.")
+        require_rows(rows, f"The filter on '{x_column}' leaves nothing.")
     if agg_function is not None:
-        return _aggregated(rows, x_column, y_column, agg_function, period, top_n, sort_order)
+        return _aggregated(rows, x_column, y_column, agg_function, period, top_n, sort_order, max_groups)
     if chart_type == "histogram":
         return histogram(drop_missing(rows, [c for c in (x_column, y_column) if c]), x_column, bins)
     if chart_type == "box":
@@ -92,6 +93,7 @@ def _aggregated(
     period: str | None,
     top_n: int | None,
     sort_order: str | None,
+    max_groups: int | None,
 ) -> DataFrame:
     check_aggregate(rows, y_column, agg_function)
     present = drop_missing(rows, [x_column, y_column])
@@ -100,8 +102,11 @@ def _aggregated(
         require_choice("Time period", used, PERIODS)
         series = bucketed(present, x_column, y_column, used, agg_function)
         return series.select(F.col("period_start").alias("x"), F.col("value").alias("y")).orderBy("x")
-    grouped = groupby_analysis(present, x_column, y_column, agg_function, top_n=top_n, sort_order=sort_order)
-    return grouped.select(F.col("group").cast("string").alias("x"), F.col("value").alias("y"))
+    grouped = groupby_analysis(present, x_column, y_column, agg_function, top_n=top_n, sort_order=sort_order, max_groups=max_groups)
+    label = F.col("group").cast("string")
+    if family_of(type_of(rows, x_column)) == "boolean":
+        label = F.initcap(label)  # as where_values takes them
+    return grouped.select(label.alias("x"), F.col("value").alias("y"))
 
 
 def histogram(df: DataFrame, column: str, bins: int = DEFAULT_BINS) -> DataFrame:
@@ -113,7 +118,7 @@ def histogram(df: DataFrame, column: str, bins: int = DEFAULT_BINS) -> DataFrame
     require_frame(df)
     require_column(df, column)
     if bins <= 0:
-        raise AnalysisError("bad_bins", "bins must be a positive number.")
+        raise AnalysisError("bad_bins", "The number of bins has to be above 0.")
     if not is_numeric(df, column):
         return df.where(col(column).isNotNull()).groupBy(col(column).alias("x")).agg(F.count("*").alias("count"))
     values = df.select(number(df, column).alias("value")).where(F.col("value").isNotNull())
@@ -186,21 +191,21 @@ def create_multi_dataset_visualization(
     ``strict`` raises when a series has no rows.
     """
     if not datasets:
-        raise AnalysisError("no_dataset", "No datasets available for multi-dataset visualization.")
+        raise AnalysisError("no_dataset", "There is no table to draw series from.")
     require_choice("Chart type", chart_type, ("line", "bar"))
     if not series:
-        raise AnalysisError("no_series", "At least one series specification is required in 'series'.")
+        raise AnalysisError("no_series", "Name at least one series.")
     parts = []
     for spec in series:
         dataset, x, y = spec.get("dataset_name"), spec.get("x_column"), spec.get("y_column")
         if dataset not in datasets:
-            raise AnalysisError("unknown_dataset", f"Dataset '{dataset}' specified in series not found.", datasets)
+            raise AnalysisError("unknown_dataset", f"A series refers to '{dataset}', which is no table.", datasets)
         df = datasets[dataset]
         for name in (x, y):
             require_column(df, name, f"dataset '{dataset}'")
         if not is_numeric(df, y):
             raise AnalysisError(
-                "not_numeric", f"Column '{y}' in dataset '{dataset}' is not numeric.", numeric_columns(df)
+                "not_numeric", f"'{y}' of '{dataset}' holds no numbers.", numeric_columns(df)
             )
         points = drop_missing(df, [x, y]).select(
             F.lit(spec.get("name") or f"{dataset}: {y}").alias("series"),
@@ -210,6 +215,6 @@ def create_multi_dataset_visualization(
             number(df, y).alias("y"),
         )
         if strict:
-            require_rows(points, f"No data available after dropping nulls for series in dataset '{dataset}'.")
+            require_rows(points, f"The series of '{dataset}' has no complete row.")
         parts.append(points)
     return reduce(DataFrame.unionByName, parts)

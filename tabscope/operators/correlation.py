@@ -21,19 +21,21 @@ from tabscope.functions.columns import (
     rows_from_wide,
 )
 
-# Pairs returned by default and at most: fixed values.
-DEFAULT_PAIRS = 10
-MAX_PAIRS = 20
-
 # Below this share of its own size a sum of squares is rounding noise.
 _NO_SPREAD = 1e-13
 
 _SUMS = "i int, j int, n double, x double, y double, xy double, xx double, yy double"
 
 
+def _finite(df: DataFrame, name: str) -> Column:
+    """The column as a double, cells without a finite value as NULL."""
+    value = number(df, name)
+    return F.when(F.abs(value) < float("inf"), value)
+
+
 def _centered(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """The columns minus their means, constant columns as NULL."""
-    numbers = [number(df, c) for c in names]
+    """The columns minus their means; constant columns and infinite cells as NULL."""
+    numbers = [_finite(df, c) for c in names]
     varies = [F.min(v) != F.max(v) for v in numbers]
     means = df.agg(F.array(*[F.when(some, F.avg(v)) for some, v in zip(varies, numbers)]).alias("m")).scalar()
     wide = df.select(*[v.alias(f"c{i}") for i, v in enumerate(numbers)], means.alias("m"))
@@ -84,16 +86,16 @@ def _columns(df: DataFrame, column: str | None, columns: Sequence[str] | None) -
         require_column(df, column)
         if column not in numeric:
             raise AnalysisError(
-                "not_numeric", f"Column '{column}' is not numeric, so correlation cannot be computed.", numeric
+                "not_numeric", f"'{column}' holds no numbers to correlate.", numeric
             )
     if columns is None:
         return numeric
     missing = [c for c in columns if c not in df.columns]
     if missing:
-        raise AnalysisError("unknown_column", f"Columns not found in the dataset: {missing}", df.columns)
+        raise AnalysisError("unknown_column", f"The table has no {missing}.", df.columns)
     other = [c for c in columns if c not in numeric]
     if other:
-        raise AnalysisError("not_numeric", f"Columns are not numeric: {other}", numeric)
+        raise AnalysisError("not_numeric", f"Only numbers can be correlated, unlike {other}.", numeric)
     chosen = list(dict.fromkeys(columns))
     return chosen if column is None or column in chosen else [*chosen, column]
 
@@ -111,18 +113,17 @@ def correlations(
     if len(names) < 2:
         raise AnalysisError(
             "too_few_columns",
-            f"Not enough numeric columns with variance to compute correlations (found {len(names)}).",
+            f"A correlation needs two columns of numbers; there are {len(names)}.",
         )
     if strict:
         constant = [r["column"] for r in constant_columns(df, names).collect()]
         if len(names) - len(constant) < 2:
             raise AnalysisError(
                 "too_few_columns",
-                "Not enough numeric columns with variance to compute correlations "
-                f"(found {len(names) - len(constant)}).",
+                f"A correlation needs two columns that vary; there are {len(names) - len(constant)}.",
             )
         if column in constant:
-            raise AnalysisError("constant", f"Column '{column}' has no variance (constant).")
+            raise AnalysisError("constant", f"'{column}' has the same value everywhere.")
     left = list(range(len(names))) if column is None else [names.index(column)]
     sums = _pair_sums(_centered(df, names), left, list(range(len(names))))
     return sums.select(
@@ -143,16 +144,14 @@ def correlation_analysis(
     """The strongest correlations by absolute value: ``column_1, column_2, correlation``.
 
     With ``column`` its correlations with every other numeric column, otherwise
-    the strongest pairs; ``columns`` restricts the columns looked at. ``top_n``
-    defaults to 10 and is at most 20. Rounded to 3 decimals after ordering.
+    all pairs; ``columns`` restricts the columns looked at and ``top_n`` the pairs
+    returned. Cells that are infinite count as missing. Rounded to 3 decimals
+    after ordering.
     """
-    limit = min(top_n or DEFAULT_PAIRS, MAX_PAIRS)
-    return (
-        correlations(df, column, columns, strict)
-        .orderBy(F.abs("r").desc(), "pair")
-        .limit(limit)
-        .select("column_1", "column_2", rounded("r", 3).alias("correlation"))
-    )
+    ranked = correlations(df, column, columns, strict).orderBy(F.abs("r").desc(), "pair")
+    if top_n is not None:
+        ranked = ranked.limit(top_n)
+    return ranked.select("column_1", "column_2", rounded("r", 3).alias("correlation"))
 
 
 def correlation_extremes(
@@ -182,7 +181,7 @@ def constant_columns(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     if not names:
         return df.sparkSession.createDataFrame([], "column string")
     wide = df.agg(
-        *[F.equal_null(F.min(number(df, c)), F.max(number(df, c))).alias(f"c{i}") for i, c in enumerate(names)]
+        *[F.equal_null(F.min(_finite(df, c)), F.max(_finite(df, c))).alias(f"c{i}") for i, c in enumerate(names)]
     )
     rows = [
         F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("constant")) for i, c in enumerate(names)

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabscope.errors import AnalysisError
 from tabscope.functions.arithmetic import percent_change, percent_difference, rounded
 from tabscope.functions.columns import (
     is_datetime,
@@ -19,9 +18,7 @@ from tabscope.functions.columns import (
 )
 from tabscope.functions.filters import where_values
 from tabscope.operators.aggregates import aggregate, check_aggregate, value_for
-
-# Groups returned when the caller does not say how many: a fixed value.
-MAX_GROUPS = 50
+from tabscope.operators.quantiles import bucket_of
 
 
 def _order(top_n: int | None, sort_order: str | None) -> list[Column]:
@@ -38,15 +35,14 @@ def groupby_analysis(
     filter_values: Sequence | None = None,
     top_n: int | None = None,
     sort_order: str | None = None,
-    max_groups: int | None = MAX_GROUPS,
+    max_groups: int | None = None,
     strict: bool = False,
 ) -> DataFrame:
     """Aggregate ``value_column`` per ``group_column``: ``group, value``.
 
-    Rows without a group are left out; values are rounded to 2 decimals. With
-    ``top_n`` the N highest (``sort_order="asc"``: lowest) values are kept,
-    otherwise the ``max_groups`` highest; ``max_groups=None`` returns all
-    groups. NULL values come last, ties keep group order. Datetime groups
+    Rows without a group are left out; values are rounded to 2 decimals. All
+    groups are returned, with ``top_n`` the N highest (``sort_order="asc"``:
+    lowest) values, with ``max_groups`` at most that many, the highest. NULL values come last, ties keep group order. Datetime groups
     without ``top_n`` come in chronological order. ``strict`` raises when the
     filter leaves no row (one extra job).
     """
@@ -57,7 +53,7 @@ def groupby_analysis(
         require_choice("Sort order", sort_order, ("asc", "desc"))
     rows = where_values(df, group_column, filter_values)
     if strict and filter_values:
-        require_rows(rows, f"No rows matched the requested values for '{group_column}'.")
+        require_rows(rows, f"The filter on '{group_column}' leaves nothing.")
     keyed = rows.select(
         present(df, group_column).alias("group"), value_for(df, value_column, agg_function).alias("value")
     ).where(F.col("group").isNotNull())
@@ -70,13 +66,19 @@ def groupby_analysis(
 
 
 def best_and_worst_group(
-    df: DataFrame, group_column: str, value_column: str, agg_function: str = "mean", **options
+    df: DataFrame,
+    group_column: str,
+    value_column: str,
+    agg_function: str = "mean",
+    filter_values: Sequence | None = None,
+    strict: bool = False,
 ) -> DataFrame:
-    """The best and the worst of the returned groups, in one row.
+    """The best and the worst of all groups, in one row. The first group in order wins a tie."""
+    return extremes_of(groupby_analysis(df, group_column, value_column, agg_function, filter_values, strict=strict))
 
-    Takes the options of ``groupby_analysis``. The first group in order wins a tie.
-    """
-    grouped = groupby_analysis(df, group_column, value_column, agg_function, **options)
+
+def extremes_of(grouped: DataFrame) -> DataFrame:
+    """The best and the worst of ``group, value`` rows."""
     best = F.struct(-F.col("value"), F.col("group"))
     worst = F.struct(F.col("value"), F.col("group"))
     return grouped.where(F.col("value").isNotNull()).agg(
@@ -92,15 +94,26 @@ def group_ranking(
 ) -> DataFrame:
     """The returned groups ranked by value, highest first: ``rank, group, value``.
 
-    Takes the options of ``groupby_analysis`` and needs a bounded result, since
-    consecutive ranks come from one ordered window.
+    Takes the options of ``groupby_analysis``.
     """
-    if options.get("top_n") is None and options.get("max_groups", MAX_GROUPS) is None:
-        raise AnalysisError("unbounded", "A ranking needs top_n or max_groups.")
-    grouped = groupby_analysis(df, group_column, value_column, agg_function, **options)
-    by_value = Window.orderBy(*_order(None, None))
-    return grouped.where(F.col("value").isNotNull()).select(
-        F.row_number().over(by_value).alias("rank"), "group", "value"
+    return ranking_of(groupby_analysis(df, group_column, value_column, agg_function, **options))
+
+
+def ranking_of(grouped: DataFrame) -> DataFrame:
+    """``rank, group, value`` of ``group, value`` rows, however many.
+
+    Groups are numbered within buckets of like values and moved up by the number
+    of groups in higher buckets, of which there is a bounded number. Only groups
+    of nearly equal values are ordered together.
+    """
+    valued = grouped.where(F.col("value").isNotNull()).withColumn("_b", bucket_of("value", 64))
+    within = Window.partitionBy("_b").orderBy(*_order(None, None))
+    higher = Window.orderBy(F.col("_b").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = valued.groupBy("_b").agg(F.count("*").alias("_n")).select("_b", F.coalesce(F.sum("_n").over(higher), F.lit(0)).alias("_ahead"))
+    return (
+        valued.withColumn("_at", F.row_number().over(within))
+        .join(ahead, "_b")
+        .select((F.col("_ahead") + F.col("_at")).cast("int").alias("rank"), "group", "value")
     )
 
 
@@ -114,9 +127,14 @@ def compare_two_groups(
     to the mean of both values, the percentage change to the first group.
     """
     grouped = groupby_analysis(df, group_column, value_column, agg_function, **options)
-    if options.get("top_n") is None:
+    return comparison_of(grouped, options.get("top_n") is not None, options.get("sort_order"))
+
+
+def comparison_of(grouped: DataFrame, by_value: bool = False, sort_order: str | None = None) -> DataFrame:
+    """The difference of two ``group, value`` rows, in order of the groups or of the values."""
+    if not by_value:
         order = F.struct(F.col("group"))
-    elif options.get("sort_order") == "asc":
+    elif sort_order == "asc":
         order = F.struct(F.col("value"), F.col("group"))
     else:
         order = F.struct(-F.col("value"), F.col("group"))

@@ -10,9 +10,6 @@ from tabscope.functions.columns import join_family_of, present, require_column,
 
 JOIN_KINDS = ("inner", "left", "right", "outer")
 
-# Largest result accepted by default: a fixed value.
-MAX_ROWS = 5_000_000
-
 
 def _check_keys(left: DataFrame, right: DataFrame, left_on: str, right_on: str) -> None:
     require_frame(left)
@@ -23,8 +20,8 @@ def _check_keys(left: DataFrame, right: DataFrame, left_on: str, right_on: str)
     if kinds[0] != kinds[1]:
         raise AnalysisError(
             "incompatible_types",
-            f"Incompatible data types: '{left_on}' is {type_of(left, left_on).simpleString()}, but "
-            f"'{right_on}' is {type_of(right, right_on).simpleString()}. Consider casting a column.",
+            f"'{left_on}' ({type_of(left, left_on).simpleString()}) and '{right_on}' "
+            f"({type_of(right, right_on).simpleString()}) are of unlike kinds; cast one first.",
         )
 
 
@@ -94,27 +91,35 @@ def execute_join(
     left_on: str,
     right_on: str,
     how: str = "inner",
-    max_rows: int | None = MAX_ROWS,
+    max_rows: int | None = None,
+    cardinality: str | None = None,
 ) -> DataFrame:
     """Join two tables on one key; missing keys match each other.
 
     An equal key name appears once, different key names both stay, other equal
     names get ``_x`` and ``_y``. The key counts of both sides are looked at
-    first (one job): N:N joins are refused, and results over ``max_rows`` are
-    refused before any row is joined (None accepts every size).
+    first (one job over both keys): N:N joins are refused, and with ``max_rows``
+    larger results before any row is joined. A known ``cardinality`` (1:1, 1:N
+    or N:1) saves that job. An outer join that keeps rows of the side with
+    unique keys reads both tables twice, so that hot keys can be split.
     """
     if how not in JOIN_KINDS:
         raise AnalysisError(
-            "bad_join_type", f"Invalid join type '{how}'. Must be one of: {', '.join(JOIN_KINDS)}.", JOIN_KINDS
+            "bad_join_type", f"'{how}' is no kind of join.", JOIN_KINDS
         )
+    if cardinality is not None and max_rows is None:
+        _check_keys(left, right, left_on, right_on)
+        if cardinality not in ("1:1", "1:N", "N:1"):
+            raise AnalysisError("many_to_many", f"A join of cardinality {cardinality} is refused.")
+        return join_tables(left, right, left_on, right_on, how, cardinality)
     facts = inspect_join_viability(left, right, left_on, right_on).first()
     if not facts["safe_to_join"]:
-        raise AnalysisError("many_to_many", "Join rejected. Cardinality is N:N. N:N joins are blocked.")
+        raise AnalysisError("many_to_many", "Both sides repeat keys; such a join is refused.")
     rows = facts["inner_rows" if how == "inner" else "outer_rows" if how == "outer" else f"{how}_join_rows"]
     if max_rows is not None and rows > max_rows:
         raise AnalysisError(
             "too_many_rows",
-            f"Join rejected: the result of {rows} rows exceeds maximum row limit of {max_rows}.",
+            f"The join has {rows} rows, more than the {max_rows} asked for.",
         )
     return join_tables(left, right, left_on, right_on, how, facts["cardinality"])
 

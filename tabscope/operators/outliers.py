@@ -12,12 +12,11 @@ from tabscope.functions.arithmetic import rounded
 from tabscope.functions.columns import long_numbers, name_at
 from tabscope.operators.statistics import column_quantiles, numeric_targets
 
-# Default fence multiplier, most columns and examples returned.
+# Default fence multiplier and examples returned.
 DEFAULT_MULTIPLIER = 1.5
-MAX_COLUMNS = 20
 MAX_EXAMPLES = 5
 
-_WHY = "outlier detection cannot be applied"
+_WHY = "it has no quartiles"
 
 
 def _fences(df: DataFrame, names: Sequence[str], multiplier: float) -> DataFrame:
@@ -41,7 +40,7 @@ def _outside():
 def _checked(df: DataFrame, column: str | None, multiplier: float | None) -> tuple[list[str], float]:
     k = DEFAULT_MULTIPLIER if multiplier is None else multiplier
     if k <= 0:
-        raise AnalysisError("bad_multiplier", "multiplier must be a positive number.")
+        raise AnalysisError("bad_multiplier", "The fence multiplier has to be above 0.")
     return numeric_targets(df, column, _WHY), k
 
 
@@ -49,7 +48,7 @@ def outlier_analysis(
     df: DataFrame,
     column: str | None = None,
     multiplier: float | None = None,
-    max_columns: int | None = MAX_COLUMNS,
+    max_columns: int | None = None,
     strict: bool = False,
 ) -> DataFrame:
     """Values outside ``[q25 - k·IQR, q75 + k·IQR]``, one row per column.
@@ -85,7 +84,7 @@ def outlier_analysis(
         )
     )
     if strict and counted.isEmpty():
-        raise AnalysisError("no_values", "No numeric column contains valid numeric values.")
+        raise AnalysisError("no_values", "All numeric columns are empty.")
     ranked = counted.orderBy(F.col("outlier_percentage").desc(), "position").drop("position")
     return ranked if max_columns is None else ranked.limit(max_columns)
 

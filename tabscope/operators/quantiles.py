@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Buckets per power of two. More buckets leave fewer values to sort in the end
@@ -32,6 +32,12 @@ _SCALED = f"floor(({_OFFSET} + log2(least(abs(_v), {_LARGEST}D))) * {BUCKETS_PER
 _BUCKET = f"CASE WHEN _v = 0 THEN 0L WHEN _v < 0 THEN -{_SCALED} WHEN _v > 0 THEN {_SCALED} END"
 
 
+def bucket_of(value: str, per_octave: int) -> Column:
+    """A number that never decreases when the value, a double, increases; a bounded number of them."""
+    scaled = f"floor(({_OFFSET} + log2(least(abs({value}), {_LARGEST}D))) * {per_octave})"
+    return F.expr(f"CASE WHEN {value} = 0 THEN 0L WHEN {value} < 0 THEN -{scaled} WHEN {value} > 0 THEN {scaled} END")
+
+
 def has_few_groups(df: DataFrame, keys: Sequence[str]) -> bool:
     """Whether a frame with one row per group is small enough to broadcast.
 

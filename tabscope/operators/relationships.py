@@ -22,10 +22,9 @@ from tabscope.functions.columns import (
 )
 from tabscope.functions.names import name_similarity
 
-# Default thresholds and edges shown in a schema map.
+# Default thresholds.
 MIN_CONFIDENCE = 0.4
 MIN_MAP_CONFIDENCE = 0.5
-MAX_EDGES = 5
 NAME_WEIGHT, VALUE_WEIGHT = 0.4, 0.6
 MIN_NAME_SIMILARITY = 0.3
 
@@ -127,13 +126,6 @@ def _signatures(cells: DataFrame, words: int, count: int) -> DataFrame:
     )
 
 
-def _sampled(cells: DataFrame, max_samples: int) -> DataFrame:
-    """At most ``max_samples`` distinct values per column, those with the smallest hash."""
-    distinct = cells.select("number", "family", "raw", "value").distinct()
-    by_hash = Window.partitionBy("number").orderBy(F.xxhash64("raw"), "raw")
-    return distinct.withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= max_samples)
-
-
 def _row_counts(datasets: Mapping[str, DataFrame], catalog: list[_Column]) -> DataFrame:
     """``number, row_count, filled`` per column."""
     parts = []
@@ -186,7 +178,7 @@ def _column_facts(
 
 
 def _scored(
-    datasets: Mapping[str, DataFrame], pairs: list[tuple[_Column, _Column]], max_samples: int | None
+    datasets: Mapping[str, DataFrame], pairs: list[tuple[_Column, _Column]]
 ) -> DataFrame:
     """Score the given column pairs; every frame joined here has a row per column or pair."""
     spark = next(iter(datasets.values())).sparkSession
@@ -206,14 +198,8 @@ def _scored(
     cells = _values(datasets, catalog)
     signatures = _signatures(cells, words, count)
     facts = _column_facts(datasets, catalog, cells, signatures)
-    compared = signatures
-    if max_samples is not None:
-        compared = _signatures(_sampled(cells, max_samples), words, count)
-        sampled = _distinct_counts(compared).select("number", "values")
-        facts = facts.drop("values").join(F.broadcast(sampled), "number", "left")
-
     shared = (
-        compared.where(F.size("members") > 1)
+        signatures.where(F.size("members") > 1)
         .select(F.explode("members").alias("left_number"), "members", "n")
         .join(F.broadcast(wanted.select("left_number", "right_number")), "left_number")
         .where(F.expr("array_contains(members, right_number)"))
@@ -260,7 +246,7 @@ def _require_datasets(datasets: Mapping[str, DataFrame]) -> None:
 
 
 def score_key_pair(
-    left: DataFrame, right: DataFrame, left_column: str, right_column: str, max_samples: int | None = None
+    left: DataFrame, right: DataFrame, left_column: str, right_column: str
 ) -> DataFrame:
     """Score of one column pair in one row, or no row when it is not a candidate.
 
@@ -275,7 +261,7 @@ def score_key_pair(
     a, b = _catalog(datasets)
     pairs = [(a, b)] if a.family == b.family else []
     return (
-        _scored(datasets, pairs, max_samples)
+        _scored(datasets, pairs)
         .where(_is_candidate())
         .select(
             "left_column", "right_column", "name_similarity", "value_overlap", "confidence", "cardinality",
@@ -285,13 +271,12 @@ def score_key_pair(
 
 
 def value_overlap(
-    left: DataFrame, right: DataFrame, left_column: str, right_column: str, max_samples: int | None = None
+    left: DataFrame, right: DataFrame, left_column: str, right_column: str
 ) -> DataFrame:
     """Jaccard index of the distinct values of two columns, compared as trimmed text.
 
-    One row: ``left_values, right_values, shared_values, value_overlap``. Exact
-    by default; ``max_samples`` compares that many values per column, chosen by
-    hash, so that both sides choose alike.
+    One row: ``left_values, right_values, shared_values, value_overlap``. All
+    values are compared.
     """
     require_frame(left)
     require_frame(right)
@@ -301,7 +286,7 @@ def value_overlap(
     # Compared as text whatever the types are.
     catalog = [c._replace(family="text") for c in _catalog(datasets)]
     cells = _values(datasets, catalog)
-    sets = _signatures(cells if max_samples is None else _sampled(cells, max_samples), 1, 2)
+    sets = _signatures(cells, 1, 2)
 
     def total(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0).cast("bigint"))
@@ -321,7 +306,6 @@ def discover_relationships(
     datasets: Mapping[str, DataFrame],
     target_dataset: str | None = None,
     min_confidence: float = MIN_CONFIDENCE,
-    max_samples: int | None = None,
 ) -> DataFrame:
     """Candidate join keys between all tables, most confident first.
 
@@ -332,9 +316,9 @@ def discover_relationships(
     """
     _require_datasets(datasets)
     if target_dataset is not None and target_dataset not in datasets:
-        raise AnalysisError("unknown_dataset", f"Dataset '{target_dataset}' not found.", datasets)
+        raise AnalysisError("unknown_dataset", f"'{target_dataset}' is no table.", datasets)
     if len(datasets) < 2:
-        raise AnalysisError("too_few_datasets", "At least two datasets are required to discover relationships.")
+        raise AnalysisError("too_few_datasets", "Relationships need two tables.")
     catalog = _catalog(datasets)
     order = {name: i for i, name in enumerate(datasets)}
     pairs = [
@@ -346,7 +330,7 @@ def discover_relationships(
         and (target_dataset is None or target_dataset in (a.dataset, b.dataset))
     ]
     return (
-        _scored(datasets, pairs, max_samples)
+        _scored(datasets, pairs)
         .where(_is_candidate() & (F.col("confidence") >= min_confidence))
         .orderBy(F.col("confidence").desc(), "left_number", "right_number")
         .select(*EDGE_COLUMNS)
@@ -354,11 +338,13 @@ def discover_relationships(
 
 
 def schema_graph(
-    datasets: Mapping[str, DataFrame], max_edges: int = MAX_EDGES, max_samples: int | None = None
+    datasets: Mapping[str, DataFrame], max_edges: int | None = None
 ) -> DataFrame:
     """The strongest relationships as a table of edges with a match percentage."""
-    edges = discover_relationships(datasets, min_confidence=MIN_MAP_CONFIDENCE, max_samples=max_samples)
-    return edges.limit(max_edges).select(
+    edges = discover_relationships(datasets, min_confidence=MIN_MAP_CONFIDENCE)
+    if max_edges is not None:
+        edges = edges.limit(max_edges)
+    return edges.select(
         "left_dataset",
         "left_column",
         "right_dataset",

@@ -66,7 +66,7 @@ def numeric_targets(df: DataFrame, column: str | None, why: str) -> list[str]:
         return [column]
     names = numeric_columns(df)
     if not names:
-        raise AnalysisError("no_numeric", "No numeric columns found in the dataset.", df.columns)
+        raise AnalysisError("no_numeric", "The table has no column of numbers.", df.columns)
     return names
 
 
@@ -77,7 +77,7 @@ def statistics(df: DataFrame, column: str | None = None, strict: bool = False) -
     Values are rounded to 2 decimals, the coefficient of variation to 4; the
     interquartile range and the coefficient come from the rounded parts.
     """
-    names = numeric_targets(df, column, "descriptive statistics cannot be calculated")
+    names = numeric_targets(df, column, "it has no statistics")
     q, n = F.col("q"), F.col("n")
     skew = F.coalesce(rounded(_adjusted_skewness(F.col("g1"), n), 2), F.lit(0.0))
     spread = F.col("std")
@@ -107,5 +107,5 @@ def statistics(df: DataFrame, column: str | None = None, strict: bool = False) -
         )
     )
     if strict and column is not None and result.isEmpty():
-        raise AnalysisError("no_values", f"Column '{column}' contains no valid numeric values.")
+        raise AnalysisError("no_values", f"'{column}' is empty.")
     return result

@@ -22,7 +22,6 @@ from tabscope.functions.columns import (
 from tabscope.functions.filters import where_dates, where_values
 from tabscope.functions.periods import PERIODS, period_label, period_start
 from tabscope.operators.aggregates import aggregate, check_aggregate, value_for
-from tabscope.operators.groupby import MAX_GROUPS
 
 
 def check_series(
@@ -67,7 +66,7 @@ def time_analysis(
     end_date: str | None = None,
     group_column: str | None = None,
     filter_values: Sequence | None = None,
-    max_groups: int | None = MAX_GROUPS,
+    max_groups: int | None = None,
     strict: bool = False,
 ) -> DataFrame:
     """A value per calendar period, in order: ``period_start, period, value``.
@@ -75,22 +74,21 @@ def time_analysis(
     Rows without a date or value are dropped first, results are rounded to 2
     decimals. With ``group_column`` there is one row per period and group (a
     ``group`` column is added, rows without a group are dropped, and
-    ``filter_values`` restricts the groups); more than ``max_groups`` groups
-    raise, which costs one job over that column unless it is None. ``strict``
-    raises when no row is left.
+    ``filter_values`` restricts the groups). With ``max_groups`` more groups than
+    that raise, at the price of one job over that column. ``strict`` raises when
+    no row is left.
     """
     check_series(df, date_column, value_column, period, agg_function, group_column)
     rows = where_dates(drop_missing(df, [date_column, value_column]), date_column, year, start_date, end_date)
     rows = where_values(rows, group_column, filter_values)
     if strict:
-        require_rows(rows, "No rows remain after applying the requested filters.")
+        require_rows(rows, "The filters leave nothing.")
     if group_column is not None and max_groups is not None:
         seen = rows.select(present(rows, group_column).alias("g")).where("g IS NOT NULL").distinct()
         if seen.limit(max_groups + 1).count() > max_groups:
             raise AnalysisError(
                 "too_many_groups",
-                f"'{group_column}' has more than {max_groups} distinct values, too many to break down by "
-                f"{period}. Restrict with filter_values, or use groupby_analysis with top_n first.",
+                f"There are over {max_groups} groups in '{group_column}'; name some in filter_values.",
             )
     series = bucketed(rows, date_column, value_column, period, agg_function, group_column)
     group = [] if group_column is None else ["group"]
@@ -128,7 +126,7 @@ def series_summary(
     check_series(df, date_column, value_column, period, agg_function, None)
     rows = where_dates(drop_missing(df, [date_column, value_column]), date_column, year, start_date, end_date)
     if strict:
-        require_rows(rows, "No rows remain after applying the requested filters.")
+        require_rows(rows, "The filters leave nothing.")
     series = bucketed(rows, date_column, value_column, period, agg_function).select(
         "period_start", rounded("value", 2).alias("value")
     )

@@ -10,6 +10,8 @@ _GAPS = """gaps AS (
          7 AS constant
   FROM orders)"""
 
+_CENTS = "(SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders)"
+
 _TEXT = """texts AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS key,
          CASE WHEN o_orderstatus = 'P' THEN 'NA' ELSE CAST(o_custkey AS VARCHAR) END AS customer,
@@ -26,7 +28,7 @@ _TEXT = """texts AS (
 
 _SQL_AGGREGATES = {
     "mean": "avg({v})",
-    "sum": "coalesce(sum({v}), 0.0)",
+    "sum": "CAST(coalesce(sum({v}), 0) AS DOUBLE)",
     "count": "CAST(count({v}) AS DOUBLE)",
     "min": "min({v})",
     "max": "max({v})",
@@ -247,6 +249,24 @@ _EVENTS = [
     ("value", "double", "numeric", False),
     ("props", "string", "categorical", False),
 ]
+_ORDERS = [
+    ("o_orderkey", "bigint", "numeric", True),
+    ("o_custkey", "bigint", "numeric", True),
+    ("o_totalprice", "double", "numeric", False),
+]
+_LINEITEM_COLUMNS = [
+    ("l_orderkey", "bigint", "numeric", True),
+    ("l_partkey", "bigint", "numeric", True),
+    ("l_suppkey", "bigint", "numeric", True),
+    ("l_linenumber", "int", "numeric", False),
+    ("l_quantity", "double", "numeric", False),
+    ("l_extendedprice", "double", "numeric", False),
+    ("l_discount", "double", "numeric", False),
+    ("l_tax", "double", "numeric", False),
+    ("l_returnflag", "string", "categorical", False),
+    ("l_linestatus", "string", "categorical", False),
+    ("l_shipdate", "timestamp_ntz", "datetime", False),
+]
 _DOCUMENTS = [
     ("doc_id", "bigint", "numeric", True),
     ("text", "string", "categorical", False),
@@ -305,6 +325,14 @@ _RELATED = {
         ("o_orderkey", "n"), ("o_custkey", "n"), ("o_orderstatus", "t"), ("o_totalprice", "n"), ("o_orderdate", "d"),
         ("o_orderpriority", "t"),
     ],
+    "part": [
+        ("p_partkey", "n"), ("p_name", "t"), ("p_brand", "t"), ("p_type", "t"), ("p_size", "n"), ("p_retailprice", "n"),
+    ],
+    "lineitem": [
+        ("l_orderkey", "n"), ("l_partkey", "n"), ("l_suppkey", "n"), ("l_linenumber", "n"), ("l_quantity", "n"),
+        ("l_extendedprice", "n"), ("l_discount", "n"), ("l_tax", "n"), ("l_returnflag", "t"), ("l_linestatus", "t"),
+        ("l_shipdate", "d"),
+    ],
 }
 
 
@@ -439,7 +467,7 @@ _QUERIES: dict[str, str] = {
     **{f"groupby_{a}": _groupby("o_orderpriority", "o_totalprice", a, "orders") for a in _SQL_AGGREGATES},
     "groupby_datetime": _groupby("o_orderdate", "o_totalprice", "sum", "orders"),
     "groupby_with_gaps": f"WITH {_GAPS} {_groupby('priority', 'price', 'mean', 'gaps')}",
-    "groupby_median_many_groups": f"WITH {_GAPS} {_groupby('o_custkey', 'price', 'median', 'gaps')}",
+    "groupby_median_many_groups": f"{_groupby('o_custkey', 'cents', 'median', _CENTS)}",
     "groupby_filtered": _groupby("l_linenumber", "l_extendedprice", "sum", "lineitem", "l_linenumber IN (1, 3, 7)"),
     "groupby_filtered_text": _groupby(
         "o_orderpriority", "o_totalprice", "mean", "orders", "o_orderpriority IN ('1-URGENT', '2-HIGH')"
@@ -451,6 +479,14 @@ _QUERIES: dict[str, str] = {
     "groupby_bottom_n": _groupby(
         "c_nationkey", "c_acctbal", "sum", "customer", tail='ORDER BY value NULLS LAST, "group" LIMIT 10'
     ),
+    "groupby_all": _groupby("o_custkey", "o_totalprice", "sum", "orders"),
+    "groupby_best_worst_many": f"""
+SELECT arg_min("group", (-value, "group")) AS best_group, max(value) AS best_value,
+       arg_min("group", (value, "group")) AS worst_group, min(value) AS worst_value
+FROM ({_groupby('o_custkey', 'o_totalprice', 'sum', 'orders')})""",
+    "groupby_ranking_many": f"""
+SELECT CAST(row_number() OVER (ORDER BY value DESC, "group") AS INTEGER) AS rank, "group", value
+FROM ({_groupby('o_custkey', 'o_totalprice', 'max', 'orders')})""",
     "groupby_capped_50": _groupby(
         "o_custkey", "o_totalprice", "sum", "orders", tail='ORDER BY value DESC NULLS LAST, "group" LIMIT 50'
     ),
@@ -469,7 +505,7 @@ SELECT a."group" AS group_1, a.value AS value_1, b."group" AS group_2, b.value A
        round(100 * (b.value - a.value) / a.value, 2) AS percentage_change
 FROM g a JOIN g b ON a."group" < b."group" WHERE (SELECT count(*) FROM g) = 2""",
     **{
-        f"series_{p}": _labelled(_series("o_orderdate", "o_totalprice", p, a, "orders"), p)
+        f"series_{p}": _labelled(_series("o_orderdate", "cents", p, a, _CENTS), p)
         for p, a in (("day", "sum"), ("week", "mean"), ("month", "sum"), ("quarter", "median"), ("year", "std"))
     },
     "series_year_filter": _labelled(
@@ -486,7 +522,8 @@ FROM g a JOIN g b ON a."group" < b."group" WHERE (SELECT count(*) FROM g) = 2"""
     ),
     "series_by_group_wide": f"""
 SELECT period_start, period, max(value) FILTER ("group" = 'click') AS click,
-       max(value) FILTER ("group" = 'error') AS error, max(value) FILTER ("group" = 'purchase') AS purchase
+       max(value) FILTER ("group" = 'error') AS error, max(value) FILTER ("group" = 'purchase') AS purchase,
+       max(value) FILTER ("group" = 'signup') AS signup, max(value) FILTER ("group" = 'view') AS view
 FROM ({_labelled(_series('ts', 'value', 'week', 'count', 'events', by='event_type'), 'week', by=True)})
 GROUP BY period_start, period""",
     "period_buckets": f"""
@@ -543,9 +580,14 @@ SELECT count(*) AS total_rows, 2 * count(*) - count(price) - count(priority) AS
     "statistics_boolean": f"WITH {_GAPS} {_statistics({'is_large': 'CAST(is_large AS INTEGER)'}, 'gaps')}",
     "outliers_all": _outliers(_LINEITEM, "lineitem", 0.25),
     "outliers_column": _outliers(["value"], "events", 1.5),
+    "outliers_constant": f"WITH {_GAPS} " + _outliers(["constant"], "gaps", 1.5),
     "outlier_examples": _outlier_examples(["p_partkey", "p_size", "p_retailprice"], "part", 0.25),
     "correlation_target": _strongest(_pairs(_LINEITEM, "l_quantity"), "lineitem", 5),
     "correlation_pairs": _strongest(_pairs(_LINEITEM), "lineitem", 20),
+    "correlation_all_pairs": _strongest(_pairs(_LINEITEM), "lineitem", 1000),
+    "correlation_with_infinity": """WITH finite AS (
+  SELECT o_orderkey, o_custkey, CASE WHEN o_orderpriority <> '5-LOW' THEN o_totalprice END AS price FROM orders) """
+    + _strongest(_pairs(["o_orderkey", "o_custkey", "price"]), "finite", 1000),
     "correlation_subset": _strongest(
         _pairs(["l_discount", "l_tax", "l_extendedprice"], "l_quantity"), "lineitem", 10
     ),
@@ -565,6 +607,8 @@ WITH {_GAPS}, f AS (
 SELECT "column" FROM f WHERE n <= 1""",
     "profile": _profile("customer", _CUSTOMER),
     "profile_events": _profile("events", _EVENTS),
+    "profile_lineitem": _profile("lineitem", _LINEITEM_COLUMNS),
+    "profile_nothing": f"WITH none AS (SELECT * FROM orders WHERE o_orderkey IS NULL) SELECT * FROM ({_profile('none', _ORDERS)}) WHERE row_count > 0",
     "profile_documents": _profile("documents", _DOCUMENTS),
     "profile_identifiers": 'SELECT "column", identifier_status AS status, uniqueness_ratio, unique_count FROM ('
     + _profile("customer", _CUSTOMER)
@@ -582,31 +626,32 @@ SELECT "column", CAST(rank AS INTEGER) AS rank, value FROM (
     "typed_columns": f"""
 WITH {_TEXT}
 SELECT CAST(key AS BIGINT) AS key, CAST(nullif(customer, 'NA') AS BIGINT) AS customer, CAST(price AS DOUBLE) AS price,
-       large = 'True' AS large, CAST(NULL AS DOUBLE) AS nothing FROM texts""",
+       large = 'True' AS large, CAST(NULL AS DOUBLE) AS nothing, strptime(iso_date, '%Y-%m-%d') AS iso_date,
+       strptime(us_date, '%m/%d/%Y') AS us_date, strptime(day_first, '%d-%m-%Y') AS day_first,
+       partly, strptime(ordered, '%Y-%m-%d') AS ordered, priority FROM texts""",
     "date_detection": _date_detection(),
     "date_conversion": f"""
 WITH {_TEXT}
-SELECT key, strptime(iso_date, '%Y-%m-%d') AS iso_date, strptime(us_date, '%m/%d/%Y') AS us_date,
+SELECT key, customer, price, large, nothing, partly, strptime(iso_date, '%Y-%m-%d') AS iso_date, strptime(us_date, '%m/%d/%Y') AS us_date,
        strptime(day_first, '%d-%m-%Y') AS day_first, strptime(ordered, '%Y-%m-%d') AS ordered, priority FROM texts""",
     "join_inner": """
-SELECT o_orderkey, o_custkey, c_custkey, c_name, o_totalprice FROM orders JOIN customer ON o_custkey = c_custkey""",
+SELECT * FROM orders JOIN customer ON o_custkey = c_custkey""",
     "join_left": """
-SELECT d.doc_id, lang, source, n_chars, quality, toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
+SELECT d.*, quality, toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
     "join_left_one_to_many": """
-SELECT c_custkey, c_name, o_orderkey, o_custkey, o_totalprice FROM customer
-LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 400000) ON c_custkey = o_custkey""",
+SELECT * FROM customer LEFT JOIN orders ON c_custkey = o_custkey""",
     "join_right": """
-SELECT d.doc_id, quality, toxic, lang, source, n_chars FROM labels l RIGHT JOIN documents d ON d.doc_id = l.doc_id""",
+SELECT d.*, quality, toxic FROM labels l RIGHT JOIN documents d ON d.doc_id = l.doc_id""",
     "join_right_one_to_many": """
 SELECT s_nationkey AS nationkey, n_name AS name_x, s_name AS name_y, s_suppkey
 FROM nation RIGHT JOIN supplier ON n_nationkey = s_nationkey""",
     "join_outer": """
-SELECT coalesce(doc_id, vec_id) AS doc_id, quality, toxic, label
-FROM labels FULL JOIN embeddings ON doc_id = vec_id""",
+SELECT coalesce(l.doc_id, d.doc_id) AS doc_id, quality, toxic, text, lang, source, n_chars
+FROM labels l FULL JOIN documents d ON l.doc_id = d.doc_id""",
     "join_outer_null_keys": """
-SELECT o.o_custkey, o_orderkey, o_totalprice, c_custkey, c_name
+SELECT o.o_custkey, o_orderkey, o_totalprice, c.*
 FROM (SELECT CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS o_custkey, o_orderkey, o_totalprice FROM orders) o
-FULL JOIN (SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 0) c ON o.o_custkey = c.c_custkey""",
+FULL JOIN customer c ON o.o_custkey = c.c_custkey""",
     "join_viability": """
 SELECT CASE WHEN lu AND ru THEN '1:1' WHEN lu THEN '1:N' WHEN ru THEN 'N:1' ELSE 'N:N' END AS cardinality,
        left_rows, right_rows, left_missing_keys, right_missing_keys, lu OR ru AS safe_to_join
@@ -650,7 +695,7 @@ WHERE confidence >= 0.4 AND 'nation' IN (left_dataset, right_dataset)""",
     "schema_graph": f"""WITH {_edges(_RELATED)}
 SELECT left_dataset, left_column, right_dataset, right_column, cardinality,
        CAST(floor(confidence * 100) AS INTEGER) AS match_percentage
-FROM edges WHERE confidence >= 0.5 ORDER BY confidence DESC, ln, rn LIMIT 5""",
+FROM edges WHERE confidence >= 0.5""",
     "findings": _findings(),
     "chart_category": 'SELECT "group" AS x, value AS y FROM ('
     + _groupby("p_brand", "p_retailprice", "mean", "part")
@@ -660,6 +705,7 @@ SELECT b AS x, round(value, 4) AS y
 FROM ({_series('o_orderdate', 'o_totalprice', 'quarter', 'mean', 'orders')})""",
     "chart_points": f"""
 WITH {_GAPS} SELECT o_custkey AS x, price AS y FROM gaps WHERE o_custkey IS NOT NULL AND price IS NOT NULL""",
+    "chart_points_by_date": "SELECT o_orderdate AS x, o_totalprice AS y FROM orders WHERE o_orderdate IS NOT NULL AND o_totalprice IS NOT NULL",
     "chart_histogram": """
 SELECT CAST(bin AS INTEGER) AS bin, round(lo + bin * w, 4) AS lower,
        round(CASE WHEN bin = 19 THEN hi ELSE lo + (bin + 1) * w END, 4) AS upper, count
@@ -685,20 +731,4 @@ UNION ALL SELECT 'suppliers', CAST(s_nationkey AS VARCHAR), s_acctbal FROM suppl
 }
 
 
-def _decimal_rounding(sql: str) -> str:
-    """Let every ``round(x, n)`` work on a decimal, free of floating-point noise."""
-    start = sql.find("round(")
-    if start < 0:
-        return sql
-    depth, comma, at = 0, -1, start + len("round(")
-    while depth >= 0:
-        if sql[at] == "," and depth == 0:
-            comma = at
-        depth += {"(": 1, ")": -1}.get(sql[at], 0)
-        at += 1
-    value = _decimal_rounding(sql[start + len("round(") : comma])
-    rounded = f"CAST(ROUND(CAST({value} AS DECIMAL(38, 8)),{sql[comma + 1 : at - 1]}) AS DOUBLE)"
-    return sql[:start] + rounded + _decimal_rounding(sql[at:])
-
-
-ORACLE: dict[str, str] = {name: _decimal_rounding(sql) for name, sql in _QUERIES.items()}
+ORACLE: dict[str, str] = dict(_QUERIES)

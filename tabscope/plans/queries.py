@@ -16,7 +16,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
-RELATED = ("region", "nation", "customer", "supplier", "orders")
+RELATED = ("region", "nation", "customer", "supplier", "orders", "part", "lineitem")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,10 +75,6 @@ def orders_as_text(orders: DataFrame) -> DataFrame:
     )
 
 
-def document_facts(documents: DataFrame) -> DataFrame:
-    return documents.select("doc_id", "lang", "source", "n_chars")
-
-
 # --- group-by ------------------------------------------------------------------
 
 
@@ -106,7 +102,7 @@ def groupby_with_gaps(orders):
 
 @query("orders")
 def groupby_median_many_groups(orders):
-    return ts.groupby_analysis(orders_with_gaps(orders), "o_custkey", "price", "median", max_groups=None)
+    return ts.groupby_analysis(in_cents(orders), "o_custkey", "cents", "median")
 
 
 @query("lineitem")
@@ -137,10 +133,25 @@ def groupby_bottom_n(customer):
 
 
 @query("orders")
-def groupby_capped_50(orders):
+def groupby_all(orders):
     return ts.groupby_analysis(orders, "o_custkey", "o_totalprice", "sum")
 
 
+@query("orders")
+def groupby_best_worst_many(orders):
+    return ts.best_and_worst_group(orders, "o_custkey", "o_totalprice", "sum")
+
+
+@query("orders")
+def groupby_ranking_many(orders):
+    return ts.group_ranking(orders, "o_custkey", "o_totalprice", "max")
+
+
+@query("orders")
+def groupby_capped_50(orders):
+    return ts.groupby_analysis(orders, "o_custkey", "o_totalprice", "sum", max_groups=50)
+
+
 @query("lineitem")
 def groupby_best_worst(lineitem):
     return ts.best_and_worst_group(lineitem, "l_returnflag", "l_extendedprice", "sum")
@@ -159,9 +170,14 @@ def groupby_two_way_comparison(lineitem):
 # --- time series -----------------------------------------------------------------
 
 
+def in_cents(orders: DataFrame) -> DataFrame:
+    """Orders with whole cents, of which means and medians are exact where they lie on a half."""
+    return orders.withColumn("cents", F.round(F.col("o_totalprice") * 100).cast("bigint"))
+
+
 def _series(period: str, agg: str) -> None:
     def build(orders: DataFrame) -> DataFrame:
-        return ts.time_analysis(orders, "o_orderdate", "o_totalprice", period, agg)
+        return ts.time_analysis(in_cents(orders), "o_orderdate", "cents", period, agg)
 
     build.__name__ = f"series_{period}"
     query("orders")(build)
@@ -193,7 +209,7 @@ def series_by_group(events):
 @query("events")
 def series_by_group_wide(events):
     grouped = ts.time_analysis(events, "ts", "value", "week", "count", group_column="event_type")
-    return ts.pivot_series(grouped, ["click", "error", "purchase"])
+    return ts.pivot_series(grouped, ["click", "error", "purchase", "signup", "view"])
 
 
 @query("orders")
@@ -231,7 +247,7 @@ def change_period_over_period(orders):
 
 @query("orders")
 def change_latest_24(orders):
-    return ts.percentage_change(orders, "o_orderdate", "o_totalprice")
+    return ts.percentage_change(orders, "o_orderdate", "o_totalprice", max_changes=24)
 
 
 @query("orders")
@@ -281,6 +297,31 @@ def table_preview(orders):
     return preview(orders)
 
 
+@query("orders")
+def outliers_constant(orders):
+    return ts.outlier_analysis(orders_with_gaps(orders), "constant")
+
+
+@query("orders")
+def profile_texts(orders):
+    return ts.dataset_info(orders_as_text(orders))
+
+
+@query("lineitem")
+def profile_lineitem(lineitem):
+    return ts.dataset_info(lineitem)
+
+
+@query("orders")
+def profile_nothing(orders):
+    return ts.dataset_info(orders.where(F.col("o_orderkey").isNull()))
+
+
+@query("orders")
+def chart_points_by_date(orders):
+    return ts.create_visualization(orders, "scatter", "o_orderdate", "o_totalprice")
+
+
 @query("orders")
 def table_numeric_columns(orders):
     return ts.select_numeric(orders_with_gaps(orders)).select(
@@ -338,6 +379,17 @@ def correlation_pairs(lineitem):
     return ts.correlation_analysis(lineitem, top_n=20)
 
 
+@query("lineitem")
+def correlation_all_pairs(lineitem):
+    return ts.correlation_analysis(lineitem)
+
+
+@query("orders")
+def correlation_with_infinity(orders):
+    price = F.when(F.col("o_orderpriority") == "5-LOW", F.lit(float("inf"))).otherwise(F.col("o_totalprice"))
+    return ts.correlation_analysis(orders.select("o_orderkey", "o_custkey", price.alias("price")))
+
+
 @query("lineitem")
 def correlation_subset(lineitem):
     columns = ["l_discount", "l_tax", "l_extendedprice"]
@@ -399,8 +451,9 @@ def type_inference(orders):
 
 @query("orders")
 def typed_columns(orders):
-    types = {"key": "bigint", "customer": "bigint", "price": "double", "large": "boolean", "nothing": "double"}
-    return apply_types(orders_as_text(orders), types).select("key", "customer", "price", "large", "nothing")
+    texts = orders_as_text(orders)
+    types = {r["column"]: r["type"] for r in infer_types(texts).collect()}
+    return ts.convert_date_columns(apply_types(texts, types))
 
 
 @query("orders")
@@ -410,8 +463,7 @@ def date_detection(orders):
 
 @query("orders")
 def date_conversion(orders):
-    converted = ts.convert_date_columns(orders_as_text(orders))
-    return converted.select("key", "iso_date", "us_date", "day_first", "ordered", "priority")
+    return ts.convert_date_columns(orders_as_text(orders))
 
 
 def file_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -426,38 +478,34 @@ QUERIES["file_manifest"] = file_manifest
 
 @query("customer", "orders")
 def join_inner(customer, orders):
-    joined = ts.execute_join(orders, customer, "o_custkey", "c_custkey", max_rows=None)
-    return joined.select("o_orderkey", "o_custkey", "c_custkey", "c_name", "o_totalprice")
+    return ts.execute_join(orders, customer, "o_custkey", "c_custkey", cardinality="N:1")
 
 
 @query("documents", "labels")
 def join_left(documents, labels):
-    return ts.execute_join(document_facts(documents), labels, "doc_id", "doc_id", "left", max_rows=None)
+    return ts.execute_join(documents, labels, "doc_id", "doc_id", "left")
 
 
 @query("customer", "orders")
 def join_left_one_to_many(customer, orders):
-    big = orders.where(F.col("o_totalprice") > 400000).select("o_orderkey", "o_custkey", "o_totalprice")
-    joined = ts.execute_join(customer, big, "c_custkey", "o_custkey", "left", max_rows=None)
-    return joined.select("c_custkey", "c_name", "o_orderkey", "o_custkey", "o_totalprice")
+    return ts.execute_join(customer, orders, "c_custkey", "o_custkey", "left")
 
 
 @query("labels", "documents")
 def join_right(labels, documents):
-    return ts.execute_join(labels, document_facts(documents), "doc_id", "doc_id", "right", max_rows=None)
+    return ts.execute_join(labels, documents, "doc_id", "doc_id", "right")
 
 
 @query("nation", "supplier")
 def join_right_one_to_many(nation, supplier):
     left = nation.select(F.col("n_nationkey").alias("nationkey"), F.col("n_name").alias("name"))
     right = supplier.select(F.col("s_nationkey").alias("nationkey"), F.col("s_name").alias("name"), "s_suppkey")
-    return ts.execute_join(left, right, "nationkey", "nationkey", "right", max_rows=None)
+    return ts.execute_join(left, right, "nationkey", "nationkey", "right")
 
 
-@query("labels", "embeddings")
-def join_outer(labels, embeddings):
-    vectors = embeddings.select(F.col("vec_id").alias("doc_id"), "label")
-    return ts.execute_join(labels, vectors, "doc_id", "doc_id", "outer", max_rows=None)
+@query("labels", "documents")
+def join_outer(labels, documents):
+    return ts.execute_join(labels, documents, "doc_id", "doc_id", "outer")
 
 
 @query("customer", "orders")
@@ -465,8 +513,7 @@ def join_outer_null_keys(customer, orders):
     keyed = orders.select(
         F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("o_custkey"), "o_orderkey", "o_totalprice"
     )
-    one = customer.select("c_custkey", "c_name").where(F.col("c_acctbal") > 0)
-    return ts.execute_join(keyed, one, "o_custkey", "c_custkey", "outer", max_rows=None)
+    return ts.execute_join(keyed, customer, "o_custkey", "c_custkey", "outer")
 
 
 @query("customer", "orders")
@@ -491,7 +538,7 @@ def join_key_counts(customer, orders):
 
 @query("nation", "customer")
 def join_then_groupby(nation, customer):
-    joined = ts.execute_join(customer, nation, "c_nationkey", "n_nationkey", max_rows=None)
+    joined = ts.execute_join(customer, nation, "c_nationkey", "n_nationkey")
     return ts.groupby_analysis(joined, "n_name", "c_acctbal", "sum")
 
 
