@@ -163,6 +163,11 @@ def find_passages(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     is not listed; items of equal id are one. Repeated rows are judged apart; an empty table gives an empty result.
     """
     keep = [id_col] if keep is None else keep
+    return _passages(docs, items, text_col, item_id, item_text, window, keep, block_bytes).toDF(*keep, "n_words", "spans", "items")
+
+
+def _passages(docs: DataFrame, items: DataFrame, text_col: str, item_id: str, item_text: str, window: int, keep: list[str], block_bytes: int = 1 << 20) -> DataFrame:
+    """The columns of ``keep`` as __k0, __k1 …, and what is found."""
     kinds = ", ".join(f"__k{i} {docs.schema[k].dataType.simpleString()}" for i, k in enumerate(keep))
     rows = docs.select(
         *[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keep)],
@@ -178,7 +183,7 @@ def find_passages(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         names = [n for n in rows.columns if n != "__text" or not last]
         schema = ", ".join(x for x in (kinds, "" if last else "__text binary", "n_words long, spans array<array<bigint>>, items array<string>") if x)
         rows = rows.mapInArrow(_finder(shared, window, names), schema)
-    return rows.toDF(*keep, "n_words", "spans", "items")
+    return rows
 
 
 def _finder(shared, window: int, names: list[str]):
@@ -222,15 +227,17 @@ def contaminated(share: int = 20) -> Column:
     return (n_hit() > 0) & (n_hit() * share >= F.col("n_words"))
 
 
-def remove_passages(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 13, least_words: int = 13, share: int = 20, drop: bool = False) -> DataFrame:
+def remove_passages(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 13, least_words: int = 13, share: int = 20, drop: bool = False) -> DataFrame:
     """``docs`` without what the limits exclude: all columns, cleaned texts.
 
     A document whose hits reach one in ``share`` of its words is dropped with ``drop``; without, it loses its hit spans of
     at least ``least_words`` words, from their first byte to their last. All other documents stay as they are.
     """
-    found = find_passages(docs, items, id_col, text_col, item_id, item_text, window, keep=docs.columns).withColumn("__hit", contaminated(share))
+    found = _passages(docs, items, text_col, item_id, item_text, window, docs.columns).withColumn("__hit", contaminated(share))
+    own = [f"__k{i}" for i in range(len(docs.columns))]
     if drop:
-        return found.where(~F.col("__hit")).select(*[F.col(f"`{c}`") for c in docs.columns])
+        return found.where(~F.col("__hit")).select(*own).toDF(*docs.columns)
+    at = own[docs.columns.index(text_col)]
 
     @F.pandas_udf("string")
     def cut(text, spans):
@@ -246,8 +253,8 @@ def remove_passages(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
             out.append(b"".join([*kept, raw[start:]]).decode())
         return type(text)(out)
 
-    cleaned = F.when(F.col("__hit"), cut(F.coalesce(F.col(text_col), F.lit("")), "spans")).otherwise(F.col(text_col))
-    return found.withColumn("__clean", cleaned).select(*[F.col("__clean").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
+    cleaned = F.when(F.col("__hit"), cut(F.coalesce(F.col(at), F.lit("")), "spans")).otherwise(F.col(at))
+    return found.withColumn(at, cleaned).select(*own).toDF(*docs.columns)
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -80,7 +80,7 @@ def blocks(page: str) -> list[Block]:
         if name == "br":
             parts.append(" ")
             continue
-        if name not in _INLINE:
+        if name not in _INLINE and name not in _RAW:
             flush()
         if closing:
             depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)

@@ -90,8 +90,11 @@ class Network:
         z = np.column_stack([(self.summary(texts) - self.centre) / self.scale, np.ones(len(texts))]) @ self.combine
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
-    def fit(self, texts: list[bytes], labels: np.ndarray, weights: np.ndarray, epochs: int = 10, seed: int = 7) -> None:
-        """Learn the filters from the chunks of three quarters of the texts, how to combine them from the rest."""
+    def fit(self, texts: list[bytes], labels: np.ndarray, weights: np.ndarray, epochs: int = 10, steps: int = 500, seed: int = 7) -> None:
+        """Learn the filters from the chunks of three quarters of the texts, how to combine them from the rest.
+
+        The chunks are gone through ``epochs`` times, few of them more often, for at least ``steps`` steps.
+        """
         r = np.random.default_rng(seed)
         order = r.permutation(len(texts))
         rest = set(order[: len(texts) // 4].tolist())
@@ -113,9 +116,9 @@ class Network:
         balance = np.where(marks > 0, 0.5 / max(marks.mean(), 1e-3), 0.5 / max(1 - marks.mean(), 1e-3)).astype(np.float32)
         names = ("tables", "bias", "dense", "dense_bias", "out", "out_bias")
         moments = {k: (np.zeros_like(getattr(self, k)), np.zeros_like(getattr(self, k))) for k in names}
-        step = 0
-        for _ in range(epochs):
-            for at in np.array_split(r.permutation(len(windows)), max(1, len(windows) // 64)):
+        step, parts = 0, max(1, len(windows) // 64)
+        for _ in range(max(epochs, -(-steps // parts))):
+            for at in np.array_split(r.permutation(len(windows)), parts):
                 step += 1
                 for k, g in self._gradients(windows[at], marks[at], balance[at]).items():
                     m, v = moments[k]
