@@ -86,7 +86,7 @@ def _bound(which: str, text: str | dt.date) -> pd.Timestamp:
     except (ValueError, TypeError):
         stamp = pd.NaT
     if pd.isna(stamp):
-        raise AnalysisError("bad_date", f"Could not parse {which} '{text}'. Use format YYYY-MM-DD.")
+        raise AnalysisError("bad_date", f"'{text}' is no date for {which}; write it as 2024-12-31.")
     return stamp.tz_localize(None) if stamp.tzinfo else stamp
 
 

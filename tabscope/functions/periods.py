@@ -17,7 +17,7 @@ def period_start(when: Column, period: str) -> Column:
     independent of the session time zone for zone-free input.
     """
     if period not in PERIODS:
-        raise AnalysisError("unsupported", f"Unsupported period '{period}'.", PERIODS)
+        raise AnalysisError("unsupported", f"'{period}' is no period.", PERIODS)
     day = when.cast("date")
     return (day if period == "day" else F.trunc(day, period)).cast("timestamp_ntz")
 
@@ -25,7 +25,7 @@ def period_start(when: Column, period: str) -> Column:
 def period_label(start: Column, period: str) -> Column:
     """Text of a period start: 2024-03-15, Week of 2024-03-11, 2024-03, 2024-Q1 or 2024."""
     if period not in PERIODS:
-        raise AnalysisError("unsupported", f"Unsupported period '{period}'.", PERIODS)
+        raise AnalysisError("unsupported", f"'{period}' is no period.", PERIODS)
     day = start.cast("date")
     text = {
         "day": F.date_format(day, "yyyy-MM-dd"),

@@ -185,12 +185,12 @@ def compare_years(
     """
     agg_function = agg_function or "sum"
     if year_1 is None or year_2 is None:
-        raise AnalysisError("two_years", "Both year_1 and year_2 must be provided to compare specific years.")
+        raise AnalysisError("two_years", "Two years are compared; one is missing.")
     rows = _scoped(df, date_column, value_column, "year", agg_function, group_column, filter_values, strict)
     first, second = in_year(rows, date_column, year_1), in_year(rows, date_column, year_2)
     if strict:
         for year, condition in ((year_1, first), (year_2, second)):
-            require_rows(rows.where(condition), f"No data found for year {year}.")
+            require_rows(rows.where(condition), f"The table is empty in {year}.")
     keyed = rows.where(first | second).select(
         F.year(col(date_column)).alias("year"), value_for(rows, value_column, agg_function).alias("value")
     )

@@ -10,17 +10,16 @@ from pyspark.sql import functions as F
 from tabscope.functions.columns import numeric_columns, require_frame
 from tabscope.operators.changes import change_highlights, overall_change
 from tabscope.operators.correlation import correlation_extremes
-from tabscope.operators.groupby import best_and_worst_group, compare_two_groups, group_ranking
+from tabscope.operators.groupby import comparison_of, extremes_of, groupby_analysis, ranking_of
 from tabscope.operators.missing import missing_values
 from tabscope.operators.outliers import outlier_analysis
 from tabscope.operators.statistics import statistics
 from tabscope.operators.timeseries import series_summary
 
-# Thresholds and the number of entries worth mentioning.
+# Thresholds.
 NOTABLE_SKEWNESS = 1.0
 NOTABLE_VARIATION = 1.0
 FEW_OBSERVATIONS = 3
-LEADING = 3
 
 
 def _row(operator: str, subject: Column, finding: Column | str, value: Column, detail: Column | None = None):
@@ -38,8 +37,8 @@ def _rows(df: DataFrame, *rows: Column) -> DataFrame:
     return df.select(F.explode(F.array_compact(F.array(*rows))).alias("f")).select("f.*")
 
 
-def _top(df: DataFrame, *order: Column) -> DataFrame:
-    return df.orderBy(*order).limit(LEADING)
+def _top(df: DataFrame, leading: int | None, *order: Column) -> DataFrame:
+    return df if leading is None else df.orderBy(*order).limit(leading)
 
 
 def statistics_findings(result: DataFrame) -> DataFrame:
@@ -54,18 +53,18 @@ def statistics_findings(result: DataFrame) -> DataFrame:
     )
 
 
-def missing_findings(result: DataFrame) -> DataFrame:
+def missing_findings(result: DataFrame, leading: int | None = None) -> DataFrame:
     """The most affected columns, from ``missing_values``."""
-    top = _top(result, F.col("missing_percentage").desc(), F.col("column"))
+    top = _top(result, leading, F.col("missing_percentage").desc(), F.col("column"))
     return _rows(
         top,
         _row("missing_values", F.col("column"), "most affected", F.col("missing_percentage"), F.col("missing_count")),
     )
 
 
-def outlier_findings(result: DataFrame) -> DataFrame:
+def outlier_findings(result: DataFrame, leading: int | None = None) -> DataFrame:
     """The columns with the most outliers, from ``outlier_analysis``."""
-    top = _top(result.where(F.col("outlier_count") > 0), F.col("outlier_count").desc(), F.col("column"))
+    top = _top(result.where(F.col("outlier_count") > 0), leading, F.col("outlier_count").desc(), F.col("column"))
     return _rows(
         top,
         _row("outlier_analysis", F.col("column"), "outliers", F.col("outlier_count"), F.col("outlier_percentage")),
@@ -126,7 +125,9 @@ def change_findings(highlights: DataFrame, overall: DataFrame, subject: str) ->
     )
 
 
-def group_findings(extremes: DataFrame, ranking: DataFrame, comparison: DataFrame, subject: str) -> DataFrame:
+def group_findings(
+    extremes: DataFrame, ranking: DataFrame, comparison: DataFrame, subject: str, leading: int | None = None
+) -> DataFrame:
     """Best and worst group, leading ranking and the difference of two groups."""
     on = F.lit(subject)
     best = _rows(
@@ -141,7 +142,7 @@ def group_findings(extremes: DataFrame, ranking: DataFrame, comparison: DataFram
         ),
     )
     leading = _rows(
-        ranking.where(F.col("rank") <= LEADING),
+        ranking if leading is None else ranking.where(F.col("rank") <= leading),
         _row(
             "groupby_analysis", on, F.concat(F.lit("rank "), F.col("rank").cast("string")), F.col("value"),
             F.col("group"),
@@ -164,18 +165,20 @@ def findings(
     group_column: str | None = None,
     period: str = "month",
     agg_function: str = "mean",
+    leading: int | None = None,
 ) -> DataFrame:
     """Noteworthy results for one table: ``operator, subject, finding, value, detail``.
 
     Missing values always; statistics, outliers and correlations when there are
     numeric columns; trend and changes of ``value_column`` with a
-    ``date_column``; group comparison with a ``group_column``.
+    ``date_column``; group comparison with a ``group_column``. With ``leading``
+    only so many columns with gaps or outliers and ranked groups.
     """
     require_frame(df)
-    parts = [missing_findings(missing_values(df))]
+    parts = [missing_findings(missing_values(df), leading)]
     numeric = numeric_columns(df)
     if numeric:
-        parts += [statistics_findings(statistics(df)), outlier_findings(outlier_analysis(df))]
+        parts += [statistics_findings(statistics(df)), outlier_findings(outlier_analysis(df), leading)]
     if len(numeric) > 1:
         parts.append(correlation_findings(correlation_extremes(df)))
     if date_column and value_column:
@@ -188,10 +191,8 @@ def findings(
             ),
         ]
     if group_column and value_column:
-        request = (df, group_column, value_column, agg_function)
+        groups = groupby_analysis(df, group_column, value_column, agg_function)
         parts.append(
-            group_findings(
-                best_and_worst_group(*request), group_ranking(*request), compare_two_groups(*request), value_column
-            )
+            group_findings(extremes_of(groups), ranking_of(groups), comparison_of(groups), value_column, leading)
         )
     return reduce(DataFrame.unionByName, parts)

@@ -163,6 +163,8 @@ def candidate_group_columns(df: DataFrame, approx: bool = False) -> DataFrame:
 def sample_values(df: DataFrame, columns: Sequence[str] | None = None, samples: int = MAX_SAMPLES) -> DataFrame:
     """The smallest distinct values of text and boolean columns: ``column, rank, value``.
 
+    Text columns that hold dates are left out unless they are named.
+
     Every task keeps only ``samples`` values per column; the final selection
     sees that many values per task and column.
     """
@@ -186,6 +188,7 @@ def sample_values(df: DataFrame, columns: Sequence[str] | None = None, samples:
 
     partial = texts.mapInPandas(smallest, "column string, value string").distinct()
     in_order = Window.partitionBy("column").orderBy("value")
-    return partial.withColumn("rank", F.row_number().over(in_order)).where(F.col("rank") <= samples).select(
-        "column", "rank", "value"
-    )
+    ranked = partial.withColumn("rank", F.row_number().over(in_order)).where(F.col("rank") <= samples)
+    if columns is None:
+        ranked = ranked.join(F.broadcast(detect_date_columns(df).select("column")), "column", "left_anti")
+    return ranked.select("column", "rank", "value")

@@ -702,7 +702,7 @@ FROM edges WHERE confidence >= 0.5""",
     + ') ORDER BY value DESC, "group" LIMIT 5',
     "chart_time": f"""
 SELECT b AS x, round(value, 4) AS y
-FROM ({_series('o_orderdate', 'o_totalprice', 'quarter', 'mean', 'orders')})""",
+FROM ({_series('o_orderdate', 'cents', 'quarter', 'mean', _CENTS)})""",
     "chart_points": f"""
 WITH {_GAPS} SELECT o_custkey AS x, price AS y FROM gaps WHERE o_custkey IS NOT NULL AND price IS NOT NULL""",
     "chart_points_by_date": "SELECT o_orderdate AS x, o_totalprice AS y FROM orders WHERE o_orderdate IS NOT NULL AND o_totalprice IS NOT NULL",

@@ -588,7 +588,7 @@ def chart_category(part):
 
 @query("orders")
 def chart_time(orders):
-    chart = ts.create_visualization(orders, "line", "o_orderdate", "o_totalprice", "mean", period="quarter")
+    chart = ts.create_visualization(in_cents(orders), "line", "o_orderdate", "cents", "mean", period="quarter")
     return chart.select("x", rounded("y", 4).alias("y"))
 
 
@@ -628,4 +628,4 @@ def chart_multi_series(customer, supplier):
 
 @query("orders")
 def findings(orders):
-    return ts.findings(orders_with_gaps(orders), "o_orderdate", "price", "priority")
+    return ts.findings(orders_with_gaps(orders), "o_orderdate", "price", "priority", leading=3)

@@ -47,13 +47,13 @@ def load_dataset(spark: SparkSession, path: str, multiline: bool = False, check_
     no longer split between tasks.
     """
     if not path.lower().rstrip("/").endswith(".csv"):
-        raise AnalysisError("unsupported_file", "Unsupported file type. Please provide a CSV file.", [".csv"])
+        raise AnalysisError("unsupported_file", "Only CSV files are read.", [".csv"])
     reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
     names = reader.csv(path).columns
     if not names:
-        raise AnalysisError("empty_file", "The file is empty. Provide a file with a header and data rows.")
-    if check_encoding and any(_REPLACEMENT in n for n in names):
-        raise AnalysisError("unreadable", "The file could not be read. Check that it is a valid CSV file.")
+        raise AnalysisError("empty_file", "The file has no header.")
+    if check_encoding and any(_REPLACEMENT in n for n in names) and _has_bad_bytes(spark, path):
+        raise AnalysisError("unreadable", "The file is no valid CSV in UTF-8.")
     schema = ", ".join("`" + n.replace("`", "``") + "` string" for n in [*names, _CORRUPT])
     raw = reader.option("columnNameOfCorruptRecord", _CORRUPT).schema(schema).csv(path)
 
@@ -71,9 +71,9 @@ def load_dataset(spark: SparkSession, path: str, multiline: bool = False, check_
         .collect()
     )
     if not facts:
-        raise AnalysisError("no_rows", "The dataset has no data rows.")
-    if whole.get["too_long"] or (check_encoding and whole.get["undecodable"]):
-        raise AnalysisError("unreadable", "The file could not be read. Check that it is a valid CSV file.")
+        raise AnalysisError("no_rows", "The file has a header, but no rows.")
+    if whole.get["too_long"] or (check_encoding and whole.get["undecodable"] and _has_bad_bytes(spark, path)):
+        raise AnalysisError("unreadable", "The file is no valid CSV in UTF-8.")
     typed = {}
     for fact in facts:
         name = names[fact["position"]]
@@ -86,6 +86,11 @@ def load_dataset(spark: SparkSession, path: str, multiline: bool = False, check_
     return raw.select(*[typed[name].alias(name) for name in names])
 
 
+def _has_bad_bytes(spark: SparkSession, path: str) -> bool:
+    """Whether a line isn't UTF-8. The replacement character in a decoded text may also stand in the file as such."""
+    return not spark.read.text(path).where(~F.is_valid_utf8("value")).isEmpty()
+
+
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:
     """The first rows of a table."""
     return df.limit(rows)

@@ -3,12 +3,17 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
+from contextlib import contextmanager
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+import tabscope as ts  # noqa: E402
+
 
 @pytest.fixture(scope="session")
 def spark():
@@ -46,86 +51,44 @@ def one(df):
     return row.asDict()
 
 
-@pytest.fixture(scope="session")
-def sample_df(spark):
-    rows = [
-        (store, day(f"2024-0{i + 1}-15"), 100.0 + 50 * i, 45.0 + 5 * i, 3.1 + 0.1 * i, store == "C")
-        for i, store in enumerate("ABCABC")
-    ]
-    return spark.createDataFrame(
-        rows,
-        "Store string, Date timestamp_ntz, Weekly_Sales double, Temperature double, Fuel_Price double, IsHoliday boolean",
-    )
-
-
-@pytest.fixture(scope="session")
-def df_missing(spark):
-    rows = [
-        (1.0, "x", 10.0, None),
-        (float("nan"), "y", 20.0, None),
-        (3.0, None, 30.0, float("nan")),
-        (4.0, "w", 40.0, None),
-        (5.0, "z", 50.0, None),
-    ]
-    return spark.createDataFrame(rows, "A double, B string, C double, All_Null double")
-
-
-@pytest.fixture(scope="session")
-def df_outliers(spark):
-    normal = [10.0, 11.0, 10.5, 12.0, 9.5, 10.2, 11.1, 10.8, 10.0, 11.5]
-    rows = [(v, 500.0 if i == 9 else v, "cat") for i, v in enumerate(normal)]
-    return spark.createDataFrame(rows, "Normal double, With_Outlier double, Category string")
-
-
-@pytest.fixture(scope="session")
-def df_constants(spark):
-    return spark.createDataFrame(
-        [(5.0, float(i), 10.0 * i) for i in range(1, 6)], "Constant double, Varying_1 double, Varying_2 double"
-    )
-
-
-@pytest.fixture(scope="session")
-def df_multi_year(spark):
-    values = {2023: (100.0, 200.0, 300.0), 2024: (150.0, 250.0, 350.0), 2025: (180.0, 280.0, 400.0)}
-    rows = [
-        (day(f"{year}-{month}-01"), v, "Store2" if month == "06" else "Store1")
-        for year, three in values.items()
-        for month, v in zip(("01", "06", "12"), three)
-    ]
-    return spark.createDataFrame(rows, "Date timestamp_ntz, Weekly_Sales double, Store string")
+@contextmanager
+def refused(code):
+    """The block asks for what can't be answered, for the reason of that code."""
+    with pytest.raises(ts.AnalysisError) as error:
+        yield
+    assert error.value.code == code and error.value.message
 
 
 @pytest.fixture(scope="session")
-def df_date_strings(spark):
-    rows = [
-        (f"2024-0{i}-01", f"0{i}/15/2024", f"2024/0{i}/01", word, 100 + i)
-        for i, word in enumerate(("apple", "banana", "cherry", "date_fruit"), start=1)
-    ]
-    return spark.createDataFrame(
-        rows, "Date_ISO string, Date_US string, Date_Slash string, Not_A_Date string, Numeric_ID bigint"
+def crates():
+    """Crates picked on seven fields in three years, as pandas has them: gaps, a constant, few far-off weights."""
+    rng = np.random.default_rng(77)
+    n = 600
+    day_of = pd.Timestamp("2021-03-02") + pd.to_timedelta(rng.integers(0, 950 * 24, n), unit="h")
+    kilos = np.round(rng.gamma(9.0, 2.5, n), 1)
+    kilos[rng.choice(n, 6, replace=False)] = [95.5, 120.0, 88.0, 200.0, 101.0, 150.5]
+    frame = pd.DataFrame(
+        {
+            "lot": [f"lot-{i:05d}" for i in range(n)],
+            "picked": day_of,
+            "field": rng.choice(["Elm", "Fen", "Gate", "Hill", "Ink", "Jay", "Kiln"], n, p=[0.4, 0.2, 0.1, 0.1, 0.1, 0.05, 0.05]),
+            "sort": rng.choice(["plum", "pear"], n),
+            "kilos": kilos,
+            "rain": rng.integers(0, 40, n),
+            "organic": rng.random(n) < 0.3,
+            "pickers": 4,
+            "logged": [d.strftime("%d/%m/%Y") for d in day_of],
+        }
     )
+    frame["sugar"] = np.round(9 + 0.1 * frame["rain"] + rng.normal(0, 1, n), 2)
+    frame.loc[rng.random(n) < 0.08, "kilos"] = np.nan
+    frame.loc[rng.random(n) < 0.05, "field"] = None
+    frame["seen"] = None
+    return frame
 
 
 @pytest.fixture(scope="session")
-def df_identifiers(spark):
-    cities = ["London", "Paris", "Tokyo", "London", "Paris"] * 4
-    rows = [(f"USR_{i:04d}", f"ORD_{i:04d}", cities[i], 10.0 * i) for i in range(20)]
-    return spark.createDataFrame(rows, "user_id string, order_code string, City string, Revenue double")
-
-
-@pytest.fixture(scope="session")
-def realistic(spark):
-    sales = [500, 300, 200, 450, 280, 180, 400, 260, 150]
-    discount = [0.0, None, 0.1, 0.0, None, 0.15, 0.05, 0.0, None]
-    rows = [
-        (
-            day(f"2024-0{i // 3 + 1}-15"), [20, 4, 14][i % 3], ["Laptop", "Phone", "Tablet"][i % 3], sales[i],
-            f"C{i:03d}", ["North", "South", "North"][i % 3], 1, discount[i],
-        )
-        for i in range(9)
-    ]
-    return spark.createDataFrame(
-        rows,
-        "Date timestamp_ntz, Store bigint, Product string, Sales bigint, Customer_ID string, Region string, "
-        "Constant_Flag bigint, Discount double",
-    )
+def harvest(spark, crates):
+    schema = "lot string, picked timestamp_ntz, field string, sort string, kilos double, rain bigint, organic boolean, pickers bigint, logged string, sugar double, seen string"
+    rows = [tuple(None if v is None or v != v and not isinstance(v, float) else v.to_pydatetime() if isinstance(v, pd.Timestamp) else v for v in r) for r in crates[[c.split()[0] for c in schema.split(", ")]].itertuples(index=False)]
+    return spark.createDataFrame([tuple(x.item() if isinstance(x, np.generic) else x for x in r) for r in rows], schema).repartition(5)

@@ -1,102 +1,91 @@
+"""Chart data beside pandas."""
+
+import numpy as np
+import pandas as pd
 import pytest
 
 import tabscope as ts
-from conftest import as_dict, day, one, records
-
-
-def test_bars_per_category(sample_df):
-    chart = ts.create_visualization(sample_df, "bar", "Store", "Weekly_Sales", "mean")
-    assert as_dict(chart, "x", "y") == {"A": 175.0, "B": 225.0, "C": 275.0}
-    top = ts.create_visualization(sample_df, "bar", "Store", "Weekly_Sales", "mean", top_n=2, sort_order="desc")
-    assert records(top) == [("C", 275.0), ("B", 225.0)]
-    some = ts.create_visualization(sample_df, "bar", "Store", "Weekly_Sales", "mean", filter_values=["A", "B"])
-    assert some.count() == 2
-
-
-def test_lines_over_time(sample_df):
-    chart = ts.create_visualization(sample_df, "line", "Date", "Weekly_Sales", "sum")
-    assert records(chart)[0] == (day("2024-01-01"), 100.0) and chart.count() == 6
-    quarters = ts.create_visualization(sample_df, "line", "Date", "Weekly_Sales", "sum", period="quarter")
-    assert [r[1] for r in records(quarters)] == [450.0, 900.0]
-
-
-def test_raw_points(sample_df, df_missing):
-    chart = ts.create_visualization(sample_df, "scatter", "Temperature", "Weekly_Sales")
-    assert chart.count() == 6 and chart.columns == ["x", "y"]
-    assert ts.create_visualization(df_missing, "scatter", "A", "C").count() == 4
-    ordered = ts.create_visualization(sample_df.orderBy("Fuel_Price", ascending=False), "line", "Date", "Weekly_Sales")
-    assert [r[1] for r in records(ordered)] == [100.0, 150.0, 200.0, 250.0, 300.0, 350.0]
-
-
-def test_histogram(sample_df, spark):
-    bins = ts.create_visualization(sample_df, "histogram", "Weekly_Sales", bins=5)
-    assert records(bins) == [(i, 100.0 + 50 * i, 150.0 + 50 * i, 1 if i < 4 else 2) for i in range(5)]
-    assert as_dict(ts.create_visualization(sample_df, "histogram", "Store"), "x", "count") == {"A": 2, "B": 2, "C": 2}
-    constant = spark.createDataFrame([(3.0,), (3.0,), (None,)], "v double")
-    assert records(ts.histogram(constant, "v")) == [(0, 3.0, 3.0, 2)]
-    assert ts.histogram(constant.limit(0), "v").isEmpty()
-
-
-def test_box_plot(sample_df, df_outliers):
-    box = {r["x"]: r for r in ts.create_visualization(sample_df, "box", "Store", "Weekly_Sales").collect()}
-    assert (box["A"]["q25"], box["A"]["median"], box["A"]["q75"]) == (137.5, 175.0, 212.5)
-    far = one(ts.box_plot(df_outliers, "Category", "With_Outlier"))
-    assert (far["max"], far["upper_whisker"], far["outlier_count"]) == (500.0, 12.0, 1)
-
-
-def test_chart_errors(sample_df):
-    for kind in ("bar", "line", "scatter", "box"):
-        with pytest.raises(ts.AnalysisError, match="requires a y_column"):
-            ts.create_visualization(sample_df, kind, "Store")
-    checks = [
-        (("histogram", "Weekly_Sales", None, "mean"), {}, "Aggregation is not applicable to histogram"),
-        (("pie", "Store"), {}, "not supported"),
-        (("bar", "BadX", "Weekly_Sales"), {}, "BadX"),
-        (("bar", "Store", "BadY"), {}, "BadY"),
-        (("line", "Date", "Weekly_Sales", "sum"), {"period": "decade"}, "Time period 'decade' is not supported"),
-        (("bar", "Store", "Weekly_Sales"), {"filter_values": ["none"], "strict": True}, "No rows matched"),
-    ]
-    for args, options, message in checks:
-        with pytest.raises(ts.AnalysisError, match=message):
-            ts.create_visualization(sample_df, *args, **options)
-
-
-@pytest.fixture(scope="module")
-def yearly(spark):
-    return {
-        f"sales_{year}": spark.createDataFrame(list(zip(("Jan", "Feb", "Mar"), values)), f"month string, revenue_{year} double")
-        for year, values in ((2023, (1000.0, 1200.0, 900.0)), (2024, (1100.0, 1400.0, None)))
-    }
-
-
-def test_series_of_several_datasets(yearly):
-    specs = [
-        {"dataset_name": "sales_2023", "x_column": "month", "y_column": "revenue_2023", "name": "2023"},
-        {"dataset_name": "sales_2024", "x_column": "month", "y_column": "revenue_2024"},
-    ]
-    chart = ts.create_multi_dataset_visualization(yearly, specs)
-    assert sorted(records(chart)) == [
-        ("2023", "Feb", 1200.0), ("2023", "Jan", 1000.0), ("2023", "Mar", 900.0),
-        ("sales_2024: revenue_2024", "Feb", 1400.0), ("sales_2024: revenue_2024", "Jan", 1100.0),
-    ]
-
-
-def test_series_errors(yearly):
-    def chart(datasets=yearly, kind="line", **spec):
-        specs = [dict({"dataset_name": "sales_2023", "x_column": "month", "y_column": "revenue_2023"}, **spec)]
-        return ts.create_multi_dataset_visualization(datasets, specs, kind, strict=True)
-
-    checks = [
-        (dict(dataset_name="nope"), "not found"),
-        (dict(x_column="nope"), "not found"),
-        (dict(y_column="nope"), "not found"),
-        (dict(y_column="month"), "not numeric"),
-        (dict(kind="pie"), "not supported"),
-        (dict(datasets={}), "No datasets"),
-        (dict(datasets={"sales_2023": yearly["sales_2023"].limit(0)}), "No data available"),
-    ]
-    for options, message in checks:
-        with pytest.raises(ts.AnalysisError, match=message):
-            chart(**options)
-    with pytest.raises(ts.AnalysisError, match="At least one series"):
-        ts.create_multi_dataset_visualization(yearly, [])
+from conftest import as_dict, records, refused
+
+
+def test_a_bar_for_every_category(harvest, crates):
+    bars = as_dict(ts.create_visualization(harvest, "bar", "rain", "kilos", "sum"), "x", "y")
+    want = crates.dropna(subset=["kilos"]).groupby("rain")["kilos"].sum()
+    assert bars == {str(k): pytest.approx(v, abs=0.006) for k, v in want.items()}
+    assert ts.create_visualization(harvest, "bar", "lot", "kilos", "mean").count() == crates["kilos"].notna().sum()
+    assert ts.create_visualization(harvest, "bar", "lot", "kilos", "mean", max_groups=7).count() == 7
+    top = ts.create_visualization(harvest, "bar", "field", "kilos", "sum", top_n=2)
+    assert [r["x"] for r in top.collect()] == list(crates.groupby("field")["kilos"].sum().nlargest(2).index)
+
+
+def test_labels_can_be_filtered_by(harvest):
+    labels = sorted(r["x"] for r in ts.create_visualization(harvest, "bar", "organic", "kilos", "mean").collect())
+    assert labels == ["False", "True"]
+    assert ts.where_values(harvest, "organic", labels).count() == harvest.count()
+
+
+def test_lines(harvest, crates):
+    known = crates.dropna(subset=["kilos"])
+    line = ts.create_visualization(harvest, "line", "picked", "kilos", "mean", period="quarter").collect()
+    want = known.groupby(known["picked"].dt.to_period("Q"))["kilos"].mean()
+    assert [r["x"] for r in line] == [p.start_time.to_pydatetime() for p in want.index]
+    assert [r["y"] for r in line] == pytest.approx(want.tolist())
+    points = records(ts.create_visualization(harvest, "line", "picked", "kilos"))
+    assert [p[0] for p in points] == [t.to_pydatetime() for t in sorted(known["picked"])]
+    assert ts.create_visualization(harvest, "scatter", "sugar", "kilos").count() == len(known)
+
+
+@pytest.mark.parametrize("bins", [1, 8, 20])
+def test_histogram(harvest, crates, bins):
+    v = crates["sugar"]
+    edges = np.linspace(v.min(), v.max(), bins + 1)
+    counts = np.minimum(np.floor((v - v.min()) / ((v.max() - v.min()) / bins)), bins - 1).value_counts()
+    got = {r["bin"]: r for r in ts.create_visualization(harvest, "histogram", "sugar", bins=bins).collect()}
+    assert {b: r["count"] for b, r in got.items()} == counts.to_dict()
+    assert all(r["lower"] == pytest.approx(edges[b]) and r["upper"] == pytest.approx(edges[b + 1]) for b, r in got.items())
+
+
+def test_histograms_of_other_columns(harvest, crates):
+    assert as_dict(ts.histogram(harvest, "field"), "x", "count") == crates["field"].value_counts().to_dict()
+    assert [(r["bin"], r["count"]) for r in ts.histogram(harvest, "pickers").collect()] == [(0, len(crates))]
+    assert ts.histogram(harvest.limit(0), "kilos").isEmpty()
+
+
+def test_boxes(harvest, crates):
+    boxes = {r["x"]: r for r in ts.box_plot(harvest, "field", "kilos").collect()}
+    for field, v in crates.dropna(subset=["kilos"]).groupby("field")["kilos"]:
+        q = v.quantile([0.25, 0.5, 0.75]).tolist()
+        reach = 1.5 * (q[2] - q[0])
+        inside = v[(v >= q[0] - reach) & (v <= q[2] + reach)]
+        b = boxes[field]
+        assert (b["q25"], b["median"], b["q75"]) == pytest.approx(tuple(q))
+        assert (b["count"], b["min"], b["max"], b["outlier_count"]) == (len(v), v.min(), v.max(), len(v) - len(inside))
+        assert (b["lower_whisker"], b["upper_whisker"]) == (inside.min(), inside.max())
+
+
+def test_series_of_two_tables(spark, harvest, crates):
+    rain = spark.createDataFrame(pd.DataFrame({"month": [1, 2, 3], "litres": [4.5, np.nan, 2.0]}))
+    chart = ts.create_multi_dataset_visualization(
+        {"rain": rain, "crates": harvest},
+        [{"dataset_name": "rain", "x_column": "month", "y_column": "litres", "name": "rainfall"}, {"dataset_name": "crates", "x_column": "picked", "y_column": "rain"}],
+    )
+    assert sorted(r[1:] for r in records(chart) if r[0] == "rainfall") == [("1", 4.5), ("3", 2.0)]
+    assert sum(r[0] == "crates: rain" for r in records(chart)) == len(crates)
+
+
+def test_charts_that_cannot_be_made(harvest):
+    tables, good = {"crates": harvest}, {"dataset_name": "crates", "x_column": "rain", "y_column": "kilos"}
+    for code, call in {
+        "y_required": lambda: ts.create_visualization(harvest, "box", "field"),
+        "no_aggregate": lambda: ts.create_visualization(harvest, "histogram", "kilos", agg_function="sum"),
+        "unsupported": lambda: ts.create_visualization(harvest, "radar", "field"),
+        "unknown_column": lambda: ts.create_visualization(harvest, "bar", "barn", "kilos"),
+        "no_rows": lambda: ts.create_visualization(harvest, "bar", "field", "kilos", filter_values=["Moor"], strict=True),
+        "bad_bins": lambda: ts.histogram(harvest, "kilos", 0),
+        "no_dataset": lambda: ts.create_multi_dataset_visualization({}, [good]),
+        "no_series": lambda: ts.create_multi_dataset_visualization(tables, []),
+        "unknown_dataset": lambda: ts.create_multi_dataset_visualization(tables, [good | {"dataset_name": "barn"}]),
+        "not_numeric": lambda: ts.create_multi_dataset_visualization(tables, [good | {"y_column": "lot"}]),
+    }.items():
+        with refused(code):
+            call()

@@ -1,25 +1,13 @@
 import pytest
 
 import tabscope as ts
-from conftest import as_dict, one, records
+from conftest import as_dict, one, records, refused
 
 
 def grouped(df, *args, **kwargs):
     return as_dict(ts.groupby_analysis(df, *args, **kwargs), "group", "value")
 
 
-def test_mean_per_group(sample_df):
-    assert grouped(sample_df, "Store", "Weekly_Sales") == {"A": 175.0, "B": 225.0, "C": 275.0}
-
-
-@pytest.mark.parametrize(
-    "agg, expected",
-    [("sum", 350.0), ("count", 2.0), ("min", 100.0), ("max", 250.0), ("median", 175.0), ("std", 106.07)],
-)
-def test_every_aggregate(sample_df, agg, expected):
-    assert grouped(sample_df, "Store", "Weekly_Sales", agg)["A"] == expected
-
-
 def test_null_groups_vanish_and_all_null_values(spark):
     df = spark.createDataFrame(
         [("a", None), ("a", float("nan")), ("b", 1.0), (None, 5.0)], "g string, v double"
@@ -31,71 +19,26 @@ def test_null_groups_vanish_and_all_null_values(spark):
     assert grouped(df, "g", "v", "std") == {"a": None, "b": None}
 
 
-def test_filter_values_select_groups(sample_df):
-    assert set(grouped(sample_df, "Store", "Weekly_Sales", filter_values=["A", "C"])) == {"A", "C"}
-
-
-def test_filter_without_match(sample_df):
-    request = dict(group_column="Store", value_column="Weekly_Sales", filter_values=["none"])
-    assert ts.groupby_analysis(sample_df, **request).isEmpty()
-    with pytest.raises(ts.AnalysisError, match="No rows matched"):
-        ts.groupby_analysis(sample_df, **request, strict=True)
-
-
-@pytest.mark.parametrize("order, expected", [("desc", ["C", "B"]), ("asc", ["A", "B"])])
-def test_top_n(sample_df, order, expected):
-    top = ts.groupby_analysis(sample_df, "Store", "Weekly_Sales", top_n=2, sort_order=order)
-    assert [r[0] for r in records(top)] == expected
-
-
-def test_groups_by_date_are_chronological(sample_df):
-    rows = records(ts.groupby_analysis(sample_df, "Date", "Weekly_Sales", "sum"))
-    assert [r[1] for r in rows] == [100.0, 150.0, 200.0, 250.0, 300.0, 350.0]
-
-
-def test_count_works_on_any_type(sample_df):
-    assert grouped(sample_df, "Store", "IsHoliday", "count")["A"] == 2.0
-    assert grouped(sample_df, "Store", "Store", "count")["A"] == 2.0
-
-
-def test_booleans_count_as_numbers(sample_df):
-    assert grouped(sample_df, "Store", "IsHoliday", "mean") == {"A": 0.0, "B": 0.0, "C": 1.0}
-
-
-@pytest.mark.parametrize(
-    "args, code",
-    [
-        (("missing", "Weekly_Sales"), "unknown_column"),
-        (("Store", "missing"), "unknown_column"),
-        (("Store", "Store"), "not_numeric"),
-        (("Store", "Weekly_Sales", "variance"), "unsupported"),
-    ],
-)
-def test_invalid_requests(sample_df, args, code):
-    with pytest.raises(ts.AnalysisError) as error:
-        ts.groupby_analysis(sample_df, *args)
-    assert error.value.code == code and error.value.available
-
-
 def test_no_dataset():
-    with pytest.raises(ts.AnalysisError, match="No dataset is loaded"):
+    with refused("no_dataset"):
         ts.groupby_analysis(None, "a", "b")
 
 
-def test_cap_of_50_groups(spark):
-    df = spark.createDataFrame([(f"Cat_{i}", i) for i in range(70)], "Category string, Value bigint")
-    kept = grouped(df, "Category", "Value")
-    assert len(kept) == 50 and min(kept.values()) == 20.0
-    assert len(grouped(df, "Category", "Value", max_groups=None)) == 70
+def test_all_groups_unless_fewer_are_asked_for(spark):
+    df = spark.createDataFrame([(f"k{i % 130}", i) for i in range(260)], "k string, v bigint")
+    assert len(grouped(df, "k", "v")) == 130
+    few = grouped(df, "k", "v", max_groups=12)
+    assert len(few) == 12 and min(few.values()) == 183.0
+    assert one(ts.best_and_worst_group(df, "k", "v")) == {"best_group": "k129", "best_value": 194.0, "worst_group": "k0", "worst_value": 65.0}
+    ranks = records(ts.group_ranking(df, "k", "v"))
+    assert sorted(ranks) == [(r + 1, f"k{129 - r}", 194.0 - r) for r in range(130)]
 
 
-def test_best_worst_and_ranking(sample_df):
-    assert one(ts.best_and_worst_group(sample_df, "Store", "Weekly_Sales")) == {
-        "best_group": "C", "best_value": 275.0, "worst_group": "A", "worst_value": 175.0,
-    }
-    assert records(ts.group_ranking(sample_df, "Store", "Weekly_Sales")) == [
-        (1, "C", 275.0), (2, "B", 225.0), (3, "A", 175.0),
-    ]
+def test_integers_and_decimals_stay_exact(spark):
+    df = spark.createDataFrame([("a", 2**53 + 1), ("a", 1), ("b", 2**62), ("b", 2**62)], "k string, v bigint")
+    assert grouped(df, "k", "v", "sum") == {"a": float(2**53 + 2), "b": float(2**63)}
+    cents = df.selectExpr("k", "CAST(0.1 AS decimal(10,2)) AS v")
+    assert grouped(cents, "k", "v", "sum") == {"a": 0.2, "b": 0.2}
 
 
 def test_first_group_wins_ties(spark):
@@ -104,45 +47,11 @@ def test_first_group_wins_ties(spark):
     assert (extremes["best_group"], extremes["worst_group"]) == ("a", "a")
 
 
-def test_two_groups(sample_df):
-    pair = one(ts.compare_two_groups(sample_df, "Store", "Weekly_Sales", filter_values=["A", "B"]))
-    assert (pair["group_1"], pair["group_2"]) == ("A", "B")
-    assert pair["absolute_difference"] == 50.0
-    assert pair["percentage_difference"] == 25.0
-    assert pair["percentage_change"] == 28.57
-    assert ts.compare_two_groups(sample_df, "Store", "Weekly_Sales").isEmpty()
-
-
 def test_two_groups_on_a_zero_base(spark):
     df = spark.createDataFrame([("a", 0.0), ("b", 4.0)], "g string, v double")
     assert one(ts.compare_two_groups(df, "g", "v"))["percentage_change"] is None
 
 
-def test_two_groups_follow_the_order_of_top_n(sample_df):
-    pair = one(ts.compare_two_groups(sample_df, "Store", "Weekly_Sales", top_n=2))
-    assert (pair["group_1"], pair["group_2"]) == ("C", "B")
-
-
-def test_realistic_workflow(realistic):
-    ranking = records(ts.group_ranking(realistic, "Store", "Sales", "sum", top_n=3))
-    assert [r[1] for r in ranking] == [20, 4, 14]
-    assert grouped(realistic, "Product", "Sales", "sum", top_n=2)["Laptop"] == 1350.0
-    pair = one(ts.compare_two_groups(realistic, "Store", "Sales", "sum", filter_values=[20, 4]))
-    assert pair["absolute_difference"] == 510.0
-    assert one(ts.series_summary(realistic, "Date", "Sales", "month", "sum"))["trend_direction"] == "strictly_decreasing"
-
-
-@pytest.mark.parametrize("values", [[20, 4], ["20", "4"]])
-def test_numbers_and_texts_filter_alike(realistic, values):
-    assert set(grouped(realistic, "Store", "Sales", filter_values=values)) == {20, 4}
-    series = ts.time_analysis(realistic, "Date", "Sales", group_column="Store", filter_values=values)
-    assert {r["group"] for r in series.collect()} == {20, 4}
-    change = ts.percentage_change(realistic, "Date", "Sales", group_column="Store", filter_values=values)
-    assert [r["current_value"] for r in change.collect()] == [730.0, 660.0]
-    chart = ts.create_visualization(realistic, "bar", "Store", "Sales", "sum", filter_values=values)
-    assert {r["x"] for r in chart.collect()} == {"20", "4"}
-
-
 def test_filters_by_type(spark):
     df = spark.createDataFrame(
         [(1.5, True, "2024-01-01", "x"), (20.0, False, "2024-01-02", "y"), (1e7, None, None, "20")],

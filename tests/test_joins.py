@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import tabscope as ts
-from conftest import one, records
+from conftest import one, records, refused
 from tabscope.operators.joins import join_tables
 from tabscope.operators.relationships import schema_graph
 
@@ -58,17 +58,17 @@ def test_join_sizes(customers, profiles, orders):
 def test_refused_joins(spark, customers, orders, items):
     other = spark.createDataFrame([("1", "A")], "customer_id string, notes string")
     checks = [
-        ((orders, items, "customer_id", "customer_id"), {}, "N:N joins are blocked"),
-        ((customers, orders, "customer_id", "customer_id"), {"max_rows": 2}, "exceeds maximum row limit"),
-        ((customers, orders, "customer_id", "customer_id", "diagonal"), {}, "Invalid join type"),
-        ((customers, other, "customer_id", "customer_id"), {}, "Incompatible data types"),
-        ((customers, orders, "nope", "customer_id"), {}, "not found in left dataset"),
-        ((customers, orders, "customer_id", "nope"), {}, "not found in right dataset"),
+        ((orders, items, "customer_id", "customer_id"), {}, "many_to_many"),
+        ((customers, orders, "customer_id", "customer_id"), {"max_rows": 2}, "too_many_rows"),
+        ((customers, orders, "customer_id", "customer_id", "diagonal"), {}, "bad_join_type"),
+        ((customers, other, "customer_id", "customer_id"), {}, "incompatible_types"),
+        ((customers, orders, "nope", "customer_id"), {}, "unknown_column"),
+        ((customers, orders, "customer_id", "nope"), {}, "unknown_column"),
     ]
     for args, options, message in checks:
-        with pytest.raises(ts.AnalysisError, match=message):
+        with refused(message):
             ts.execute_join(*args, **options)
-    with pytest.raises(ts.AnalysisError, match="Incompatible data types"):
+    with refused("incompatible_types"):
         ts.inspect_join_viability(customers, other, "customer_id", "customer_id")
 
 
@@ -205,12 +205,6 @@ def test_value_overlap(spark):
     assert overlap(spark, [long + "a", "c"], [long + "b", "c"], ("string", "string")) == 0.333
 
 
-def test_sampled_overlap_chooses_alike(spark):
-    numbers = list(range(2000))
-    assert overlap(spark, numbers, numbers[::-1], max_samples=100) == 1.0
-    assert overlap(spark, numbers, range(5000, 7000), max_samples=100) == 0.0
-
-
 def test_key_pair(people, sales, spark):
     pair = one(ts.score_key_pair(people, sales, "customer_id", "Cust_ID"))
     assert pair["confidence"] == 0.9 and pair["cardinality"] == "1:1" and pair["safe_to_join"]
@@ -242,9 +236,9 @@ def test_discovery(people, sales):
     low = [r[4] for r in records(ts.discover_relationships(tables, min_confidence=0.0))]
     assert low == sorted(low, reverse=True) and len(low) >= len(found)
     assert ts.discover_relationships(tables, min_confidence=0.99).isEmpty()
-    with pytest.raises(ts.AnalysisError, match="At least two datasets"):
+    with refused("too_few_datasets"):
         ts.discover_relationships({"customers.csv": people})
-    with pytest.raises(ts.AnalysisError, match="not found"):
+    with refused("unknown_dataset"):
         ts.discover_relationships(tables, target_dataset="other.csv")
 
 

@@ -89,17 +89,6 @@ def test_name_hints():
     assert not any(looks_like_date(n) for n in ("Store", "Weekly_Sales"))
 
 
-def test_date_detection(df_date_strings, sample_df):
-    found = {r["column"]: (r["format"], r["parsed_as"]) for r in ts.detect_date_columns(df_date_strings).collect()}
-    assert found == {
-        "Date_ISO": ("auto-detected", "YYYY-MM-DD"),
-        "Date_US": ("MM/DD/YYYY", "MM/DD/YYYY"),
-        "Date_Slash": ("auto-detected", "YYYY/MM/DD"),
-    }
-    assert records(ts.detect_date_columns(sample_df), "column", "format", "confidence") == [("Date", "datetime64", 1.0)]
-    assert ts.date_columns(df_date_strings) == ["Date_ISO", "Date_US", "Date_Slash"]
-
-
 def detected(spark, cells, name="x"):
     rows = ts.detect_date_columns(spark.createDataFrame([(c,) for c in cells], f"{name} string")).collect()
     return [(r["format"], r["parsed_as"], r["confidence"]) for r in rows]
@@ -117,14 +106,6 @@ def test_ambiguous_and_partial_dates(spark):
     assert detected(spark, ["2024-02-30", "2024-01-31 10:00"]) == []
 
 
-def test_date_conversion(df_date_strings):
-    converted = ts.convert_date_columns(df_date_strings)
-    assert [t for _, t in converted.dtypes] == ["timestamp_ntz"] * 3 + ["string", "bigint"]
-    assert records(converted, "Date_US")[0] == (day("2024-01-15"),)
-    again = ts.convert_date_columns(df_date_strings, ts.detect_date_columns(df_date_strings))
-    assert records(again) == records(converted)
-
-
 def test_cells_that_do_not_fit_become_null(spark):
     df = spark.createDataFrame([(c,) for c in ["2024-01-31"] * 9 + ["soon"]], "d string")
     assert ts.convert_date_columns(df).where("d IS NULL").count() == 1
@@ -148,12 +129,6 @@ def test_manifest(spark, tmp_path):
     assert {r["path"].rsplit("/", 1)[1]: r["change"] for r in changes.collect()} == {"a.csv": "replaced", "c.csv": "added"}
 
 
-def test_preview_and_shape(sample_df):
-    assert ts.preview(sample_df).count() == 5
-    assert one(ts.shape(sample_df)) == {"num_rows": 6, "num_columns": 6}
-    assert records(ts.column_types(sample_df))[1] == (1, "Date", "timestamp_ntz")
-
-
 def test_columns_with_odd_names(spark):
     df = spark.createDataFrame([("a", 1.0, "2024-01-31"), ("b", 2.0, "2024-01-30")], ["the.key", "a `value`", "on day"])
     assert as_dict(ts.groupby_analysis(df, "the.key", "a `value`"), "group", "value") == {"a": 1.0, "b": 2.0}

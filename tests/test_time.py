@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import tabscope as ts
-from conftest import as_dict, day, one, records
+from conftest import as_dict, day, one, records, refused
 
 
 def test_period_starts_and_labels(spark):
@@ -28,30 +28,10 @@ def test_period_starts_and_labels(spark):
 def test_unknown_label_and_period(spark):
     nothing = spark.createDataFrame([(None,)], "t timestamp_ntz")
     assert records(nothing.select(ts.period_label(F.col("t"), "month"))) == [("Unknown",)]
-    with pytest.raises(ts.AnalysisError, match="Unsupported period"):
+    with refused("unsupported"):
         ts.add_period_column(nothing, "t", "century")
 
 
-def test_monthly_series(sample_df):
-    series = records(ts.time_analysis(sample_df, "Date", "Weekly_Sales"), "period", "value")
-    assert series[0] == ("2024-01", 100.0) and series[-1] == ("2024-06", 350.0) and len(series) == 6
-
-
-@pytest.mark.parametrize("period, count", [("day", 6), ("week", 6), ("month", 6), ("quarter", 2), ("year", 1)])
-def test_every_period(sample_df, period, count):
-    assert ts.time_analysis(sample_df, "Date", "Weekly_Sales", period).count() == count
-
-
-def test_year_filter(df_multi_year):
-    rows = records(ts.time_analysis(df_multi_year, "Date", "Weekly_Sales", year=2024), "period")
-    assert rows == [("2024-01",), ("2024-06",), ("2024-12",)]
-
-
-def test_date_range(sample_df):
-    series = ts.time_analysis(sample_df, "Date", "Weekly_Sales", start_date="2024-02-01", end_date="2024-04-30")
-    assert records(series, "period") == [("2024-02",), ("2024-03",), ("2024-04",)]
-
-
 def test_end_date_is_midnight(spark):
     df = spark.createDataFrame(
         [(dt.datetime(2024, 1, 2), 1.0), (dt.datetime(2024, 1, 2, 1), 2.0)], "t timestamp_ntz, v double"
@@ -59,40 +39,11 @@ def test_end_date_is_midnight(spark):
     assert records(ts.time_analysis(df, "t", "v", "day", "sum", end_date="2024-01-02"), "value") == [(1.0,)]
 
 
-def test_bad_dates_and_columns(sample_df):
-    with pytest.raises(ts.AnalysisError, match="Could not parse start_date"):
-        ts.time_analysis(sample_df, "Date", "Weekly_Sales", start_date="not-a-date")
-    with pytest.raises(ts.AnalysisError, match="not a recognized date column"):
-        ts.time_analysis(sample_df, "Store", "Weekly_Sales")
-    with pytest.raises(ts.AnalysisError, match="not numeric"):
-        ts.time_analysis(sample_df, "Date", "Store")
-    with pytest.raises(ts.AnalysisError, match="not supported"):
-        ts.time_analysis(sample_df, "Date", "Weekly_Sales", "decade")
-    with pytest.raises(ts.AnalysisError, match="not found"):
-        ts.time_analysis(sample_df, "Date", "Weekly_Sales", group_column="nowhere")
-
-
-def test_no_rows_left(sample_df):
-    assert ts.time_analysis(sample_df, "Date", "Weekly_Sales", year=1990).isEmpty()
-    with pytest.raises(ts.AnalysisError, match="No rows remain"):
-        ts.time_analysis(sample_df, "Date", "Weekly_Sales", year=1990, strict=True)
-
-
-def test_series_by_group(sample_df):
-    series = ts.time_analysis(
-        sample_df, "Date", "Weekly_Sales", "quarter", "sum", group_column="Store", filter_values=["A", "B"]
-    )
-    assert records(series, "period", "group", "value") == [
-        ("2024-Q1", "A", 100.0), ("2024-Q1", "B", 150.0), ("2024-Q2", "A", 250.0), ("2024-Q2", "B", 300.0),
-    ]
-    assert records(ts.pivot_series(series, ["A", "B"]), "A", "B") == [(100.0, 150.0), (250.0, 300.0)]
-
-
 def test_too_many_groups(spark):
     df = spark.createDataFrame([(day("2024-01-01"), f"g{i}", 1.0) for i in range(51)], "t timestamp_ntz, g string, v double")
-    with pytest.raises(ts.AnalysisError, match="too many to break down"):
-        ts.time_analysis(df, "t", "v", group_column="g")
-    assert ts.time_analysis(df, "t", "v", group_column="g", max_groups=None).count() == 51
+    with refused("too_many_groups"):
+        ts.time_analysis(df, "t", "v", group_column="g", max_groups=50)
+    assert ts.time_analysis(df, "t", "v", group_column="g").count() == 51
 
 
 def series_of(spark, *values):
@@ -117,77 +68,30 @@ def test_trends(spark, values, trend, change):
     assert (facts["trend_direction"], facts["overall_change"]) == (trend, change)
 
 
-def test_summary(sample_df):
-    facts = one(ts.series_summary(sample_df, "Date", "Weekly_Sales"))
-    assert (facts["best_period"], facts["worst_period"]) == ("2024-06", "2024-01")
-    assert (facts["overall_change"], facts["overall_percentage_change"]) == (250.0, 250.0)
-
-
 def test_earliest_period_wins_ties(spark):
     facts = one(ts.series_summary(series_of(spark, 5.0, 5.0, 4.0, 4.0), "Date", "Sales"))
     assert (facts["best_period"], facts["worst_period"]) == ("2024-01", "2024-03")
 
 
-def test_period_over_period(sample_df):
-    changes = records(ts.percentage_change(sample_df, "Date", "Weekly_Sales"))
-    assert len(changes) == 5
-    assert changes[0] == ("2024-01", "2024-02", 100.0, 150.0, 50.0, 50.0)
-    assert ts.percentage_change(sample_df, "Date", "Weekly_Sales", None, None).count() == 5
-
-
-def test_gaps_are_not_filled(df_multi_year):
-    first = records(ts.percentage_change(df_multi_year, "Date", "Weekly_Sales"))[0]
-    assert first[:2] == ("2023-01", "2023-06")
-
-
 def test_zero_base(spark):
     df = spark.createDataFrame([(day("2023-01-01"), 0.0), (day("2024-01-01"), 150.0)], "Date timestamp_ntz, v double")
     assert records(ts.percentage_change(df, "Date", "v", "year"), "previous_value", "percentage_change") == [(0.0, None)]
     assert as_dict(ts.change_highlights(df, "Date", "v", "year"), "kind", "absolute_change") == {"latest_change": 150.0}
 
 
-def test_highlights_and_overall(sample_df):
-    kinds = as_dict(ts.change_highlights(sample_df, "Date", "Weekly_Sales"), "kind", "current_period")
-    assert kinds == {"latest_change": "2024-06", "largest_increase": "2024-02", "largest_decrease": "2024-06"}
-    overall = one(ts.overall_change(sample_df, "Date", "Weekly_Sales"))
-    assert (overall["total_periods_compared"], overall["overall_change"], overall["overall_percentage_change"]) == (
-        5, 250.0, 250.0,
-    )
-
-
 def test_latest_24_changes(spark):
     rows = [(dt.datetime(2020 + i // 12, i % 12 + 1, 1), float(i)) for i in range(40)]
     df = spark.createDataFrame(rows, "t timestamp_ntz, v double")
-    latest = records(ts.percentage_change(df, "t", "v"), "current_value")
+    latest = records(ts.percentage_change(df, "t", "v", max_changes=24), "current_value")
     assert [v for (v,) in latest] == [float(i) for i in range(16, 40)]
-    assert ts.percentage_change(df, "t", "v", max_changes=None).count() == 39
+    assert ts.percentage_change(df, "t", "v").count() == 39
 
 
 def test_too_few_periods(spark):
-    with pytest.raises(ts.AnalysisError, match="Not enough periods"):
+    with refused("too_few_periods"):
         ts.percentage_change(series_of(spark, 1.0), "Date", "Sales", strict=True)
 
 
-def test_years(df_multi_year):
-    years = one(ts.compare_years(df_multi_year, "Date", "Weekly_Sales", 2023, 2024))
-    assert years == {
-        "previous_period": "2023", "current_period": "2024", "previous_value": 600.0, "current_value": 750.0,
-        "absolute_change": 150.0, "percentage_change": 25.0, "percentage_difference": 22.22,
-        "comparison_summary": "increased",
-    }
-    median = one(ts.compare_years(df_multi_year, "Date", "Weekly_Sales", 2024, 2025, "median"))
-    assert (median["previous_value"], median["current_value"]) == (250.0, 280.0)
-
-
-def test_years_through_percentage_change(df_multi_year):
-    request = (df_multi_year, "Date", "Weekly_Sales")
-    assert records(ts.percentage_change(*request, year_1=2023, year_2=2025)) == records(
-        ts.compare_years(*request, 2023, 2025)
-    )
-    with pytest.raises(ts.AnalysisError, match="Both year_1 and year_2"):
-        ts.percentage_change(*request, year_1=2023)
-
-
 def test_date_bounds_by_type(spark):
     rows = [(dt.date(2024, 1, d), dt.datetime(2024, 1, d, 12)) for d in (1, 2, 3)]
     df = spark.createDataFrame(rows, "day date, noon timestamp_ntz")
@@ -200,9 +104,3 @@ def test_date_bounds_by_type(spark):
     assert days("noon", dt.datetime(2024, 1, 1, 12), dt.date(2024, 1, 3)) == [1, 2]
 
 
-def test_years_errors(df_multi_year):
-    with pytest.raises(ts.AnalysisError, match="Both year_1 and year_2"):
-        ts.compare_years(df_multi_year, "Date", "Weekly_Sales", 2023, None)
-    assert ts.compare_years(df_multi_year, "Date", "Weekly_Sales", 2023, 1999).isEmpty()
-    with pytest.raises(ts.AnalysisError, match="No data found for year 1999"):
-        ts.compare_years(df_multi_year, "Date", "Weekly_Sales", 2023, 1999, strict=True)
