@@ -4,8 +4,9 @@ A passage is ``length`` bytes. Each is assigned to an anchor, the gram inside it
 meet at equal anchors, wherever they are. Passages that follow each other with one anchor are a segment. Only anchors that
 occur again are kept; equal segments are combined to one class with a count; and the distinct segments of an anchor are put
 side by side into one array, whose suffix order and longest previous (and next) factors tell which of their passages
-recur. An anchor with very many distinct segments is not put into one array: its passages are counted by hash instead,
-combined before the shuffle. So a task holds a bounded number of segments, however often a passage occurs.
+recur. An anchor with very many distinct segments is not put into one array: its passages get longer anchors, so that they
+fall apart into smaller groups, and so on up to anchors as long as a passage, of which all segments are equal. So a task
+holds a bounded number of segments, however often a passage occurs.
 """
 
 from __future__ import annotations
@@ -15,13 +16,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabscope.llm.common import batch, slices, stored, table
 from tabscope.llm.near_duplicates import _groups
-from tabscope.llm.suffix_arrays import common_prefixes, factors, suffix_order
+from tabscope.llm.suffix_arrays import factors, passage_order
 
 #: Distinct segments of an anchor that are put into one array at most, and the symbols of an array.
 SEGMENTS, SYMBOLS = 1024, 1 << 20
@@ -31,23 +33,31 @@ _TABLE = np.random.default_rng(5).integers(0, 1 << 64, 256, dtype=np.uint64)
 _K1, _K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def gram_length(length: int) -> int:
-    """Bytes of an anchor: the largest power of two up to a third of a passage."""
-    return 1 << max(0, (length // 3).bit_length() - 1)
+def gram_lengths(length: int) -> list[int]:
+    """Bytes of an anchor, and of those that take its place where it is too common.
+
+    First the largest power of two up to a third of a passage; then what leaves it a quarter of the room in a passage, up to
+    the whole passage.
+    """
+    grams = [1 << max(0, (length // 3).bit_length() - 1)]
+    while grams[-1] < length:
+        room = (length - grams[-1] + 1) // 4
+        grams.append(length - room + 1 if room >= 4 else length)
+    return grams
 
 
 def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
     h, n = _TABLE[data], 1
     while n < gram:
-        h = h[:-n] * _K1 + h[n:]
+        step = min(n, gram - n)
+        h = h[:-step] * _K1 + h[step:]
         h ^= h >> np.uint64(29)
-        n *= 2
+        n += step
     return h * _K2
 
 
-def anchors(data: np.ndarray, valid: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def anchors(data: np.ndarray, valid: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The segments of a piece: first passage, number of passages, and hash of the anchor. ``valid`` says where passages start."""
-    gram = gram_length(length)
     if len(data) < length:
         return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),)
     h = _gram_hashes(data, gram)
@@ -80,8 +90,9 @@ def _pieces(lengths: np.ndarray, length: int) -> Iterator[tuple[int, int, int, i
         yield first, k, 0, total
 
 
-def segments(found: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def segments(found: list[bytes], length: int, gram: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Per piece: text, first passage in it, number of passages and anchor of every segment."""
+    gram = gram or gram_lengths(length)[0]
     lengths = np.array([len(t) for t in found], np.int64)
     for first, last, a, b in _pieces(lengths, length):
         own = lengths[first:last] if last - first > 1 or a == 0 and b == lengths[first] else np.array([b - a])
@@ -89,7 +100,7 @@ def segments(found: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.n
         begin = np.cumsum(own) - own
         which = np.repeat(np.arange(len(own)), own)
         valid = np.arange(len(data)) - begin[which] + length <= own[which]
-        start, n, key = anchors(data, valid, length)
+        start, n, key = anchors(data, valid, length, gram)
         yield first + which[start], start - begin[which[start]] + a, n, key
 
 
@@ -126,11 +137,11 @@ _CLASS_SQL = "key long, same long, order long, th long, start long, n int"
 def _cut_out(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The bytes of the wanted segments of each text."""
-        schema = pa.schema([*_CLASS, ("many", pa.bool_()), ("bytes", pa.binary())])
+        schema = pa.schema([*_CLASS, ("bytes", pa.binary())])
         for b in slices(batches, "__text"):
             out = []
             for order, th, t, wanted in zip(*(b.column(c).to_pylist() for c in ("order", "th", "__text", "wanted")), strict=True):
-                out += [(w["key"], w["same"], order, th, w["start"], w["n"], w["many"], t[w["start"] : w["start"] + w["n"] + length - 1]) for w in wanted]
+                out += [(w["key"], w["same"], order, th, w["start"], w["n"], t[w["start"] : w["start"] + w["n"] + length - 1]) for w in wanted]
             for at in range(0, len(out), 20_000):
                 yield batch(schema, *map(list, zip(*out[at : at + 20_000], strict=True)))
 
@@ -146,8 +157,11 @@ def _factored(length: int):
         held: list[pa.Table] = []
         size = 0
         for g in _groups(batches, ["key"]):
-            held.append(g.sort_by([("order", "ascending"), ("th", "ascending"), ("start", "ascending")]))
-            size += sum(map(len, g.column("bytes").to_pylist()))
+            by = [g.column(c).to_numpy() for c in ("start", "th", "order")]
+            at = np.lexsort(by)
+            at = at[np.concatenate([[True], np.any([c[at][1:] != c[at][:-1] for c in by], axis=0)])]  # once, if its row is repeated
+            held.append(g.take(at))
+            size += held[-1].column("bytes").nbytes
             if size >= SYMBOLS:
                 yield from _matches(pa.concat_tables(held), length)
                 held, size = [], 0
@@ -162,16 +176,14 @@ def _matches(t: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
     symbols = np.frombuffer(b"".join(p + b"\0" for p in parts), np.uint8).astype(np.int64) + 1
     ends = np.cumsum([len(p) + 1 for p in parts]) - 1
     symbols[ends] = 0  # no passage reaches beyond it
-    order, levels = suffix_order(symbols, length)
-    shared = common_prefixes(order, levels)
     starts = ends - np.array([len(p) for p in parts])
     passage = np.zeros(len(symbols) + 1, np.int8)
     np.add.at(passage, starts, 1)
     np.add.at(passage, starts + n, -1)
-    passage = np.cumsum(passage[:-1]) > 0
+    order, shared = passage_order(symbols, np.flatnonzero(np.cumsum(passage[:-1]) > 0), length)
     # Segments of different anchors hold no equal passages, so no match leaves its anchor.
-    earlier = (factors(order, shared) >= length) & passage
-    anywhere = earlier | (factors(order, shared, earlier=False) >= length) & passage
+    earlier = factors(order, shared) >= length
+    anywhere = earlier | (factors(order, shared, earlier=False) >= length)
     for hit, flag in ((earlier, True), (anywhere, False)):
         a, b = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]]))).reshape(-1, 2).T
         if len(a):
@@ -179,18 +191,57 @@ def _matches(t: pa.Table, length: int) -> Iterator[pa.RecordBatch]:
             yield batch(_MATCH, t.column("key").to_numpy()[k], t.column("same").to_numpy()[k], (a - starts[k]).astype(np.int32), (b - starts[k]).astype(np.int32), [flag] * len(a))
 
 
-def _hashed(length: int):
+_PART_SQL = "key long, same long, order long, th long, start long, at int, n int, key2 long, same2 long, bytes binary"
+
+
+def _parted(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each passage of a segment, as a hash."""
-        schema = pa.schema([*_CLASS[:-1], ("at", pa.int32()), ("h0", pa.int64()), ("h1", pa.int64())])
-        for b in batches:
-            for part, n, *own in zip(*(b.column(c).to_pylist() for c in ("bytes", "n", "key", "same", "order", "th", "start")), strict=True):
-                digests = np.frombuffer(b"".join(xxhash.xxh3_128_digest(part[k : k + length]) for k in range(n)), np.int64).reshape(-1, 2)
-                yield batch(schema, *[[x] * n for x in own], np.arange(n, dtype=np.int32), digests[:, 0].copy(), digests[:, 1].copy())
+        """Segments cut up by longer anchors."""
+        schema = pa.schema([*_CLASS[:-1], ("at", pa.int32()), ("n", pa.int32()), ("key2", pa.int64()), ("same2", pa.int64()), ("bytes", pa.binary())])
+        for b in slices(batches, "bytes", 1 << 20):
+            found = b.column("bytes").to_pylist()
+            own = {c: b.column(c).to_numpy() for c in ("key", "same", "order", "th", "start")}
+            for text, at, n, key in segments(found, length, gram):
+                parts = [found[t][x : x + k + length - 1] for t, x, k in zip(text.tolist(), at.tolist(), n.tolist(), strict=True)]
+                same = np.array([xxhash.xxh3_64_intdigest(p) for p in parts], np.uint64).view(np.int64)
+                yield batch(schema, *(own[c][text] for c in ("key", "same", "order", "th")), own["start"][text] + at, at.astype(np.int32), n.astype(np.int32), key.view(np.int64), same, parts)
 
     return run
 
 
+def _own() -> Column:
+    return F.struct("order", "th", "start")
+
+
+def _ranges(first: Column, m: Column, n: Column) -> Column:
+    """What a segment of a class of ``m`` equal ones makes repeat: everything, and for all but the first also what was before."""
+    whole = lambda earlier: F.struct(F.lit(0).alias("a"), n.alias("b"), F.lit(earlier).alias("earlier"))
+    return F.concat(F.when(m > 1, F.array(whole(False))).otherwise(F.array()), F.when((m > 1) & (_own() != first), F.array(whole(True))).otherwise(F.array()))
+
+
+def _matched(cut: DataFrame, length: int, grams: list[int]) -> DataFrame:
+    """Passages that recur in another segment of the anchor (key, same, a, b, earlier), of the distinct segments of each anchor."""
+    counts = cut.groupBy("key").agg(F.count("*").alias("c"))
+    few = cut.join(counts.where((F.col("c") > 1) & (F.col("c") <= SEGMENTS)).select("key"), "key")
+    matches = few.select("key", "same", "order", "th", "start", "n", "bytes").repartition("key").sortWithinPartitions("key").mapInArrow(_factored(length), "key long, same long, a int, b int, earlier boolean")
+    many = cut.join(counts.where(F.col("c") > SEGMENTS).select("key"), "key")
+    if not grams or many.isEmpty():
+        return matches
+    parts = many.select("key", "same", "order", "th", "start", "bytes").mapInArrow(_parted(length, grams[0]), _PART_SQL)
+    parts = stored(parts)
+    again = parts.groupBy("key2").agg(F.count("*").alias("c")).where("c > 1").select("key2")
+    parts = parts.join(again, "key2")
+    classes = parts.groupBy("key2", "same2").agg(F.min(_own()).alias("first"), F.count("*").alias("m"), F.first("n").alias("n"), F.first("bytes").alias("bytes"))
+    classes = stored(classes)
+    inner = _matched(classes.select(F.col("key2").alias("key"), F.col("same2").alias("same"), "first.order", "first.th", "first.start", "n", "bytes"), length, grams[1:])
+    inner = inner.groupBy(F.col("key").alias("key2"), F.col("same").alias("same2")).agg(F.collect_list(F.struct("a", "b", "earlier")).alias("ranges"))
+    found = classes.select("key2", "same2", "first", "m").join(inner, ["key2", "same2"], "left").where("m > 1 OR ranges IS NOT NULL")
+    here = parts.select("key", "same", "order", "th", "start", "at", "n", "key2", "same2").join(found, ["key2", "same2"])
+    ranges = F.concat(_ranges(F.col("first"), F.col("m"), F.col("n")), F.coalesce("ranges", F.array()))
+    apart = here.select("key", "same", "at", F.explode(ranges).alias("r")).select("key", "same", (F.col("at") + F.col("r.a")).alias("a"), (F.col("at") + F.col("r.b")).alias("b"), "r.earlier")
+    return matches.unionByName(apart)
+
+
 def _rows(docs: DataFrame, id_col: str, text_col: str, keep: list[str]) -> DataFrame:
     """Texts with what identifies them in every scan: the id as a number (of another type: its hash) and a hash of the text."""
     number = F.col(id_col).cast("long") if docs.schema[id_col].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint") else F.xxhash64(id_col)
@@ -212,43 +263,41 @@ def find_repeats(rows: DataFrame, length: int) -> DataFrame:
     kept = stored(texts_.mapInArrow(_listed(length), "order long, th long, start long, n int, key long, same long").join(again, "key"))
     classes = kept.groupBy("key", "same").agg(F.min(F.struct("order", "th", "start")).alias("first"), F.count("*").alias("m"), F.min("n").alias("n"))
     classes = stored(classes)
-    counts = classes.groupBy("key").agg((F.count("*") > SEGMENTS).alias("many"), F.count("*").alias("c")).where("c > 1").select("key", "many")
+    several = classes.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
 
     wanted = (
-        classes.join(counts, "key")
+        classes.join(several, "key")
         .groupBy(F.col("first.order").alias("order"), F.col("first.th").alias("th"))
-        .agg(F.collect_list(F.struct("key", "same", "first.start", "n", "many")).alias("wanted"))
+        .agg(F.collect_list(F.struct("key", "same", "first.start", "n")).alias("wanted"))
     )
-    cut = stored(texts_.join(wanted, ["order", "th"]).select("order", "th", "__text", "wanted").mapInArrow(_cut_out(length), f"{_CLASS_SQL}, many boolean, bytes binary"))
-    few = cut.where("NOT many").drop("many").repartition("key").sortWithinPartitions("key").mapInArrow(_factored(length), "key long, same long, a int, b int, earlier boolean")
-
-    own = F.struct("order", "th", "start")
-    passages = cut.where("many").drop("many").mapInArrow(_hashed(length), "key long, same long, order long, th long, start long, at int, h0 long, h1 long")
-    common = passages.groupBy("h0", "h1").agg(F.min(own).alias("first"), F.count("*").alias("c")).where("c > 1").select("h0", "h1", "first")
-    met = passages.join(common, ["h0", "h1"]).select("key", "same", F.col("at").alias("a"), (F.col("at") + 1).alias("b"), F.explode(F.array(F.lit(False), F.lit(True))).alias("earlier"), (own > F.col("first")).alias("later"))
-    matches = few.unionByName(met.where("NOT earlier OR later").drop("later"))
+    cut = stored(texts_.join(wanted, ["order", "th"]).select("order", "th", "__text", "wanted").mapInArrow(_cut_out(length), f"{_CLASS_SQL}, bytes binary"))
+    matches = _matched(cut, length, gram_lengths(length)[1:])
 
     ranges = matches.groupBy("key", "same").agg(F.collect_list(F.struct("a", "b", "earlier")).alias("ranges"))  # at most one for each passage
     found = classes.join(ranges, ["key", "same"], "left").where("m > 1 OR ranges IS NOT NULL").select("key", "same", "m", "first", "ranges")
-    whole = lambda earlier: F.struct(F.lit(0).alias("a"), F.col("n").alias("b"), F.lit(earlier).alias("earlier"))
-    spans = F.concat(
-        F.when(F.col("m") > 1, F.array(whole(False))).otherwise(F.array()),
-        F.when((F.col("m") > 1) & (own != F.col("first")), F.array(whole(True))).otherwise(F.array()),
-        F.coalesce("ranges", F.array()),
-    )
+    spans = F.concat(_ranges(F.col("first"), F.col("m"), F.col("n")), F.coalesce("ranges", F.array()))
     placed = kept.join(found, ["key", "same"]).select("order", "th", F.transform(spans, lambda r: F.struct((r["a"] + F.col("start")).alias("a"), (r["b"] + F.col("start")).alias("b"), r["earlier"].alias("earlier"))).alias("spans"))
     return placed.groupBy("order", "th").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
-def covered(spans: list[dict], length: int, earlier: bool) -> list[tuple[int, int]]:
-    """The maximal runs of bytes that the passages cover."""
-    out: list[tuple[int, int]] = []
-    for a, b in sorted((s["a"], s["b"] + length - 1) for s in spans if s["earlier"] == earlier):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+def covered(spans: pa.Array, length: int, earlier: bool) -> Iterator[list[tuple[int, int]]]:
+    """Per row, the maximal runs of bytes that the passages cover."""
+    spans = spans.combine_chunks() if isinstance(spans, pa.ChunkedArray) else spans
+    sizes = pc.fill_null(pc.list_value_length(spans), 0).to_numpy().astype(np.int64)
+    flat = spans.flatten()
+    a, b = flat.field("a").to_numpy(zero_copy_only=False), flat.field("b").to_numpy(zero_copy_only=False) + length - 1
+    mine = flat.field("earlier").to_numpy(zero_copy_only=False) == earlier
+    row = np.repeat(np.arange(len(sizes)), sizes)[mine]
+    order = np.lexsort([a[mine], row])
+    row, a, b = row[order], a[mine][order], b[mine][order]
+    edges = np.searchsorted(row, np.arange(len(sizes) + 1))
+    for s, e in zip(edges.tolist(), edges[1:].tolist(), strict=False):
+        if s == e:
+            yield []
+            continue
+        reach = np.maximum.accumulate(b[s:e])
+        first = np.flatnonzero(np.concatenate([[True], a[s + 1 : e] > reach[:-1]]))
+        yield list(zip(a[s:e][first].tolist(), reach[np.append(first[1:] - 1, e - s - 1)].tolist(), strict=True))
 
 
 def _removed(text: bytes, runs: list[tuple[int, int]]) -> bytes:
@@ -284,8 +333,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "__text"):
             removed, n, digests = [], [], []
-            for text, spans in zip(b.column("__text").to_pylist(), b.column("spans").to_pylist(), strict=True):
-                runs = covered(spans or [], length, earlier)
+            for text, runs in zip(b.column("__text").to_pylist(), covered(b.column("spans"), length, earlier), strict=True):
                 removed.append(sum(y - x for x, y in runs))
                 n.append(len(runs))
                 digests.append(hashlib.sha256(_removed(text, runs)).hexdigest())
@@ -309,8 +357,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "__text"):
             out = []
-            for text, spans, was in zip(*(b.column(c).to_pylist() for c in ("__text", "spans", "__null")), strict=True):
-                runs = _whole_characters(text, covered(spans or [], length, True))
+            for text, runs, was in zip(b.column("__text").to_pylist(), covered(b.column("spans"), length, True), b.column("__null").to_pylist(), strict=True):
+                runs = _whole_characters(text, runs)
                 out.append(None if was else _removed(text, runs).decode())
             names = [n for n in b.schema.names if n not in ("__text", "spans", "__null")]
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(out, pa.string())], names=[*names, last])

@@ -13,6 +13,31 @@ def _ranks(code: np.ndarray) -> np.ndarray:
     return new
 
 
+def passage_order(symbols: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """``starts``, ascending, in the order of the ``depth`` symbols that stand there, equal ones in ascending order.
+
+    Also, for each place, ``depth`` if its symbols are those of the place before and 0 if not: common prefixes, of which
+    shorter ones don't count. Symbols are below 512; the first ranks are those of seven packed into a number.
+    """
+    length = min(7, depth)
+    code = np.zeros(len(symbols), np.int64)
+    for k in range(length):
+        code[: max(0, len(symbols) - k)] |= symbols[k:].astype(np.int64) << (9 * (length - 1 - k))
+    rank = _ranks(code)
+    while 2 * length < depth:
+        after = np.zeros(len(rank), np.int64)
+        after[: max(0, len(rank) - length)] = rank[length:] + 1
+        rank = _ranks((rank << 32) | after)
+        length *= 2
+    last = rank[starts] << 32
+    if depth > length:
+        last |= rank[starts + depth - length]
+    by = np.argsort(last, kind="stable")
+    same = np.zeros(len(by), np.int64)
+    same[1:][last[by][1:] == last[by][:-1]] = depth
+    return starts[by], same
+
+
 def suffix_order(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
     """Positions by their suffixes up to ``depth`` symbols, equal ones in ascending order, and the ranks by fewer symbols.
 
@@ -24,7 +49,7 @@ def suffix_order(symbols: np.ndarray, depth: int) -> tuple[np.ndarray, list[tupl
         length, rank = levels[-1]
         step = min(length, depth - length)
         after = np.zeros(len(rank), np.int64)
-        after[: len(rank) - step] = rank[step:] + 1
+        after[: max(0, len(rank) - step)] = rank[step:] + 1
         levels.append((length + step, _ranks((rank << 32) | after)))
     return np.argsort(levels[-1][1], kind="stable"), levels
 
@@ -54,13 +79,13 @@ def _nearest(order: np.ndarray, shared: np.ndarray) -> np.ndarray:
     n = len(order)
     to = np.arange(n) - 1
     low = shared.copy()
-    open_ = np.flatnonzero(to >= 0)
+    open_ = np.flatnonzero((to >= 0) & (low > 0))
     open_ = open_[order[to[open_]] > order[open_]]
     while len(open_):
         at = to[open_]
         low[open_] = np.minimum(low[open_], low[at])  # all skipped places hold larger positions
         to[open_] = to[at]
-        open_ = open_[to[open_] >= 0]
+        open_ = open_[(to[open_] >= 0) & (low[open_] > 0)]
         open_ = open_[order[to[open_]] > order[open_]]
     low[to < 0] = 0
     return low
@@ -74,6 +99,6 @@ def factors(order: np.ndarray, shared: np.ndarray, earlier: bool = True) -> np.n
     keys = order if earlier else -order
     back = np.concatenate([[0], shared[:0:-1]]) if len(shared) else shared
     best = np.maximum(_nearest(keys, shared), _nearest(keys[::-1], back)[::-1])
-    out = np.zeros(len(order), np.int64)
+    out = np.zeros(int(order.max()) + 1 if len(order) else 0, np.int64)
     out[order] = best
     return out
