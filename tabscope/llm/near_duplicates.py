@@ -104,7 +104,7 @@ def odd_sketches(sampled: np.ndarray) -> np.ndarray:
 
 def differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Bits in which each sketch of a differs from each of b."""
-    return np.bitwise_count(a[:, None] ^ b[None]).sum(2)
+    return np.bitwise_count((a[:, None] ^ b[None]).view(np.uint64)).sum(2)  # of signed numbers it counts the absolute value
 
 
 def similar(common: np.ndarray, a: int, b: np.ndarray, percent: int) -> np.ndarray:

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from llm_helpers import pairs
+from llm_helpers import no_docs, pairs  # noqa: F401
 
 from tabscope.llm import decontaminate as d
 

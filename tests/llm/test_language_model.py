@@ -3,7 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from llm_helpers import SF, read
+from llm_helpers import SF, awkward, no_docs, read  # noqa: F401
 
 from tabscope.llm import language_model as lm
 

@@ -3,7 +3,7 @@ import random
 from collections import defaultdict
 
 import pytest
-from llm_helpers import SF, read
+from llm_helpers import SF, awkward, no_docs, read  # noqa: F401
 
 from tabscope.llm import packing as p
 

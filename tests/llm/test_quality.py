@@ -1,5 +1,5 @@
 import numpy as np
-from llm_helpers import SF, read
+from llm_helpers import SF, awkward, no_docs, read  # noqa: F401
 
 from tabscope.llm import quality as q
 

@@ -2,7 +2,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 
-from llm_helpers import SF, pairs, read
+from llm_helpers import SF, awkward, no_docs, pairs, read  # noqa: F401
 
 from tabscope.llm import token_counts
 

@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
-from llm_helpers import SF, pairs, read
+from llm_helpers import SF, awkward, no_docs, pairs, read  # noqa: F401
 from tokenizers import Tokenizer
 
 from tabscope.llm import token_files
