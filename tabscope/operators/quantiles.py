@@ -4,12 +4,15 @@ Spark's own ``percentile`` keeps every distinct value of a group in one
 aggregation buffer, which a hot group of a large table does not fit. Here the
 values are counted in order-preserving buckets first (partial aggregation, a
 bounded number of buckets per group), the running counts tell which bucket
-holds each wanted rank, and only the values of those few buckets are sorted.
+holds each wanted rank, and only the values of those few buckets are sorted. A
+bucket with many values is cut evenly into smaller ones first, as often as it
+takes; where no bucket is that large, adaptive execution drops these steps.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +22,12 @@ from pyspark.sql import functions as F
 # wanted rank holds about one in 16,000.
 BUCKETS_PER_OCTAVE = 8192
 
+# Rows of a bucket that are sorted at most, the parts a larger one is cut into, and
+# how often: after that, a part holds a single double.
+MOST_SORTED = 65_536
+_PARTS = 1 << 20
+_CUTS = 2
+
 # Added to the exponent to keep it positive for the smallest double.
 _OFFSET = 1100
 _LARGEST = 1.7976931348623157e308
@@ -89,44 +98,71 @@ def quantiles(
     ).selectExpr(
         *[_quoted(k) for k in keys], "_n", "_rank", "CASE WHEN _rank = _start OR _lo = _hi THEN _lo ELSE _hi END AS _v"
     )
+    names = [_quoted(k) for k in keys]
+    aliases = [f"{k} AS _k{i}" for i, k in enumerate(names)]
+    own = [f"_k{i} AS {k}" for i, k in enumerate(names)]
+    bounds = ["_bb", "_n", "_start", "_lo", "_hi", "_r"]
     brackets = (
         located.where("_b IS NOT NULL AND _lo < _hi")
         .withColumn("_r", F.expr("filter(_r, r -> r > _start AND r < _end - 1)"))
         .where("size(_r) > 0")
-        .selectExpr(*[f"{_quoted(k)} AS _k{i}" for i, k in enumerate(keys)], "_b AS _bb", "_n", "_start", "_r")
+        .selectExpr(*aliases, "_b AS _bb", "_n", "_start", "_end - _start AS _c", "_lo", "_hi", "_r")
     )
-    same = " AND ".join([f"{_quoted(k)} <=> _k{i}" for i, k in enumerate(keys)] + ["_b = _bb"])
+    same = " AND ".join([f"{k} <=> _k{i}" for i, k in enumerate(names)] + ["_b = _bb", "_v >= _lo", "_v <= _hi"])
     filled = rows.where("_v IS NOT NULL")
-    if few_groups:
-        # _n, _start and _r depend on the group and bucket; as grouping keys they
-        # leave a plain counter to aggregate.
-        bracketed = (
-            filled.join(F.broadcast(brackets), F.expr(same))
-            .groupBy(*keys, "_b", "_v", "_n", "_start", "_r")
-            .agg(F.expr("count(*) AS _c"))
+
+    def bracketed(inside: DataFrame, extra: Sequence[str]) -> DataFrame:
+        """Values inside the brackets, counted by what describes their bracket and by ``extra`` of them."""
+        if few_groups:
+            # All columns of a bracket depend on it; as grouping keys they leave a
+            # plain counter to aggregate.
+            met = filled.join(F.broadcast(inside), F.expr(same)).selectExpr(*own, *bounds, "_v", "1L AS _m", *extra)
+        else:
+            # Repeated values are combined before the join, so that a hot value or
+            # group reaches it as one row per distinct value.
+            values = filled.groupBy(*keys, "_b", "_v").agg(F.expr("count(*) AS _m"))
+            met = values.join(inside, F.expr(same)).selectExpr(*own, *bounds, "_v", "_m", *extra)
+        return met
+
+    parts = []
+    for _ in range(_CUTS):
+        parts.append(brackets.where(f"_c <= {MOST_SORTED}"))
+        cut = f"least(floor((_v - _lo) / (_hi - _lo) * {_PARTS}), {_PARTS - 1}) AS _s"
+        grouped = bracketed(brackets.where(f"_c > {MOST_SORTED}"), [cut]).groupBy(*keys, *bounds, "_s").agg(
+            F.expr("sum(_m) AS _c"), F.expr("min(_v) AS _least"), F.expr("max(_v) AS _most")
+        )
+        before = Window.partitionBy(*keys, "_bb", "_lo").orderBy("_s").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        placed = (
+            grouped.withColumn("_to", F.col("_start") + F.sum("_c").over(before))
+            .withColumn("_from", F.expr("_to - _c"))
+            .withColumn("_r", F.expr("filter(_r, r -> r >= _from AND r < _to)"))
+            .where("size(_r) > 0")
         )
-    else:
-        # Repeated values are combined before the join, so that a hot value or
-        # group reaches it as one row per distinct value.
-        bracketed = (
-            filled.groupBy(*keys, "_b", "_v").agg(F.expr("count(*) AS _c")).join(brackets, F.expr(same))
+        known = known.unionByName(
+            placed.selectExpr(*names, "_n", "_from", "_least", "_most", "explode(filter(_r, r -> _least = _most OR r = _from OR r = _to - 1)) AS _rank")
+            .selectExpr(*names, "_n", "_rank", "CASE WHEN _rank = _from OR _least = _most THEN _least ELSE _most END AS _v")
         )
-    in_bucket = (
-        Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        brackets = (
+            placed.where("_least < _most")
+            .withColumn("_r", F.expr("filter(_r, r -> r > _from AND r < _to - 1)"))
+            .where("size(_r) > 0")
+            .selectExpr(*aliases, "_bb", "_n", "_from AS _start", "_c", "_least AS _lo", "_most AS _hi", "_r")
+        )
+    parts.append(brackets)
+    values = bracketed(reduce(DataFrame.unionByName, parts), []).groupBy(*keys, *bounds, "_v").agg(F.expr("sum(_m) AS _c"))
+    in_bracket = (
+        Window.partitionBy(*keys, "_bb", "_lo").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    refined = bracketed.withColumn("_end", F.col("_start") + F.sum("_c").over(in_bucket)).selectExpr(
-        *[_quoted(k) for k in keys],
-        "_n",
-        "explode(filter(_r, r -> r >= _end - _c AND r < _end)) AS _rank",
-        "_v",
+    refined = values.withColumn("_end", F.col("_start") + F.sum("_c").over(in_bracket)).selectExpr(
+        *names, "_n", "explode(filter(_r, r -> r >= _end - _c AND r < _end)) AS _rank", "_v"
     )
     found = (
         known.unionByName(refined)
         .groupBy(*keys)
         .agg(F.expr("max(_n) AS _n"), F.expr("map_from_entries(collect_list(struct(_rank, _v))) AS _at"))
     )
-    values = ", ".join(_interpolated(p, place) for p, place in zip(probabilities, places))
-    return found.selectExpr(*[_quoted(k) for k in keys], "_n AS n", f"array({values}) AS q")
+    wanted = ", ".join(_interpolated(p, place) for p, place in zip(probabilities, places))
+    return found.selectExpr(*[_quoted(k) for k in keys], "_n AS n", f"array({wanted}) AS q")
 
 
 def _quoted(name: str) -> str:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import tabscope as ts
+import tabscope.operators.quantiles
 from conftest import as_dict, one, records
 from tabscope.operators.quantiles import quantiles
 
@@ -69,6 +70,24 @@ def test_quantiles_against_brute_force(spark, seed, few_groups):
             assert got == pytest.approx(low + (high - low) * (place - math.floor(place)), rel=1e-9)
 
 
+@pytest.mark.parametrize("few_groups", [True, False])
+@pytest.mark.parametrize("kind", ["ids", "times", "far", "wide"])
+def test_large_buckets_are_cut(spark, monkeypatch, kind, few_groups):
+    monkeypatch.setattr(tabscope.operators.quantiles, "MOST_SORTED", 50)
+    rng = np.random.default_rng(4)
+    values = {
+        "ids": 1e12 + rng.permutation(30_000),
+        "times": 1.7e9 + rng.integers(0, 86_400, 30_000),
+        "far": 1.0 + 2.0**-52 * rng.integers(0, 2**20, 30_000),
+        "wide": np.concatenate([rng.normal(0, 1e-300, 10_000), rng.normal(1e300, 1, 20_000)]),
+    }[kind]
+    groups = np.where(rng.random(30_000) < 0.9, "hot", "other")
+    df = spark.createDataFrame(pd.DataFrame({"g": groups, "v": values})).repartition(6)
+    p = [0.0, 0.1, 0.25, 0.5, 0.999, 1.0]
+    for r in quantiles(df, ["g"], "v", p, few_groups).collect():
+        assert r["q"] == pytest.approx(np.quantile(values[groups == r["g"]], p).tolist(), rel=1e-15)
+
+
 def test_quantiles_with_infinities(spark):
     df = spark.createDataFrame([("a", v) for v in (float("inf"), 1.0, 2.0, -float("inf"), 3.0)], "g string, v double")
     assert quantiles(df, ["g"], "v", [0.25, 0.5, 0.75], True).first()["q"] == [1.0, 2.0, 3.0]
