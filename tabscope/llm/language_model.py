@@ -31,17 +31,20 @@ from tabscope.llm.near_duplicates import _Hashes
 #: Contexts: the start of a text, the most frequent words, and what the others share.
 CONTEXTS, OWN = 1 << 16, 8192
 START = 0
+#: In place of a task of a word: the row is about a block's texts.
+_HEAD = -1
 #: The end of a text, as a word.
 END = 0x5851F42D4C957F2D
 #: Customers of a dish up to which the tables are drawn exactly.
 EXACT = 64
 #: Occurrences of a word that go to one task, and blocks of documents in bytes.
-SHARE, BLOCK = 500_000, 16 << 20
+SHARE, BLOCK = 500_000, 12 << 20
 
 _hashes = _Hashes()
-_PAIR = np.dtype([("u", "<u2"), ("c", "<u4")])
+#: A context and its customers; of a block, more of them than fit are several pairs.
+_PAIR, _SHORT = np.dtype([("u", "<u2"), ("c", "<u4")]), np.dtype([("u", "<u2"), ("c", "u1")])
 _PLACE = np.dtype([("doc", "<u2"), ("u", "<u2")])
-_SUMS = np.dtype([("doc", "<u2"), ("score", "<f8"), ("base", "<f8"), ("known", "<u4")])
+_SUMS = np.dtype([("doc", "<u2"), ("score", "<f4"), ("base", "<f8"), ("known", "<u4")])
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -129,11 +132,12 @@ class _Block:
 
     def __init__(self, texts: list[bytes], own: np.ndarray):
         tokens, self.counts = _tokens(texts)
-        self.words, self.word = np.unique(tokens, return_inverse=True)
-        before = np.concatenate([[START], contexts_of(self.words, own)[self.word[:-1]]])
+        self.words, word = np.unique(tokens, return_inverse=True)
+        self.word = word.astype(np.int32)
+        before = np.concatenate([[START], contexts_of(self.words, own)[self.word[:-1]]]).astype(np.int32)
         before[np.cumsum(self.counts) - self.counts] = START
         self.context = before
-        self.text = np.repeat(np.arange(len(texts)), self.counts)
+        self.text = np.repeat(np.arange(len(texts), dtype=np.int32), self.counts)
 
 
 def _blobs(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -169,9 +173,12 @@ def _customers(shared):
         for k, b in enumerate(slices(batches, "__text", BLOCK)):
             block = _Block(b.column("__text").to_pylist(), own)
             pair, n = np.unique(block.word.astype(np.int64) * CONTEXTS + block.context, return_counts=True)
-            data = np.empty(len(pair), _PAIR)
-            data["u"], data["c"] = pair % CONTEXTS, n
-            word, sizes = np.unique(pair // CONTEXTS, return_counts=True)
+            times = -(-n // 255)
+            data = np.empty(int(times.sum()), _SHORT)
+            data["u"], data["c"] = np.repeat(pair % CONTEXTS, times), 255
+            last = np.cumsum(times) - 1
+            data["c"][last] = n - 255 * (times - 1)
+            word, sizes = np.unique(np.repeat(pair // CONTEXTS, times), return_counts=True)
             words = block.words[word].view(np.int64)
             yield batch(schema, words, _salts(words, shares, k), _blobs(data, sizes))
 
@@ -189,17 +196,20 @@ def _salts(words: np.ndarray, shares: tuple[np.ndarray, np.ndarray], k: int) ->
     return out
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted by word: one row for each, its contexts in order with their counts."""
-    schema = pa.schema([("word", pa.int64()), ("data", pa.binary())])
-    for words, data, sizes in _runs(batches, _PAIR):
-        code = np.repeat(np.cumsum(np.concatenate([[0], words[1:] != words[:-1]])), sizes) * CONTEXTS + data["u"]
-        order = np.argsort(code, kind="stable")
-        code = code[order]
-        first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
-        pairs = np.empty(len(first), _PAIR)
-        pairs["u"], pairs["c"] = code[first] % CONTEXTS, np.add.reduceat(data["c"][order].astype(np.int64), first)
-        yield batch(schema, words[np.concatenate([[True], words[1:] != words[:-1]])], _blobs(pairs, np.unique(code[first] // CONTEXTS, return_counts=True)[1]))
+def _merged(kind: np.dtype):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Sorted by word: one row for each, its contexts in order with their counts."""
+        schema = pa.schema([("word", pa.int64()), ("data", pa.binary())])
+        for words, data, sizes in _runs(batches, kind):
+            code = np.repeat(np.cumsum(np.concatenate([[0], words[1:] != words[:-1]])), sizes) * CONTEXTS + data["u"]
+            order = np.argsort(code, kind="stable")
+            code = code[order]
+            first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+            pairs = np.empty(len(first), _PAIR)
+            pairs["u"], pairs["c"] = code[first] % CONTEXTS, np.add.reduceat(data["c"][order].astype(np.int64), first)
+            yield batch(schema, words[np.concatenate([[True], words[1:] != words[:-1]])], _blobs(pairs, np.unique(code[first] // CONTEXTS, return_counts=True)[1]))
+
+    return run
 
 
 def _runs(batches: Iterator[pa.RecordBatch], kind: np.dtype, most: int = 1_000_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -333,10 +343,10 @@ def train(docs: DataFrame, text_col: str = "text", steps: int = 5, burn_in: int
     hot = heavy[heavy["n"] > SHARE].sort_values("word")
     shares = hot["word"].to_numpy(np.int64), (1 + hot["n"].to_numpy(np.int64) // SHARE)
     shared = spark.sparkContext.broadcast((own, shares))
-    merged = rows.mapInArrow(_customers(shared), "word long, salt int, data binary").repartition("word", "salt").sortWithinPartitions("word").select("word", "data").mapInArrow(_merged, "word long, data binary")
+    merged = rows.mapInArrow(_customers(shared), "word long, salt int, data binary").repartition("word", "salt").sortWithinPartitions("word").select("word", "data").mapInArrow(_merged(_SHORT), "word long, data binary")
     many = F.col("word").isin(shares[0].tolist()) if len(shares[0]) else F.lit(False)
     merged = stored(merged)
-    again = merged.where(many).repartition("word").sortWithinPartitions("word").mapInArrow(_merged, "word long, data binary")
+    again = merged.where(many).repartition("word").sortWithinPartitions("word").mapInArrow(_merged(_PAIR), "word long, data binary")
     words = stored(merged.where(~many).unionByName(again)) if len(shares[0]) else merged
 
     c, t, x = _sums(words, _start)
@@ -353,6 +363,8 @@ def train(docs: DataFrame, text_col: str = "text", steps: int = 5, burn_in: int
 
 
 def _sent(shared, id_col: str):
+    schema = pa.schema([("word", pa.int64()), ("salt", pa.int32()), ("block", pa.int64()), ("data", pa.binary())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per block: for each word the texts and contexts where it stands, and one row with what is known of its texts."""
         own, shares = shared.value
@@ -366,13 +378,12 @@ def _sent(shared, id_col: str):
             data["doc"], data["u"] = block.text[order], block.context[order]
             words = block.words.view(np.int64)
             n = len(words)
-            schema = pa.schema([("word", pa.int64()), ("salt", pa.int32()), ("kind", pa.int32()), ("block", pa.int64()), ("data", pa.binary())])
-            yield batch(schema, words, _salts(words, shares, name), np.ones(n, np.int32), np.full(n, name), _blobs(data, np.bincount(block.word, minlength=n)))
+            yield batch(schema, words, _salts(words, shares, name), np.full(n, name), _blobs(data, np.bincount(block.word, minlength=n)))
             head = pa.table({"id": b.column(id_col), "n": pa.array(block.counts)})
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, head.schema) as out:
                 out.write_table(head)
-            yield batch(schema, [name * 2654435761 % (1 << 62)], [0], [2], [name], [sink.getvalue().to_pybytes()])
+            yield batch(schema, [name * 2654435761 % (1 << 62)], [_HEAD], [name], [sink.getvalue().to_pybytes()])
 
     return run
 
@@ -387,14 +398,14 @@ def _texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _dealt(shares: tuple[np.ndarray, np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Words of the model, those that several tasks need to each of them."""
-        schema = pa.schema([("word", pa.int64()), ("salt", pa.int32()), ("kind", pa.int32()), ("block", pa.int64()), ("data", pa.binary())])
+        schema = pa.schema([("word", pa.int64()), ("salt", pa.int32()), ("block", pa.int64()), ("data", pa.binary())])
         hot = dict(zip(shares[0].tolist(), shares[1].tolist(), strict=True))
         for b in batches:
             words = b.column("word").to_pylist()
             at = [k for k, w in enumerate(words) for _ in range(hot.get(w, 1))]
             salts = [s for w in words for s in range(hot.get(w, 1))]
             t = b.take(pa.array(at, pa.int64()))
-            yield batch(schema, t.column("word"), salts, np.zeros(len(at), np.int32), np.zeros(len(at), np.int64), t.column("data"))
+            yield batch(schema, t.column("word"), salts, np.full(len(at), -1), t.column("data"))
 
     return run
 
@@ -408,11 +419,11 @@ def _scored(shared, samples: tuple[int, int, int]):
         for b in batches:
             if not b.num_rows:
                 continue
-            kind = b.column("kind").to_numpy()
-            head = b.filter(pa.array(kind == 2))
+            heads = b.column("salt").to_numpy() == _HEAD
+            head = b.filter(pa.array(heads))
             if head.num_rows:
                 yield batch(schema, head.column("block"), np.zeros(head.num_rows, np.int32), head.column("data"))
-            held.append(b.filter(pa.array(kind < 2)))
+            held.append(b.filter(pa.array(~heads)))
             size += held[-1].column("data").nbytes
             if size >= 8 << 20:
                 t = pa.Table.from_batches(held).combine_chunks()
@@ -421,22 +432,22 @@ def _scored(shared, samples: tuple[int, int, int]):
                 if cut or size >= 64 << 20:  # of a word that fills it alone, only the row of the model is needed again
                     cut = cut or len(words)
                     yield from sums(t.slice(0, cut), totals, schema)
-                    rest = t.slice(cut) if cut < len(words) else t.slice(0, 1).filter(pc.equal(t.slice(0, 1).column("kind"), 0))
+                    rest = t.slice(cut) if cut < len(words) else t.slice(0, 1).filter(pc.less(t.slice(0, 1).column("block"), 0))
                     held = rest.to_batches()
                     size = sum(x.column("data").nbytes for x in held)
         if held:
             yield from sums(pa.Table.from_batches(held).combine_chunks(), totals, schema)
 
     def sums(t: pa.Table, totals: Totals, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-        kind, words, blocks = (t.column(c).to_numpy() for c in ("kind", "word", "block"))
-        places = np.flatnonzero(kind == 1)
+        words, blocks = (t.column(c).to_numpy() for c in ("word", "block"))
+        places = np.flatnonzero(blocks >= 0)
         if not len(places):
             return
         names = np.unique(words)
         base_p = np.full(len(names), totals.unknown())
         counts = np.zeros(len(names))
         pairs, tables, customers = np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
-        model = np.flatnonzero(kind == 0)
+        model = np.flatnonzero(blocks < 0)
         if len(model):
             data, sizes = _joined(t.column("data").take(pa.array(model)).combine_chunks(), _PAIR)
             tables, p, _, _ = totals.gibbs(words[model], data, sizes, *samples)  # the samples of training again
@@ -504,9 +515,9 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     shared = spark.sparkContext.broadcast((model.own, model.shares))
     totals = spark.sparkContext.broadcast(model.totals)
     rows = docs.select(F.spark_partition_id().cast("long").alias("__part"), F.col(id_col), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("__text"))
-    kinds = "word long, salt int, kind int, block long, data binary"
+    kinds = "word long, salt int, block long, data binary"
     both = rows.mapInArrow(_sent(shared, id_col), kinds).unionByName(model.words.mapInArrow(_dealt(model.shares), kinds))
-    sums = both.repartition("word", "salt").sortWithinPartitions("word", "kind").mapInArrow(_scored(totals, model.samples), "block long, kind int, data binary")
+    sums = both.repartition("word", "salt").sortWithinPartitions("word", "block").mapInArrow(_scored(totals, model.samples), "block long, kind int, data binary")
     empty = spark.createDataFrame([], docs.select(id_col).schema).toArrow().schema.field(0).type
     return (
         sums.repartition("block").sortWithinPartitions("block", "kind")
