@@ -34,7 +34,18 @@ _INDEX = np.dtype([("id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("n", "<u8"
 #: A space between two others than spaces, where the pre-tokenizer always cuts.
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 #: Fragments that a worker keeps with their ids, and the longest that is kept.
-_KEPT, _LONGEST = 400_000, 64
+_KEPT, _LONGEST = 600_000, 64
+
+
+#: White space other than the space and the line end.
+_WHITE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+
+
+def fragments(text: str) -> list[str]:
+    """The text, cut at every single space between two others than white space."""
+    if text.endswith(" ") or any(x in text for x in ("  ", " \n", "\n ", *_WHITE)):
+        return _CUT.split(text)
+    return text.split(" ")
 
 
 class Encoder:
@@ -61,7 +72,7 @@ class Encoder:
                 raise ValueError("this tokenizer doesn't cut at single spaces")
 
     def _plain(self, text: str) -> list[int]:
-        first, *others = _CUT.split(text)
+        first, *others = fragments(text)
         return sum((self.tokenizer.encode(x, add_special_tokens=False).ids for x in (first, *(" " + o for o in others))), [])
 
     def _ids(self, fragments: list[str]) -> Iterator[bytes]:
@@ -77,26 +88,21 @@ class Encoder:
             yield from (x.tobytes() for x in np.split(ids, stops[:-1] + 1))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [_CUT.split(t) for t in texts]
-        get, new = self.kept.get, set()
-        for parts in cut:
-            new.update(p for p in parts[1:] if p not in self.kept)
-        new = list(new)
+        cut = [fragments(t) for t in texts]
+        get = self.kept.get
+        found = [list(map(get, parts[1:])) for parts in cut]
+        new = list({p for parts, ids in zip(cut, found, strict=True) if None in ids for p, x in zip(parts[1:], ids, strict=True) if x is None})
         short = dict(zip(new, self._ids(new), strict=True))
         room = _KEPT - len(self.kept)
-        for p, ids in short.items() if room > 0 else ():
+        for p in new[:room] if room > 0 else ():
             if len(p) <= _LONGEST:
-                self.kept[p] = ids
-                room -= 1
-                if not room:
-                    break
+                self.kept[p] = short[p]
         first = self.tokenizer.encode_batch([p[0] for p in cut], add_special_tokens=False)
         out = []
-        for parts, f in zip(cut, first, strict=True):
-            found = list(map(get, parts[1:]))
-            if None in found:
-                found = [short[p] if x is None else x for p, x in zip(parts[1:], found, strict=True)]
-            out.append(np.asarray(f.ids, self.kind).tobytes() + b"".join(found))
+        for parts, ids, f in zip(cut, found, first, strict=True):
+            if None in ids:
+                ids = [short[p] if x is None else x for p, x in zip(parts[1:], ids, strict=True)]
+            out.append(np.asarray(f.ids, self.kind).tobytes() + b"".join(ids))
         return out
 
 
