@@ -6,9 +6,10 @@ two sketches estimates how many samples differ, precisely where similarity is hi
 sets being read. What is left is decided on the full sets.
 
 No bucket is compared pair by pair. First every member is held against one leader of each of its buckets, and
-linked documents become components. Then only buckets that still hold several components are looked at, in blocks of bounded
-size: sketches tell which document may be linked with which other component, and it is held against all members of that
-component, again in blocks. So each link between two components is found, whatever the size of a bucket.
+linked documents become components. Then only buckets that still hold several components are looked at. Their members outside
+the bucket's largest component are held against all members of that one, and against the components of each other where
+sketches, compared in blocks of bounded size, allow it. So each link between two components is found, whatever the size of a
+bucket.
 
 A pair of similarity s shares no band with probability (1 - s^4)^32: 5e-8 at 0.8. A sketch rejects such a pair less often still.
 """
@@ -135,9 +136,10 @@ def _features(id_col: str, size: int):
 
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("node", pa.int64()), ("set", pa.binary())])
         for b in slices(batches, "__text"):
-            yield batch(schema, b.column("node"), [shingles(t, size).tobytes() for t in b.column("__text").to_pylist()])
+            sets = pa.array([shingles(t, size).tobytes() for t in b.column("__text").to_pylist()], pa.binary())
+            names = ["node", *_SKETCH]
+            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), sets], names=[*names, "set"])
 
     return run
 
@@ -196,12 +198,16 @@ def _linked(percent: int):
             if not len(targets):
                 continue
             sizes = np.array([len(sets[k]) for k in targets])
-            everything = np.concatenate([sets[k] for k in targets])
-            starts = np.cumsum(sizes) - sizes
+            sketch = np.stack([g.column(c).to_numpy() for c in _SKETCH], 1)
             for p in np.flatnonzero(probe).tolist():
                 own = sets[p]
-                common = np.add.reduceat(own[np.minimum(np.searchsorted(own, everything), len(own) - 1)] == everything, starts, dtype=np.int64)
-                hit = targets[similar(common, len(own), sizes, percent)]
+                near = np.flatnonzero((differing(sketch[p : p + 1], sketch[targets])[0] <= MOST) & (100 * np.minimum(sizes, len(own)) >= percent * np.maximum(sizes, len(own))))
+                if not len(near):
+                    continue
+                some = np.concatenate([sets[k] for k in targets[near]])
+                starts = np.cumsum(sizes[near]) - sizes[near]
+                common = np.add.reduceat(own[np.minimum(np.searchsorted(own, some), len(own) - 1)] == some, starts, dtype=np.int64)
+                hit = targets[near[similar(common, len(own), sizes[near], percent)]]
                 if len(hit):
                     yield batch(schema, [int(node[p])] * len(hit), node[hit])
 
@@ -216,7 +222,7 @@ def _verified(wanted: DataFrame, targets: DataFrame, sets: DataFrame, percent: i
     return (
         out.unionByName(many).join(sets, "node")
         .repartition("group", "block").sortWithinPartitions("group", "block")
-        .select("group", "block", "node", "probe", "set")
+        .select("group", "block", "node", "probe", "set", *_SKETCH)
         .mapInArrow(_linked(percent), "a long, b long")
     )
 
@@ -256,10 +262,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     leaders = keyed.groupBy("key").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1")
     members = stored(keyed.join(leaders.select("key", "leader"), "key"))
 
-    needed = members.select("node").distinct().join(classes.select("node", "id", "__th"), "node")
+    needed = members.select("node").distinct().join(classes.select("node", "id", "__th", *_SKETCH), "node")
     source = rows.select(F.col(id_col).alias("__id"), "__th", "__text")
     found = source.join(needed, (source["__th"] == needed["__th"]) & source["__id"].eqNullSafe(needed["id"]))
-    sets = stored(found.select("node", "__text").mapInArrow(_sets(size), "node long, set binary"))
+    sets = stored(found.select("node", *_SKETCH, "__text").mapInArrow(_sets(size), "node long, " + "".join(f"{s} long, " for s in _SKETCH) + "set binary"))
 
     one = members.where("node != leader").select("leader", "node").distinct().join(sketches, "node")
     two = sketches.select(F.col("node").alias("leader"), *[F.col(s).alias(f"{s}l") for s in _SKETCH])
@@ -275,15 +281,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         placed.groupBy("key", "root").agg(F.count("*").alias("n"))
         .groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("roots"), F.max(F.struct("n", "root")).alias("major"))
         .where("roots > 1")
-        .select("key", F.col("major.root").alias("major"), F.ceil((F.col("n") - F.col("major.n")) / BLOCK).cast("int").alias("minors"), F.ceil(F.col("n") / BLOCK).cast("int").alias("alls"))
+        .select("key", "roots", F.col("major.root").alias("major"), F.ceil((F.col("n") - F.col("major.n")) / BLOCK).cast("int").alias("minors"))
     )
-    held = placed.join(mixed, "key").join(sketches, "node")
-    at = lambda n: F.pmod(F.xxhash64("node", F.lit(1)), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    minor = stored(placed.join(mixed, "key").where("root != major"))
+    direct = minor.select(F.col("node").alias("probe"), F.col("major").alias("component")).distinct()
+    held = minor.where("roots > 2").join(sketches, "node")
+    at = F.pmod(F.xxhash64("node", F.lit(1)), F.col("minors")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("minors") - 1))
     own = ["key", "node", "root", "size", *_SKETCH]
-    minor = held.where("root != major").select(*own, F.lit(True).alias("minor"), at("minors").alias("i"), every("alls").alias("j"))
-    others = held.select(*own, F.lit(False).alias("minor"), every("minors").alias("i"), at("alls").alias("j"))
-    wanted = stored(minor.unionByName(others).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_crossed, "probe long, component long").distinct())
+    one = held.select(*own, F.lit(True).alias("minor"), at.alias("i"), every.alias("j"))
+    two = held.select(*own, F.lit(False).alias("minor"), every.alias("i"), at.alias("j"))
+    crossed = one.unionByName(two).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_crossed, "probe long, component long")
+    wanted = stored(direct.unionByName(crossed).distinct())
     roots = wanted.select(F.col("component").alias("group")).distinct()
     whole = first.select(F.col("root").alias("group"), "node").unionByName(roots.select("group", F.col("group").alias("node")))
     more = _verified(wanted.select(F.col("component").alias("group"), F.col("probe").alias("node")), whole.join(roots, "group", "left_semi"), sets, percent)
