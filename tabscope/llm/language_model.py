@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +36,8 @@ START = 0
 _HEAD = -1
 #: The end of a text, as a word.
 END = 0x5851F42D4C957F2D
-#: Customers of a dish up to which the tables are drawn exactly.
-EXACT = 64
+#: Customers of a dish up to which the Stirling numbers are tabled, and up to which dishes of equal customers are drawn together.
+EXACT, SMALL = 1024, 64
 #: Occurrences of a word that go to one task, and blocks of documents in bytes.
 SHARE, BLOCK = 500_000, 12 << 20
 
@@ -61,45 +62,119 @@ def _uniform(word: np.ndarray, context: np.ndarray | int, step: int) -> np.ndarr
     return ((x >> np.uint64(11)).astype(float) + 0.5) / (1 << 53)
 
 
+@lru_cache(maxsize=4)
 def stirling(discount: float, most: int = EXACT) -> np.ndarray:
     """Logarithms of the generalised Stirling numbers: ways to seat c customers at t tables, weighted by the discount."""
     out = np.full((most + 1, most + 1), -np.inf)
     out[1, 1] = 0.0
     for c in range(1, most):
-        for t in range(1, c + 2):
-            stay = out[c, t] + np.log(c - discount * t) if t <= c else -np.inf
-            out[c + 1, t] = np.logaddexp(out[c, t - 1], stay)
+        t = np.arange(1, c + 1)
+        out[c + 1, 1 : c + 1] = np.logaddexp(out[c, :c], out[c, 1 : c + 1] + np.log(c - discount * t))
+        out[c + 1, c + 1] = out[c, c]
     return out
 
 
 def draw_tables(customers: np.ndarray, weight: np.ndarray, ways: np.ndarray, discount: float, uniform: np.ndarray) -> np.ndarray:
-    """The number of tables of each dish, given the weight of opening one; one customer has one table.
+    """The number of tables of each dish, given the weight w of opening one, from its conditional S(c, t) w^t.
 
-    Up to ``EXACT`` customers from the exact conditional. Those beyond sit down in order, a doubling at a time, where the tables
-    that they open are their expected number, rounded at random.
+    The numbers S come from the table of ``ways`` as far as it reaches, from contour integrals beyond.
     """
     t = np.ones(len(customers))
     log_weight = np.log(weight)
-    few = np.minimum(customers, EXACT)
-    order = np.argsort(few, kind="stable")
-    edges = np.searchsorted(few[order], np.arange(2, EXACT + 2))
+    order = np.argsort(customers, kind="stable")
+    edges = np.searchsorted(customers[order], np.arange(2, min(SMALL, len(ways) - 1) + 2))
     for c, (a, b) in enumerate(zip(edges, edges[1:], strict=False), 2):
         for s in range(a, b, 100_000):
             at = order[s : min(b, s + 100_000)]
-            p = ways[c, 1 : c + 1] + log_weight[at, None] * np.arange(1, c + 1)
-            p = np.cumsum(np.exp(p - p.max(1, keepdims=True)), 1)
-            t[at] = 1 + (p < (uniform[at] * p[:, -1])[:, None]).sum(1)
-    seated = few.astype(float)
-    more = np.flatnonzero(customers > EXACT)
-    step = 0
-    while len(more):
-        to = np.minimum(2 * seated[more], customers[more])
-        w = weight[more]
-        opened = w * np.log1p((to - seated[more]) / np.maximum(seated[more] - discount * t[more] + w, 1e-9))
-        t[more] = np.minimum(t[more] + np.floor(opened + (uniform[more] * (7 + step)) % 1), to)
-        seated[more] = to
-        more = more[to < customers[more]]
-        step += 1
+            t[at] = _drawn(ways[c, 1 : c + 1] + log_weight[at, None] * np.arange(1, c + 1), uniform[at])
+    # Tables beyond the largest are fewer than Poisson with mean w / d, up to a factor that falls with c.
+    middle = np.flatnonzero((customers > SMALL) & (customers < len(ways)))
+    most = np.minimum(customers[middle], np.ceil(_reach(weight[middle] / discount))).astype(np.int64)
+    for at, n in _parts(middle, most, 1_000_000):
+        t[at] = _drawn(ways[customers[at], 1 : n + 1] + log_weight[at, None] * np.arange(1, n + 1), uniform[at])
+    many = np.flatnonzero((customers >= len(ways)) & (customers > SMALL))
+    if len(many):
+        t[many] = _draw_many(customers[many].astype(float), weight[many] / discount, discount, uniform[many])
+    return t
+
+
+def _drawn(p: np.ndarray, uniform: np.ndarray) -> np.ndarray:
+    """One of 1, 2, … for each row of logarithms of weights."""
+    p = np.cumsum(np.exp(p - p.max(1, keepdims=True)), 1)
+    return 1 + (p < (uniform * p[:, -1])[:, None]).sum(1)
+
+
+def _reach(mean: np.ndarray) -> np.ndarray:
+    return mean + 9 * np.sqrt(mean) + 40
+
+
+def _parts(at: np.ndarray, n: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, int]]:
+    """Indices in order of their n, in parts of about ``most`` elements, with the largest n of each."""
+    order = np.argsort(n, kind="stable")
+    start = 0
+    while start < len(order):
+        stop = min(len(order), start + max(1, most // int(n[order[start]])))
+        while stop > start + 1 and (stop - start) * int(n[order[stop - 1]]) > 2 * most:
+            stop = start + (stop - start) // 2
+        yield at[order[start:stop]], int(n[order[stop - 1]])
+        start = stop
+
+
+_NODES, _NODE_WEIGHTS = np.polynomial.legendre.leggauss(12)
+
+
+def _draw_many(c: np.ndarray, mean: np.ndarray, d: float, uniform: np.ndarray) -> np.ndarray:
+    """Tables of dishes with many customers; ``mean`` is the weight of opening one over the discount.
+
+    S(c, t) w^t is, up to a factor of c, mean^t / t! times the coefficient of z^c in (1 - (1 - z)^d)^t, an integral over a contour
+    around 0. All t near the mode share a contour through the saddle point z0 of their sum: where tables are few beside customers,
+    a ray in s = 1 - z (and its mirror image) that leaves it at 120 degrees, with Gauss rules over intervals that grow by half;
+    else the circle, with equal steps as far as the integrand reaches.
+    """
+    low, high = np.full(len(c), -500.0), np.full(len(c), -1e-15)
+    for _ in range(70):
+        y = (low + high) / 2
+        above = np.log(mean * d) + (d - 1) * y + np.log(-np.expm1(y)) > np.log(c + 1)
+        low, high = np.where(above, y, low), np.where(above, high, y)
+    y = np.maximum((low + high) / 2, np.log(1e-30 / c))
+    s0, z0 = np.exp(y), -np.expm1(y)
+    mode = mean * -np.expm1(d * y)
+    first = np.maximum(1, np.floor(mode - 9 * np.sqrt(mode) - 20))
+    last = np.minimum(c, np.ceil(_reach(mode)))
+    width = 1 / np.sqrt(mean * d * (1 - d) * s0 ** (d - 2) + c / z0**2)
+    t = np.ones(len(c))
+
+    def draw(at: np.ndarray, z: np.ndarray, power: np.ndarray, weights: np.ndarray) -> None:
+        """From the nodes of a contour: z, (c + 1) log(z / z0) and the weights."""
+        f, f0 = -np.expm1(d * np.log1p(-z)), -np.expm1(d * y[at])
+        value = np.exp(first[at, None] * (np.log(f) - np.log(f0)[:, None]) - power) * weights
+        p = np.empty((len(at), int((last[at] - first[at]).max()) + 1))
+        for k in range(p.shape[1]):
+            p[:, k] = value.sum(1).real
+            value *= f * (mean[at] / (first[at] + k + 1))[:, None]
+        p[np.arange(p.shape[1]) > (last[at] - first[at])[:, None]] = 0
+        p = np.cumsum(np.maximum(p, 0), 1)
+        t[at] = first[at] + (p < (uniform[at] * p[:, -1])[:, None]).sum(1)
+
+    few = np.flatnonzero(s0 < 0.1)
+    start = np.maximum(0.25 * np.minimum(s0, width), 1e-8 / c)
+    panels = np.ceil(np.log(np.expm1(np.minimum(72 / (c * (1 - d)), 300)) / start) / np.log(1.5)).astype(np.int64) + 1
+    turn = np.exp(2j * np.pi / 3)
+    for at, n in _parts(few, panels[few], 10_000):
+        edges = np.concatenate([np.zeros((len(at), 1)), start[at, None] * 1.5 ** np.arange(n)], 1)
+        half = np.diff(edges, axis=1)[:, :, None] / 2
+        x = (edges[:, :-1, None] + half * (_NODES + 1)).reshape(len(at), -1)
+        away = -x * turn / z0[at, None]
+        draw(at, z0[at, None] * (1 + away), (c[at, None] + 1) * np.log1p(away), -1j * turn * (half * _NODE_WEIGHTS).reshape(len(at), -1) / width[at, None])
+    many = np.flatnonzero(s0 >= 0.1)
+    spread = (z0 / width)[many]
+    narrow = np.sqrt(np.maximum(spread**2 - c[many] ** 2 / mode[many], 1e-9))  # with t given
+    whole = 2 * np.ceil(8 * spread - 20 / np.log(z0[many])) + 41
+    steps = np.minimum((whole - 1) / 2, np.ceil(14 / narrow * whole / (2 * np.pi))).astype(np.int64) + 1
+    for part, n in _parts(np.arange(len(many)), steps, 100_000):
+        at = many[part]
+        angle = 1j * np.arange(n) * (2 * np.pi / whole[part])[:, None]
+        draw(at, z0[at, None] * np.exp(angle), c[at, None] * angle, np.where(np.arange(n) < steps[part, None], np.where(np.arange(n) > 0, 2.0, 1.0), 0.0))
     return t
 
 
@@ -246,7 +321,6 @@ class Totals:
         self.base = 1.0 / (words + 1)
         # Of the samples that are averaged: tables of each restaurant and what the parent's probabilities sum to.
         self.sampled_tables, self.sampled_mass = tables, 1.0
-        self.ways, self.parent_ways = stirling(discount), stirling(self.parent_discount)
 
     @property
     def parent_weight(self) -> float:
@@ -267,13 +341,13 @@ class Totals:
         several = np.flatnonzero(c > 1)
         for step in range(steps):
             sent = np.add.reduceat(t, first)  # customers in the parent
-            own = draw_tables(sent.astype(np.int64), np.full(len(words), self.parent_weight), self.parent_ways, self.parent_discount, _uniform(words, CONTEXTS, seed + 2 * step))
+            own = draw_tables(sent.astype(np.int64), np.full(len(words), self.parent_weight), stirling(self.parent_discount), self.parent_discount, _uniform(words, CONTEXTS, seed + 2 * step))
             p = (sent - self.parent_discount * own + self.parent_weight) / (self.strength + self.parent_customers)
             if step >= burn_in:
                 for total, value in zip(sums, (t, p, sent, own), strict=True):
                     total += value / (steps - burn_in)
             if step + 1 < steps:
-                t[several] = draw_tables(c[several], open_[several] * p[word[several]], self.ways, self.discount, _uniform(words[word[several]], u[several], seed + 2 * step + 1))
+                t[several] = draw_tables(c[several], open_[several] * p[word[several]], stirling(self.discount), self.discount, _uniform(words[word[several]], u[several], seed + 2 * step + 1))
         return sums
 
 

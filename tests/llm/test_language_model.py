@@ -88,3 +88,23 @@ def test_awkward_rows(spark, awkward, no_docs, trained, monkeypatch):
     assert len(dealt.shares[0]) > 2 and max(dealt.shares[1]) > 2
     got = {r.doc_id: r.score for r in lm.score(docs.repartition(5), dealt).collect()}
     assert got.keys() == want.keys() and all(np.isclose(got[i], want[i], rtol=1e-5) for i in want)
+
+
+def test_tables_of_many_customers_follow_the_exact_conditional():
+    n = 400
+    uniform = (np.arange(n) + 0.5) / n
+    for d, w, c in [(0.8, 1, 200), (0.8, 1, 2000), (0.8, 10, 2000), (0.95, 100, 2000), (0.95, 100, 200), (0.3, 30, 1500), (0.3, 2000, 1500), (0.8, 1e5, 1100)]:
+        row = np.full(c + 2, -np.inf)
+        row[1] = 0.0
+        for k in range(1, c):
+            t = np.arange(1, k + 1)
+            row[1 : k + 2] = np.logaddexp(row[: k + 1], np.append(row[1 : k + 1] + np.log(k - d * t), -np.inf))
+        p = np.exp((p := row[1 : c + 1] + np.log(w) * np.arange(1, c + 1)) - p.max())
+        p = np.cumsum(p / p.sum())
+        want = 1 + np.searchsorted(p, uniform)
+        args = np.full(n, c), np.full(n, float(w)), lm.stirling(d), d, uniform
+        assert (lm.draw_tables(*args) == want).mean() > 0.99, (d, w, c)
+        assert (lm._draw_many(args[0].astype(float), args[1] / d, d, uniform) == want).mean() > 0.99, (d, w, c)
+    # With ever more customers the tables beside the largest are Poisson with mean w / d.
+    for c in (10**7, 10**9):
+        assert abs(lm.draw_tables(np.full(n, c), np.full(n, 4.0), lm.stirling(0.8), 0.8, uniform).mean() - 6) < 0.05
