@@ -32,7 +32,9 @@ _TAG = re.compile(
 )
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template textarea select svg iframe object".split())
+#: Tags whose content is no markup, and tags that are left out with all markup in them.
+_RAW = frozenset("script style textarea iframe".split())
+_WHOLE = frozenset("noscript template select svg object".split())
 _INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img".split())
 #: Tags that end an open one of the same kind, and what that search does not leave.
 _ENDS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -46,12 +48,13 @@ class Block(NamedTuple):
 
 
 def blocks(page: str) -> list[Block]:
-    """The leaf blocks of a page in order; markup, comments, scripts and styles hold none."""
+    """The leaf blocks of a page in order; markup, comments, scripts, styles and closed drawings, objects and the like hold none."""
     found: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     linked = 0
     links = at = 0
+    ends: dict[int, int] | None = None
 
     def flush() -> None:
         nonlocal linked
@@ -80,7 +83,7 @@ def blocks(page: str) -> list[Block]:
         if name == "br":
             parts.append(" ")
             continue
-        if name not in _INLINE and name not in _RAW:
+        if name not in _INLINE and name not in _RAW and name not in _WHOLE:
             flush()
         if closing:
             depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
@@ -92,10 +95,15 @@ def blocks(page: str) -> list[Block]:
                 del stack[depth:]
             continue
         if name in _RAW:
-            end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            at = _past(page, name, at)
             parts.append(" ")
             continue
+        if name in _WHOLE:
+            ends = _matches(page) if ends is None else ends
+            if at in ends or (m["rest"] or "").endswith("/"):
+                at = ends.get(at, at)
+                parts.append(" ")
+                continue
         if name in _VOID or (m["rest"] or "").endswith("/") and name not in _INLINE and name not in _KEEPS:
             continue
         for k in range(len(stack) - 1, -1, -1) if name in _ENDS else ():
@@ -111,6 +119,28 @@ def blocks(page: str) -> list[Block]:
     return found
 
 
+def _past(page: str, name: str, at: int) -> int:
+    """Where the end tag ends up to which a page holds no markup."""
+    end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
+    return end.end() if end else len(page)
+
+
+def _matches(page: str) -> dict[int, int]:
+    """Of tags of ``_WHOLE`` that are closed, where the tag ends and where its own end tag does."""
+    found, opened, at = {}, {name: [] for name in _WHOLE}, 0
+    while m := _TAG.search(page, at):
+        at = m.end()
+        name = (m["name"] or m["name2"] or "").lower()
+        if m["end"] or m["end2"]:
+            if opened.get(name):
+                found[opened[name].pop()] = at
+        elif name in _RAW:
+            at = _past(page, name, at)
+        elif name in _WHOLE and not (m["rest"] or "").endswith("/"):
+            opened[name].append(at)
+    return found
+
+
 @lru_cache(maxsize=50_000)
 def _names(tag: str, attributes: str) -> tuple[str, ...]:
     names = [tag]

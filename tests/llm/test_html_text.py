@@ -19,6 +19,17 @@ def test_blocks():
     assert [b.text for b in h.blocks("<p><a href='x>y</a> c")]  # an open quote ends somewhere
 
 
+def test_drawings_and_objects_drop_nothing_else():
+    for tag in ("svg", "object", "noscript", "template", "select"):
+        texts = lambda page: [b.text for b in h.blocks(page.replace("svg", tag))]  # noqa: B023, E731
+        assert texts("<article><p>a <svg class='icon'/> b</p><p>c</p></article><svg>x</svg><p>d") == ["a b", "c", "d"]
+        assert texts("<article><p>a<svg class='icon'> b</p><p>c</p></article><p>d") == ["a b", "c", "d"]
+        assert texts("<p>a<svg> b</p><p>c<svg>x</svg></p><p>d") == ["a b", "c", "d"]
+        assert texts("<p>a<svg>x<svg>y</svg><script>'</svg>'</script><i title='</svg>'>z</i></svg > b</p></svg><p>c") == ["a b", "c"]
+    assert [b.text for b in h.blocks("<p>a<textarea><svg></textarea>b<iframe><p>x</iframe></p><p>c")] == ["a b", "c"]
+    assert len(h.blocks("<p>a<svg>" * 20_000)) == 20_000  # one pass
+
+
 def test_gradients():
     model = h.Labeller(1)
     r = np.random.default_rng(0)
