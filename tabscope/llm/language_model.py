@@ -16,7 +16,6 @@ tasks. Random numbers are hashes of word, context and step, so results don't dep
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -40,6 +39,8 @@ END = 0x5851F42D4C957F2D
 EXACT, SMALL = 1024, 64
 #: Occurrences of a word that go to one task, and blocks of documents in bytes.
 SHARE, BLOCK = 500_000, 12 << 20
+#: Distinct words that a task counts before it sends them on.
+HELD = 2_000_000
 
 _hashes = _Hashes()
 #: A context and its customers; of a block, more of them than fit are several pairs.
@@ -227,17 +228,17 @@ def _joined(column: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(column.to_pylist()), kind), sizes
 
 
-def _heavy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The most frequent words of a task, four times as many as are needed, and the number of its texts' words."""
-    schema, counts = pa.schema([("word", pa.int64()), ("n", pa.int64())]), Counter()
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All words of a task with their counts, added up as far as they fit."""
+    schema, words, counts = pa.schema([("word", pa.int64()), ("n", pa.int64())]), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     for b in slices(batches, "__text"):
         word, n = np.unique(_tokens(b.column("__text").to_pylist())[0], return_counts=True)
-        few = np.argsort(-n, kind="stable")[: 8 * OWN]
-        counts.update(dict(zip(word[few].tolist(), n[few].tolist(), strict=True)))
-        if len(counts) > 32 * OWN:
-            counts = Counter(dict(counts.most_common(8 * OWN)))
-    found = counts.most_common(4 * OWN)
-    yield batch(schema, np.array([w for w, _ in found], np.uint64).view(np.int64), [n for _, n in found])
+        words, at = np.unique(np.concatenate([words, word]), return_inverse=True)
+        counts = np.bincount(at, np.concatenate([counts, n])).astype(np.int64)
+        if len(words) > HELD:
+            yield batch(schema, words.view(np.int64), counts)
+            words, counts = words[:0], counts[:0]
+    yield batch(schema, words.view(np.int64), counts)
 
 
 def _customers(shared):
@@ -412,7 +413,7 @@ def train(docs: DataFrame, text_col: str = "text", steps: int = 5, burn_in: int
     """
     spark = docs.sparkSession
     rows = docs.select(F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("__text"))
-    heavy = rows.mapInArrow(_heavy, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(OWN - 1).toPandas()
+    heavy = rows.mapInArrow(_frequencies, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(OWN - 1).toPandas()
     own = np.sort(heavy["word"].to_numpy(np.int64).view(np.uint64))
     hot = heavy[heavy["n"] > SHARE].sort_values("word")
     shares = hot["word"].to_numpy(np.int64), (1 + hot["n"].to_numpy(np.int64) // SHARE)

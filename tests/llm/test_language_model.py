@@ -108,3 +108,15 @@ def test_tables_of_many_customers_follow_the_exact_conditional():
     # With ever more customers the tables beside the largest are Poisson with mean w / d.
     for c in (10**7, 10**9):
         assert abs(lm.draw_tables(np.full(n, c), np.full(n, 4.0), lm.stirling(0.8), 0.8, uniform).mean() - 6) < 0.05
+
+
+def test_words_of_their_own_are_chosen_from_exact_counts(spark, monkeypatch):
+    # Rare in each task, frequent in all: more words than a task may keep come before it.
+    texts = [" ".join([f"t{k}w{i}" for i in range(70_000)] * 2 + ["everywhere"]) for k in range(4)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    for held in (lm.HELD, 1000):
+        monkeypatch.setattr(lm, "HELD", held)
+        rows = docs.selectExpr("cast(text as binary) as __text").mapInArrow(lm._frequencies, "word long, n long").groupBy("word").sum("n").collect()
+        counts = {r[0]: r[1] for r in rows}
+        assert len(counts) == 4 * 70_000 + 2 and sum(counts.values()) == 4 * 140_002
+        assert counts[int(np.array([lm._hashes[b"everywhere"]], np.uint64).view(np.int64)[0])] == 4
