@@ -1,16 +1,15 @@
 """Batches of documents of like lengths, with the least padding.
 
-The histogram of all lengths, exact below 128 and in steps of a sixty-fourth of an octave above, has a few thousand rows at
-most. Dynamic programming over it finds the bucket boundaries for which the padding of all documents is smallest. Inside a
-bucket, documents are dealt to shards of bounded size by hash and numbered there; as many follow each other in a batch as
+The histogram of all lengths has a row for each distinct one, of which n tokens together hold fewer than the root of 2n.
+Dynamic programming over it finds the bucket boundaries for which the padding of all documents is smallest. Inside a bucket, documents are dealt to shards of bounded size by hash and numbered there; as many follow each other in a batch as
 the token budget holds at the length of the bucket. A shard ends with at most one batch that is not full.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,22 +28,32 @@ def boundaries(tops: list[int], counts: list[int], buckets: int) -> list[int]:
     if not tops:
         return []
     n = len(tops)
-    top, total = np.array(tops, float), np.concatenate([[0], np.cumsum(np.array(counts, float))])
-    best = top * total[1:]
-    froms: list[np.ndarray] = []
+    total = [0, *itertools.accumulate(counts)]
+    best = [t * c for t, c in zip(tops, total[1:], strict=True)]
+    froms: list[list[int]] = []
     for _ in range(1, min(buckets, n)):
-        after, at = best.copy(), np.full(n, -1)
+        # The cost of a boundary before j is a line in tops[j]; lines of falling slopes, their lower hull read from left to right.
+        after, at, hull, head = best.copy(), [-1] * n, [], 0
         for j in range(1, n):
-            cost = best[:j] + top[j] * (total[j + 1] - total[1 : j + 1])
-            k = int(cost.argmin())
-            if cost[k] < after[j]:
-                after[j], at[j] = cost[k], k
+            slope, level = -total[j], best[j - 1]
+            while len(hull) - head > 1:
+                (_, m1, b1), (_, m2, b2) = hull[-2:]
+                if (level - b1) * (m1 - m2) > (b2 - b1) * (m1 - slope):
+                    break
+                hull.pop()
+            hull.append((j - 1, slope, level))
+            x = tops[j]
+            while head + 1 < len(hull) and hull[head + 1][1] * x + hull[head + 1][2] <= hull[head][1] * x + hull[head][2]:
+                head += 1
+            k, slope, level = hull[head]
+            if (cost := slope * x + level + x * total[j + 1]) < after[j]:
+                after[j], at[j] = cost, k
         best = after
         froms.append(at)
     out, j = [tops[-1]], n - 1
     for at in reversed(froms):
         if at[j] >= 0:
-            j = int(at[j])
+            j = at[j]
             out.append(tops[j])
     return sorted(out)
 
@@ -62,11 +71,8 @@ def word_lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def histogram(lengths: DataFrame) -> list[tuple[int, int]]:
-    """(largest length, number) of each bin of ``n_tokens``, in order."""
-    n = F.col("n_tokens")
-    bin_ = F.when(n < 128, n).otherwise(F.floor(F.log2(n.cast("double")) * 64)).cast("long")
-    rows = lengths.groupBy(F.when(n < 128, F.lit(0)).otherwise(1).alias("far"), bin_.alias("bin")).agg(F.max("n_tokens").alias("top"), F.count("*").alias("n")).collect()
-    return sorted((r["top"], r["n"]) for r in rows)
+    """(length, number) of each distinct ``n_tokens``, in order."""
+    return sorted((r["n_tokens"], r["n"]) for r in lengths.groupBy("n_tokens").agg(F.count("*").alias("n")).collect())
 
 
 def pack(lengths: DataFrame, id_col: str = "doc_id", budget: int = 16_384, buckets: int = 16) -> DataFrame:

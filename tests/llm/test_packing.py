@@ -60,3 +60,17 @@ def test_awkward_rows(spark, awkward, no_docs):
     assert p.pack_documents(no_docs).collect() == []
     nulls = spark.createDataFrame([(1, None), (2, 5), (2, 5)], "doc_id long, n_tokens long")
     assert sorted((r.doc_id, r.bucket is None) for r in p.pack(nulls).collect()) == [(1, True), (2, False), (2, False)]
+
+
+def test_boundaries_between_like_lengths(spark):
+    r = random.Random(3)
+    counts = {n: r.randint(1, 30) for n in [*range(1000, 1012), 5000, 5001, 5002]}
+    lengths = spark.createDataFrame([(n, n) for n, c in counts.items() for _ in range(c)], "doc_id long, n_tokens long")
+    cost = lambda ends: sum(c * next(e for e in sorted(ends) if e >= n) for n, c in counts.items())
+    best = min(cost([*c, 5002]) for c in itertools.combinations(sorted(counts)[:-1], 4))
+    rows = p.pack(lengths, buckets=5).collect()
+    assert sum(r.bucket_length for r in rows) == best
+    check(rows, 16_384, p.SHARD)
+    r = random.Random(4)  # many distinct lengths are no burden
+    tops = sorted(r.sample(range(1, 10**6), 20_000))
+    assert len(p.boundaries(tops, [r.randint(1, 9) for _ in tops], 16)) == 16
