@@ -12,6 +12,7 @@ from tabscope.llm.knn_join import OP6_SQL, op6_knn_join
 from tabscope.llm.language_model import op1_language_model
 from tabscope.llm.near_duplicates import OP8_SQL, op8_near_duplicates
 from tabscope.llm.packing import op10_packing
+from tabscope.llm.periodic_runs import op11_periodic_runs
 from tabscope.llm.quality import op9_quality
 from tabscope.llm.repeats import op7_repeats
 from tabscope.llm.token_counts import op2_token_counts
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
