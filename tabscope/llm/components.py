@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,3 +33,23 @@ def components(links: DataFrame) -> DataFrame:
 def _mark(edges: DataFrame) -> tuple:
     r = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a").cast("decimal(38,0)"))).first()
     return tuple(r)
+
+
+def spanning(adjacent: np.ndarray) -> np.ndarray:
+    """Pairs (first, other) of nodes of a symmetric matrix of links: each component's first node with every other one of it."""
+    left = np.ones(len(adjacent), bool)
+    pairs = [np.zeros((0, 2), np.int64)]
+    for k in range(len(adjacent)):
+        if not left[k]:
+            continue
+        left[k] = False
+        found, ahead = [], adjacent[k] & left
+        while ahead.any():
+            new = np.flatnonzero(ahead)
+            left[new] = False
+            found.append(new)
+            ahead = adjacent[new].any(0) & left
+        if found:
+            others = np.concatenate(found)
+            pairs.append(np.stack([np.full(len(others), k), others], 1))
+    return np.concatenate(pairs)

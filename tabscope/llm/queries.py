@@ -15,6 +15,7 @@ from tabscope.llm.packing import op10_packing
 from tabscope.llm.periodic_runs import op11_periodic_runs
 from tabscope.llm.quality import op9_quality
 from tabscope.llm.repeats import op7_repeats
+from tabscope.llm.simhash import op12_simhash
 from tabscope.llm.token_counts import op2_token_counts
 from tabscope.llm.token_files import op5_token_files
 
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_simhash": op12_simhash,
 }
 
 ORACLE: dict[str, str] = {
