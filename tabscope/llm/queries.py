@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tabscope.llm.collocations import OP13_SQL, op13_collocations
 from tabscope.llm.decontaminate import OP4_SQL, op4_decontaminate
 from tabscope.llm.html_text import op3_html_text
 from tabscope.llm.knn_join import OP6_SQL, op6_knn_join
@@ -32,10 +33,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": op10_packing,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_simhash": op12_simhash,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE: dict[str, str] = {
     "op4_decontaminate": OP4_SQL,
     "op6_knn_join": OP6_SQL,
     "op8_near_duplicates": OP8_SQL,
+    "op13_collocations": OP13_SQL,
 }
