@@ -7,9 +7,10 @@ sets being read. What is left is decided on the full sets.
 
 No bucket is compared pair by pair. First every member is held against one leader of each of its buckets, and
 linked documents become components. Then only buckets that still hold several components are looked at. Their members outside
-the bucket's largest component are held against all members of that one, and against the components of each other where
-sketches, compared in blocks of bounded size, allow it. So each link between two components is found, whatever the size of a
-bucket.
+the bucket's largest component are held against all its members, in blocks of bounded size: sketches choose the members that may have
+a link into another component, their sets join them in the block, and a block emits only links that join components
+not joined there before. So each link between two components is found, whatever the size of a bucket, and no
+row stands for a pair before it is confirmed.
 
 A pair of similarity s shares no band with probability (1 - s^4)^32: 5e-8 at 0.8. A sketch rejects such a pair less often still.
 """
@@ -166,24 +167,56 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str], most: int = 64 <
         yield pa.Table.from_batches(held)
 
 
-def _crossed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of one block of a bucket: which node may be linked with which larger component that is not its own."""
-    schema = pa.schema([("probe", pa.int64()), ("component", pa.int64())])
+_CLOSE = "key long, i int, j int, node long, root long, minor boolean"
+
+
+def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of one block of a bucket: the nodes whose sketch is close to one of another component on the other side."""
+    names = [x.split()[0] for x in _CLOSE.split(", ")]
     for g in _groups(batches, ["key", "i", "j"]):
         minor = g.column("minor").to_numpy(zero_copy_only=False)
-        node, root, size = (g.column(c).to_numpy() for c in ("node", "root", "size"))
+        root = g.column("root").to_numpy()
         sketch = np.stack([g.column(c).to_numpy() for c in _SKETCH], 1)
         a, b = np.flatnonzero(minor), np.flatnonzero(~minor)
-        found = set()
+        hit = np.zeros(len(minor), bool)
         for at in range(0, len(a), 256):
-            x, y = np.nonzero((differing(sketch[a[at : at + 256]], sketch[b]) <= MOST) & (root[a[at : at + 256]][:, None] != root[b][None]))
-            x, y = a[at + x], b[y]
-            swap = (size[x] > size[y]) | (size[x] == size[y]) & (root[x] > root[y])
-            x, y = np.where(swap, y, x), np.where(swap, x, y)
-            found.update(map(tuple, np.unique(np.stack([node[x], root[y]], 1), axis=0).tolist()))
-        if found:
-            probes, roots = zip(*found, strict=True)
-            yield batch(schema, list(probes), list(roots))
+            some = a[at : at + 256]
+            near = (differing(sketch[some], sketch[b]) <= MOST) & (root[some][:, None] != root[b][None])
+            hit[some] = near.any(1)
+            hit[b] |= near.any(0)
+        if hit.any():
+            yield from g.select(names).filter(pa.array(hit)).combine_chunks().to_batches()
+
+
+def _joining(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of one block of a bucket: links between roots, on full sets, each of which joins two components for the first time there."""
+        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+        for g in _groups(batches, ["key", "i", "j"]):
+            minor = g.column("minor").to_numpy(zero_copy_only=False)
+            root = g.column("root").to_numpy()
+            label = root.copy()
+            sets = [np.frombuffer(s, np.uint64) for s in g.column("set").to_pylist()]
+            sizes = np.array([len(s) for s in sets])
+            sketch = np.stack([g.column(c).to_numpy() for c in _SKETCH], 1)
+            others = np.flatnonzero(~minor)
+            links = []
+            for p in np.flatnonzero(minor).tolist():
+                own = sets[p]
+                n = sizes[others]
+                near = others[(differing(sketch[p : p + 1], sketch[others])[0] <= MOST) & (100 * np.minimum(n, len(own)) >= percent * np.maximum(n, len(own))) & (label[others] != label[p])]
+                if not len(near):
+                    continue
+                some, n = np.concatenate([sets[k] for k in near]), sizes[near]
+                common = np.add.reduceat(own[np.minimum(np.searchsorted(own, some), len(own) - 1)] == some, np.cumsum(n) - n, dtype=np.int64)
+                for k in near[similar(common, len(own), n, percent)].tolist():
+                    if label[k] != label[p]:
+                        links.append((int(root[p]), int(root[k])))
+                        label[label == label[k]] = label[p]
+            if links:
+                yield batch(schema, *map(list, zip(*links, strict=True)))
+
+    return run
 
 
 def _linked(percent: int):
@@ -227,6 +260,26 @@ def _verified(wanted: DataFrame, targets: DataFrame, sets: DataFrame, percent: i
     )
 
 
+def _may_join(placed: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Rows of ``placed`` (key, node, root) that may have a link into another component, by blocks (i, j) of their bucket.
+
+    Members outside the largest component of a bucket are the ``minor`` side of its blocks, all members are the other side.
+    """
+    mixed = (
+        placed.groupBy("key", "root").agg(F.count("*").alias("n"))
+        .groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("roots"), F.max(F.struct("n", "root")).alias("major"))
+        .where("roots > 1")
+        .select("key", F.col("major.root").alias("major"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"), F.ceil((F.col("n") - F.col("major.n")) / BLOCK).cast("int").alias("minors"))
+    )
+    held = stored(placed.join(mixed, "key").join(sketches, "node"))
+    at = lambda n: F.pmod(F.xxhash64("node", F.lit(1)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = ["key", "node", "root", *_SKETCH]
+    one = held.where("root != major").select(*own, F.lit(True).alias("minor"), at("minors").alias("i"), every("blocks").alias("j"))
+    two = held.select(*own, F.lit(False).alias("minor"), every("minors").alias("i"), at("blocks").alias("j"))
+    return one.unionByName(two).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_close, _CLOSE)
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with all columns, of each group of ``near_duplicates`` the document of the smallest id alone.
 
@@ -272,37 +325,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = stored(one.join(two, "leader").where(_few_bits([F.col(s) for s in _SKETCH], [F.col(f"{s}l") for s in _SKETCH])).select(F.col("leader").alias("group"), "node"))
     first = components(_verified(pairs.select("group", F.col("group").alias("node")).distinct(), pairs, sets, percent))
 
-    sizes = first.groupBy("root").agg((F.count("*") + 1).alias("size"))
-    placed = stored(
-        members.select("key", "node").join(first, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-        .join(sizes, "root", "left").select("key", "node", "root", F.coalesce("size", F.lit(1)).alias("size"))
-    )
-    mixed = (
-        placed.groupBy("key", "root").agg(F.count("*").alias("n"))
-        .groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("roots"), F.max(F.struct("n", "root")).alias("major"))
-        .where("roots > 1")
-        .select("key", "roots", F.col("major.root").alias("major"), F.ceil((F.col("n") - F.col("major.n")) / BLOCK).cast("int").alias("minors"))
-    )
-    minor = stored(placed.join(mixed, "key").where("root != major"))
-    direct = minor.select(F.col("node").alias("probe"), F.col("major").alias("component")).distinct()
-    held = minor.where("roots > 2").join(sketches, "node")
-    at = F.pmod(F.xxhash64("node", F.lit(1)), F.col("minors")).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.col("minors") - 1))
-    own = ["key", "node", "root", "size", *_SKETCH]
-    one = held.select(*own, F.lit(True).alias("minor"), at.alias("i"), every.alias("j"))
-    two = held.select(*own, F.lit(False).alias("minor"), every.alias("i"), at.alias("j"))
-    crossed = one.unionByName(two).repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_crossed, "probe long, component long")
-    wanted = stored(direct.unionByName(crossed).distinct())
-    roots = wanted.select(F.col("component").alias("group")).distinct()
-    whole = first.select(F.col("root").alias("group"), "node").unionByName(roots.select("group", F.col("group").alias("node")))
-    more = _verified(wanted.select(F.col("component").alias("group"), F.col("probe").alias("node")), whole.join(roots, "group", "left_semi"), sets, percent)
+    placed = stored(members.select("key", "node").join(first, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")))
+    close = stored(_may_join(placed, sketches))
+    held = close.join(sets, "node").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    more = held.select("key", "i", "j", "node", "root", "minor", "set", *_SKETCH).mapInArrow(_joining(percent), "a long, b long")
 
     final = components(first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     nodes = classes.select("__h0", "__h1", "node").join(final, "node", "left").select("__h0", "__h1", F.coalesce("root", "node").alias("root"))
     marked = features.select(ROW, id_col, "__th", "n_shingles", "__h0", "__h1").join(nodes, ["__h0", "__h1"], "left")
     # A row without shingles is alone, also where another has the digest that stands for none.
     marked = stored(marked.select(F.col(id_col), "__th", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("root")).otherwise(F.col(ROW)).alias("root")))
-    least = marked.groupBy("root").agg(F.min(id_col).alias("component_id"))
+    least = stored(marked.groupBy("root").agg(F.min(id_col).alias("component_id")))
     return marked.join(least, "root").select(id_col, "n_shingles", "component_id", *(["root", "__th"] if text_hash else []))
 
 

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from llm_helpers import SF, awkward, no_docs, pairs, read  # noqa: F401
 
+from tabscope.llm import common
 from tabscope.llm import near_duplicates as m
 from tabscope.llm.components import components
 
@@ -83,6 +84,36 @@ def test_sketches_estimate_similarity():
         assert abs(got - share) < 0.17 and bits <= m.MOST
 
 
+def unlinked(n, seed=11):
+    """Texts that share much with each other and too little for a link: about 0.57 of their word pairs."""
+    r = random.Random(seed)
+    base = [f"b{k}" for k in range(28)]
+    rows = []
+    for k in range(n):
+        t = list(base)
+        for at in r.sample(range(28), 2):
+            t[at] = f"n{k}x{at}"
+        rows.append((k, " ".join(t)))
+    return rows
+
+
+def test_rows_grow_with_the_documents(spark, monkeypatch):
+    counts, kept = [], m._may_join
+
+    def counting(*frames):
+        out = common.stored(kept(*frames))
+        counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(m, "_may_join", counting)
+    for n in (250, 500, 1000):
+        rows = unlinked(n)
+        got = m.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), size=2).collect()
+        if n == 250:
+            assert sorted((tuple(r) for r in got), key=str) == brute(rows, 2, 80)
+    assert counts[1] < 2.3 * counts[0] and counts[2] < 2.3 * counts[1] and counts[2] <= 2 * m.BANDS * 1000
+
+
 def test_keep_one(awkward, no_docs):
     kept = m.keep_one(awkward)
     assert kept.columns == awkward.columns
