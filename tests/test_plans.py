@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 import re
+import shutil
+import subprocess
+import sys
 
 import pytest
 
@@ -41,6 +44,18 @@ def test_every_oracle_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+@pytest.mark.parametrize("also", [[], ["corpus_pipeline.py"]])
+def test_entry_without_the_text_operators(tmp_path, also):
+    """The rest imports where the subpackage for texts is deleted, with or without the pipeline that needs it."""
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    gone = shutil.ignore_patterns(".git", "__pycache__", "llm", *also)
+    shutil.copytree(root, tmp_path / "copy", ignore=gone)
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), any(n.startswith('op') for n in e.LLM_QUERIES))"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    said = subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "copy", env=env, capture_output=True, text=True, timeout=300)
+    assert said.stdout.split() == [str(len(entry.QUERIES)), str(len(entry.ORACLE)), "False"], said.stderr
+
+
 def test_entry(spark):
     rows = entry.entry(spark).collect()
     assert rows and rows == sorted(rows)
