@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -11,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabscope.errors import AnalysisError
+
 #: Name of the row number that operators add for their own use.
 ROW = "__row"
 
@@ -20,9 +23,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which all executors see; below a temporary one where it is unset."""
+    """A new folder below ``spark.checkpoint.dir``, which all executors see.
+
+    Where it is unset, a temporary folder serves a session in a single process; a cluster has none that its machines share.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext._conf.get("spark.checkpoint.dir")
     if not root:
+        if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+            raise AnalysisError("no_shared_folder", "spark.checkpoint.dir has to name a folder that all executors share.")
         root = "file://" + tempfile.mkdtemp(prefix="tabscope-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/tabscope-{uuid.uuid4().hex}"
