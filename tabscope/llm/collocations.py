@@ -3,18 +3,22 @@
 An occurrence is a chunk of documents, a position there and the number of a frequent phrase. The occurrences of one length are
 persisted in order of position, a chunk in a row, where every break between pieces takes a position of its own. They are
 merge-joined with themselves on the next position, which extends phrases by a word; the resulting groups are counted, first
-in the chunk and then over all of them; and a join with the frequent groups keeps only their occurrences before the
-next length. What is shuffled is one row for each group and chunk, however frequent a phrase is, and each chunk's own groups
-go back to it, so no task holds more than a chunk.
+in the chunk and then over all chunks; and only occurrences of frequent groups are kept before the next length.
+
+Groups are dealt over parts by a checksum. A chunk sends each part its groups there, sorted, with their counts, however
+frequent they are; the part adds up, and sends back to each chunk which of its groups are frequent. So no task holds more
+than a chunk or a part, and a phrase that is everywhere is no more than one entry for each chunk.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,6 +29,8 @@ from tabscope.llm.common import slices, stored, table
 CHUNK = 16 << 20
 #: Parts of a language whose leading phrases are found apart, before those of all parts.
 PARTS = 256
+#: Groups to count in a part, for each shuffle partition so many parts, and entries of a part at most on average.
+SPREAD, ENTRIES = 4, 2_000_000
 _UNKNOWN = "und"
 #: Lower-cases A-Z, and turns what ends a piece into a full stop, which no word holds.
 _FOLD = bytes(46 if b in b".,;:!?\n\x0b\x0c\r" else b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -65,14 +71,45 @@ def adjacent(codes: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarr
     width = len(known) + 1
     groups, inverse, counts = np.unique(at[both] * width + at[both + 1], return_inverse=True, return_counts=True)
     out = np.zeros(max(len(at) - 1, 0), np.int32)
-    out[both] = inverse + 1
+    out[both] = inverse.astype(np.int32) + 1
     return groups // width - 1, groups % width - 1, counts, compact(out)
 
 
-def _words(most: int):
+def pack(first: np.ndarray, *more: np.ndarray) -> bytes:
+    """Columns of integers, the first in ascending order, as compressed bytes: those of one significance next to each other."""
+    columns = [np.diff(first, prepend=first.dtype.type(0)), *more]
+    return zstandard.compress(b"".join(np.ascontiguousarray(c.astype(np.int64).view(np.uint8).reshape(-1, 8).T).tobytes() for c in columns), 1)
+
+
+def unpack(data: bytes, columns: int) -> list[np.ndarray]:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(columns, 8, -1)
+    first, *more = (np.ascontiguousarray(p.T).view(np.int64).ravel() for p in planes)
+    return [np.cumsum(first), *more]
+
+
+def _pack_codes(codes: np.ndarray) -> bytes:
+    return zstandard.compress(np.ascontiguousarray(codes.astype(np.int32).view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
+
+def _unpack_codes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1).T).view(np.int32).ravel()
+
+
+def _ordered(part: np.ndarray, parts: int, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order of groups by part, where each part begins, and the codes (from 1) of the groups in that order."""
+    order = np.argsort(part, kind="stable")
+    number = np.zeros(len(part) + 1, np.int32)
+    number[order + 1] = np.arange(1, len(part) + 1)
+    return order, np.searchsorted(part[order], np.arange(parts + 1)), number[codes]
+
+
+_RELATION = "chunk long, lang string, part int, base int, words binary, groups binary, n long, codes binary"
+_FIELDS = pa.schema([("chunk", pa.int64()), ("lang", pa.string()), ("part", pa.int32()), ("base", pa.int32()), ("words", pa.binary()), ("groups", pa.binary()), ("n", pa.int64()), ("codes", pa.binary())])
+
+
+def _words(most: int, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """For each chunk and language: a row with its occurrences, and one for each word."""
-        names = ["chunk", "lang", "at", "word", "n", "codes"]
+        """For each chunk and language: a row with its occurrences, and one for its words in each part."""
         chunk = TaskContext.get().partitionId() << 32
         for b in slices(batches, "__text", most):
             found: dict[str, tuple[_Numbers, list[np.ndarray]]] = {}
@@ -81,43 +118,90 @@ def _words(most: int):
                 cut = tokens(text.as_py())
                 codes.append(np.fromiter(map(numbers.__getitem__, cut), np.int32, len(cut)))
                 codes.append(np.zeros(1, np.int32))
-            for lang, (numbers, parts) in found.items():
-                codes = np.concatenate(parts)
+            for lang, (numbers, every) in found.items():
+                codes = np.concatenate(every)
                 counts = np.bincount(codes, minlength=len(numbers))[1:]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([chunk]), pa.array([lang]), pa.array([0], pa.int32()), pa.array([None], pa.binary()), pa.array([int(counts.sum())]), pa.array([compact(codes).tobytes()], pa.binary())], names=names
-                )
                 words = list(numbers)[1:]
-                for k in range(0, len(words), 1 << 16):
-                    some = words[k : k + (1 << 16)]
-                    n = len(some)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n, chunk)), pa.array([lang] * n), pa.array(np.arange(k + 1, k + 1 + n, dtype=np.int32)), pa.array(some, pa.binary()), pa.array(counts[k : k + n]), pa.nulls(n, pa.binary())], names=names
-                    )
+                seed = zlib.crc32(lang.encode())
+                part = np.fromiter((zlib.crc32(w, seed) % parts for w in words), np.int64, len(words))
+                order, begins, codes = _ordered(part, parts, compact(codes))
+                rows = [(chunk, lang, -1, 0, None, None, int(counts.sum()), _pack_codes(codes))]
+                for p, (x, y) in enumerate(zip(begins.tolist(), begins[1:].tolist(), strict=False)):
+                    if x < y:
+                        rows.append((chunk, lang, p, x, zstandard.compress(b"\n".join([words[k] for k in order[x:y].tolist()]), 1), _pack_codes(counts[order[x:y]]), None, None))
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _FIELDS, strict=True)], schema=_FIELDS)
                 chunk += 1
 
     return run
 
 
-_GROUPS = "chunk long, at int, a long, b long, n long, codes binary"
-
-
-def _extended(occurrences: pa.Table, frequent: pa.Table) -> pa.Table:
-    """The occurrences of a chunk, one word longer: a row with them, and one for each group."""
-    codes = np.frombuffer(occurrences.column("codes")[0].as_py(), np.int32)
-    ids = frequent.column("id").to_numpy()
-    a, b, n, longer = adjacent(codes, frequent.column("at").to_numpy())
-    rows = len(n) + 1
-    return pa.table(
-        {
-            "chunk": pa.array(np.full(rows, occurrences.column("of")[0].as_py())),
-            "at": pa.array(np.arange(rows, dtype=np.int32)),
-            "a": pa.array(np.concatenate([[0], ids[a]])),
-            "b": pa.array(np.concatenate([[0], ids[b]])),
-            "n": pa.array(np.concatenate([[0], n])),
-            "codes": pa.array([longer.tobytes(), *[None] * (rows - 1)], pa.binary()),
-        }
-    )
+_COUNTED = "chunk long, known binary, id long, lang string, a long, b long, word binary, f long"
+_COUNTS = pa.schema([("chunk", pa.int64()), ("known", pa.binary()), ("id", pa.int64()), ("lang", pa.string()), ("a", pa.int64()), ("b", pa.int64()), ("word", pa.binary()), ("f", pa.int64())])
+
+
+def _answer(part: int, least: int, total: np.ndarray, entries: list[tuple[int, int, np.ndarray]], described: dict[str, list]) -> pa.Table:
+    """The frequent groups of a part, numbered, and for each chunk the places of those it has. entries: chunk, first place, groups."""
+    frequent = np.flatnonzero(total >= least)
+    ids = np.full(len(total), -1, np.int64)
+    ids[frequent] = (part << 40) + np.arange(len(frequent))
+    rows = [(None, None, int(ids[g]), *[described[c][g] if c in described else None for c in ("lang", "a", "b", "word")], int(total[g])) for g in frequent.tolist()]
+    for chunk, base, groups in entries:
+        own = ids[groups]
+        places = np.flatnonzero(own >= 0)
+        if len(places):
+            rows.append((chunk, pack(base + places, own[places]), *[None] * 6))
+    return pa.table([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_COUNTS)], schema=_COUNTS)
+
+
+def _counted_words(least: int):
+    def run(part: pa.Table) -> pa.Table:
+        numbers, entries, words = {}, [], []
+        for chunk, lang, base, text, n in zip(*[part.column(c).to_pylist() for c in ("chunk", "lang", "base", "words", "groups")], strict=True):
+            own = zstandard.decompress(text).split(b"\n")
+            entries.append((chunk, base, np.fromiter((numbers.setdefault((lang, w), len(numbers)) for w in own), np.int64, len(own))))
+            words.append(_unpack_codes(n))
+        total = np.bincount(np.concatenate([g for *_, g in entries]), np.concatenate(words).astype(np.float64), len(numbers)).astype(np.int64)
+        langs, found = zip(*numbers, strict=True)
+        return _answer(part.column("part")[0].as_py(), least, total, entries, {"lang": langs, "word": found})
+
+    return run
+
+
+def _counted_pairs(least: int):
+    def run(part: pa.Table) -> pa.Table:
+        chunks, bases = (part.column(c).to_pylist() for c in ("chunk", "base"))
+        each = [unpack(g, 3) for g in part.column("groups").to_pylist()]
+        a, b, n = (np.concatenate(c) for c in zip(*each, strict=True))
+        (ua, ia), (ub, ib) = (np.unique(x, return_inverse=True) for x in (a, b))
+        pairs, number = np.unique(ia * len(ub) + ib, return_inverse=True)
+        total = np.zeros(len(pairs), np.int64)
+        np.add.at(total, number, n)
+        ends = np.cumsum([len(x[0]) for x in each])
+        entries = list(zip(chunks, bases, np.split(number, ends[:-1]), strict=True))
+        return _answer(part.column("part")[0].as_py(), least, total, entries, {"a": ua[pairs // len(ub)].tolist(), "b": ub[pairs % len(ub)].tolist()})
+
+    return run
+
+
+def _extended(parts: int):
+    def run(occurrences: pa.Table, answers: pa.Table) -> pa.Table:
+        """The occurrences of a chunk, one word longer: a row with them, and one for its groups in each part."""
+        chunk = occurrences.column("of")[0].as_py()
+        known = [unpack(x, 2) for x in answers.column("known").to_pylist()]
+        places, ids = (np.concatenate([np.zeros(0, np.int64), *c]) for c in (zip(*known, strict=True) if known else ([], [])))
+        order = np.argsort(ids)  # groups then come in the order of their ids
+        a, b, n, codes = adjacent(_unpack_codes(occurrences.column("codes")[0].as_py()), places[order] + 1)
+        a, b = ids[order][a], ids[order][b]
+        mixed = (a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + b.astype(np.uint64)) * np.uint64(0xC2B2AE3D27D4EB4F)
+        part = ((mixed >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
+        by, begins, codes = _ordered(part, parts, codes)
+        rows = [(chunk, None, -1, 0, None, None, None, _pack_codes(codes))]
+        for p, (x, y) in enumerate(zip(begins.tolist(), begins[1:].tolist(), strict=False)):
+            if x < y:
+                rows.append((chunk, None, p, x, None, pack(*(c[by[x:y]] for c in (a, b, n))), None, None))
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _FIELDS, strict=True)], schema=_FIELDS)
+
+    return run
 
 
 def _exact(column: Column, digits: int = 18) -> Column:
@@ -138,28 +222,26 @@ def phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", lea
     if least < 1 or longest < 2:
         raise ValueError("phrases have two words and occur once at least")
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit(_UNKNOWN)).alias("__lang"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("__text"))
-    relation = stored(rows.mapInArrow(_words(CHUNK), "chunk long, lang string, at int, word binary, n long, codes binary"))
-    totals = stored(relation.where("at = 0").groupBy("lang").agg(F.sum("n").alias("n")))
-    words = relation.where("at > 0").select("chunk", "at", "lang", "word", "n")
-    none = F.array().cast("array<bigint>")
-    known = stored(
-        words.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-        .select(F.monotonically_increasing_id().alias("id"), "lang", "word", "f", F.col("word").cast("string").alias("phrase"), F.col("word").cast("string").alias("last"), none.alias("before"), none.alias("after"))
-    )
-    labels = words.join(known.select("lang", "word", "id"), ["lang", "word"]).select("chunk", "at", "id")
+    parts = SPREAD * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    relation = stored(rows.mapInArrow(_words(CHUNK, parts), _RELATION))
+    totals = stored(relation.where("part < 0").groupBy("lang").agg(F.sum("n").alias("n")))
+    parts = max(parts, -(-(totals.agg(F.sum("n")).first()[0] or 0) // ENTRIES))
+    counted = stored(relation.where("part >= 0").groupBy("part").applyInArrow(_counted_words(least), _COUNTED))
+    none, word = F.array().cast("array<bigint>"), F.col("word").cast("string")
+    known = counted.where("id IS NOT NULL").select("id", "lang", "f", word.alias("phrase"), word.alias("last"), none.alias("before"), none.alias("after"))
     found = []
     for _ in range(2, longest + 1):
-        occurrences = relation.where("at = 0").select(F.col("chunk").alias("of"), "codes")
-        relation = stored(occurrences.groupBy("of").cogroup(labels.groupBy("chunk")).applyInArrow(_extended, _GROUPS))
-        groups = relation.where("at > 0").select("chunk", "at", "a", "b", "n")
+        occurrences = relation.where("part < 0").select(F.col("chunk").alias("of"), "codes")
+        answers = counted.where("id IS NULL").select("chunk", "known")
+        relation = stored(occurrences.groupBy("of").cogroup(answers.groupBy("chunk")).applyInArrow(_extended(parts), _RELATION))
+        counted = stored(relation.where("part >= 0").groupBy("part").applyInArrow(_counted_pairs(least), _COUNTED))
         first = known.select(F.col("id").alias("a"), "lang", F.col("phrase").alias("head"), F.concat("before", F.array("f")).alias("before"))
         rest = known.select(F.col("id").alias("b"), "last", F.concat("after", F.array("f")).alias("after"))
+        pairs = counted.where("id IS NOT NULL").select("id", "a", "b", "f")
         known = stored(
-            groups.groupBy("a", "b").agg(F.sum("n").alias("f")).where(F.col("f") >= least).join(first, "a").join(rest, "b")
-            .select(F.monotonically_increasing_id().alias("id"), "a", "b", "lang", "f", F.concat_ws(" ", "head", "last").alias("phrase"), "last", "before", "after")
+            pairs.join(first, "a").join(rest, "b").select("id", "a", "b", "lang", "f", F.concat_ws(" ", "head", "last").alias("phrase"), "last", "before", "after")
         )
         found.append(known)
-        labels = groups.join(known.select("a", "b", "id"), ["a", "b"]).select("chunk", "at", "id")
 
     kept = []
     for level, longer in zip(found, [*found[1:], None], strict=True):

@@ -74,6 +74,11 @@ def test_joins_of_a_chunk():
     assert m.compact(np.array([0, 0, 1, 0, 0, 2, 2, 0, 0])).tolist() == [1, 0, 2, 2, 0] and len(longer[longer > 0]) == 6
     a, b, n, longer = m.adjacent(np.zeros(0, np.int32), np.zeros(0, np.int64))
     assert len(a) == len(b) == len(n) == len(longer) == 0
+    r = np.random.default_rng(0)
+    columns = [np.sort(r.integers(0, 1 << 50, 1000)), r.integers(-5, 1 << 62, 1000), r.integers(0, 9, 1000)]
+    assert all((x == y).all() for x, y in zip(columns, m.unpack(m.pack(*columns), 3), strict=True))
+    assert [len(x) for x in m.unpack(m.pack(*[np.zeros(0, np.int64)] * 2), 2)] == [0, 0]
+    assert m._unpack_codes(m._pack_codes(columns[2])).tolist() == columns[2].tolist()
     assert m.tokens(b"Ab c.D\x0c\te") == [b"ab", b"c", b".", b"d", b".", b"e"]
 
 
