@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabscope.functions.arithmetic import rounded
@@ -71,3 +71,39 @@ def name_similarity(left: Column, right: Column) -> Column:
         )
         .otherwise(rounded(shared / either, 3))
     )
+
+
+def _marked(kind: Column):
+    return lambda token: F.struct(kind.alias("kind"), token.alias("token"))
+
+
+def similar_names(columns: DataFrame, least: float) -> DataFrame:
+    """Pairs of columns of one family in different tables with similar names: ``left_number, right_number``.
+
+    ``columns`` holds ``number, dataset, family, name``; the pairs hold all those with a similarity of ``least`` (0 to 0.75) or
+    more and some below. Names meet in an inverted index, where they have in common one of the rarest bigrams that so
+    similar sets must share, or the normalised name, or a rarest trigram of the normalised name that the other contains.
+    """
+    name = F.trim(F.lower(F.col("name")))
+    base = columns.select("number", "dataset", "family", _bigrams(name).alias("bigrams"), normalized_name(name).alias("plain"))
+    # Similarities are rounded to 3 decimals before they are compared.
+    spare = F.size("bigrams") - F.ceil(max(least - 0.0005, 0.0) * F.size("bigrams")).cast("int") + 1
+    threes = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length("plain") - 2), lambda i: F.substring("plain", i, F.lit(3))))
+    none = F.array().cast("array<string>")
+    kinds = {
+        "2": F.col("bigrams"),
+        "=": F.when(F.col("plain") != "", F.array("plain")).otherwise(none),
+        "3": F.when(F.length("plain") >= 3, threes).otherwise(none),
+    }
+    listed = F.concat(*[F.transform(tokens, _marked(F.lit(kind))) for kind, tokens in kinds.items()])
+    index = (
+        base.select("number", "dataset", "family", spare.alias("spare"), F.inline(listed))
+        .withColumn("n", F.count("*").over(Window.partitionBy("family", "kind", "token")))
+        .withColumn("place", F.row_number().over(Window.partitionBy("number", "kind").orderBy("n", "token")))
+        .where("kind != '2' OR place <= spare")
+    )
+    token = ["family", "kind", "token"]
+    one = index.where("kind != '3' OR place = 1").select(*token, F.col("number").alias("x"), F.col("dataset").alias("xd"))
+    two = index.select(*token, F.col("number").alias("y"), F.col("dataset").alias("yd"))
+    met = one.join(two, token).where("xd != yd")
+    return met.select(F.least("x", "y").alias("left_number"), F.greatest("x", "y").alias("right_number")).distinct()

@@ -22,11 +22,12 @@ from pyspark.sql import functions as F
 # wanted rank holds about one in 16,000.
 BUCKETS_PER_OCTAVE = 8192
 
-# Rows of a bucket that are sorted at most, the parts a larger one is cut into, and
-# how often: after that, a part holds a single double.
+# Rows of a bucket that are sorted as they are, and the parts a larger one is cut into.
+# Of 2^52 doubles of an octave, a bucket has 2^39 and a part 2^19, and equal values
+# are one row: that many rows are sorted at most.
 MOST_SORTED = 65_536
 _PARTS = 1 << 20
-_CUTS = 2
+_CUTS = 1
 
 # Added to the exponent to keep it positive for the smallest double.
 _OFFSET = 1100

@@ -2,25 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from functools import reduce
-from typing import NamedTuple
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tabscope.errors import AnalysisError
 from tabscope.functions.arithmetic import rounded
-from tabscope.functions.columns import (
-    WHITESPACE,
-    col,
-    family_of,
-    present,
-    require_column,
-    require_frame,
+from tabscope.functions.columns import col, require_column, require_frame
+from tabscope.functions.names import name_similarity, similar_names
+from tabscope.operators.values import (
+    NumberedColumn,
+    catalog_of,
+    padded_counts,
+    plain_counts,
+    shared_counts,
+    signatures,
+    sketches,
+    with_partners,
 )
-from tabscope.functions.names import name_similarity
 
 # Default thresholds.
 MIN_CONFIDENCE = 0.4
@@ -28,209 +28,93 @@ MIN_MAP_CONFIDENCE = 0.5
 NAME_WEIGHT, VALUE_WEIGHT = 0.4, 0.6
 MIN_NAME_SIMILARITY = 0.3
 
-# Columns per bit mask.
-_BITS = 62
-
-# Longer texts are compared by the SHA-256 of the whole text.
-_LONG_TEXT = 256
+# Up to so many columns, all names are compared; names of more meet in an index.
+_FEW_COLUMNS = 300
 
 EDGE_COLUMNS = (
     "left_dataset", "left_column", "right_dataset", "right_column", "confidence",
     "name_similarity", "value_overlap", "cardinality", "safe_to_join",
 )
-_EDGE_SCHEMA = (
-    "left_dataset string, left_column string, right_dataset string, right_column string, confidence double, "
-    "name_similarity double, value_overlap double, cardinality string, safe_to_join boolean"
-)
-
-
-class _Column(NamedTuple):
-    number: int
-    dataset: str
-    name: str
-    family: str
-
-
-def _family(data_type: T.DataType) -> str:
-    """Columns are comparable within a family; booleans count as numeric."""
-    family = family_of(data_type)
-    return "numeric" if family == "boolean" else family
-
-
-def _catalog(datasets: Mapping[str, DataFrame]) -> list[_Column]:
-    fields = [(name, f) for name, df in datasets.items() for f in df.schema.fields]
-    return [_Column(i, name, f.name, _family(f.dataType)) for i, (name, f) in enumerate(fields)]
-
-
-def _text(df: DataFrame, name: str) -> Column:
-    """The value as text, dates and times in one form."""
-    value = present(df, name)
-    if family_of(df.schema[name].dataType) == "datetime":
-        value = value.cast("timestamp_ntz")
-    return value.cast("string")
 
 
-def _values(datasets: Mapping[str, DataFrame], catalog: list[_Column]) -> DataFrame:
-    """``number, family, raw, value``: every non-null cell, ``value`` trimmed."""
-    parts = []
-    for name, df in datasets.items():
-        mine = [c for c in catalog if c.dataset == name]
-        texts = df.select(*[_text(df, c.name).alias(f"c{c.number}") for c in mine])
-        cells = [
-            F.struct(F.lit(c.number).alias("number"), F.lit(c.family).alias("family"), F.col(f"c{c.number}").alias("raw"))
-            for c in mine
-        ]
-        parts.append(texts.select(F.inline(F.array(*cells))))
-    cells = reduce(DataFrame.unionByName, parts).where(F.col("raw").isNotNull())
-    return cells.withColumn("value", F.btrim("raw", F.lit(WHITESPACE)))
+def _some(datasets: Mapping[str, DataFrame], catalog: Sequence[NumberedColumn]) -> dict[str, DataFrame]:
+    return {name: df for name, df in datasets.items() if any(c.dataset == name for c in catalog)}
 
 
-def _key(text: Column) -> Column:
-    whole = F.concat(F.lit("#"), F.sha2(text.cast("binary"), 256))
-    return F.when(F.length(text) > _LONG_TEXT, whole).otherwise(F.concat(F.lit("="), text))
+def _scored(datasets: Mapping[str, DataFrame], target: str | None = None) -> DataFrame:
+    """Score all pairs of columns of one family in different tables that have similar names or a value in common.
 
-
-def _bit(word: int) -> Column:
-    """The column's bit within one mask word, 0 in the other words."""
-    return F.when(
-        F.floor(F.col("number") / _BITS) == word, F.expr(f"shiftleft(1L, number % {_BITS})")
-    ).otherwise(F.lit(0).cast("bigint"))
-
-
-def _members(prefix: str, words: int, count: int) -> Column:
-    """The column numbers whose bit is set."""
-    masks = ", ".join(f"{prefix}{w}" for w in range(words))
-    word = f"element_at(array({masks}), CAST(i div {_BITS} AS INT) + 1)"
-    return F.expr(f"filter(sequence(0, {count - 1}), i -> ({word} & shiftleft(1L, i % {_BITS})) <> 0)")
-
-
-def _signatures(cells: DataFrame, words: int, count: int) -> DataFrame:
-    """``members, plain, n``: how many values occur in exactly these columns.
-
-    Every distinct value is reduced to the set of columns it occurs in, a few
-    machine words combined before the shuffle; equal sets are then counted.
-    The number of different sets depends on the schemas, not on the data.
-    ``plain`` are the columns holding the value without surrounding spaces.
+    A first job reads every table and leaves counts, bounds and hashed values of each column. Only columns that may share a
+    value, or whose uniqueness a pair of similar names depends on, have their values compared; everything joined here has
+    a row per column or pair.
     """
-    empty = F.col("value") == ""
-    plain = F.col("raw") == F.col("value")
-    masks = [F.bit_or(F.when(~empty, _bit(w)).otherwise(F.lit(0).cast("bigint"))).alias(f"any{w}") for w in range(words)]
-    masks += [F.bit_or(F.when(plain, _bit(w)).otherwise(F.lit(0).cast("bigint"))).alias(f"plain{w}") for w in range(words)]
-    names = [f"{p}{w}" for p in ("any", "plain") for w in range(words)]
-    return (
-        cells.groupBy("family", _key(F.col("value")).alias("key"))
-        .agg(*masks)
-        .groupBy(*names)
-        .agg(F.count("*").alias("n"))
-        .select(_members("any", words, count).alias("members"), _members("plain", words, count).alias("plain"), "n")
-    )
-
-
-def _row_counts(datasets: Mapping[str, DataFrame], catalog: list[_Column]) -> DataFrame:
-    """``number, row_count, filled`` per column."""
-    parts = []
-    for name, df in datasets.items():
-        mine = [c for c in catalog if c.dataset == name]
-        wide = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(present(df, c.name)).alias(f"c{c.number}") for c in mine])
-        rows = [
-            F.struct(F.lit(c.number).alias("number"), F.col("n").alias("row_count"), F.col(f"c{c.number}").alias("filled"))
-            for c in mine
-        ]
-        parts.append(wide.select(F.inline(F.array(*rows))))
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _distinct_counts(signatures: DataFrame) -> DataFrame:
-    """``number, values, exact``: distinct trimmed values, and distinct unpadded values."""
-    each = signatures.select(F.explode(F.array_union("members", "plain")).alias("number"), "members", "plain", "n")
-    return each.groupBy("number").agg(
-        F.sum(F.expr("if(array_contains(members, number), n, 0L)")).alias("values"),
-        F.sum(F.expr("if(array_contains(plain, number), n, 0L)")).alias("exact"),
-    )
+    spark = next(iter(datasets.values())).sparkSession
+    catalog = catalog_of(datasets)
+    columns = spark.createDataFrame([tuple(c) for c in catalog], "number int, dataset string, name string, family string")
 
+    def wanted(left: str, right: str) -> Column:
+        return F.lit(True) if target is None else (F.col(left) == target) | (F.col(right) == target)
 
-def _column_facts(
-    datasets: Mapping[str, DataFrame], catalog: list[_Column], cells: DataFrame, signatures: DataFrame
-) -> DataFrame:
-    """``number, values, distinct, is_unique`` per column.
-
-    ``values`` counts distinct trimmed non-empty values, ``distinct`` the values
-    as they are; values with surrounding spaces are counted on their own, since
-    there are few of them.
-    """
-    padded = (
-        cells.where((F.col("family") == "text") & (F.col("raw") != F.col("value")))
-        .select("number", _key(F.col("raw")).alias("key"))
-        .distinct()
-        .groupBy("number")
-        .agg(F.count("*").alias("padded"))
+    def side(which: str) -> DataFrame:
+        return columns.select(F.col("number").alias(f"{which}_number"), F.col("dataset").alias(f"{which}_dataset"), F.col("name").alias(f"{which}_column"))
+
+    def named(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(side("left"), "left_number").join(side("right"), "right_number")
+        similarity = name_similarity(F.col("left_column"), F.col("right_column"))
+        return both.where((F.col("left_dataset") != F.col("right_dataset")) & wanted("left_dataset", "right_dataset")).withColumn("name_similarity", similarity)
+
+    found = sketches(datasets, catalog)
+    if len(catalog) > _FEW_COLUMNS:
+        met = similar_names(columns, MIN_NAME_SIMILARITY)
+    else:
+        one, two = (columns.select("family", F.col("number").alias(f"{x}_number")) for x in ("left", "right"))
+        met = one.join(two, "family").where("left_number < right_number").select("left_number", "right_number")
+    alike = named(met).where(F.col("name_similarity") >= MIN_NAME_SIMILARITY)
+    numbers = {r.n for r in alike.select(F.explode(F.array("left_number", "right_number")).alias("n")).distinct().collect()}
+    undecided = {n for n in numbers if found[n].varied and not found[n].surely_repeats}
+    read = [c for c in catalog if c.number in undecided | {n for n in with_partners(catalog, found, target) if found[n].varied}]
+    facts = spark.createDataFrame(
+        [(c.number, s.filled, s.surely_repeats) for c in catalog if (s := found[c.number]).varied], "number int, filled bigint, repeats boolean"
     )
     zero = F.lit(0).cast("bigint")
-    facts = (
-        _row_counts(datasets, catalog)
-        .join(F.broadcast(_distinct_counts(signatures)), "number", "left")
-        .join(F.broadcast(padded), "number", "left")
-        .withColumn("distinct", F.coalesce("exact", zero) + F.coalesce("padded", zero))
-    )
-    nulls = F.col("row_count") - F.col("filled")
-    unique = (F.col("filled") == F.col("distinct")) & (nulls <= 1)
-    return facts.select("number", F.coalesce("values", zero).alias("values"), "distinct", unique.alias("is_unique"))
-
-
-def _scored(
-    datasets: Mapping[str, DataFrame], pairs: list[tuple[_Column, _Column]]
-) -> DataFrame:
-    """Score the given column pairs; every frame joined here has a row per column or pair."""
-    spark = next(iter(datasets.values())).sparkSession
-    if not pairs:
-        return spark.createDataFrame([], f"left_number int, right_number int, {_EDGE_SCHEMA}")
-    # Columns without any possible partner are not read.
-    used = {c.number for pair in pairs for c in pair}
-    count = max(used) + 1
-    catalog = [c for c in _catalog(datasets) if c.number in used]
-    datasets = {name: df for name, df in datasets.items() if any(c.dataset == name for c in catalog)}
-    words = count // _BITS + 1
-    wanted = spark.createDataFrame(
-        [(a.number, b.number, a.dataset, a.name, b.dataset, b.name) for a, b in pairs],
-        "left_number int, right_number int, left_dataset string, left_column string, "
-        "right_dataset string, right_column string",
-    )
-    cells = _values(datasets, catalog)
-    signatures = _signatures(cells, words, count)
-    facts = _column_facts(datasets, catalog, cells, signatures)
-    shared = (
-        signatures.where(F.size("members") > 1)
-        .select(F.explode("members").alias("left_number"), "members", "n")
-        .join(F.broadcast(wanted.select("left_number", "right_number")), "left_number")
-        .where(F.expr("array_contains(members, right_number)"))
-        .groupBy("left_number", "right_number")
-        .agg(F.sum("n").alias("both"))
-    )
-
-    def side(which: str) -> DataFrame:
-        return facts.select(
-            F.col("number").alias(f"{which}_number"),
-            F.coalesce("values", F.lit(0).cast("bigint")).alias(f"{which}_values"),
-            F.col("distinct").alias(f"{which}_distinct"),
-            F.col("is_unique").alias(f"{which}_unique"),
-        )
-
-    both = F.coalesce("both", F.lit(0).cast("bigint"))
-    either = F.col("left_values") + F.col("right_values") - both
+    if read:
+        # Numbers without gaps keep the bit masks short.
+        place = {c.number: k for k, c in enumerate(read)}
+        numbering = spark.createDataFrame([(k, n) for n, k in place.items()], "place int, number int")
+        dense = [c._replace(number=place[c.number]) for c in read]
+        sets = signatures(_some(datasets, read), dense)
+        counts = shared_counts(sets)
+        exact = plain_counts(sets)
+        padded = padded_counts(datasets, dense, {place[c.number] for c in read if found[c.number].padded})
+        if padded is not None:
+            exact = exact.unionByName(padded).groupBy("number").agg(F.sum("n").alias("n"))
+        exact = exact.select(F.col("number").alias("place"), F.col("n").alias("exact"))
+        own = counts.where("a = b").select(F.col("a").alias("place"), F.col("n").alias("values"))
+        facts = facts.join(F.broadcast(numbering.join(F.broadcast(own), "place", "left").join(F.broadcast(exact), "place", "left").drop("place")), "number", "left")
+        left, right = (numbering.select(F.col("place").alias(x), F.col("number").alias(f"{side}_number")) for x, side in (("a", "left"), ("b", "right")))
+        shared = counts.where("a != b").withColumnRenamed("n", "both").join(left, "a").join(right, "b").select("left_number", "right_number", "both")
+        families = [columns.select(F.col("number").alias(f"{x}_number"), F.col("family").alias(f"{x}_family")) for x in ("left", "right")]
+        valued = named(shared.join(families[0], "left_number").join(families[1], "right_number").where("left_family = right_family").select("left_number", "right_number", "both"))
+    else:
+        facts = facts.withColumns({"values": zero, "exact": zero})
+        valued = alike.limit(0).withColumn("both", zero)
+    pair = ["left_number", "right_number", "left_dataset", "left_column", "right_dataset", "right_column", "name_similarity"]
+    pairs = valued.select(*pair, "both").unionByName(alike.select(*pair, zero.alias("both"))).groupBy(*pair).agg(F.max("both").alias("both"))
+
+    def facts_of(which: str) -> DataFrame:
+        # A row per column: broadcast, as the columns themselves are.
+        unique = ~F.col("repeats") & (F.col("filled") == F.coalesce("exact", zero))
+        return facts.select(F.col("number").alias(f"{which}_number"), F.coalesce("values", zero).alias(f"{which}_values"), unique.alias(f"{which}_unique"))
+
+    either = F.col("left_values") + F.col("right_values") - F.col("both")
     lu, ru = F.col("left_unique"), F.col("right_unique")
-    name, overlap = F.col("name_similarity"), F.col("value_overlap")
     return (
-        wanted.join(F.broadcast(side("left")), "left_number")
-        .join(F.broadcast(side("right")), "right_number")
-        .join(F.broadcast(shared), ["left_number", "right_number"], "left")
-        .where((F.col("left_distinct") > 1) & (F.col("right_distinct") > 1))
-        .withColumn("name_similarity", name_similarity(F.col("left_column"), F.col("right_column")))
-        .withColumn("value_overlap", F.coalesce(rounded(F.try_divide(both, either), 3), F.lit(0.0)))
-        .withColumn("confidence", rounded(NAME_WEIGHT * name + VALUE_WEIGHT * overlap, 2))
-        .withColumn(
-            "cardinality", F.when(lu & ru, "1:1").when(lu, "1:N").when(ru, "N:1").otherwise("N:N")
-        )
+        pairs.join(F.broadcast(facts_of("left")), "left_number").join(F.broadcast(facts_of("right")), "right_number")
+        .withColumn("value_overlap", F.coalesce(F.when(F.col("both") > 0, rounded(F.try_divide(F.col("both"), either), 3)), F.lit(0.0)))
+        .withColumn("confidence", rounded(NAME_WEIGHT * F.col("name_similarity") + VALUE_WEIGHT * F.col("value_overlap"), 2))
+        .withColumn("cardinality", F.when(lu & ru, "1:1").when(lu, "1:N").when(ru, "N:1").otherwise("N:N"))
         .withColumn("safe_to_join", lu | ru)
+        .where(_is_candidate())
         .select("left_number", "right_number", *EDGE_COLUMNS)
     )
 
@@ -251,42 +135,37 @@ def score_key_pair(
     """Score of one column pair in one row, or no row when it is not a candidate.
 
     Columns: left_column, right_column, name_similarity, value_overlap,
-    confidence, cardinality, safe_to_join.
+    confidence, cardinality, safe_to_join. Equal numbers are equal values
+    whatever their types are.
     """
     require_frame(left)
     require_frame(right)
     require_column(left, left_column, "left dataset")
     require_column(right, right_column, "right dataset")
-    datasets = {"left": left.select(col(left_column)), "right": right.select(col(right_column))}
-    a, b = _catalog(datasets)
-    pairs = [(a, b)] if a.family == b.family else []
-    return (
-        _scored(datasets, pairs)
-        .where(_is_candidate())
-        .select(
-            "left_column", "right_column", "name_similarity", "value_overlap", "confidence", "cardinality",
-            "safe_to_join",
-        )
+    return _scored({"left": left.select(col(left_column)), "right": right.select(col(right_column))}).select(
+        "left_column", "right_column", "name_similarity", "value_overlap", "confidence", "cardinality", "safe_to_join"
     )
 
 
 def value_overlap(
     left: DataFrame, right: DataFrame, left_column: str, right_column: str
 ) -> DataFrame:
-    """Jaccard index of the distinct values of two columns, compared as trimmed text.
+    """Jaccard index of the distinct values of two columns.
 
     One row: ``left_values, right_values, shared_values, value_overlap``. All
-    values are compared.
+    values are compared: those of one family (numbers, dates and times, text) by
+    value, whatever their types are, text without surrounding spaces; those of
+    unlike families as text.
     """
     require_frame(left)
     require_frame(right)
     require_column(left, left_column, "left dataset")
     require_column(right, right_column, "right dataset")
     datasets = {"left": left.select(col(left_column)), "right": right.select(col(right_column))}
-    # Compared as text whatever the types are.
-    catalog = [c._replace(family="text") for c in _catalog(datasets)]
-    cells = _values(datasets, catalog)
-    sets = _signatures(cells, 1, 2)
+    catalog = catalog_of(datasets)
+    if len({c.family for c in catalog}) > 1:
+        catalog = [c._replace(family="text") for c in catalog]
+    sets = signatures(datasets, catalog)
 
     def total(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0).cast("bigint"))
@@ -310,28 +189,19 @@ def discover_relationships(
     """Candidate join keys between all tables, most confident first.
 
     Confidence is 0.4 · name similarity + 0.6 · value overlap. Columns with at
-    most one distinct value and pairs of unlike types are left out.
-    ``target_dataset`` keeps the pairs of one table. All tables are read by one
-    query, whatever the number of column pairs.
+    most one distinct value and pairs of unlike types are left out; equal numbers
+    are equal values whatever their types are. ``target_dataset`` keeps the pairs
+    of one table. A first job, when this is called, sketches the columns; the
+    result reads those that may share a value, once for any number of pairs.
     """
     _require_datasets(datasets)
     if target_dataset is not None and target_dataset not in datasets:
         raise AnalysisError("unknown_dataset", f"'{target_dataset}' is no table.", datasets)
     if len(datasets) < 2:
         raise AnalysisError("too_few_datasets", "Relationships need two tables.")
-    catalog = _catalog(datasets)
-    order = {name: i for i, name in enumerate(datasets)}
-    pairs = [
-        (a, b)
-        for a in catalog
-        for b in catalog
-        if order[a.dataset] < order[b.dataset]
-        and a.family == b.family
-        and (target_dataset is None or target_dataset in (a.dataset, b.dataset))
-    ]
     return (
-        _scored(datasets, pairs)
-        .where(_is_candidate() & (F.col("confidence") >= min_confidence))
+        _scored(datasets, target_dataset)
+        .where(F.col("confidence") >= min_confidence)
         .orderBy(F.col("confidence").desc(), "left_number", "right_number")
         .select(*EDGE_COLUMNS)
     )

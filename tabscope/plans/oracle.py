@@ -359,12 +359,13 @@ def _similarity(a: str, b: str) -> str:
 
 
 def _edges(related: dict[str, list[tuple[str, str]]]) -> str:
-    """All scored candidate pairs of the given tables."""
+    """All scored candidate pairs of the given tables: numbers are compared as doubles."""
     cells, facts = [], []
     number = 0
     for d, (name, columns) in enumerate(related.items()):
         for c, family in columns:
-            cells.append(f"SELECT DISTINCT {number} AS number, trim(CAST({c} AS VARCHAR)) AS v FROM {name} WHERE {c} IS NOT NULL")
+            value = f"CAST(CAST({c} AS DOUBLE) AS VARCHAR)" if family == "n" else f"trim(CAST({c} AS VARCHAR))"
+            cells.append(f"SELECT DISTINCT {number} AS number, '{family}' AS family, {value} AS v FROM {name} WHERE {c} IS NOT NULL")
             facts.append(
                 f"SELECT {number} AS number, {d} AS d, '{name}' AS dataset, '{c}' AS name, '{family}' AS family, "
                 f"count(DISTINCT {c}) AS u, count(*) = count(DISTINCT {c}) + CASE WHEN count({c}) < count(*) THEN 1 ELSE 0 END "
@@ -372,11 +373,15 @@ def _edges(related: dict[str, list[tuple[str, str]]]) -> str:
             )
             number += 1
     return f"""
-cells AS ({' UNION ALL '.join(cells)}), facts AS ({' UNION ALL '.join(facts)}),
-sizes AS (SELECT number, count(*) AS n FROM cells WHERE v <> '' GROUP BY number),
-shared AS (SELECT a.number AS an, b.number AS bn, count(*) AS n FROM cells a JOIN cells b
-           ON a.v = b.v AND a.number < b.number WHERE a.v <> '' GROUP BY an, bn),
-scored AS (
+cells AS MATERIALIZED ({' UNION ALL '.join(cells)}), facts AS MATERIALIZED ({' UNION ALL '.join(facts)}),
+sizes AS MATERIALIZED (SELECT number, count(*) AS n FROM cells WHERE v <> '' GROUP BY number),
+sets AS MATERIALIZED (
+  SELECT members, count(*) AS n FROM (SELECT family, v, list_sort(list(number)) AS members FROM cells WHERE v <> '' GROUP BY family, v)
+  WHERE len(members) > 1 GROUP BY members),
+shared AS MATERIALIZED (
+  SELECT an, bn, CAST(sum(n) AS BIGINT) AS n
+  FROM (SELECT an, unnest(members) AS bn, n FROM (SELECT unnest(members) AS an, members, n FROM sets)) WHERE an < bn GROUP BY an, bn),
+scored AS MATERIALIZED (
   SELECT l.number AS ln, r.number AS rn, l.dataset AS left_dataset, l.name AS left_column,
          r.dataset AS right_dataset, r.name AS right_column,
          CAST({_similarity('l.name', 'r.name')} AS DOUBLE) AS name_similarity,

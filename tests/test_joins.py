@@ -1,10 +1,13 @@
 import itertools
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 import tabscope as ts
 from conftest import one, records, refused
+from tabscope.functions.names import similar_names
+from tabscope.operators import values
 from tabscope.operators.joins import join_tables
 from tabscope.operators.relationships import schema_graph
 
@@ -229,6 +232,111 @@ def test_uniqueness_of_keys(spark):
     assert cardinality(["a", "a ", "b"], ["a", "b", "b"], "string") == "1:N"
 
 
+NUMBERS = {
+    "bigint": "id", "int": "CAST(id AS INT)", "double": "CAST(id AS DOUBLE)", "float": "CAST(id AS FLOAT)",
+    "decimal": "CAST(id AS DECIMAL(20,4))", "whole": "CAST(id AS DECIMAL(30,0))",
+}
+
+
+@pytest.mark.parametrize("left,right", [("bigint", "double"), ("decimal", "int"), ("float", "whole"), ("double", "decimal")])
+def test_equal_numbers_of_unlike_types(spark, left, right):
+    ids = spark.range(-50, 50)
+    a, b = ids.selectExpr(f"{NUMBERS[left]} AS key"), ids.selectExpr(f"{NUMBERS[right]} AS other")
+    assert one(ts.value_overlap(a, b, "key", "other"))["value_overlap"] == 1.0
+    assert one(ts.score_key_pair(a, b, "key", "other")) == {
+        "left_column": "key", "right_column": "other", "name_similarity": 0.0, "value_overlap": 1.0, "confidence": 0.6, "cardinality": "1:1", "safe_to_join": True,
+    }
+
+
+def test_numbers_with_decimals(spark):
+    decimals = spark.sql("SELECT CAST(v AS DECIMAL(36,16)) AS x FROM VALUES (0.1), (2.5), (0), (1000), (0.1234567891), (12345678901234567890.1) AS t(v)")
+    doubles = spark.sql("SELECT CAST(v AS DOUBLE) AS y FROM VALUES ('0.1'), ('2.50'), ('-0.0'), ('1e3'), ('Infinity'), ('NaN'), ('0.1234567891'), ('12345678901234567890.1') AS t(v)")
+    got = one(ts.value_overlap(decimals, doubles, "x", "y"))
+    # The last decimal has more digits than a double; NaN is missing.
+    assert (got["left_values"], got["right_values"], got["shared_values"]) == (6, 7, 5)
+
+
+def test_times_meet_dates(spark):
+    days = spark.sql("SELECT DATE'2024-03-01' + CAST(id AS INT) AS day FROM range(30)")
+    times = spark.sql("SELECT CAST(DATE'2024-03-01' + CAST(id AS INT) AS TIMESTAMP_NTZ) AS at FROM range(30) UNION ALL SELECT TIMESTAMP_NTZ'2024-03-01 00:00:00.000001'")
+    got = one(ts.value_overlap(days, times, "day", "at"))
+    assert (got["left_values"], got["right_values"], got["shared_values"]) == (30, 31, 30)
+
+
+def overlaps(datasets):
+    """All pairs of columns that share a value, by trying each in plain Python."""
+    frames = {n: [(f.name, values.comparable_family(f.dataType)) for f in df.schema.fields] for n, df in datasets.items()}
+    cells = {n: [tuple(r) for r in df.collect()] for n, df in datasets.items()}
+
+    def column(n, k):
+        raw = [r[k] for r in cells[n] if r[k] is not None and r[k] == r[k]]
+        return raw, {v.strip() if isinstance(v, str) else v for v in raw} - {""}
+
+    out = set()
+    order = list(datasets)
+    for i, x in enumerate(order):
+        for y in order[i + 1 :]:
+            for a, (left, kind) in enumerate(frames[x]):
+                for b, (right, other) in enumerate(frames[y]):
+                    (ra, va), (rb, vb) = column(x, a), column(y, b)
+                    if kind != other or len(set(ra)) < 2 or len(set(rb)) < 2:
+                        continue
+                    if va & vb:
+                        out.add((x, left, y, right, round(len(va & vb) / len(va | vb), 3)))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_pruning_loses_no_shared_value(spark, seed):
+    """Columns with few or no values in common, of mixed types: every pair that shares one is found."""
+    r = random.Random(seed)
+
+    def frame(n):
+        kinds = [("bigint", lambda lo, w: r.randrange(lo, lo + w)), ("double", lambda lo, w: r.choice([float(r.randrange(lo, lo + w)), lo + r.randrange(8) / 8])), ("string", lambda lo, w: r.choice(["", " "]) + chr(97 + lo % 26) + str(r.randrange(w)))]
+        chosen = [(*r.choice(kinds), r.randrange(0, 400, 40), r.choice([3, 30, 300])) for _ in range(7)]
+        rows = [tuple(make(lo, w) if r.random() > 0.1 else None for _, make, lo, w in chosen) for _ in range(40)]
+        return spark.createDataFrame(rows, ", ".join(f"{'qzxjkvw'[k]}{n} {kind}" for k, (kind, *_) in enumerate(chosen)))
+
+    datasets = {f"t{n}": frame(n) for n in range(3)}
+    found = ts.discover_relationships(datasets, min_confidence=0.0).collect()
+    got = {(x.left_dataset, x.left_column, x.right_dataset, x.right_column, x.value_overlap) for x in found if x.value_overlap}
+    assert {x for x in overlaps(datasets) if x[4]} == got
+
+
+def test_disjoint_columns_are_not_read(spark):
+    left = spark.sql("SELECT id AS a, 'left ' || id AS b, IF(id % 2 = 0, 'open', 'shut') AS c, 5000.5 + id AS d FROM range(100)")
+    right = spark.sql("SELECT id + 1000 AS x, 'right ' || id AS y, IF(id % 2 = 0, 'blue', 'red') AS z, id + 50 AS a FROM range(100)")
+    datasets = {"l": left, "r": right}
+    catalog = values.catalog_of(datasets)
+    found = values.sketches(datasets, catalog)
+    chosen = values.with_partners(catalog, found)
+    assert {(c.dataset, c.name) for c in catalog if c.number in chosen} == {("l", "a"), ("r", "a")}
+    assert not any(found[c.number].surely_repeats for c in catalog)
+    repeated = {"l": spark.sql("SELECT id % 7 AS a FROM range(100)"), "r": spark.sql("SELECT IF(id < 2, NULL, id) AS b FROM range(9)")}
+    assert all(x.surely_repeats for x in values.sketches(repeated, values.catalog_of(repeated)).values())
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_names_meet_in_the_index(spark, seed):
+    r = random.Random(seed)
+    parts = ["id", "cust", "customer", "num", "key", "code", "order", "a", "b", "x1", "name", "_", "Total", "amt"]
+    names = sorted({"".join(r.choice(parts) for _ in range(r.randrange(1, 4))) for _ in range(60)})
+    rows = [(k, f"t{k % 3}", n, "text") for k, n in enumerate(names)]
+    columns = spark.createDataFrame(rows, "number int, dataset string, name string, family string")
+    met = {tuple(x) for x in similar_names(columns, 0.3).collect()}
+    two = columns.alias("l").join(columns.alias("r"), F.expr("l.number < r.number AND l.dataset != r.dataset"))
+    near = two.where(ts.name_similarity(F.col("l.name"), F.col("r.name")) >= 0.3).select("l.number", "r.number").collect()
+    assert {tuple(x) for x in near} <= met and len(met) < 60 * 59 / 2
+
+
+def test_wide_schemas(spark):
+    """Columns by the hundreds: no list of pairs, masks of several words."""
+    left = spark.range(4).select(*[(F.col("id") + 10 * i).alias(f"left{i:03d}q") for i in range(150)])
+    right = spark.range(4).select(*[(F.col("id") + 10 * i).alias(f"zz{i:03d}") for i in range(150)])
+    found = ts.discover_relationships({"a": left, "b": right}, min_confidence=0.5)
+    assert {(r["left_column"], r["right_column"]) for r in found.collect()} == {(f"left{i:03d}q", f"zz{i:03d}") for i in range(150)}
+
+
 def test_discovery(people, sales):
     tables = {"customers.csv": people, "sales.csv": sales}
     found = records(ts.discover_relationships(tables))
