@@ -11,7 +11,7 @@ from tabscope.functions.filters import where_dates, where_values
 from tabscope.functions.names import name_similarity, normalized_name
 from tabscope.functions.periods import add_period_column, period_label, period_start
 from tabscope.operators.changes import change_highlights, compare_years, overall_change, percentage_change
-from tabscope.operators.charts import box_plot, create_multi_dataset_visualization, create_visualization, histogram
+from tabscope.operators.charts import box_plot, create_multi_dataset_visualization, create_visualization, histogram, visible_line
 from tabscope.operators.correlation import constant_columns, correlation_analysis, correlation_extremes
 from tabscope.operators.findings import findings
 from tabscope.operators.groupby import best_and_worst_group, compare_two_groups, group_ranking, groupby_analysis

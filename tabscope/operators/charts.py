@@ -49,6 +49,7 @@ def create_visualization(
     bins: int = DEFAULT_BINS,
     strict: bool = False,
     max_groups: int | None = None,
+    pixels: int | None = None,
 ) -> DataFrame:
     """The data of a bar, line, scatter, histogram or box chart.
 
@@ -56,6 +57,7 @@ def create_visualization(
     ``top_n`` or ``max_groups``) or per calendar period when x is a date (default month).
     Without: all ``x, y`` points with both values, ordered when x is a date;
     bins of a histogram; quartiles, whiskers and outlier counts of a box plot.
+    ``pixels`` leaves of a line what can be seen at that width (see ``visible_line``).
     """
     require_frame(df)
     require_choice("Chart type", chart_type, CHART_TYPES)
@@ -68,6 +70,8 @@ def create_visualization(
         require_choice("Aggregation function", agg_function, AGGREGATES)
         if chart_type == "histogram":
             raise AnalysisError("no_aggregate", "A histogram counts and takes no aggregate.")
+    if pixels is not None and (chart_type != "line" or agg_function is not None):
+        raise AnalysisError("no_pixels", "Only a line of points can be left in pixels.")
     rows = where_values(df, x_column, filter_values)
     if strict and filter_values:
         require_rows(rows, f"The filter on '{x_column}' leaves nothing.")
@@ -77,6 +81,8 @@ def create_visualization(
         return histogram(drop_missing(rows, [c for c in (x_column, y_column) if c]), x_column, bins)
     if chart_type == "box":
         return box_plot(rows, x_column, y_column)
+    if pixels is not None:
+        return visible_line(rows, x_column, y_column, pixels).select("x", "y").orderBy("x", "y")
     points = drop_missing(rows, [x_column, y_column]).select(col(x_column).alias("x"), col(y_column).alias("y"))
     if not is_datetime(df, x_column):
         return points
@@ -85,6 +91,40 @@ def create_visualization(
     return numbered.orderBy("x", "y", "_i").drop("_i")
 
 
+def visible_line(df: DataFrame, x_column: str, y_column: str, pixels: int) -> DataFrame:
+    """The points of a line that decide what is seen of it on ``pixels`` columns of equal width: ``pixel, x, y``.
+
+    In each column these are the first, last, lowest and highest point, at most four: drawn in the order of x, they
+    cover the same pixels as all points. One grouped aggregate, combined in every task, after one that finds the ends of x;
+    no point is sorted or exchanged. x is a date or a number, y a number; points without both or with an infinite x are left
+    out. Among points of the lowest y the first is kept, among those of the highest the last, among those of one x the lowest
+    as first and the highest as last.
+    """
+    require_frame(df)
+    for name in (x_column, y_column):
+        require_column(df, name)
+    require_numeric(df, y_column, "a line needs its height")
+    if pixels <= 0:
+        raise AnalysisError("bad_pixels", "The number of pixels has to be above 0.")
+    if is_datetime(df, x_column):
+        at = col(x_column).cast("timestamp_ntz")
+        seconds = F.unix_date(at.cast("date")).cast("bigint") * 86_400 + F.hour(at) * 3600 + F.minute(at) * 60
+        place = seconds * 1_000_000 + (F.date_part(F.lit("SECOND"), at) * 1_000_000).cast("bigint")
+    else:
+        require_numeric(df, x_column, "a line runs along dates or numbers")
+        place = number(df, x_column)
+    points = drop_missing(df, [x_column, y_column]).select(col(x_column).alias("x"), col(y_column).alias("y"), place.alias("at"))
+    points = points.where(F.abs(F.col("at").cast("double")) < float("inf"))
+    ends = points.agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    first, last = ends.select("first").scalar(), ends.select("last").scalar()
+    share = F.try_divide((F.col("at") - F.col("first")).cast("double"), (F.col("last") - F.col("first")).cast("double"))
+    pixel = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * pixels), F.lit(pixels - 1)).cast("int")
+    placed = points.withColumns({"first": first, "last": last}).select(pixel.alias("pixel"), F.struct("x", "y").alias("along"), F.struct("y", "x").alias("up"))
+    seen = placed.groupBy("pixel").agg(F.min("along").alias("a"), F.max("along").alias("b"), F.min("up").alias("c"), F.max("up").alias("d"))
+    some = [F.struct(F.col(f"{p}.x").alias("x"), F.col(f"{p}.y").alias("y")) for p in "abcd"]
+    return seen.select("pixel", F.inline(F.array_distinct(F.array(*some))))
+
+
 def _aggregated(
     rows: DataFrame,
     x_column: str,

@@ -397,6 +397,17 @@ edges AS (
   WHERE name_similarity >= 0.3 OR value_overlap > 0)"""
 
 
+def _visible_line(table: str, x: str, place: str, y: str, pixels: int) -> str:
+    """First, last, lowest and highest point of each column of pixels."""
+    return f"""
+WITH points AS (SELECT {x} AS x, {y} AS y, {place} AS place FROM {table} WHERE {x} IS NOT NULL AND {y} IS NOT NULL),
+ends AS (SELECT min(place) AS a, max(place) AS b FROM points),
+placed AS (SELECT x, y, CAST(least(floor(CAST(place - a AS DOUBLE) / CAST(b - a AS DOUBLE) * {pixels}), {pixels - 1}) AS INTEGER) AS pixel FROM points, ends),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY pixel ORDER BY x, y) AS r1, row_number() OVER (PARTITION BY pixel ORDER BY x DESC, y DESC) AS r2,
+  row_number() OVER (PARTITION BY pixel ORDER BY y, x) AS r3, row_number() OVER (PARTITION BY pixel ORDER BY y DESC, x DESC) AS r4 FROM placed)
+SELECT DISTINCT pixel, x, y FROM ranked WHERE 1 IN (r1, r2, r3, r4)"""
+
+
 _EDGE_COLUMNS = (
     "left_dataset, left_column, right_dataset, right_column, confidence, name_similarity, value_overlap, "
     "cardinality, safe_to_join"
@@ -711,6 +722,9 @@ FROM ({_series('o_orderdate', 'cents', 'quarter', 'mean', _CENTS)})""",
     "chart_points": f"""
 WITH {_GAPS} SELECT o_custkey AS x, price AS y FROM gaps WHERE o_custkey IS NOT NULL AND price IS NOT NULL""",
     "chart_points_by_date": "SELECT o_orderdate AS x, o_totalprice AS y FROM orders WHERE o_orderdate IS NOT NULL AND o_totalprice IS NOT NULL",
+    "chart_visible_line": _visible_line("orders", "o_orderdate", "epoch_us(o_orderdate)", "o_totalprice", 300),
+    "chart_visible_line_of_numbers": "SELECT x, y FROM ("
+    + _visible_line("lineitem", "l_extendedprice", "l_extendedprice", "l_orderkey", 100) + ")",
     "chart_histogram": """
 SELECT CAST(bin AS INTEGER) AS bin, round(lo + bin * w, 4) AS lower,
        round(CASE WHEN bin = 19 THEN hi ELSE lo + (bin + 1) * w END, 4) AS upper, count

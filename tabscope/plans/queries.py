@@ -592,6 +592,16 @@ def chart_time(orders):
     return chart.select("x", rounded("y", 4).alias("y"))
 
 
+@query("orders")
+def chart_visible_line(orders):
+    return ts.visible_line(orders, "o_orderdate", "o_totalprice", 300)
+
+
+@query("lineitem")
+def chart_visible_line_of_numbers(lineitem):
+    return ts.create_visualization(lineitem, "line", "l_extendedprice", "l_orderkey", pixels=100)
+
+
 @query("orders")
 def chart_points(orders):
     return ts.create_visualization(orders_with_gaps(orders), "scatter", "o_custkey", "price")

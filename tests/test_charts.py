@@ -89,3 +89,38 @@ def test_charts_that_cannot_be_made(harvest):
     }.items():
         with refused(code):
             call()
+
+
+def drawn(points, ends, heights, width, height):
+    """Pixels that straight lines from point to point, in the order of x, touch: in whole pixels, from column to column."""
+    (x0, x1), (y0, y1) = ends, heights
+    at = [(min(int((x - x0) / (x1 - x0) * width), width - 1), min(int((y - y0) / (y1 - y0) * height), height - 1)) for x, y in sorted(points)]
+    seen = set(at)
+    for (a, b), (c, d) in zip(at, at[1:]):
+        if a == c:
+            seen |= {(a, k) for k in range(min(b, d), max(b, d) + 1)}
+        else:
+            seen |= {(k, round(b + (d - b) * (k - a) / (c - a))) for k in range(a, c + 1)}
+    return seen
+
+
+@pytest.mark.parametrize("seed,pixels", [(0, 40), (1, 7), (2, 300)])
+def test_a_visible_line_covers_the_same_pixels(spark, seed, pixels):
+    rng = np.random.default_rng(seed)
+    x = rng.permutation(5000)[:2000].astype(float)
+    points = list(zip(x.tolist(), np.cumsum(rng.normal(0, 1, 2000)).tolist()))
+    df = spark.createDataFrame(points + [(None, 1.0), (2.0, None), (float("inf"), 0.0), (1.0, float("nan"))], "x double, y double").repartition(5)
+    left = [tuple(r) for r in ts.create_visualization(df, "line", "x", "y", pixels=pixels).collect()]
+    assert len(left) <= 4 * pixels and set(left) <= set(points) and left == sorted(left)
+    ends, heights = [(min(c), max(c)) for c in zip(*points)]
+    assert drawn(left, ends, heights, pixels, 50) == drawn(points, ends, heights, pixels, 50)
+
+
+def test_visible_lines_of_few_points(spark):
+    day = spark.sql("SELECT * FROM VALUES (TIMESTAMP_NTZ'2024-01-01 10:00:00', 3), (TIMESTAMP_NTZ'2024-01-01 10:00:00', 1) AS t(at, n)")
+    assert sorted(tuple(r)[0::2] for r in ts.visible_line(day, "at", "n", 10).collect()) == [(0, 1), (0, 3)]
+    assert ts.visible_line(day.where("false"), "at", "n", 10).collect() == []
+    with refused("bad_pixels"):
+        ts.visible_line(day, "at", "n", 0)
+    with refused("no_pixels"):
+        ts.create_visualization(day, "scatter", "at", "n", pixels=5)
