@@ -203,12 +203,12 @@ def _strongest(pairs: list[tuple[str, str]], source: str, limit: int) -> str:
     )
 
 
-def _profile(source: str, columns: list[tuple[str, str, str, bool]]) -> str:
-    """columns: name, type, semantic type, identifier-like name."""
+def _profile(source: str, columns: list[tuple[str, str, str, bool]], formats: dict[str, str] | None = None) -> str:
+    """columns: name, type, semantic type, identifier-like name; formats: of dates that are text."""
     parts = []
     for i, (name, kind, semantic, named) in enumerate(columns):
         integral = "FALSE" if kind in ("double", "float") else "TRUE"
-        date = "'datetime64'" if semantic == "datetime" else "CAST(NULL AS VARCHAR)"
+        date = f"'{(formats or {}).get(name, 'datetime64')}'" if semantic == "datetime" else "CAST(NULL AS VARCHAR)"
         sure = "1.0" if semantic == "datetime" else "CAST(NULL AS DOUBLE)"
         parts.append(
             f"""SELECT {i} AS position, '{name}' AS "column", '{kind}' AS dtype, '{semantic}' AS semantic_type,
@@ -241,6 +241,14 @@ _CUSTOMER = [
     ("c_acctbal", "double", "numeric", False),
     ("c_mktsegment", "string", "categorical", False),
 ]
+_ORDER_TEXTS = [
+    *[(name, "string", "categorical", name == "key") for name in ("key", "customer", "price", "large")],
+    *[(name, "string", "datetime", False) for name in ("iso_date", "us_date", "day_first")],
+    ("partly", "string", "categorical", False),
+    ("ordered", "string", "datetime", False),
+    *[(name, "string", "categorical", False) for name in ("priority", "nothing")],
+]
+_ORDER_FORMATS = {"iso_date": "YYYY-MM-DD", "us_date": "MM/DD/YYYY", "day_first": "DD-MM-YYYY", "ordered": "auto-detected"}
 _EVENTS = [
     ("event_id", "bigint", "numeric", True),
     ("ts", "timestamp_ntz", "datetime", False),
@@ -624,6 +632,7 @@ SELECT "column" FROM f WHERE n <= 1""",
     "profile": _profile("customer", _CUSTOMER),
     "profile_events": _profile("events", _EVENTS),
     "profile_lineitem": _profile("lineitem", _LINEITEM_COLUMNS),
+    "profile_texts": f"WITH {_TEXT} SELECT * FROM ({_profile('texts', _ORDER_TEXTS, _ORDER_FORMATS)})",
     "profile_nothing": f"WITH none AS (SELECT * FROM orders WHERE o_orderkey IS NULL) SELECT * FROM ({_profile('none', _ORDERS)}) WHERE row_count > 0",
     "profile_documents": _profile("documents", _DOCUMENTS),
     "profile_identifiers": 'SELECT "column", identifier_status AS status, uniqueness_ratio, unique_count FROM ('
