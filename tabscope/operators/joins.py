@@ -10,6 +10,10 @@ from tabscope.functions.columns import join_family_of, present, require_column,
 
 JOIN_KINDS = ("inner", "left", "right", "outer")
 
+# A key is hot if it has so many rows at least, and more than an even share of a
+# shuffle partition; so there are fewer hot keys than partitions.
+HOT_ROWS = 1_000_000
+
 
 def _check_keys(left: DataFrame, right: DataFrame, left_on: str, right_on: str) -> None:
     require_frame(left)
@@ -51,7 +55,11 @@ def inspect_join_viability(left: DataFrame, right: DataFrame, left_on: str, righ
     N:N is unsafe. ``inner_rows`` … ``outer_rows`` are the exact sizes of the
     four possible results, found from the key counts alone.
     """
-    counts = key_counts(left, right, left_on, right_on)
+    return _viability(key_counts(left, right, left_on, right_on)).drop("most_left", "most_right")
+
+
+def _viability(counts: DataFrame) -> DataFrame:
+    """What ``inspect_join_viability`` tells, and the rows of the most frequent key of each side."""
     l, r = F.col("in_left"), F.col("in_right")
     wide = "decimal(18,0)"
     both = l.cast(wide) * r.cast(wide)
@@ -69,6 +77,8 @@ def inspect_join_viability(left: DataFrame, right: DataFrame, left_on: str, righ
         _total(both + left_only).alias("left_join_rows"),
         _total(both + right_only).alias("right_join_rows"),
         _total(both + left_only + right_only).alias("outer_rows"),
+        F.coalesce(F.max(l), F.lit(0)).alias("most_left"),
+        F.coalesce(F.max(r), F.lit(0)).alias("most_right"),
     )
     lu, ru = F.col("left_unique"), F.col("right_unique")
     return facts.select(
@@ -82,9 +92,21 @@ def inspect_join_viability(left: DataFrame, right: DataFrame, left_on: str, righ
         "left_join_rows",
         "right_join_rows",
         "outer_rows",
+        "most_left",
+        "most_right",
     )
 
 
+def _hot_keys(counts: DataFrame, side: str, rows: int, most: int) -> DataFrame | None:
+    """``hot``: the keys of a side that one task should not hold; None where there are none. Fewer than the shuffle partitions."""
+    partitions = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = max(HOT_ROWS, rows // partitions + 1)
+    if most < least:
+        return None
+    keys = counts.where(F.col(f"in_{side}") >= least).select(F.col("key").alias("hot"))
+    return counts.sparkSession.createDataFrame(keys.collect(), keys.schema)
+
+
 def execute_join(
     left: DataFrame,
     right: DataFrame,
@@ -101,7 +123,9 @@ def execute_join(
     first (one job over both keys): N:N joins are refused, and with ``max_rows``
     larger results before any row is joined. A known ``cardinality`` (1:1, 1:N
     or N:1) saves that job. An outer join that keeps rows of the side with
-    unique keys reads both tables twice, so that hot keys can be split.
+    unique keys reads both tables twice, so that hot keys can be split. Where the
+    counts show hot keys, their rows stay where they are read, and the rows of the
+    other side with these keys, one each and so few, are sent to them.
     """
     if how not in JOIN_KINDS:
         raise AnalysisError(
@@ -112,7 +136,8 @@ def execute_join(
         if cardinality not in ("1:1", "1:N", "N:1"):
             raise AnalysisError("many_to_many", f"A join of cardinality {cardinality} is refused.")
         return join_tables(left, right, left_on, right_on, how, cardinality)
-    facts = inspect_join_viability(left, right, left_on, right_on).first()
+    counts = key_counts(left, right, left_on, right_on)
+    facts = _viability(counts).first()
     if not facts["safe_to_join"]:
         raise AnalysisError("many_to_many", "Both sides repeat keys; such a join is refused.")
     rows = facts["inner_rows" if how == "inner" else "outer_rows" if how == "outer" else f"{how}_join_rows"]
@@ -121,13 +146,15 @@ def execute_join(
             "too_many_rows",
             f"The join has {rows} rows, more than the {max_rows} asked for.",
         )
-    return join_tables(left, right, left_on, right_on, how, facts["cardinality"])
+    many = "right" if facts["cardinality"] == "1:N" else "left"
+    hot = _hot_keys(counts, many, facts[f"{many}_rows"], facts[f"most_{many}"])
+    return join_tables(left, right, left_on, right_on, how, facts["cardinality"], hot)
 
 
 def join_tables(
-    left: DataFrame, right: DataFrame, left_on: str, right_on: str, how: str, cardinality: str
+    left: DataFrame, right: DataFrame, left_on: str, right_on: str, how: str, cardinality: str, hot: DataFrame | None = None
 ) -> DataFrame:
-    """The join itself, for a known cardinality.
+    """The join itself, for a known cardinality; ``hot`` keys of the repeating side are joined apart, without a shuffle.
 
     The side with repeated keys is always the one whose partitions adaptive
     execution may split when a key is hot: the streamed side of an inner, left
@@ -142,30 +169,20 @@ def join_tables(
     r = right.select(
         present(right, right_on).alias("rk"), *[_named(right, c, f"r{i}") for i, c in enumerate(right.columns)]
     )
-    match = F.col("lk").eqNullSafe(F.col("rk"))
-
-    def unmatched(rows: DataFrame, other: DataFrame, key: str) -> DataFrame:
-        return rows.join(other.select(key).distinct(), match, "left_anti")
-
     many_right = cardinality == "1:N"
-    if how == "inner":
-        joined = l.join(r, match)
-    elif how == "left":
-        joined = (
-            l.join(r, match).unionByName(unmatched(l, r, "rk"), allowMissingColumns=True)
-            if many_right
-            else l.join(r, match, "left")
-        )
-    elif how == "right":
-        joined = (
-            l.join(r, match, "right")
-            if many_right
-            else l.join(r, match).unionByName(unmatched(r, l, "lk"), allowMissingColumns=True)
-        )
-    elif many_right:
-        joined = l.join(r, match, "right").unionByName(unmatched(l, r, "rk"), allowMissingColumns=True)
+    if hot is None:
+        joined = _joined(l, r, how, many_right)
     else:
-        joined = l.join(r, match, "left").unionByName(unmatched(r, l, "lk"), allowMissingColumns=True)
+        def split(rows: DataFrame, key: str, kind: str) -> DataFrame:
+            return rows.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("hot")), kind)
+
+        joined = _joined(split(l, "lk", "left_anti"), split(r, "rk", "left_anti"), how, many_right)
+        warm = (split(l, "lk", "left_semi"), split(r, "rk", "left_semi"))
+        many, few = warm[::-1] if many_right else warm
+        kept = how == "outer" or how == ("right" if many_right else "left")
+        match = F.col("lk").eqNullSafe(F.col("rk"))
+        # A hot key occurs on the repeating side, so no row of the other side is left over.
+        joined = joined.unionByName(many.join(F.broadcast(few), match, "left" if kept else "inner"), allowMissingColumns=True)
 
     key_position = right.columns.index(right_on)
     out = []
@@ -180,5 +197,26 @@ def join_tables(
     return joined.select(*out)
 
 
+def _joined(l: DataFrame, r: DataFrame, how: str, many_right: bool) -> DataFrame:
+    match = F.col("lk").eqNullSafe(F.col("rk"))
+
+    def unmatched(rows: DataFrame, other: DataFrame, key: str) -> DataFrame:
+        return rows.join(other.select(key).distinct(), match, "left_anti")
+
+    if how == "inner":
+        return l.join(r, match)
+    if how == "left":
+        if many_right:
+            return l.join(r, match).unionByName(unmatched(l, r, "rk"), allowMissingColumns=True)
+        return l.join(r, match, "left")
+    if how == "right":
+        if many_right:
+            return l.join(r, match, "right")
+        return l.join(r, match).unionByName(unmatched(r, l, "lk"), allowMissingColumns=True)
+    if many_right:
+        return l.join(r, match, "right").unionByName(unmatched(l, r, "rk"), allowMissingColumns=True)
+    return l.join(r, match, "left").unionByName(unmatched(r, l, "lk"), allowMissingColumns=True)
+
+
 def _named(df: DataFrame, name: str, alias: str) -> Column:
     return df[f"`{name.replace('`', '``')}`"].alias(alias)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import tabscope as ts
 from conftest import one, records, refused
 from tabscope.functions.names import similar_names
-from tabscope.operators import values
+from tabscope.operators import joins, values
 from tabscope.operators.joins import join_tables
 from tabscope.operators.relationships import schema_graph
 
@@ -145,6 +145,37 @@ def test_many_side_is_the_streamed_side(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "right", "outer"])
+@pytest.mark.parametrize("turned", [False, True])
+def test_hot_keys_are_not_shuffled(spark, monkeypatch, how, turned):
+    """Half the rows have one key, a quarter none: no task has over twice the rows of the median one."""
+    monkeypatch.setattr(joins, "HOT_ROWS", 500)
+    settings = {"spark.sql.shuffle.partitions": "8", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        many = spark.range(0, 8000, numPartitions=8).selectExpr("CASE WHEN id % 4 < 2 THEN 7 WHEN id % 4 = 2 THEN NULL ELSE id END AS k", "id AS n")
+        few = spark.range(0, 6000).selectExpr("IF(id = 3, NULL, id) AS k", "id AS m")
+        joined = ts.execute_join(few, many, "k", "k", how) if turned else ts.execute_join(many, few, "k", "k", how)
+        sizes = sorted(r["count"] for r in joined.where("n IS NOT NULL").groupBy(F.spark_partition_id()).count().collect())
+        hot = [x for x in sizes if x > 100]
+        assert max(hot) <= 2 * hot[len(hot) // 2]
+        got = {(r.k, r.n, r.m) for r in joined.collect()}
+        rows = [(7 if n % 4 < 2 else None if n % 4 == 2 else n, n) for n in range(8000)]
+        keys = {None if m == 3 else m: m for m in range(6000)}
+        want = {(k, n, keys[k]) for k, n in rows if k in keys}
+        kept = "right" if turned else "left"
+        if how in ("outer", kept):
+            want |= {(k, n, None) for k, n in rows if k not in keys}
+        if how in ("outer", "left" if turned else "right"):
+            want |= {(k, None, m) for k, m in keys.items() if k not in {key for key, _ in rows}}
+        assert got == want and joined.count() == len(want)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_join_then_analyse(customers, orders):
     joined = ts.execute_join(customers, orders, "customer_id", "customer_id")
     facts = one(ts.statistics(joined, "amount"))
