@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabscope.errors import AnalysisError
@@ -122,7 +122,8 @@ def execute_join(
     names get ``_x`` and ``_y``. The key counts of both sides are looked at
     first (one job over both keys): N:N joins are refused, and with ``max_rows``
     larger results before any row is joined. A known ``cardinality`` (1:1, 1:N
-    or N:1) saves that job. An outer join that keeps rows of the side with
+    or N:1) saves that job; a key that is not unique as stated then makes the
+    join itself fail, with ``many_to_many`` in its message. An outer join that keeps rows of the side with
     unique keys reads both tables twice, so that hot keys can be split. Where the
     counts show hot keys, their rows stay where they are read, and the rows of the
     other side with these keys, one each and so few, are sent to them.
@@ -135,6 +136,10 @@ def execute_join(
         _check_keys(left, right, left_on, right_on)
         if cardinality not in ("1:1", "1:N", "N:1"):
             raise AnalysisError("many_to_many", f"A join of cardinality {cardinality} is refused.")
+        if cardinality != "N:1":
+            left = _with_unique(left, left_on)
+        if cardinality != "1:N":
+            right = _with_unique(right, right_on)
         return join_tables(left, right, left_on, right_on, how, cardinality)
     counts = key_counts(left, right, left_on, right_on)
     facts = _viability(counts).first()
@@ -151,6 +156,14 @@ def execute_join(
     return join_tables(left, right, left_on, right_on, how, facts["cardinality"], hot)
 
 
+def _with_unique(df: DataFrame, key: str) -> DataFrame:
+    """The table, whose rows cannot be read if a key, a missing one included, occurs twice."""
+    times = F.count(F.lit(1)).over(Window.partitionBy(present(df, key)))
+    said = F.concat(F.lit(f"many_to_many: '{key}' repeats "), F.coalesce(present(df, key).cast("string"), F.lit("the missing key")))
+    once = F.when(F.col("__times") > 1, F.raise_error(said).cast("boolean")).otherwise(F.lit(True))
+    return df.withColumn("__times", times).where(once).drop("__times")
+
+
 def join_tables(
     left: DataFrame, right: DataFrame, left_on: str, right_on: str, how: str, cardinality: str, hot: DataFrame | None = None
 ) -> DataFrame:

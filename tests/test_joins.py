@@ -145,6 +145,19 @@ def test_many_side_is_the_streamed_side(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "right", "outer"])
+def test_a_stated_cardinality_is_checked(spark, how):
+    once = spark.createDataFrame(ONE, "k bigint, v string")
+    often = spark.createDataFrame(MANY, "k bigint, w string")
+    missing = spark.createDataFrame([(3, "x"), (None, "y"), (None, "z")], "k bigint, v string")
+    for left, right, given in ((once, often, "1:N"), (often, once, "N:1")):
+        stated = sorted(records(ts.execute_join(left, right, "k", "k", how, cardinality=given)), key=str)
+        assert stated == sorted(records(ts.execute_join(left, right, "k", "k", how)), key=str)
+    for left, right, given in ((once, often, "N:1"), (often, once, "1:N"), (once, often, "1:1"), (missing, often, "1:N")):
+        with pytest.raises(Exception, match="many_to_many: 'k' repeats"):
+            ts.execute_join(left, right, "k", "k", how, cardinality=given).collect()
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "right", "outer"])
 @pytest.mark.parametrize("turned", [False, True])
 def test_hot_keys_are_not_shuffled(spark, monkeypatch, how, turned):
