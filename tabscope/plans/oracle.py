@@ -693,6 +693,12 @@ SELECT CASE WHEN lu AND ru THEN '1:1' WHEN lu THEN '1:N' WHEN ru THEN 'N:1' ELSE
        (SELECT count(*) FROM customer FULL JOIN supplier ON c_nationkey = s_nationkey) AS outer_rows
 FROM (SELECT count(*) = count(DISTINCT c_nationkey) AS lu FROM customer),
      (SELECT count(*) = count(DISTINCT s_nationkey) AS ru FROM supplier)""",
+    "join_refusals": """
+WITH repeated AS (SELECT (SELECT count(*) > count(DISTINCT c_nationkey) FROM customer) AS cn, (SELECT count(*) > count(DISTINCT s_nationkey) FROM supplier) AS sn,
+                         (SELECT count(*) > count(DISTINCT c_custkey) FROM customer) AS cc, (SELECT count(*) > count(DISTINCT o_custkey) FROM orders) AS oc)
+SELECT 'c_nationkey' AS left_on, 's_nationkey' AS right_on, CASE WHEN cn AND sn THEN 'many_to_many' END AS refused FROM repeated
+UNION ALL SELECT 'c_custkey', 'o_custkey', CASE WHEN cc AND oc THEN 'many_to_many' END FROM repeated
+UNION ALL SELECT 'o_orderpriority', 'c_custkey', 'incompatible_types'""",
     "join_key_counts": """
 SELECT key, CAST(sum(l) AS BIGINT) AS in_left, CAST(sum(r) AS BIGINT) AS in_right
 FROM (SELECT c_custkey AS key, 1 AS l, 0 AS r FROM customer UNION ALL SELECT o_custkey, 0, 1 FROM orders)

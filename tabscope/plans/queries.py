@@ -542,6 +542,20 @@ def join_then_groupby(nation, customer):
     return ts.groupby_analysis(joined, "n_name", "c_acctbal", "sum")
 
 
+@query("customer", "supplier", "orders")
+def join_refusals(customer, supplier, orders):
+    """Why joins on some keys are refused, from the kinds and the counts of the keys of whole tables; null where none is."""
+    asked = [(customer, supplier, "c_nationkey", "s_nationkey"), (customer, orders, "c_custkey", "o_custkey"), (orders, customer, "o_orderpriority", "c_custkey")]
+    rows = []
+    for left, right, left_on, right_on in asked:
+        try:
+            ts.execute_join(left, right, left_on, right_on)
+            rows.append((left_on, right_on, None))
+        except ts.AnalysisError as error:
+            rows.append((left_on, right_on, error.code))
+    return customer.sparkSession.createDataFrame(rows, "left_on string, right_on string, refused string")
+
+
 # --- relationships --------------------------------------------------------------------------------
 
 
