@@ -20,6 +20,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,6 +46,8 @@ HELD = 2_000_000
 _hashes = _Hashes()
 #: A context and its customers; of a block, more of them than fit are several pairs.
 _PAIR, _SHORT = np.dtype([("u", "<u2"), ("c", "<u4")]), np.dtype([("u", "<u2"), ("c", "u1")])
+#: A context, its customers and their mean tables; first of a word, in place of tables, its parent probability.
+_SAMPLED = np.dtype([("u", "<u2"), ("c", "<u4"), ("t", "<f4")])
 _PLACE = np.dtype([("doc", "<u2"), ("u", "<u2")])
 _SUMS = np.dtype([("doc", "<u2"), ("score", "<f4"), ("base", "<f8"), ("known", "<u4")])
 
@@ -194,6 +197,22 @@ def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64), np.array(counts, np.int64)
 
 
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values in order, and the place of each value among them; only the different ones are sorted."""
+    code, found = pd.factorize(values)
+    order = np.argsort(found)
+    place = np.empty(len(order), np.int32)
+    place[order] = np.arange(len(order), dtype=np.int32)
+    return found[order], place[code]
+
+
+def _stable_order(numbers: np.ndarray) -> np.ndarray:
+    """What sorts fewer than 2^31 numbers below 2^31, equal ones by place: with the place packed below each number."""
+    packed = (numbers.astype(np.int64) << 32) | np.arange(len(numbers))
+    packed.sort()
+    return packed & 0xFFFFFFFF
+
+
 def contexts_of(words: np.ndarray, own: np.ndarray) -> np.ndarray:
     """The context that each word is: 1 … for the words of ``own`` (sorted), shared ones for others."""
     out = (OWN + (words >> np.uint64(20)) % np.uint64(CONTEXTS - OWN)).astype(np.int64)
@@ -208,8 +227,7 @@ class _Block:
 
     def __init__(self, texts: list[bytes], own: np.ndarray):
         tokens, self.counts = _tokens(texts)
-        self.words, word = np.unique(tokens, return_inverse=True)
-        self.word = word.astype(np.int32)
+        self.words, self.word = _distinct(tokens)
         before = np.concatenate([[START], contexts_of(self.words, own)[self.word[:-1]]]).astype(np.int32)
         before[np.cumsum(self.counts) - self.counts] = START
         self.context = before
@@ -233,7 +251,7 @@ def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema, words, counts = pa.schema([("word", pa.int64()), ("n", pa.int64())]), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     for b in slices(batches, "__text"):
         word, n = np.unique(_tokens(b.column("__text").to_pylist())[0], return_counts=True)
-        words, at = np.unique(np.concatenate([words, word]), return_inverse=True)
+        words, at = _distinct(np.concatenate([words, word]))
         counts = np.bincount(at, np.concatenate([counts, n])).astype(np.int64)
         if len(words) > HELD:
             yield batch(schema, words.view(np.int64), counts)
@@ -248,6 +266,7 @@ def _customers(shared):
         schema = pa.schema([("word", pa.int64()), ("salt", pa.int32()), ("data", pa.binary())])
         for k, b in enumerate(slices(batches, "__text", BLOCK)):
             block = _Block(b.column("__text").to_pylist(), own)
+            name = (b.column("__part")[0].as_py() << 24) | k
             pair, n = np.unique(block.word.astype(np.int64) * CONTEXTS + block.context, return_counts=True)
             times = -(-n // 255)
             data = np.empty(int(times.sum()), _SHORT)
@@ -256,7 +275,7 @@ def _customers(shared):
             data["c"][last] = n - 255 * (times - 1)
             word, sizes = np.unique(np.repeat(pair // CONTEXTS, times), return_counts=True)
             words = block.words[word].view(np.int64)
-            yield batch(schema, words, _salts(words, shares, k), _blobs(data, sizes))
+            yield batch(schema, words, _salts(words, shares, name), _blobs(data, sizes))
 
     return run
 
@@ -391,6 +410,46 @@ def _step(shared, steps: int, burn_in: int, seed: int):
     return run
 
 
+def _sampled(shared, steps: int, burn_in: int, seed: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Per word, what the samples have on average: its parent probability, and the tables of each of its contexts."""
+        schema, totals = pa.schema([("word", pa.int64()), ("data", pa.binary())]), shared.value
+        for b in batches:
+            if not b.num_rows:
+                continue
+            data, sizes = _joined(b.column("data"), _PAIR)
+            tables, p, _, _ = totals.gibbs(b.column("word").to_numpy(), data, sizes, steps, burn_in, seed)
+            first = np.cumsum(sizes + 1) - sizes - 1
+            out = np.zeros(len(data) + len(sizes), _SAMPLED)
+            pairs = _behind(first, len(out))
+            out["u"][pairs], out["c"][pairs], out["t"][pairs], out["t"][first] = data["u"], data["c"], tables, p
+            yield batch(schema, b.column("word"), _blobs(out, sizes + 1))
+
+    return run
+
+
+def _behind(first: np.ndarray, n: int) -> np.ndarray:
+    """Which of n entries are pairs, where each word's entries begin with one that is none."""
+    pairs = np.ones(n, bool)
+    pairs[first] = False
+    return pairs
+
+
+def _averages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per task: mean tables of each context, and the sum of the parent's probabilities."""
+    t, p = np.zeros(CONTEXTS), 0.0
+    for b in batches:
+        if not b.num_rows:
+            continue
+        data, sizes = _joined(b.column("data"), _SAMPLED)
+        first = np.cumsum(sizes) - sizes
+        pairs = _behind(first, len(data))
+        t += np.bincount(data["u"][pairs], data["t"][pairs], CONTEXTS)
+        p += data["t"][first].sum(dtype=float)
+    u = np.flatnonzero(t)
+    yield batch(_TOTAL, np.append(u, -1).astype(np.int32), np.append(np.zeros(len(u)), p), np.append(t[u], 0.0))
+
+
 def _sums(model: DataFrame, step) -> tuple[np.ndarray, np.ndarray, dict[int, float]]:
     rows = model.mapInArrow(step, "u int, c double, t double").groupBy("u").agg(F.sum("c").alias("c"), F.sum("t").alias("t")).toPandas()
     c, t = np.zeros(CONTEXTS), np.zeros(CONTEXTS)
@@ -400,10 +459,10 @@ def _sums(model: DataFrame, step) -> tuple[np.ndarray, np.ndarray, dict[int, flo
 
 
 class Model:
-    """Restaurants: ``words`` (word, data), a row for each training word, and the totals; which words are contexts, which are dealt."""
+    """Restaurants: ``words`` (word, data), a row for each training word, ``sampled`` with their seating, and the totals; which words are contexts, which are dealt."""
 
-    def __init__(self, words: DataFrame, totals: Totals, own: np.ndarray, shares: tuple[np.ndarray, np.ndarray], samples: tuple[int, int, int]):
-        self.words, self.totals, self.own, self.shares, self.samples = words, totals, own, shares, samples
+    def __init__(self, words: DataFrame, sampled: DataFrame, totals: Totals, own: np.ndarray, shares: tuple[np.ndarray, np.ndarray], samples: tuple[int, int, int]):
+        self.words, self.sampled, self.totals, self.own, self.shares, self.samples = words, sampled, totals, own, shares, samples
 
 
 def train(docs: DataFrame, text_col: str = "text", steps: int = 5, burn_in: int = 2) -> Model:
@@ -412,8 +471,8 @@ def train(docs: DataFrame, text_col: str = "text", steps: int = 5, burn_in: int
     Two rounds of ``steps`` Gibbs steps: the first settles the totals, of the second the samples after ``burn_in`` count.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("__text"))
-    heavy = rows.mapInArrow(_frequencies, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(OWN - 1).toPandas()
+    rows = docs.select(F.spark_partition_id().cast("long").alias("__part"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("__text"))
+    heavy = rows.select("__text").mapInArrow(_frequencies, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(OWN - 1).toPandas()
     own = np.sort(heavy["word"].to_numpy(np.int64).view(np.uint64))
     hot = heavy[heavy["n"] > SHARE].sort_values("word")
     shares = hot["word"].to_numpy(np.int64), (1 + hot["n"].to_numpy(np.int64) // SHARE)
@@ -429,12 +488,15 @@ def train(docs: DataFrame, text_col: str = "text", steps: int = 5, burn_in: int
     discount = _discount(x.get(-3, 0), x.get(-4, 0))
     parent = (x.get(-5, 0.0), float(n), _discount(x.get(-6, 0), x.get(-7, 0)))
     totals = Totals(c, t, tokens, n, discount, parent)
+    samples = (steps, burn_in, 2000)
     if tokens:
         _, t, x = _sums(words, _step(spark.sparkContext.broadcast(totals), steps, burn_in, 1000))
         totals = Totals(c, t, tokens, n, discount, (x[-1], x[-2], parent[2]))
-        _, sampled, x = _sums(words, _step(spark.sparkContext.broadcast(totals), steps, burn_in, 2000))
-        totals.sampled_tables, totals.sampled_mass = sampled, x[-3] + totals.unknown()
-    return Model(words, totals, own, shares, (steps, burn_in, 2000))
+    sampled = stored(words.mapInArrow(_sampled(spark.sparkContext.broadcast(totals), *samples), "word long, data binary"))
+    if tokens:
+        _, t, x = _sums(sampled, _averages)
+        totals.sampled_tables, totals.sampled_mass = t, x[-1] + totals.unknown()
+    return Model(words, sampled, totals, own, shares, samples)
 
 
 def _sent(shared, id_col: str):
@@ -443,12 +505,10 @@ def _sent(shared, id_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per block: for each word the texts and contexts where it stands, and one row with what is known of its texts."""
         own, shares = shared.value
-        part = None
         for k, b in enumerate(_texts_of(batches)):
-            part = b.column("__part")[0].as_py()
-            name = (part << 24) | k
+            name = (b.column("__part")[0].as_py() << 24) | k
             block = _Block(b.column("__text").to_pylist(), own)
-            order = np.argsort(block.word, kind="stable")
+            order = _stable_order(block.word)
             data = np.empty(len(order), _PLACE)
             data["doc"], data["u"] = block.text[order], block.context[order]
             words = block.words.view(np.int64)
@@ -485,7 +545,7 @@ def _dealt(shares: tuple[np.ndarray, np.ndarray]):
     return run
 
 
-def _scored(shared, samples: tuple[int, int, int]):
+def _scored(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Per block, sums of its texts over the words of a task. Rows come by word, its row of the model first."""
         schema = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("data", pa.binary())])
@@ -524,12 +584,12 @@ def _scored(shared, samples: tuple[int, int, int]):
         pairs, tables, customers = np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
         model = np.flatnonzero(blocks < 0)
         if len(model):
-            data, sizes = _joined(t.column("data").take(pa.array(model)).combine_chunks(), _PAIR)
-            tables, p, _, _ = totals.gibbs(words[model], data, sizes, *samples)  # the samples of training again
-            at = np.searchsorted(names, words[model])
-            base_p[at] = p
-            counts[at] = np.add.reduceat(data["c"].astype(np.int64), np.cumsum(sizes) - sizes)
-            pairs, customers = np.repeat(at, sizes) * CONTEXTS + data["u"], data["c"].astype(float)
+            data, sizes = _joined(t.column("data").take(pa.array(model)).combine_chunks(), _SAMPLED)
+            at, first = np.searchsorted(names, words[model]), np.cumsum(sizes) - sizes
+            base_p[at] = data["t"][first]
+            counts[at] = np.add.reduceat(data["c"].astype(np.int64), first)
+            data = data[_behind(first, len(data))]
+            pairs, customers, tables = np.repeat(at, sizes - 1) * CONTEXTS + data["u"], data["c"].astype(float), data["t"].astype(float)
         data, sizes = _joined(t.column("data").take(pa.array(places)).combine_chunks(), _PLACE)
         w = np.repeat(np.searchsorted(names, words[places]), sizes)
         u = data["u"].astype(np.int64)
@@ -539,8 +599,8 @@ def _scored(shared, samples: tuple[int, int, int]):
             k = np.minimum(np.searchsorted(pairs, code), len(pairs) - 1)
             own = np.where(pairs[k] == code, customers[k] - totals.discount * tables[k], 0.0)
         p = (own + (totals.strength + totals.discount * totals.sampled_tables[u]) * base_p[w] / totals.sampled_mass) / (totals.strength + totals.customers[u])
-        block, which = np.unique(blocks[places], return_inverse=True)
-        code, inverse = np.unique(np.repeat(which, sizes) * (1 << 16) + data["doc"], return_inverse=True)
+        block, which = _distinct(blocks[places])
+        code, inverse = _distinct(np.repeat(which.astype(np.int64), sizes) * (1 << 16) + data["doc"])
         out = np.empty(len(code), _SUMS)
         out["doc"] = code % (1 << 16)
         out["score"] = np.bincount(inverse, np.log10(p), len(code))
@@ -591,8 +651,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     totals = spark.sparkContext.broadcast(model.totals)
     rows = docs.select(F.spark_partition_id().cast("long").alias("__part"), F.col(id_col), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("__text"))
     kinds = "word long, salt int, block long, data binary"
-    both = rows.mapInArrow(_sent(shared, id_col), kinds).unionByName(model.words.mapInArrow(_dealt(model.shares), kinds))
-    sums = both.repartition("word", "salt").sortWithinPartitions("word", "block").mapInArrow(_scored(totals, model.samples), "block long, kind int, data binary")
+    both = rows.mapInArrow(_sent(shared, id_col), kinds).unionByName(model.sampled.mapInArrow(_dealt(model.shares), kinds))
+    sums = both.repartition("word", "salt").sortWithinPartitions("word", "block").mapInArrow(_scored(totals), "block long, kind int, data binary")
     empty = spark.createDataFrame([], docs.select(id_col).schema).toArrow().schema.field(0).type
     return (
         sums.repartition("block").sortWithinPartitions("block", "kind")
