@@ -43,6 +43,15 @@ def stored(frame: DataFrame) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def discard(frame: DataFrame) -> None:
+    """Removes the folder of a frame of ``stored`` that nothing reads any more."""
+    spark = frame.sparkSession
+    for path in {f.rsplit("/", 1)[0] for f in frame.inputFiles()}:
+        if re.fullmatch(r"tabscope-[0-9a-f]{32}", path.rsplit("/", 1)[-1]):
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Row number, id and text as UTF-8 bytes (null: empty), whatever else the table holds.
 

@@ -23,11 +23,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscope.llm.common import batch, slices, stored, table
-from tabscope.llm.near_duplicates import _Hashes
+from tabscope.llm.common import batch, discard, slices, stored, table
 
 #: Contexts: the start of a text, the most frequent words, and what the others share.
 CONTEXTS, OWN = 1 << 16, 8192
@@ -43,11 +43,10 @@ SHARE, BLOCK = 500_000, 12 << 20
 #: Distinct words that a task counts before it sends them on.
 HELD = 2_000_000
 
-_hashes = _Hashes()
 #: A context and its customers; of a block, more of them than fit are several pairs.
 _PAIR, _SHORT = np.dtype([("u", "<u2"), ("c", "<u4")]), np.dtype([("u", "<u2"), ("c", "u1")])
-#: A context, its customers and their mean tables; first of a word, in place of tables, its parent probability.
-_SAMPLED = np.dtype([("u", "<u2"), ("c", "<u4"), ("t", "<f4")])
+#: What the samples have on average: of a word its parent probability, then the tables of its pairs of several customers.
+_MEAN = np.dtype("<f4")
 _PLACE = np.dtype([("doc", "<u2"), ("u", "<u2")])
 _SUMS = np.dtype([("doc", "<u2"), ("score", "<f4"), ("base", "<f8"), ("known", "<u4")])
 
@@ -185,16 +184,46 @@ def _draw_many(c: np.ndarray, mean: np.ndarray, d: float, uniform: np.ndarray) -
 # --- texts to words and contexts ------------------------------------------------------------------------------------
 
 
+#: Bytes of words that are hashed together, and the longest word that is hashed by its places.
+_CHUNK, _LONGEST = 1 << 20, 4096
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: A random number of each byte, the same for A-Z and a-z and none for white space, and an odd one of each place in a word.
+_OF_BYTE = np.where(_SPACE, np.uint64(0), _mix(np.arange(256, dtype=np.uint64) + np.where(np.isin(np.arange(256), np.arange(65, 91)), 32, 0).astype(np.uint64) + np.uint64(END)))
+_OF_PLACE = _mix(np.arange(_LONGEST + 1, dtype=np.uint64) + np.uint64(1)) | np.uint64(1)
+
+
+def _word_hashes(raw: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Hashes of the words that begin at ``starts`` and end at white space: sums over bytes of a byte's number times its place's."""
+    out, edges = np.empty(len(starts), np.uint64), np.append(starts, len(raw))
+    w = 0
+    while w < len(starts):
+        stop = max(w + 1, int(np.searchsorted(edges, edges[w] + _CHUNK, side="right")) - 1)
+        if stop == w + 1 and edges[stop] - edges[w] > _LONGEST:
+            word = raw[edges[w] : edges[stop]].tobytes().rstrip().lower()
+            if len(word) > _LONGEST:
+                out[w] = xxhash.xxh3_64_intdigest(word)
+                w = stop
+                continue
+            part, at, gaps = np.frombuffer(word, np.uint8), np.zeros(1, np.int64), np.array([len(word)])
+        else:
+            part, at, gaps = raw[edges[w] : edges[stop]], edges[w:stop] - edges[w], np.diff(edges[w : stop + 1])
+        place = np.minimum(np.arange(len(part)) - np.repeat(at, gaps), _LONGEST)
+        out[w:stop] = np.add.reduceat(_OF_BYTE[part] * _OF_PLACE[place], at)
+        for k in np.flatnonzero(gaps > _LONGEST) if stop > w + 1 else ():
+            word = raw[edges[w + k] : edges[w + k + 1]].tobytes().rstrip().lower()
+            if len(word) > _LONGEST:
+                out[w + k] = xxhash.xxh3_64_intdigest(word)
+        w = stop
+    return out
+
+
 def _tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens, an end behind each text, and the number of tokens of each text."""
-    get = _hashes.__getitem__
-    parts, counts = [], []
-    for t in texts:
-        found = t.lower().split()
-        parts.append(np.fromiter(map(get, found), np.uint64, len(found)))
-        parts.append(np.array([END], np.uint64))
-        counts.append(len(found) + 1)
-    return np.concatenate(parts) if parts else np.zeros(0, np.uint64), np.array(counts, np.int64)
+    raw = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+    space = _SPACE[raw]
+    starts = np.flatnonzero(~space & np.concatenate([[True], space[:-1]])) if len(raw) else np.zeros(0, np.int64)
+    ends = np.searchsorted(starts, np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1))
+    return np.insert(_word_hashes(raw, starts), ends, np.uint64(END)), np.diff(ends, prepend=0) + 1
 
 
 def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -412,42 +441,48 @@ def _step(shared, steps: int, burn_in: int, seed: int):
 
 def _sampled(shared, steps: int, burn_in: int, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Per word, what the samples have on average: its parent probability, and the tables of each of its contexts."""
-        schema, totals = pa.schema([("word", pa.int64()), ("data", pa.binary())]), shared.value
+        """Per word its pairs, and what the samples have on average."""
+        schema, totals = pa.schema([("word", pa.int64()), ("data", pa.binary()), ("means", pa.binary())]), shared.value
         for b in batches:
             if not b.num_rows:
                 continue
             data, sizes = _joined(b.column("data"), _PAIR)
             tables, p, _, _ = totals.gibbs(b.column("word").to_numpy(), data, sizes, steps, burn_in, seed)
-            first = np.cumsum(sizes + 1) - sizes - 1
-            out = np.zeros(len(data) + len(sizes), _SAMPLED)
-            pairs = _behind(first, len(out))
-            out["u"][pairs], out["c"][pairs], out["t"][pairs], out["t"][first] = data["u"], data["c"], tables, p
-            yield batch(schema, b.column("word"), _blobs(out, sizes + 1))
+            several = data["c"] > 1
+            n = 1 + np.add.reduceat(several.astype(np.int64), np.cumsum(sizes) - sizes)
+            means, first = np.empty(int(n.sum()), _MEAN), np.cumsum(n) - n
+            means[first], means[_behind(first, len(means))] = p, tables[several]
+            yield batch(schema, b.column("word"), b.column("data"), _blobs(means, n))
 
     return run
 
 
 def _behind(first: np.ndarray, n: int) -> np.ndarray:
-    """Which of n entries are pairs, where each word's entries begin with one that is none."""
-    pairs = np.ones(n, bool)
-    pairs[first] = False
-    return pairs
+    """Which of n means are tables, where each word's means begin with its parent probability."""
+    tables = np.ones(n, bool)
+    tables[first] = False
+    return tables
+
+
+def _seated(data: np.ndarray, means: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean tables of all pairs and parent probabilities of all words, whose means are n each."""
+    first, tables = np.cumsum(n) - n, np.ones(len(data))
+    tables[data["c"] > 1] = means[_behind(first, len(means))]
+    return tables, means[first].astype(float)
 
 
 def _averages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per task: mean tables of each context, and the sum of the parent's probabilities."""
-    t, p = np.zeros(CONTEXTS), 0.0
+    t, total = np.zeros(CONTEXTS), 0.0
     for b in batches:
         if not b.num_rows:
             continue
-        data, sizes = _joined(b.column("data"), _SAMPLED)
-        first = np.cumsum(sizes) - sizes
-        pairs = _behind(first, len(data))
-        t += np.bincount(data["u"][pairs], data["t"][pairs], CONTEXTS)
-        p += data["t"][first].sum(dtype=float)
+        data, _ = _joined(b.column("data"), _PAIR)
+        tables, p = _seated(data, *_joined(b.column("means"), _MEAN))
+        t += np.bincount(data["u"], tables, CONTEXTS)
+        total += p.sum()
     u = np.flatnonzero(t)
-    yield batch(_TOTAL, np.append(u, -1).astype(np.int32), np.append(np.zeros(len(u)), p), np.append(t[u], 0.0))
+    yield batch(_TOTAL, np.append(u, -1).astype(np.int32), np.append(np.zeros(len(u)), total), np.append(t[u], 0.0))
 
 
 def _sums(model: DataFrame, step) -> tuple[np.ndarray, np.ndarray, dict[int, float]]:
@@ -459,10 +494,10 @@ def _sums(model: DataFrame, step) -> tuple[np.ndarray, np.ndarray, dict[int, flo
 
 
 class Model:
-    """Restaurants: ``words`` (word, data), a row for each training word, ``sampled`` with their seating, and the totals; which words are contexts, which are dealt."""
+    """Restaurants: ``words`` (word, data, means), a row for each training word, and the totals; which words are contexts, which are dealt."""
 
-    def __init__(self, words: DataFrame, sampled: DataFrame, totals: Totals, own: np.ndarray, shares: tuple[np.ndarray, np.ndarray], samples: tuple[int, int, int]):
-        self.words, self.sampled, self.totals, self.own, self.shares, self.samples = words, sampled, totals, own, shares, samples
+    def __init__(self, words: DataFrame, totals: Totals, own: np.ndarray, shares: tuple[np.ndarray, np.ndarray], samples: tuple[int, int, int]):
+        self.words, self.totals, self.own, self.shares, self.samples = words, totals, own, shares, samples
 
 
 def train(docs: DataFrame, text_col: str = "text", steps: int = 5, burn_in: int = 2) -> Model:
@@ -481,7 +516,10 @@ def train(docs: DataFrame, text_col: str = "text", steps: int = 5, burn_in: int
     many = F.col("word").isin(shares[0].tolist()) if len(shares[0]) else F.lit(False)
     merged = stored(merged)
     again = merged.where(many).repartition("word").sortWithinPartitions("word").mapInArrow(_merged(_PAIR), "word long, data binary")
-    words = stored(merged.where(~many).unionByName(again)) if len(shares[0]) else merged
+    words = merged
+    if len(shares[0]):
+        words = stored(merged.where(~many).unionByName(again))
+        discard(merged)
 
     c, t, x = _sums(words, _start)
     tokens, n = int(x.get(-1, 0)), int(x.get(-2, 0))
@@ -492,11 +530,12 @@ def train(docs: DataFrame, text_col: str = "text", steps: int = 5, burn_in: int
     if tokens:
         _, t, x = _sums(words, _step(spark.sparkContext.broadcast(totals), steps, burn_in, 1000))
         totals = Totals(c, t, tokens, n, discount, (x[-1], x[-2], parent[2]))
-    sampled = stored(words.mapInArrow(_sampled(spark.sparkContext.broadcast(totals), *samples), "word long, data binary"))
+    sampled = stored(words.mapInArrow(_sampled(spark.sparkContext.broadcast(totals), *samples), "word long, data binary, means binary"))
+    discard(words)
     if tokens:
         _, t, x = _sums(sampled, _averages)
         totals.sampled_tables, totals.sampled_mass = t, x[-1] + totals.unknown()
-    return Model(words, sampled, totals, own, shares, samples)
+    return Model(sampled, totals, own, shares, samples)
 
 
 def _sent(shared, id_col: str):
@@ -532,15 +571,17 @@ def _texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _dealt(shares: tuple[np.ndarray, np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Words of the model, those that several tasks need to each of them."""
+        """Words of the model, those that several tasks need to each of them: in place of a block the number of pairs below 0, the data are pairs, then means."""
         schema = pa.schema([("word", pa.int64()), ("salt", pa.int32()), ("block", pa.int64()), ("data", pa.binary())])
         hot = dict(zip(shares[0].tolist(), shares[1].tolist(), strict=True))
         for b in batches:
             words = b.column("word").to_pylist()
             at = [k for k, w in enumerate(words) for _ in range(hot.get(w, 1))]
             salts = [s for w in words for s in range(hot.get(w, 1))]
-            t = b.take(pa.array(at, pa.int64()))
-            yield batch(schema, t.column("word"), salts, np.full(len(at), -1), t.column("data"))
+            pairs = -(pc.binary_length(b.column("data")).to_numpy().astype(np.int64) // _PAIR.itemsize)
+            both = pc.binary_join_element_wise(b.column("data"), b.column("means"), pa.scalar(b"", pa.binary()))
+            t = pa.table({"word": b.column("word"), "block": pairs, "data": both}).take(pa.array(at, pa.int64())).combine_chunks()
+            yield batch(schema, *(c.combine_chunks() for c in (t.column("word"), pa.chunked_array([pa.array(salts, pa.int32())]), t.column("block"), t.column("data"))))
 
     return run
 
@@ -584,12 +625,14 @@ def _scored(shared):
         pairs, tables, customers = np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
         model = np.flatnonzero(blocks < 0)
         if len(model):
-            data, sizes = _joined(t.column("data").take(pa.array(model)).combine_chunks(), _SAMPLED)
+            both, sizes = t.column("data").take(pa.array(model)).to_pylist(), -blocks[model]
+            ends = (sizes * _PAIR.itemsize).tolist()
+            data = np.frombuffer(b"".join([x[:e] for x, e in zip(both, ends, strict=True)]), _PAIR)
+            means = np.frombuffer(b"".join([x[e:] for x, e in zip(both, ends, strict=True)]), _MEAN)
             at, first = np.searchsorted(names, words[model]), np.cumsum(sizes) - sizes
-            base_p[at] = data["t"][first]
+            tables, base_p[at] = _seated(data, means, 1 + np.add.reduceat((data["c"] > 1).astype(np.int64), first))
             counts[at] = np.add.reduceat(data["c"].astype(np.int64), first)
-            data = data[_behind(first, len(data))]
-            pairs, customers, tables = np.repeat(at, sizes - 1) * CONTEXTS + data["u"], data["c"].astype(float), data["t"].astype(float)
+            pairs, customers = np.repeat(at, sizes) * CONTEXTS + data["u"], data["c"].astype(float)
         data, sizes = _joined(t.column("data").take(pa.array(places)).combine_chunks(), _PLACE)
         w = np.repeat(np.searchsorted(names, words[places]), sizes)
         u = data["u"].astype(np.int64)
@@ -651,7 +694,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     totals = spark.sparkContext.broadcast(model.totals)
     rows = docs.select(F.spark_partition_id().cast("long").alias("__part"), F.col(id_col), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("__text"))
     kinds = "word long, salt int, block long, data binary"
-    both = rows.mapInArrow(_sent(shared, id_col), kinds).unionByName(model.sampled.mapInArrow(_dealt(model.shares), kinds))
+    both = rows.mapInArrow(_sent(shared, id_col), kinds).unionByName(model.words.mapInArrow(_dealt(model.shares), kinds))
     sums = both.repartition("word", "salt").sortWithinPartitions("word", "block").mapInArrow(_scored(totals), "block long, kind int, data binary")
     empty = spark.createDataFrame([], docs.select(id_col).schema).toArrow().schema.field(0).type
     return (

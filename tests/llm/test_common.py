@@ -1,3 +1,4 @@
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -24,3 +25,15 @@ def test_a_cluster_needs_a_shared_folder(master):
 def test_one_process_makes_its_own(master):
     spark, settings = session(master)
     assert common.shared_folder(spark).startswith(settings["spark.checkpoint.dir"]) and settings["spark.checkpoint.dir"].startswith("file:///")
+
+
+def test_discard_removes_the_folder_of_a_stored_frame_alone(spark, tmp_path):
+    frame = common.stored(spark.range(10).repartition(3))
+    assert frame.count() == 10
+    (folder,) = {Path(f.removeprefix("file:")).parent for f in frame.inputFiles()}
+    assert folder.is_dir() and folder.parent.is_dir()
+    common.discard(frame)
+    assert not folder.exists() and folder.parent.is_dir()
+    spark.range(3).write.parquet(str(tmp_path / "other"))
+    common.discard(spark.read.parquet(str(tmp_path / "other")))
+    assert spark.read.parquet(str(tmp_path / "other")).count() == 3

@@ -119,4 +119,19 @@ def test_words_of_their_own_are_chosen_from_exact_counts(spark, monkeypatch):
         rows = docs.selectExpr("cast(text as binary) as __text").mapInArrow(lm._frequencies, "word long, n long").groupBy("word").sum("n").collect()
         counts = {r[0]: r[1] for r in rows}
         assert len(counts) == 4 * 70_000 + 2 and sum(counts.values()) == 4 * 140_002
-        assert counts[int(np.array([lm._hashes[b"everywhere"]], np.uint64).view(np.int64)[0])] == 4
+        assert counts[int(np.array([lm._tokens([b"everywhere"])[0][0]], np.uint64).view(np.int64)[0])] == 4
+
+
+def test_tokens_are_hashed_by_their_letters_alone(monkeypatch):
+    long = b"x" * 5000
+    texts = [b"", b" \t\n", b"A b\x0bA\x1cb", b"", long + b" " + long.upper() + b" " + b"y" * 4096, b"a" + b" " * 9000 + b"B\xc3\x84", b"ab ba aa a", b" ".join([long, b"a", long + b"x"])]
+    texts += [b" ".join(b"w%d" % (i * i % 997) for i in range(3000))]
+    for chunk in (lm._CHUNK, 64):
+        monkeypatch.setattr(lm, "_CHUNK", chunk)
+        hashes, counts = lm._tokens(texts)
+        want = [w for t in texts for w in [*t.lower().split(), None]]
+        assert counts.tolist() == [len(t.split()) + 1 for t in texts] and len(hashes) == len(want)
+        of = {}
+        assert all(of.setdefault(w, h) == h for w, h in zip(want, hashes.tolist(), strict=True))
+        assert len(set(of.values())) == len(of) and of[None] == lm.END
+    assert [len(x) for x in lm._tokens([])] == [0, 0]
