@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 import tabscope as ts
 import tabscope.operators.quantiles
 from conftest import as_dict, one, records
+from tabscope.operators import profile
 from tabscope.operators.quantiles import quantiles
 
 
@@ -134,3 +135,29 @@ def test_profile_counts_values_like_numbers(spark):
     assert (row["unique_count"], row["null_count"]) == (1, 2)
 
 
+
+
+def test_whole_numbers_are_counted_by_bits(spark):
+    rng = np.random.default_rng(7)
+    n = 4000
+    frame = pd.DataFrame({
+        "dense": rng.integers(-900, 900, n), "sparse": rng.integers(-(2**63), 2**63 - 1, n), "few": rng.integers(0, 2, n),
+        "key": rng.permutation(n) - 63, "edge": rng.choice([-(2**63), 2**63 - 1, -1, 0, 63, 64, -64, -65], n), "text": rng.integers(0, 50, n).astype(str),
+    })
+    empty = rng.random(n) < 0.1
+    df = spark.createDataFrame(frame.assign(empty=empty)).repartition(5)
+    df = df.select(
+        *[F.when(~F.col("empty"), F.col(c)).alias(c) for c in frame], F.col("few").cast("tinyint").alias("tiny"),
+        F.date_add(F.lit("1969-12-01").cast("date"), (F.col("dense") % 100).cast("int")).alias("day"), F.lit(None).cast("int").alias("nothing"),
+    )
+    want = df.toPandas().nunique().to_dict()
+    assert as_dict(ts.dataset_info(df), "column", "unique_count") == want
+    assert want["nothing"] == 0 and want["edge"] == 8
+
+
+def test_dense_keys_move_a_word_for_64_of_them(spark):
+    words = profile._distinct_counts(spark.range(0, 640_000, 1, 1).toDF("k"))
+    plan = words._jdf.queryExecution().executedPlan().toString()
+    assert "cast(k" not in plan and "bit_or" in plan
+    assert words.collect() == [(0, 640_000)]
+    assert spark.range(640_000).groupBy(F.shiftright("id", 6)).count().count() == 10_000
