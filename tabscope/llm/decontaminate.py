@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscope.llm.common import slices, table
+from tabscope.llm.common import slices, stored, table
 
 #: Lower-cases A-Z and turns what is neither a digit, a letter nor beyond ASCII into a space.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -148,12 +148,19 @@ def _automaton(key: str, shared, window: int) -> SuffixAutomaton:
     return _built[key]
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> list[list[tuple[str | None, bytes]]]:
-    """Items with text, in blocks of about ``block_bytes``, each read by a job of its own if there are several."""
-    rows = items.where(F.length(text_col) > 0).select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("binary").alias("text"))
+def item_blocks(items: DataFrame, id_col: str, text_col: str, block_bytes: int) -> Iterator[tuple[list[tuple[str | None, bytes]], bool]]:
+    """Different items with text, in blocks of about ``block_bytes``, and whether a block is the last; the driver holds one at a time.
+
+    Repeated rows count once, whatever their number. Where no item has words, one empty block comes.
+    """
+    rows = items.where(F.length(text_col) > 0).select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("binary").alias("text")).distinct()
     total = rows.agg(F.sum(F.length("text") + 16)).first()[0] or 0
     n = -(-total // block_bytes)
-    return [[(r.id, bytes(r.text)) for r in rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == k).collect()] for k in range(n)]
+    if n > 1:
+        rows = stored(rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(n))).repartition("block"))
+    for k in range(max(n, 1)):
+        block = rows.where(F.col("block") == k) if n > 1 else rows
+        yield [(r.id, bytes(r.text)) for r in block.collect()], k + 1 >= n
 
 
 def find_passages(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 13, keep: list[str] | None = None, block_bytes: int = 1 << 20) -> DataFrame:
@@ -176,10 +183,8 @@ def _passages(docs: DataFrame, items: DataFrame, text_col: str, item_id: str, it
         F.lit(None).cast("array<array<bigint>>").alias("spans"),
         F.lit(None).cast("array<string>").alias("items"),
     )
-    blocks = item_blocks(items, item_id, item_text, block_bytes)
-    for at, block in enumerate(blocks or [[]]):
+    for block, last in item_blocks(items, item_id, item_text, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(block)
-        last = at + 1 >= len(blocks)
         names = [n for n in rows.columns if n != "__text" or not last]
         schema = ", ".join(x for x in (kinds, "" if last else "__text binary", "n_words long, spans array<array<bigint>>, items array<string>") if x)
         rows = rows.mapInArrow(_finder(shared, window, names), schema)
@@ -230,13 +235,15 @@ def contaminated(share: int = 20) -> Column:
 def remove_passages(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = 13, least_words: int = 13, share: int = 20, drop: bool = False) -> DataFrame:
     """``docs`` without what the limits exclude: all columns, cleaned texts.
 
-    A document whose hits reach one in ``share`` of its words is dropped with ``drop``; without, it loses its hit spans of
-    at least ``least_words`` words, from their first byte to their last. All other documents stay as they are.
+    A hit span of at least ``least_words`` words goes from every document, from its first byte to its last. A document whose hits
+    reach one in ``share`` of its words is dropped with ``drop``; without, it loses its shorter hit spans too. Texts without such
+    spans stay as they are, nulls and empty ones among them; repeated rows are treated alike; an empty table gives an empty
+    result, and a table without items changes nothing.
     """
     found = _passages(docs, items, text_col, item_id, item_text, window, docs.columns).withColumn("__hit", contaminated(share))
     own = [f"__k{i}" for i in range(len(docs.columns))]
     if drop:
-        return found.where(~F.col("__hit")).select(*own).toDF(*docs.columns)
+        found = found.where(~F.col("__hit"))
     at = own[docs.columns.index(text_col)]
 
     @F.pandas_udf("string")
@@ -247,13 +254,13 @@ def remove_passages(docs: DataFrame, items: DataFrame, text_col: str = "text", i
             at = [m.span() for m in _WORD.finditer(raw.translate(_FOLD))]
             kept, start = [], 0
             for a, b in ss:
-                if b - a >= least_words:
-                    kept.append(raw[start : at[a][0]])
-                    start = at[b - 1][1]
+                kept.append(raw[start : at[a][0]])
+                start = at[b - 1][1]
             out.append(b"".join([*kept, raw[start:]]).decode())
         return type(text)(out)
 
-    cleaned = F.when(F.col("__hit"), cut(F.coalesce(F.col(at), F.lit("")), "spans")).otherwise(F.col(at))
+    excluded = F.filter("spans", lambda s: F.col("__hit") | (s[1] - s[0] >= least_words))
+    cleaned = F.when(F.size("spans") > 0, cut(F.coalesce(F.col(at), F.lit("")), excluded)).otherwise(F.col(at))
     return found.withColumn(at, cleaned).select(*own).toDF(*docs.columns)
 
 

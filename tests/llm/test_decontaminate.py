@@ -74,3 +74,25 @@ def test_empty_tables(frames, no_docs):
     docs, items = frames
     assert d.find_passages(no_docs, items).collect() == []
     assert {r["spans"] == [] for r in d.find_passages(docs, items.limit(0)).collect()} == {True}
+
+
+def test_a_long_passage_goes_from_documents_below_the_coverage_limit(spark):
+    passage, rest = " ".join(f"q{i}" for i in range(40)), [f"w{i}" for i in range(900)]
+    start, end = " ".join(rest[:300]), "a short item " + " ".join(rest[300:])
+    items = spark.createDataFrame([(1, passage), (2, "short item")] + [(1, passage)] * 50, "item_id long, text string")
+    texts = {1: f"{start} {passage} {end}", 2: f"Say: {passage}", 3: end, 4: start, 5: None, 6: ""}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    # 42 of 943 words are hit: fewer than a twentieth, so the two of the short item stay.
+    want = texts | {1: f"{start}  {end}", 2: "Say: "}
+    for drop in (True, False):
+        left = d.remove_passages(docs, items, drop=drop).collect()
+        assert {r.doc_id: r.text for r in left} == {i: t for i, t in want.items() if i != 2 or not drop}
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 60])
+def test_repeated_items_are_read_once(frames, spark, block_bytes):
+    _, items = frames
+    blocks = list(d.item_blocks(items.unionAll(items).unionAll(items), "item_id", "text", block_bytes))
+    assert sorted((str(n), t.decode()) for block, _ in blocks for n, t in block) == sorted((str(n), t) for n, t in ITEMS if t)
+    assert [last for _, last in blocks] == [False] * (len(blocks) - 1) + [True]
+    assert list(d.item_blocks(items.limit(0), "item_id", "text", block_bytes)) == [([], True)]
