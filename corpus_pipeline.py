@@ -15,6 +15,11 @@ from tabscope.llm.quality import THRESHOLD, filter_quality, held_out, train
 from tabscope.llm.repeats import remove_repeats
 
 
+def _measured(docs: DataFrame) -> DataFrame:
+    """``docs`` with lengths that fit their texts, where the table has them."""
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
+
+
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score, from a network trained on the labelled ones, reaches the threshold."""
     network = train(docs, table(spark, sf_dir, "labels").where(~held_out("doc_id", 5)))
@@ -28,13 +33,12 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; a passage of 200 bytes that occurs several times stays where it occurs first."""
-    cleaned = remove_repeats(docs)
-    return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else cleaned
+    return _measured(remove_repeats(docs))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which passages of the benchmark make up less than a twentieth."""
-    return remove_passages(docs, table(spark, sf_dir, "benchmark"), drop=True)
+    """Documents of which passages of the benchmark make up less than a twentieth, without those of 13 words and more."""
+    return _measured(remove_passages(docs, table(spark, sf_dir, "benchmark"), drop=True))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
