@@ -72,11 +72,11 @@ def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches, cut so that each holds about ``most`` bytes of a binary column, or one row."""
+    """The batches, cut so that each holds about ``most`` bytes of a binary column (null: none), or one row."""
     for b in batches:
         if not b.num_rows:
             continue
-        ends = pc.cumulative_sum(pc.binary_length(b.column(column)).cast(pa.int64())).to_numpy()
+        ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(b.column(column)), 0).cast(pa.int64())).to_numpy()
         start = 0
         while start < b.num_rows:
             base = ends[start - 1] if start else 0

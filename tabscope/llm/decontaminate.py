@@ -173,40 +173,56 @@ def find_passages(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     return _passages(docs, items, text_col, item_id, item_text, window, keep, block_bytes).toDF(*keep, "n_words", "spans", "items")
 
 
-def _passages(docs: DataFrame, items: DataFrame, text_col: str, item_id: str, item_text: str, window: int, keep: list[str], block_bytes: int = 1 << 20) -> DataFrame:
-    """The columns of ``keep`` as __k0, __k1 …, and what is found."""
+def _passages(docs: DataFrame, items: DataFrame, text_col: str, item_id: str, item_text: str, window: int, keep: list[str], block_bytes: int = 1 << 20, finish=None) -> DataFrame:
+    """The columns of ``keep`` as __k0, __k1 …, and what is found; with ``finish``, what it makes of the text instead.
+
+    ``finish`` turns a text, its number of words and its spans into a text, or nothing where the row goes. It runs with the last
+    block, so that a row passes to Python and back once, with its text once.
+    """
     kinds = ", ".join(f"__k{i} {docs.schema[k].dataType.simpleString()}" for i, k in enumerate(keep))
     rows = docs.select(
         *[F.col(f"`{k}`").alias(f"__k{i}") for i, k in enumerate(keep)],
-        F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("__text"),
+        F.col(text_col).cast("binary").alias("__text"),
         F.lit(0).cast("long").alias("n_words"),
         F.lit(None).cast("array<array<bigint>>").alias("spans"),
         F.lit(None).cast("array<string>").alias("items"),
     )
+    found = ["n_words", "spans", "items"]
     for block, last in item_blocks(items, item_id, item_text, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(block)
-        names = [n for n in rows.columns if n != "__text" or not last]
-        schema = ", ".join(x for x in (kinds, "" if last else "__text binary", "n_words long, spans array<array<bigint>>, items array<string>") if x)
-        rows = rows.mapInArrow(_finder(shared, window, names), schema)
+        left = {"__text"} if last and finish is None else set(found) if last else set()
+        names = [n for n in rows.columns if n not in left]
+        more = [x for x in ("__text binary", "n_words long", "spans array<array<bigint>>", "items array<string>") if x.split()[0] not in left]
+        rows = rows.mapInArrow(_finder(shared, window, names, finish if last else None), ", ".join(x for x in (kinds, *more) if x))
     return rows
 
 
-def _finder(shared, window: int, names: list[str]):
+def _finder(shared, window: int, names: list[str], finish=None):
     key = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = _automaton(key, shared, window)
         for b in slices(batches, "__text", 4 << 20):
-            n_words, spans, items = [], [], []
+            n_words, spans, items, texts, stays = [], [], [], [], []
             for text, s, i in zip(*(b.column(c).to_pylist() for c in ("__text", "spans", "items")), strict=True):
-                found = words(text)
+                found = words(text or b"")
                 more, names_of = automaton.spans(found)
+                hits = merged([tuple(x) for x in s or ()] + more)
+                if finish is not None:
+                    out = finish(text, len(found), hits) if hits else text
+                    stays.append(text is None or out is not None)
+                    texts.append(out)
+                    continue
                 n_words.append(len(found))
-                spans.append(merged([tuple(x) for x in s or ()] + more))
+                spans.append(hits)
                 items.append(sorted(names_of.union(i or ())))
             columns = {n: b.column(n) for n in b.schema.names}
-            columns |= {"n_words": pa.array(n_words, pa.int64()), "spans": pa.array(spans, pa.list_(pa.list_(pa.int64()))), "items": pa.array(items, pa.list_(pa.string()))}
-            yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
+            if finish is not None:
+                columns["__text"] = pa.array(texts, pa.binary())
+            else:
+                columns |= {"n_words": pa.array(n_words, pa.int64()), "spans": pa.array(spans, pa.list_(pa.list_(pa.int64()))), "items": pa.array(items, pa.list_(pa.string()))}
+            done = pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
+            yield done if all(stays) else done.filter(pa.array(stays, pa.bool_()))
 
     return run
 
@@ -240,28 +256,22 @@ def remove_passages(docs: DataFrame, items: DataFrame, text_col: str = "text", i
     spans stay as they are, nulls and empty ones among them; repeated rows are treated alike; an empty table gives an empty
     result, and a table without items changes nothing.
     """
-    found = _passages(docs, items, text_col, item_id, item_text, window, docs.columns).withColumn("__hit", contaminated(share))
-    own = [f"__k{i}" for i in range(len(docs.columns))]
-    if drop:
-        found = found.where(~F.col("__hit"))
-    at = own[docs.columns.index(text_col)]
-
-    @F.pandas_udf("string")
-    def cut(text, spans):
-        out = []
-        for t, ss in zip(text, spans, strict=True):
-            raw = t.encode()
-            at = [m.span() for m in _WORD.finditer(raw.translate(_FOLD))]
-            kept, start = [], 0
-            for a, b in ss:
-                kept.append(raw[start : at[a][0]])
-                start = at[b - 1][1]
-            out.append(b"".join([*kept, raw[start:]]).decode())
-        return type(text)(out)
-
-    excluded = F.filter("spans", lambda s: F.col("__hit") | (s[1] - s[0] >= least_words))
-    cleaned = F.when(F.size("spans") > 0, cut(F.coalesce(F.col(at), F.lit("")), excluded)).otherwise(F.col(at))
-    return found.withColumn(at, cleaned).select(*own).toDF(*docs.columns)
+    def cleaned(text: bytes, n: int, spans: list[tuple[int, int]]) -> bytes | None:
+        hit = share * sum(b - a for a, b in spans) >= n
+        excluded = [(a, b) for a, b in spans if hit or b - a >= least_words]
+        if hit and drop or not excluded:
+            return None if hit and drop else text
+        at = [m.span() for m in _WORD.finditer(text.translate(_FOLD))]
+        kept, start = [], 0
+        for a, b in excluded:
+            kept.append(text[start : at[a][0]])
+            start = at[b - 1][1]
+        return b"".join([*kept, text[start:]])
+
+    others = [c for c in docs.columns if c != text_col]
+    left = _passages(docs, items, text_col, item_id, item_text, window, others, finish=cleaned)
+    own = {c: f"__k{i}" for i, c in enumerate(others)} | {text_col: "__text"}
+    return left.select(*[F.col(own[c]).cast(docs.schema[c].dataType).alias(c) if c == text_col else F.col(own[c]).alias(c) for c in docs.columns])
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

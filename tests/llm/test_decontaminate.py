@@ -96,3 +96,20 @@ def test_repeated_items_are_read_once(frames, spark, block_bytes):
     assert sorted((str(n), t.decode()) for block, _ in blocks for n, t in block) == sorted((str(n), t) for n, t in ITEMS if t)
     assert [last for _, last in blocks] == [False] * (len(blocks) - 1) + [True]
     assert list(d.item_blocks(items.limit(0), "item_id", "text", block_bytes)) == [([], True)]
+
+
+def test_removal_is_one_step_in_python(frames):
+    docs, items = frames
+    plan = d.remove_passages(docs, items, drop=True)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "EvalPython" not in plan
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 60])
+def test_removal_over_blocks(frames, block_bytes, monkeypatch):
+    docs, items = frames
+    whole = d.item_blocks
+    monkeypatch.setattr(d, "item_blocks", lambda *a: whole(*a[:-1], block_bytes))
+    left = {r.doc_id: r for r in d.remove_passages(docs, items, least_words=4).collect()}
+    assert {i: r.text for i, r in left.items() if i > 2} == {3: docs.where("doc_id = 3").first().text, 4: None, 5: "", 6: "there is "}
+    assert left[1].text == "Say: ! " + "and more words " * 5 and left[1]["items"] == "k" and left[4]["items"] is None
+    assert {r.doc_id for r in d.remove_passages(docs, items, drop=True).collect()} == {2, 3, 4, 5}
