@@ -18,6 +18,7 @@ import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,15 +40,29 @@ _KEPT, _LONGEST = 600_000, 64
 
 #: White space other than the space and the line end.
 _WHITE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
+_UNCUT = ["  ", " \n", "\n ", *_WHITE]
+_UNCUT_ASCII = [x for x in _UNCUT if x.isascii()]
 
 
 def fragments(text: str) -> list[str]:
     """The text, cut at every single space between two others than white space."""
-    if text.endswith(" ") or any(x in text for x in ("  ", " \n", "\n ", *_WHITE)):
+    if text.endswith(" ") or any(map(text.__contains__, _UNCUT_ASCII if text.isascii() else _UNCUT)):
         return _CUT.split(text)
     return text.split(" ")
 
 
+class _Kept(dict):
+    """Ids of fragments. Those asked for that aren't there are ``new``, once each, in order; ``missed`` counts them each time."""
+
+    def __init__(self):
+        self.new: dict[str, None] = {}
+        self.missed = 0
+
+    def __missing__(self, fragment: str) -> None:
+        self.new[fragment] = None
+        self.missed += 1
+
+
 class Encoder:
     """Whole texts to ids through the tokenizers library, each distinct fragment between single spaces only once.
 
@@ -62,7 +77,7 @@ class Encoder:
         size = self.tokenizer.get_vocab_size()
         self.width = 2 if size <= 1 << 16 else 4
         self.kind = np.dtype("<u2" if self.width == 2 else "<u4")
-        self.kept: dict[str, bytes] = {}
+        self.kept = _Kept()
         lengths = np.zeros(size, np.int64)
         for token, i in self.tokenizer.get_vocab().items():
             lengths[i] = len(token)  # byte-level: a character for each byte
@@ -79,31 +94,37 @@ class Encoder:
         """Ids of fragments that each follow a space, encoded many at a time and taken apart by their bytes."""
         for at in range(0, len(fragments), 512):
             some = [" " + x for x in fragments[at : at + 512]]
-            ids = np.asarray(self.tokenizer.encode("".join(some), add_special_tokens=False).ids, self.kind)
+            encoded = self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)  # without offsets
+            ids = np.asarray(encoded[0].ids, self.kind)
             ends = np.cumsum(self.lengths[ids])
             cuts = np.cumsum([len(x.encode()) for x in some])
             stops = np.searchsorted(ends, cuts)
             if not len(ends) or (ends[np.minimum(stops, len(ends) - 1)] != cuts).any():
                 raise ValueError("ids don't spell the text")
-            yield from (x.tobytes() for x in np.split(ids, stops[:-1] + 1))
+            raw, edges = ids.tobytes(), ((stops + 1) * self.width).tolist()
+            yield from (raw[a:b] for a, b in zip([0, *edges], edges, strict=False))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cut = [fragments(t) for t in texts]
-        get = self.kept.get
-        found = [list(map(get, parts[1:])) for parts in cut]
-        new = list({p for parts, ids in zip(cut, found, strict=True) if None in ids for p, x in zip(parts[1:], ids, strict=True) if x is None})
+        first, found, open_ = [], [], {}
+        get, self.kept.new = self.kept.__getitem__, {}
+        for k, text in enumerate(texts):
+            start, *others = fragments(text)
+            before = self.kept.missed
+            ids = list(map(get, others))
+            first.append(start)
+            if self.kept.missed > before:
+                open_[k] = others
+            found.append(ids)
+        new = list(self.kept.new)
         short = dict(zip(new, self._ids(new), strict=True))
         room = _KEPT - len(self.kept)
-        for p in new[:room] if room > 0 else ():
+        for p in islice(short, max(room, 0)):
             if len(p) <= _LONGEST:
                 self.kept[p] = short[p]
-        first = self.tokenizer.encode_batch([p[0] for p in cut], add_special_tokens=False)
-        out = []
-        for parts, ids, f in zip(cut, found, first, strict=True):
-            if None in ids:
-                ids = [short[p] if x is None else x for p, x in zip(parts[1:], ids, strict=True)]
-            out.append(np.asarray(f.ids, self.kind).tobytes() + b"".join(ids))
-        return out
+        for k, others in open_.items():
+            found[k] = [short[p] if x is None else x for p, x in zip(others, found[k], strict=True)]
+        starts = self.tokenizer.encode_batch_fast(first, add_special_tokens=False)
+        return [np.asarray(f.ids, self.kind).tobytes() + b"".join(ids) for f, ids in zip(starts, found, strict=True)]
 
 
 @lru_cache(maxsize=2)

@@ -62,3 +62,20 @@ def test_no_rows_and_changed_dictionary(spark, no_docs, awkward):
         f.write(b"damaged!")
     with pytest.raises(ValueError):
         token_files.TokenFile(files[0]["path"])
+
+
+def test_fragments_are_encoded_once_and_without_offsets(monkeypatch):
+    encode = token_files.Encoder(PATH)
+    texts = ["one two  two\tthree one", "", "two one é one", "x" * 100 + " " + "y" * 100 + " one", "　a b a b", "b " + "y" * 100 + " " + "y" * 100]
+    want = [encode.tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
+    asked = []
+
+    class Fast:
+        def encode_batch_fast(self, some, **kw):
+            asked.append(some)
+            return whole.encode_batch_fast(some, **kw)
+
+    whole, encode.tokenizer = encode.tokenizer, Fast()
+    for _ in range(2):
+        assert [np.frombuffer(x, encode.kind).tolist() for x in encode(texts)] == want
+    assert sum(" one" in x for some in asked for x in some) == 1 and all(len(x) <= token_files._LONGEST for x in encode.kept)
