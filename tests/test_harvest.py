@@ -230,3 +230,10 @@ def test_the_order_of_rows_does_not_matter(harvest):
     other = harvest.orderBy(F.rand(9)).repartition(3)
     for build in (ts.statistics, ts.outlier_analysis, ts.correlation_analysis, ts.dataset_info, lambda df: ts.groupby_analysis(df, "field", "kilos", "median")):
         assert sorted(map(str, build(harvest).collect())) == sorted(map(str, build(other).collect()))
+
+
+def test_name_similarity_makes_bigrams_once(spark):
+    names = spark.createDataFrame([("cust_id", "Customer"), ("order key", "orderkey"), (None, "a"), (None, None), ("", "é"), ("aaaa", "aa")], "a string, b string")
+    found = names.select(ts.name_similarity(F.col("a"), F.col("b")).alias("s"))
+    assert [r.s for r in found.collect()] == [0.75, 0.95, 0.0, 1.0, 0.0, 1.0]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("sequence(") == 2
