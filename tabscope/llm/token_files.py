@@ -18,10 +18,10 @@ import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
@@ -32,42 +32,41 @@ from tabscope.llm.common import batch, shared_folder, slices, table
 MAGIC = b"IDSZ0001"
 _FOOTER = struct.Struct("<QQQB32s8s")  # index offset, documents, ids, bytes per id, dictionary, magic
 _INDEX = np.dtype([("id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("n", "<u8")])
-#: A space between two others than spaces, where the pre-tokenizer always cuts.
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+#: Where the pre-tokenizer always cuts: before a space or line end that stands between two others than white space.
+_CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+#: It cuts between a letter or digit and one of these marks too; an apostrophe may start a contraction.
+_MARKS = np.isin(np.arange(256), list(b'!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'))
+_ALNUM = np.array([chr(b).isascii() and chr(b).isalnum() for b in range(256)])
 #: Fragments that a worker keeps with their ids, and the longest that is kept.
 _KEPT, _LONGEST = 600_000, 64
 
 
 #: White space other than the space and the line end.
 _WHITE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
-_UNCUT = ["  ", " \n", "\n ", *_WHITE]
+_UNCUT = ["  ", " \n", "\n ", "\n\n", *_WHITE]
 _UNCUT_ASCII = [x for x in _UNCUT if x.isascii()]
 
 
 def fragments(text: str) -> list[str]:
-    """The text, cut at every single space between two others than white space."""
-    if text.endswith(" ") or any(map(text.__contains__, _UNCUT_ASCII if text.isascii() else _UNCUT)):
-        return _CUT.split(text)
-    return text.split(" ")
+    """The text, cut before every single space and line end between two others than white space."""
+    return _CUT.split(text)
 
 
-class _Kept(dict):
-    """Ids of fragments. Those asked for that aren't there are ``new``, once each, in order; ``missed`` counts them each time."""
-
-    def __init__(self):
-        self.new: dict[str, None] = {}
-        self.missed = 0
-
-    def __missing__(self, fragment: str) -> None:
-        self.new[fragment] = None
-        self.missed += 1
+def _cuts(data: np.ndarray) -> np.ndarray:
+    """Where fragments start in the UTF-8 bytes of a text that is cut before all of its spaces and line ends."""
+    after = _ALNUM[data]
+    latin = np.flatnonzero(data[:-1] == 0xC3) + 1
+    after[latin] = (data[latin] != 0x97) & (data[latin] != 0xB7)  # letters from \u00C0 to \u00FF, but for two signs
+    starts = (data == 32) | (data == 10)
+    starts[1:] |= _MARKS[data[1:]] & after[:-1]
+    return np.flatnonzero(starts)
 
 
 class Encoder:
-    """Whole texts to ids through the tokenizers library, each distinct fragment between single spaces only once.
+    """Whole texts to ids through the tokenizers library, each distinct fragment only once.
 
-    The pre-tokenizer cuts a text before a space that stands between two other characters, so what is between two such
-    cuts gets the same ids wherever it stands.
+    The pre-tokenizer cuts a text before a space or line end that stands between two other characters, and between a word and
+    a mark, so what is between two such cuts gets the same ids wherever it stands.
     """
 
     def __init__(self, path: str):
@@ -77,54 +76,95 @@ class Encoder:
         size = self.tokenizer.get_vocab_size()
         self.width = 2 if size <= 1 << 16 else 4
         self.kind = np.dtype("<u2" if self.width == 2 else "<u4")
-        self.kept = _Kept()
+        self.kept: dict[str, bytes] = {}
         lengths = np.zeros(size, np.int64)
         for token, i in self.tokenizer.get_vocab().items():
             lengths[i] = len(token)  # byte-level: a character for each byte
         self.lengths = lengths
-        for text in ("a b", "ab  c\n d", "é ñ"):
-            if self.tokenizer.encode(text, add_special_tokens=False).ids != self._plain(text):
-                raise ValueError("this tokenizer doesn't cut at single spaces")
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        checked = ["a b", "ab  c\n d", "é ñ", "a\nb", "a.\n\nb é\nñ\n", *(f"a{chr(m)}b é{chr(m)}{chr(m)} 1{chr(m)}" for m in np.flatnonzero(_MARKS))]
+        for text, ids in zip(checked, self(checked), strict=True):
+            if self.tokenizer.encode(text, add_special_tokens=False).ids != np.frombuffer(ids, self.kind).tolist():
+                raise ValueError("this tokenizer doesn't cut at single spaces, line ends and marks")
 
-    def _plain(self, text: str) -> list[int]:
-        first, *others = fragments(text)
-        return sum((self.tokenizer.encode(x, add_special_tokens=False).ids for x in (first, *(" " + o for o in others))), [])
+    def _plain(self, text: str) -> bool:
+        """Whether a text is cut before all of its spaces, line ends and marks after words."""
+        uncut = _UNCUT_ASCII if text.isascii() else _UNCUT
+        return not text.endswith((" ", "\n")) and not any(map(text.__contains__, uncut)) and not any(map(text.__contains__, self.added))
 
     def _ids(self, fragments: list[str]) -> Iterator[bytes]:
-        """Ids of fragments that each follow a space, encoded many at a time and taken apart by their bytes."""
+        """Ids of fragments, encoded many at a time and taken apart by their bytes.
+
+        A word that is left out again comes before marks, and after white space at the end of a fragment.
+        """
         for at in range(0, len(fragments), 512):
-            some = [" " + x for x in fragments[at : at + 512]]
-            encoded = self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)  # without offsets
-            ids = np.asarray(encoded[0].ids, self.kind)
-            ends = np.cumsum(self.lengths[ids])
-            cuts = np.cumsum([len(x.encode()) for x in some])
-            stops = np.searchsorted(ends, cuts)
-            if not len(ends) or (ends[np.minimum(stops, len(ends) - 1)] != cuts).any():
+            some = fragments[at : at + 512]
+            lead = np.array([0 if x[0] in " \n" and not before[-1].isspace() else 2 for before, x in zip(["a", *some], some, strict=False)])
+            text = "".join([" a" + x if n else x for x, n in zip(some, lead.tolist(), strict=True)])
+            encoded = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)  # without offsets
+            ids = np.array(encoded[0].ids, self.kind)
+            ends = np.concatenate([[0], np.cumsum(self.lengths[ids])])
+            sizes = pc.binary_length(pa.array(some, pa.string())).to_numpy()
+            stops = np.cumsum(sizes + lead)
+            cuts = np.stack([stops - sizes, stops], 1)
+            edges = np.searchsorted(ends, cuts)
+            if ends[-1] != stops[-1] or (ends[edges] != cuts).any():
                 raise ValueError("ids don't spell the text")
-            raw, edges = ids.tobytes(), ((stops + 1) * self.width).tolist()
-            yield from (raw[a:b] for a, b in zip([0, *edges], edges, strict=False))
+            raw = ids.tobytes()
+            yield from (raw[a:b] for a, b in (edges * self.width).tolist())
+
+    def _of(self, fragments: list[str]) -> list[bytes]:
+        """Ids of different fragments, looked up or encoded."""
+        found = list(map(self.kept.get, fragments))
+        new = [k for k, ids in enumerate(found) if ids is None]
+        room = _KEPT - len(self.kept)
+        for n, (k, ids) in enumerate(zip(new, self._ids([fragments[k] for k in new]), strict=True)):
+            found[k] = ids
+            if n < room and len(fragments[k]) <= _LONGEST:
+                self.kept[fragments[k]] = ids
+        return found
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        first, found, open_ = [], [], {}
-        get, self.kept.new = self.kept.__getitem__, {}
+        if not texts:
+            return []
+        # A line end before a text makes its first fragment one like the others; its id is left out again.
+        whole, pieces, counts, heads = [], [], {}, {}
         for k, text in enumerate(texts):
-            start, *others = fragments(text)
-            before = self.kept.missed
-            ids = list(map(get, others))
-            first.append(start)
-            if self.kept.missed > before:
-                open_[k] = others
-            found.append(ids)
-        new = list(self.kept.new)
-        short = dict(zip(new, self._ids(new), strict=True))
-        room = _KEPT - len(self.kept)
-        for p in islice(short, max(room, 0)):
-            if len(p) <= _LONGEST:
-                self.kept[p] = short[p]
-        for k, others in open_.items():
-            found[k] = [short[p] if x is None else x for p, x in zip(others, found[k], strict=True)]
-        starts = self.tokenizer.encode_batch_fast(first, add_special_tokens=False)
-        return [np.asarray(f.ids, self.kind).tobytes() + b"".join(ids) for f, ids in zip(starts, found, strict=True)]
+            if not text or text[0].isspace():
+                heads[k], *others = fragments(text)
+            elif self._plain(text):
+                whole.append(k)
+                continue
+            else:
+                others = fragments("\n" + text)
+            counts[k] = len(others)
+            pieces += others
+        values = [pa.array(pieces, pa.large_string())]
+        if whole:
+            joined = [b"\n" + texts[k].encode() for k in whole]
+            starts = np.cumsum([0, *map(len, joined)])
+            data = b"".join(joined)
+            cuts = _cuts(np.frombuffer(data, np.uint8))
+            counts |= zip(whole, np.diff(np.searchsorted(cuts, starts)).tolist(), strict=True)
+            offsets = pa.py_buffer(np.append(cuts, len(data)).astype(np.int64))
+            values.append(pa.LargeStringArray.from_buffers(len(cuts), offsets, pa.py_buffer(data)))
+        coded = pa.concat_arrays(values).dictionary_encode()
+        known = self._of(coded.dictionary.to_pylist())
+        flat, lengths = np.frombuffer(b"".join(known), self.kind), np.fromiter(map(len, known), np.int64, len(known)) // self.width
+        which = coded.indices.to_numpy()
+        n, at = lengths[which], (np.cumsum(lengths) - lengths)[which]
+        stops = np.cumsum(np.fromiter(counts.values(), np.int64, len(counts)))
+        first = np.array([stop - counts[k] for k, stop in zip(counts, stops.tolist(), strict=True) if k not in heads], np.int64)
+        n[first] -= 1
+        at[first] += 1
+        ends = np.concatenate([[0], np.cumsum(n)])
+        take = np.repeat(at - ends[:-1], n)
+        take += np.arange(len(take))
+        raw, edges = flat[take].tobytes(), (ends[stops] * self.width).tolist()
+        out = {k: raw[a:b] for k, a, b in zip(counts, [0, *edges], edges, strict=False)}
+        for k, found in zip(heads, self.tokenizer.encode_batch_fast(list(heads.values()), add_special_tokens=False), strict=True):
+            out[k] = np.array(found.ids, self.kind).tobytes() + out[k]
+        return [out[k] for k in range(len(texts))]
 
 
 @lru_cache(maxsize=2)
@@ -202,7 +242,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
         last = end if end_id is None else np.array([end_id], encode.kind).tobytes()
         known = zstandard.ZstdCompressionDict(shared.value) if shared.value else None
         compress = zstandard.ZstdCompressor(level=3, dict_data=known).compress
-        for b in slices(batches, "__text"):
+        for b in slices(batches, "__text", 4 << 20):
             part = b.column("__part")[0].as_py()
             for doc, ids in zip(b.column("__id").to_pylist(), encode(b.column("__text").cast(pa.string()).to_pylist()), strict=True):
                 writer = writer or _Writer(folder, shared.value, encode.width)

@@ -79,3 +79,19 @@ def test_fragments_are_encoded_once_and_without_offsets(monkeypatch):
     for _ in range(2):
         assert [np.frombuffer(x, encode.kind).tolist() for x in encode(texts)] == want
     assert sum(" one" in x for some in asked for x in some) == 1 and all(len(x) <= token_files._LONGEST for x in encode.kept)
+
+
+def test_words_before_marks_are_encoded_once(ids):
+    encode = token_files.Encoder(PATH)
+    encode.kept.clear()
+    texts = ["Wort Wort, Wort.\nÜber Wort!! Wort", "Wort; Über\nWort", "a.b it's über."]
+    assert [np.frombuffer(x, encode.kind).tolist() for x in encode(texts)] == [ids(t)[:-1] for t in texts]
+    # With the white space that they follow; a word before a mark is no fragment of its own.
+    assert sorted(encode.kept) == sorted(["\nWort", " Wort", ",", ".", "\nÜber", "!!", ";", " Über", "\na", ".b", " it's", " über"])
+
+
+def test_fragments_do_not_touch_in_a_batch(ids):
+    encode = token_files.Encoder(PATH)
+    marks = ["", "a", "é", "×", "'s", ".", "!!", " ", "  ", "\n", "\n\n", "\t", "\x85", "<|endoftext|>", "<|endof", "1"]
+    texts = [a + b + c + d for a in marks for b in marks for c in marks for d in marks[:8]]
+    assert [np.frombuffer(x, encode.kind).tolist() for x in encode(texts)] == [ids(t)[:-1] for t in texts]
